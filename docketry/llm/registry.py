@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from .quality_rules import op1_quality_rules
+from .site_style_tree import op8_html_extraction
 from .token_counts import op9_token_counts
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op9_token_counts": op9_token_counts}
+QUERIES = {"op1_quality_rules": op1_quality_rules, "op8_html_extraction": op8_html_extraction, "op9_token_counts": op9_token_counts}
 ORACLES: dict[str, str] = {}
