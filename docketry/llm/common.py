@@ -80,3 +80,27 @@ def roll(values: np.ndarray, k: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarr
         n = len(run) - width
         run = run[:n] * np.uint64(pow(base, width, 1 << 64)) + run[width:]
         width *= 2
+
+
+def with_columns(df: DataFrame, inputs: list[str], fields: str, work) -> DataFrame:
+    """df with further columns that work(list of Arrow arrays) returns for a batch, in the order of fields ("name type, ...").
+
+    All columns of df pass through, nothing is shuffled. A column of df with the name of a new one is replaced.
+    """
+    import pyarrow as pa
+
+    new = [f.strip().split(" ", 1)[0] for f in fields.split(",")]
+    old = [c for c in df.columns if c not in new]
+    at = [df.columns.index(c) for c in inputs]
+    keep = [df.columns.index(c) for c in old]
+
+    def run(batches):
+        for b in batches:
+            for k in range(0, b.num_rows, 512):
+                part = b.slice(k, 512)
+                made = work([part.column(i) for i in at])
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in keep), *made], names=[*old, *new])
+
+    from pyspark.sql import types as T
+
+    return df.mapInArrow(run, T.StructType([df.schema[c] for c in old] + T._parse_datatype_string(fields).fields))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from .decontamination import op6_benchmark_decontamination
 from .quality_rules import op1_quality_rules
 from .site_style_tree import op8_html_extraction
 from .token_counts import op9_token_counts
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op8_html_extraction": op8_html_extraction, "op9_token_counts": op9_token_counts}
+QUERIES = {"op1_quality_rules": op1_quality_rules, "op6_benchmark_decontamination": op6_benchmark_decontamination, "op8_html_extraction": op8_html_extraction, "op9_token_counts": op9_token_counts}
 ORACLES: dict[str, str] = {}
