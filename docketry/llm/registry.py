@@ -6,9 +6,10 @@ from .decontamination import op6_benchmark_decontamination
 from .jaccard_join import op5_jaccard_join
 from .language_id import op7_language_id
 from .mixing import op10_mixing
+from .pii import op3_pii_surrogates
 from .quality_rules import op1_quality_rules
 from .site_style_tree import op8_html_extraction
 from .token_counts import op9_token_counts
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op5_jaccard_join": op5_jaccard_join, "op6_benchmark_decontamination": op6_benchmark_decontamination, "op7_language_id": op7_language_id, "op8_html_extraction": op8_html_extraction, "op9_token_counts": op9_token_counts, "op10_mixing": op10_mixing}
+QUERIES = {"op1_quality_rules": op1_quality_rules, "op3_pii_surrogates": op3_pii_surrogates, "op5_jaccard_join": op5_jaccard_join, "op6_benchmark_decontamination": op6_benchmark_decontamination, "op7_language_id": op7_language_id, "op8_html_extraction": op8_html_extraction, "op9_token_counts": op9_token_counts, "op10_mixing": op10_mixing}
 ORACLES: dict[str, str] = {}
