@@ -1,15 +1,66 @@
-"""The corpus pipeline: stages over documents, each the work of one operator of docketry.llm."""
+"""The corpus pipeline: five stages over documents, each the work of one operator of docketry.llm.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept; its result is written as Parquet and read again for
+the next one. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docketry.llm import decontamination, jaccard_join, language_id, mixing, pii
+from docketry.llm.common import shared_dir, table, word_count
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is identified: text with letters, and a posterior of at least language_id.ACCEPT."""
+    return language_id.of_documents(docs).where(language_id.accepted()).select(*docs.columns)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group that links of Jaccard similarity 0.8 and more connect."""
+    groups = jaccard_join.jaccard_groups(docs).where("doc_id = class_id").select("doc_id").distinct()
+    return docs.join(groups, "doc_id", "left_semi").select(*docs.columns)
+
+
+def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no benchmark item leaks into."""
+    return decontamination.contamination(docs, table(spark, sf_dir, "benchmark")).where(~F.col("leaked")).select(*docs.columns)
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with surrogates in place of personal data; n_chars follows."""
+    out = pii.replace_entities(docs)
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.lit(0))).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document: doc_id, lang, source, size, source_size, target, taken."""
+    sized = docs.select("doc_id", "lang", "source", word_count(F.col("text")).alias("size"))
+    out = mixing.mix(sized, F.col("size"), F.array("source"))
+    return out.select("doc_.doc_id", "doc_.lang", "doc_.source", F.col("size_").alias("size"), F.col("source_size_").alias("source_size"), F.col("target_").alias("target"), F.col("taken_").alias("taken"))
+
+
+STAGES = [
+    ("language_id", known_language),
+    ("near_duplicates", one_of_near_copies),
+    ("decontamination", not_in_benchmark),
+    ("pii", without_personal_data),
+    ("mixing", mixed),
+]
 
-STAGES: list = []
+#: The stages learn and compare in ways that SQL can't express; tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """All stages over documents; what each returns is written to the shared folder."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
