@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import changes, ranks, scalars, writes  # noqa: F401
+from .changes import flagship
+from .tables import ORACLES, QUERIES
 
-
-def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/orders.parquet")
+__all__ = ["ORACLES", "QUERIES", "flagship"]
