@@ -206,7 +206,7 @@ def congress_sessions(t: Tables):
     from ..sources.feeds import congress_sessions as sessions
 
     last = t.orders.agg(F.max(congress_of_year(F.year("o_orderdate"))).alias("m"))
-    return sessions(last.select(F.explode(recent_congresses(F.col("m"), 5)).cast("long").alias("congress")))
+    return sessions(last.select(F.explode(recent_congresses(F.col("m").cast("long"), 5)).alias("congress")))
 
 
 def flagship(spark, sf_dir: str):
