@@ -99,27 +99,40 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.
 
 
 def _star_edges(batches: Iterator[pa.RecordBatch], surely: float, maybe: float) -> Iterator[pa.RecordBatch]:
-    """Edges inside buckets (bucket, id, sketch). The first of a neighbourhood becomes its leader; sets that resemble a leader get
-    an edge to it. Two similar sets resemble a common leader, so they end in one component, and a bucket of near copies
-    costs one comparison a set."""
+    """Edges inside buckets (bucket, id, sketch). A set that resembles no leader surely becomes one. A set gets an edge to the first leader
+    that it may resemble, and leaders that one set may resemble get edges to each other until they hang together. Two similar sets resemble a common
+    leader, so they end in one component, and a bucket costs an edge a set, whatever its size."""
     out_a, out_b = [], []
     key, n = None, 0
-    leaders, ids = np.zeros((64, SKETCH), np.uint8), []
+    leaders, ids, root = np.zeros((64, SKETCH), np.uint8), [], []
+
+    def find(k: int) -> int:
+        while root[k] != k:
+            root[k] = k = root[root[k]]
+        return k
+
     for b in batches:
         for bucket, i, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
             if bucket != key:
-                key, n, ids = bucket, 0, []
+                key, n, ids, root = bucket, 0, [], []
             mine = np.frombuffer(s, np.uint8)
-            same = (leaders[:n] == mine).mean(1) if n else np.zeros(0)
-            for k in np.flatnonzero(same >= maybe).tolist():
-                if ids[k] != i:
-                    out_a.append(i)
-                    out_b.append(ids[k])
-            if not n or same.max() < surely:
+            same = np.count_nonzero(leaders[:n] == mine, axis=1) if n else np.zeros(0, np.int64)
+            near = np.flatnonzero(same >= maybe * SKETCH).tolist()
+            if near:
+                out_a.append(i)
+                out_b.append(ids[near[0]])
+                first = find(near[0])
+                for k in near[1:]:
+                    if (other := find(k)) != first:
+                        out_a.append(ids[k])
+                        out_b.append(ids[near[0]])
+                        root[other] = first
+            if not n or same.max() < surely * SKETCH:
                 if n == len(leaders):
                     leaders = np.concatenate([leaders, np.zeros_like(leaders)])
                 leaders[n] = mine
                 ids.append(i)
+                root.append(find(near[0]) if near else n)
                 n += 1
             if len(out_a) >= 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
@@ -127,7 +140,7 @@ def _star_edges(batches: Iterator[pa.RecordBatch], surely: float, maybe: float)
     yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
 
-def overlaps(sets: list[np.ndarray], width: int = 2048) -> np.ndarray:
+def overlaps(sets: list[np.ndarray], width: int = 1024) -> np.ndarray:
     """Sizes of all intersections, by products of 0/1 blocks over the tokens that two sets or more hold."""
     n = len(sets)
     tokens = np.concatenate(sets)
@@ -138,7 +151,7 @@ def overlaps(sets: list[np.ndarray], width: int = 2048) -> np.ndarray:
     rows, column = rows[keep], number[column[keep]]
     order = np.argsort(column, kind="stable")
     rows, column = rows[order], column[order]
-    out = np.zeros((n, n), np.float64)
+    out = np.zeros((n, n), np.float32)  # counts under 2**24 are exact
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         lo, hi = np.searchsorted(column, [at, at + width])
         block = np.zeros((n, width), np.float32)
@@ -161,7 +174,8 @@ def _verify(batches: Iterator[pa.RecordBatch], size: int, threshold: float) -> I
         sets = [shingles(t, size) for t in rows.column(3).to_pylist()]
         sizes = np.array([len(s) for s in sets], np.float64)
         both = overlaps(sets)
-        near = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-9
+        # a row at a time: J = both / (size + size - both) >= threshold
+        near = np.stack([both[k] * (1 + threshold) >= threshold * (sizes[k] + sizes) - 1e-6 for k in range(len(sets))])
         np.fill_diagonal(near, False)
         if part.min() != part.max():
             near &= part[:, None] != part[None, :]
@@ -181,7 +195,7 @@ def _verify(batches: Iterator[pa.RecordBatch], size: int, threshold: float) -> I
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(links, pa.int64())], names=["a", "b", "links"])
 
 
-def jaccard_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.9999, depths: tuple[int, ...] = (2, 4, 6), bucket_limit: int = 64, block: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.9999, depths: tuple[int, ...] = (2, 4, 6), bucket_limit: int = 64, block: int = 768, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, class_id, copy_id, n_links) for every row of docs.
 
     copy_id is the smallest id with the same set of shingles, class_id the smallest id that links reach (of documents with
