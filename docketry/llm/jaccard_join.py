@@ -21,6 +21,8 @@ from .common import find_words, hash_words, mix, roll, stored, table
 from .components import components
 
 SKETCH = 128
+#: From so many leaders on a bucket finds them by parts of their sketches.
+MANY = 256
 _rng = np.random.default_rng(20_17)
 _FUNCTIONS = _rng.integers(1, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -33,36 +35,43 @@ def shingles(text: str | None, size: int = 5) -> np.ndarray:
     return np.unique(roll(hash_words(words), min(size, len(words))))
 
 
-def miss_chance(threshold: float, depth: int) -> float:
-    """Chance that one run parts two equal-sized sets of this similarity: a branching process whose mean is one child a node."""
-    stay = 1.0
-    for _ in range(depth):
-        stay = 1 - math.exp(-stay)
-    return 1 - stay
+def miss_chance(threshold: float, depth: int, spread: float) -> float:
+    """Chance that one run parts two sets of this similarity, the less favourable of equal sizes and one inside the other: a branching
+    process whose mean is the expected number of common children of a node."""
+    worst = 0.0
+    for common in (spread, spread * (1 + threshold) / 2):
+        stay = 1.0
+        for _ in range(depth):
+            stay = 1 - math.exp(-stay * common)
+        worst = max(worst, 1 - stay)
+    return worst
 
 
-def runs_for(recall: float, threshold: float, depth: int) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(miss_chance(threshold, depth)))
+def runs_for(recall: float, threshold: float, depth: int, spread: float) -> int:
+    return math.ceil(math.log(1 - recall) / math.log(miss_chance(threshold, depth, spread)))
 
 
-def paths(tokens: np.ndarray, runs: int, depths: tuple[int, ...], threshold: float) -> list[list[int]]:
-    """The chosen paths of a set: one row for each path of the full depth (or the depth at which it died out), with the path's
-    hash at each of the depths; a path that died out repeats a hash of its own there."""
-    limit = np.uint64(min((1 << 64) - 1, int((1 << 64) * (1 + threshold) / (2 * threshold) / max(1, len(tokens)))))
+def paths(tokens: np.ndarray, runs: int, depth: int, threshold: float, spread: float) -> tuple[list[int], list[int], list[int]]:
+    """The chosen paths of a set: hashes of those of half the depth, and of those of the full depth with the halves that they go on from.
+
+    At each node a token is picked if its hash, which all sets share, is small enough for two sets at the threshold to share `spread`
+    picks of it on average."""
+    limit = np.uint64(min((1 << 64) - 1, int((1 << 64) * spread * (1 + threshold) / (2 * threshold) / max(1, len(tokens)))))
     heads = mix(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    chains: list[list[int]] = [[] for _ in range(runs)]
-    for level in range(1, depths[-1] + 1):
-        found_h, found_c = [], []
-        for at in range(0, len(heads), max(1, (1 << 21) // max(1, len(tokens)))):
-            some = heads[at : at + max(1, (1 << 21) // max(1, len(tokens)))]
+    origin = half = np.zeros(0, np.uint64)
+    step = max(1, (1 << 18) // max(1, len(tokens)))
+    for level in range(1, depth + 1):
+        found_h, found_o = [heads[:0]], [origin[:0]]
+        for at in range(0, len(heads), step):
+            some = heads[at : at + step]
             node, token = np.nonzero((tokens[None, :] ^ some[:, None]) * (some[:, None] | np.uint64(1)) < limit)
             found_h.append(mix(some[node] * np.uint64(0xD6E8FEB86659FD93) + tokens[token]))
-            found_c += [chains[at + k] for k in node.tolist()]
-        heads = np.concatenate(found_h) if found_h else heads[:0]
-        chains = found_c
-        if level in depths:
-            chains = [[*c, h] for c, h in zip(chains, heads.view(np.int64).tolist(), strict=True)]
-    return chains
+            if len(origin):
+                found_o.append(origin[at + node])
+        heads, origin = np.concatenate(found_h), np.concatenate(found_o)
+        if level == depth // 2:
+            half = origin = heads
+    return np.unique(half).view(np.int64).tolist(), origin.view(np.int64).tolist(), heads.view(np.int64).tolist()
 
 
 def sketch(tokens: np.ndarray) -> bytes:
@@ -104,20 +113,28 @@ def _star_edges(batches: Iterator[pa.RecordBatch], surely: float, maybe: float)
     leader, so they end in one component, and a bucket costs an edge a set, whatever its size."""
     out_a, out_b = [], []
     key, n = None, 0
-    leaders, ids, root = np.zeros((64, SKETCH), np.uint8), [], []
+    leaders, ids, root, bands = np.zeros((64, SKETCH), np.uint8), [], [], {}
 
     def find(k: int) -> int:
         while root[k] != k:
             root[k] = k = root[root[k]]
         return k
 
+    def alike(s: bytes, mine: np.ndarray) -> tuple[list[int], int]:
+        """Leaders that may resemble the set, and most equal bytes. Many leaders are looked up by three bytes in a row."""
+        if n <= MANY:
+            at = np.arange(n)
+        else:
+            at = np.array(sorted({k for p in range(0, SKETCH - 2, 3) for k in bands.get((p, s[p : p + 3]), ())}), np.int64)
+        same = np.count_nonzero(leaders[at] == mine, axis=1)
+        return at[same >= maybe * SKETCH].tolist(), int(same.max()) if len(same) else 0
+
     for b in batches:
         for bucket, i, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
             if bucket != key:
-                key, n, ids, root = bucket, 0, [], []
+                key, n, ids, root, bands = bucket, 0, [], [], {}
             mine = np.frombuffer(s, np.uint8)
-            same = np.count_nonzero(leaders[:n] == mine, axis=1) if n else np.zeros(0, np.int64)
-            near = np.flatnonzero(same >= maybe * SKETCH).tolist()
+            near, most = alike(s, mine)
             if near:
                 out_a.append(i)
                 out_b.append(ids[near[0]])
@@ -127,13 +144,17 @@ def _star_edges(batches: Iterator[pa.RecordBatch], surely: float, maybe: float)
                         out_a.append(ids[k])
                         out_b.append(ids[near[0]])
                         root[other] = first
-            if not n or same.max() < surely * SKETCH:
+            if most < surely * SKETCH:
                 if n == len(leaders):
                     leaders = np.concatenate([leaders, np.zeros_like(leaders)])
                 leaders[n] = mine
                 ids.append(i)
                 root.append(find(near[0]) if near else n)
                 n += 1
+                for k in range(n) if n == MANY + 1 else range(n - 1, n) if n > MANY else ():
+                    t = leaders[k].tobytes()
+                    for p in range(0, SKETCH - 2, 3):
+                        bands.setdefault((p, t[p : p + 3]), []).append(k)
             if len(out_a) >= 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
                 out_a, out_b = [], []
@@ -175,7 +196,7 @@ def _verify(batches: Iterator[pa.RecordBatch], size: int, threshold: float) -> I
         sizes = np.array([len(s) for s in sets], np.float64)
         both = overlaps(sets)
         # a row at a time: J = both / (size + size - both) >= threshold
-        near = np.stack([both[k] * (1 + threshold) >= threshold * (sizes[k] + sizes) - 1e-6 for k in range(len(sets))])
+        near = np.stack([both[k].astype(np.float64) * (1 + threshold) >= threshold * (sizes[k] + sizes) - 1e-6 for k in range(len(sets))])
         np.fill_diagonal(near, False)
         if part.min() != part.max():
             near &= part[:, None] != part[None, :]
@@ -195,7 +216,7 @@ def _verify(batches: Iterator[pa.RecordBatch], size: int, threshold: float) -> I
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(links, pa.int64())], names=["a", "b", "links"])
 
 
-def jaccard_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.9999, depths: tuple[int, ...] = (2, 4, 6), bucket_limit: int = 64, block: int = 768, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.9999, depth: int = 4, spread: float = 1.5, bucket_limit: int = 256, block: int = 768, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, class_id, copy_id, n_links) for every row of docs.
 
     copy_id is the smallest id with the same set of shingles, class_id the smallest id that links reach (of documents with
@@ -206,7 +227,7 @@ def jaccard_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, recal
     Every pair of sets at the threshold shares a bucket with the chance `recall` or more; verification is exact. A bucket of near copies is
     streamed past its leaders, and verification splits a large component into pairs of parts of `block` sets, so no group is ever held whole.
     """
-    runs = runs_for(recall, threshold, depths[0])
+    runs = runs_for(recall, threshold, depth, spread)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,28 +237,26 @@ def jaccard_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, recal
                 for i, t in zip(b.column(0)[at : at + 512].to_pylist(), b.column(1)[at : at + 512].to_pylist(), strict=True):
                     s = shingles(t, size)
                     if len(s):
-                        rows.append((i, xxh3_128_digest(s.tobytes()), paths(s, runs, depths, threshold), sketch(s)))
+                        rows.append((i, xxh3_128_digest(s.tobytes()), *paths(s, runs, depth, threshold, spread), sketch(s)))
                     else:
-                        rows.append((i, None, [], None))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.list_(pa.list_(pa.int64())), pa.binary()), strict=True)], names=["id", "set", "paths", "sketch"])
+                        rows.append((i, None, [], [], [], None))
+                kinds = (pa.int64(), pa.binary(), *(pa.list_(pa.int64()),) * 3, pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["id", "set", "half", "origin", "full", "sketch"])
 
-    sets = stored(texts.mapInArrow(signs, "id bigint, set binary, paths array<array<bigint>>, sketch binary"), "sets")
+    sets = stored(texts.mapInArrow(signs, "id bigint, set binary, half array<bigint>, origin array<bigint>, full array<bigint>, sketch binary"), "sets")
     copies = stored(sets.where("set is not null").groupBy("set").agg(F.min("id").alias("copy")), "copies")
     first = sets.join(copies.select("set", F.col("copy").alias("id")), ["set", "id"], "left_semi")
-    chains = first.select("id", F.explode("paths").alias("p")).select("id", *[F.try_element_at("p", F.lit(k + 1)).alias(f"p{k}") for k in range(len(depths))])
-
-    found = None
-    rest = chains
-    for k in range(len(depths)):
-        here = rest.where(f"p{k} is not null")
-        buckets = here.groupBy(f"p{k}").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-        here = stored(here.join(buckets.select(f"p{k}", "n"), f"p{k}"), "buckets")
-        last = k == len(depths) - 1
-        done = here if last else here.where((F.col("n") <= bucket_limit) | F.col(f"p{k + 1}").isNull())
-        done = done.select(F.col(f"p{k}").alias("bucket"), "id").distinct()
-        found = done if found is None else found.unionByName(done)
-        if not last:
-            rest = here.where(F.col("n") > bucket_limit).select("id", *[f"p{j}" for j in range(k + 1, len(depths))])
+
+    def shared(rows: DataFrame) -> DataFrame:
+        """Rows (p, id) of buckets that several sets are in, with their size n."""
+        sizes = rows.groupBy("p").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("p", "n")
+        return stored(rows.join(sizes, "p"), "buckets")
+
+    halves = shared(first.select("id", F.explode("half").alias("p")))
+    large = halves.where(F.col("n") > bucket_limit).select(F.col("p").alias("origin"), "id").distinct()
+    chains = first.join(large.select("id").distinct(), "id", "left_semi").select("id", F.explode(F.arrays_zip("origin", "full")).alias("x")).select("id", "x.origin", F.col("x.full").alias("p"))
+    fulls = shared(chains.join(large, ["origin", "id"], "left_semi").select("id", "p").distinct())
+    found = halves.where(F.col("n") <= bucket_limit).select(F.col("p").alias("bucket"), "id").unionByName(fulls.select(F.col("p").alias("bucket"), "id")).distinct()
     found = found.join(first.select("id", "sketch"), "id").select("bucket", "id", "sketch")
     found = found.repartition("bucket").sortWithinPartitions("bucket", "id")
     edges = found.mapInArrow(lambda b: _star_edges(b, threshold - 0.06, threshold - 0.35), "a bigint, b bigint")
