@@ -126,7 +126,7 @@ def _person(raw: str) -> tuple[str, str] | None:
     tokens: list[str] = []
     for t in reversed(re.sub(r"``[^']*''|\"[^\"]*\"", "", raw).split()):
         bare = t.replace(",", "")
-        if not bare or not bare[0].isupper() or bare.lower() in ROLE_WORDS or "/" in bare:
+        if not bare or not bare[0].isupper() or bare.lower().rstrip(".") in ROLE_WORDS or "/" in bare:
             break
         tokens.insert(0, t)
     if len(tokens) < 2:

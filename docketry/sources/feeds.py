@@ -30,8 +30,10 @@ def subjects(spark: SparkSession, path: str) -> DataFrame:
 
 def house_votes(spark: SparkSession, path: str) -> DataFrame:
     """House roll-call items: ids may be numbers or texts, the data address has two spellings, the chamber is House."""
-    rows = pages(spark, path, schemas.HOUSE_VOTE_ITEMS, "houseRollCallVotes")
-    return rows.withColumns({"sourceDataURL": F.coalesce("sourceDataURL", "sourceDataUrl"), "chamber": F.lit("House")}).drop("sourceDataUrl")
+    # names that differ in case alone can't stand in one schema, so one spelling is turned into the other first
+    body = F.regexp_replace("value", r'"sourceDataUrl"\s*:', '"sourceDataURL":')
+    rows = spark.read.text(path, wholetext=True).select(F.from_json(body, schemas.HOUSE_VOTE_ITEMS).alias("x"))
+    return rows.select(F.inline("x.houseRollCallVotes")).withColumn("chamber", F.lit("House"))
 
 
 def house_vote_members(spark: SparkSession, path: str) -> DataFrame:

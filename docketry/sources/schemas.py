@@ -25,7 +25,7 @@ AMENDMENT = (
 )
 HOUSE_VOTE_ITEMS = (
     "houseRollCallVotes array<struct<congress: int, identifier: string, rollCallNumber: int, sessionNumber: int, startDate: string, updateDate: string, result: string, voteType: string, "
-    f"legislationNumber: string, legislationType: string, legislationUrl: string, sourceDataURL: string, sourceDataUrl: string, url: string>>, {PAGINATION}"
+    f"legislationNumber: string, legislationType: string, legislationUrl: string, sourceDataURL: string, url: string>>, {PAGINATION}"
 )
 HOUSE_VOTE_MEMBERS = (
     "struct<congress: int, identifier: string, rollCallNumber: int, sessionNumber: int, startDate: string, updateDate: string, result: string, voteType: string, voteQuestion: string, legislationNumber: string, "
