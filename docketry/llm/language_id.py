@@ -101,12 +101,12 @@ def identify(docs: DataFrame, model: TextModel, text: Column, declared: Column,
         rows = [given.value.scores(t) for t in columns[0].to_pylist()]
         return [pa.array([s for s, _ in rows], pa.list_(pa.float64())), pa.array([n for _, n in rows], pa.int32())]
 
-    rows = docs.withColumns({"text_": text.cast("string"), "declared_": F.coalesce(declared.cast("string"), F.lit("")), "host_": F.coalesce(host.cast("string"), F.lit("")), "suffix_": F.coalesce(address_suffix(url), F.lit("")) if url is not None else F.lit("")})
-    rows = with_columns(rows, ["text_"], "scores_ array<double>, trigrams_ int", work).drop("text_")
+    rows = docs.withColumns({"__lid_text": text.cast("string"), "__lid_declared": F.coalesce(declared.cast("string"), F.lit("")), "__lid_host": F.coalesce(host.cast("string"), F.lit("")), "__lid_suffix": F.coalesce(address_suffix(url), F.lit("")) if url is not None else F.lit("")})
+    rows = with_columns(rows, ["__lid_text"], "__lid_scores array<double>, trigrams_ int", work).drop("__lid_text")
     if not size:
-        return rows.drop("declared_", "host_", "suffix_", "scores_").withColumns({"language": F.lit(None).cast("string"), "posterior": F.lit(0.0)})
-    best = F.when(F.col("trigrams_") > 0, F.expr("array_position(scores_, array_max(scores_))").cast("int"))
-    counts = stored(rows.select("declared_", "host_", "suffix_", best.alias("k")).where("k is not null").groupBy("declared_", "host_", "suffix_", "k").agg(F.count("*").alias("n")), "evidence")
+        return rows.drop("__lid_declared", "__lid_host", "__lid_suffix", "__lid_scores").withColumns({"language": F.lit(None).cast("string"), "posterior": F.lit(0.0)})
+    best = F.when(F.col("trigrams_") > 0, F.expr("array_position(__lid_scores, array_max(__lid_scores))").cast("int"))
+    counts = stored(rows.select("__lid_declared", "__lid_host", "__lid_suffix", best.alias("k")).where("k is not null").groupBy("__lid_declared", "__lid_host", "__lid_suffix", "k").agg(F.count("*").alias("n")), "evidence")
 
     def tallies(by: list[str]) -> DataFrame:
         each = counts.groupBy(*by, "k").agg(F.sum("n").alias("n")).groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("m"))
@@ -121,10 +121,10 @@ def identify(docs: DataFrame, model: TextModel, text: Column, declared: Column,
     # P(language | host), smoothed by `smooth` documents of its domain, and the domain's by as many of the corpus
     toward = lambda c, prior: F.zip_with(c, prior, lambda n, p: n + smooth * p)
     normal = lambda c: F.transform(c, lambda x: x / total(c))
-    hosts = tallies(["host_"]).withColumn("domain_", domain(F.col("host_")))
-    domains = counts.withColumn("domain_", domain(F.col("host_"))).groupBy("domain_", "k").agg(F.sum("n").alias("n")).groupBy("domain_").agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("m"))
+    hosts = tallies(["__lid_host"]).withColumn("domain_", domain(F.col("__lid_host")))
+    domains = counts.withColumn("domain_", domain(F.col("__lid_host"))).groupBy("domain_", "k").agg(F.sum("n").alias("n")).groupBy("domain_").agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("m"))
     domains = domains.select("domain_", normal(toward(F.transform(F.sequence(F.lit(1), F.lit(size)), lambda k: F.coalesce(F.try_element_at("m", k), F.lit(0)).cast("double")), corpus_)).alias("d"))
-    hosts = stored(hosts.join(domains, "domain_").select("host_", normal(toward(F.col("c"), F.col("d"))).alias("prior_")), "hosts")
+    hosts = stored(hosts.join(domains, "domain_").select("__lid_host", normal(toward(F.col("c"), F.col("d"))).alias("__lid_prior")), "hosts")
 
     def witness(by: str, out: str) -> DataFrame:
         """P(sign | language) for each sign; one unseen elsewhere has a share of a hundredth."""
@@ -134,24 +134,24 @@ def identify(docs: DataFrame, model: TextModel, text: Column, declared: Column,
         # by broadcast while the signs are few, else dealt over salts so that a frequent sign is no large task
         if right.limit(broadcast_hosts + 1).count() <= broadcast_hosts:
             return left.join(F.broadcast(right), by, "left")
-        left = left.withColumn("salt_", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int"))
-        return left.join(right.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), [by, "salt_"], "left").drop("salt_")
+        left = left.withColumn("__lid_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int"))
+        return left.join(right.withColumn("__lid_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), [by, "__lid_salt"], "left").drop("__lid_salt")
 
-    rows = attach(rows, hosts, "host_")
-    rows = attach(rows, stored(witness("declared_", "said_"), "declared"), "declared_")
+    rows = attach(rows, hosts, "__lid_host")
+    rows = attach(rows, stored(witness("__lid_declared", "__lid_said"), "declared"), "__lid_declared")
     if url is not None:
-        rows = attach(rows, stored(witness("suffix_", "hint_"), "suffixes"), "suffix_")
+        rows = attach(rows, stored(witness("__lid_suffix", "__lid_hint"), "suffixes"), "__lid_suffix")
     logs = lambda c: F.transform(c, lambda x: F.log(x))
     add = lambda a, b: F.zip_with(a, F.coalesce(b, F.array_repeat(F.lit(0.0), size)), lambda x, y: x + y)
-    joint = add("scores_", logs(F.coalesce(F.col("prior_"), corpus_)))
-    joint = add(joint, F.when(F.col("declared_") != "", logs("said_")))
+    joint = add("__lid_scores", logs(F.coalesce(F.col("__lid_prior"), corpus_)))
+    joint = add(joint, F.when(F.col("__lid_declared") != "", logs("__lid_said")))
     if url is not None:
-        joint = add(joint, F.when(F.col("suffix_") != "", logs("hint_")))
-    rows = rows.withColumn("scores_", joint)
-    top = F.array_max("scores_")
-    share = F.lit(1.0) / total(F.transform("scores_", lambda x: F.exp(x - F.array_max("scores_"))))
-    rows = rows.withColumns({"language": F.element_at(names, F.array_position("scores_", top).cast("int")), "posterior": share})
-    return rows.drop("declared_", "host_", "suffix_", "scores_", "prior_", "said_", "hint_")
+        joint = add(joint, F.when(F.col("__lid_suffix") != "", logs("__lid_hint")))
+    rows = rows.withColumn("__lid_scores", joint)
+    top = F.array_max("__lid_scores")
+    share = F.lit(1.0) / total(F.transform("__lid_scores", lambda x: F.exp(x - F.array_max("__lid_scores"))))
+    rows = rows.withColumns({"language": F.element_at(names, F.array_position("__lid_scores", top).cast("int")), "posterior": share})
+    return rows.drop("__lid_declared", "__lid_host", "__lid_suffix", "__lid_scores", "__lid_prior", "__lid_said", "__lid_hint")
 
 
 #: A document is accepted whose language has this posterior.

@@ -199,24 +199,24 @@ def replace_entities(docs: DataFrame, key: str = "docketry", text_col: str = "te
 
     Null texts stay null and empty ones empty, with 0 entities. An entity has one replacement in all rows; distinct entities
     have distinct ones. Equal texts are rewritten once, so a group of copies is no large group. Repeated rows stay repeated. A column of docs named
-    n_entities is replaced; names with a trailing underscore are used inside.
+    n_entities is replaced; names that begin with __pii_ are used inside.
     """
     text = F.col(text_col)
     has = F.coalesce(text.rlike(_HINT), F.lit(False))
     found = F.when(has, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
-    rows = docs.withColumn("found_", found).withColumn("text_key_", F.when(F.size("found_") > 0, F.sha2(text, 256)))
-    m = F.col("match_")
-    places = rows.where("text_key_ is not null").select("text_key_", F.posexplode("found_").alias("at_", "match_")).distinct()
+    rows = docs.withColumn("__pii_found", found).withColumn("__pii_text_key", F.when(F.size("__pii_found") > 0, F.sha2(text, 256)))
+    m = F.col("__pii_match")
+    places = rows.where("__pii_text_key is not null").select("__pii_text_key", F.posexplode("__pii_found").alias("__pii_at", "__pii_match")).distinct()
     places = places.withColumn("kind", kind_of(m)).withColumn("canon", canonical(m, F.col("kind")))
     places = stored(places, "places")
     given = stored(assign(places, key), "given")
-    swaps = places.join(given, ["kind", "canon"]).select("text_key_", "at_", dress(m, F.col("kind"), F.col("replacement")).alias("swap_"))
-    swaps = swaps.groupBy("text_key_").agg(F.transform(F.array_sort(F.collect_list(F.struct("at_", "swap_"))), lambda x: x["swap_"]).alias("swaps_"))
+    swaps = places.join(given, ["kind", "canon"]).select("__pii_text_key", "__pii_at", dress(m, F.col("kind"), F.col("replacement")).alias("__pii_swap"))
+    swaps = swaps.groupBy("__pii_text_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("__pii_at", "__pii_swap"))), lambda x: x["__pii_swap"]).alias("__pii_swaps"))
     other = [c for c in docs.columns if c not in (text_col, "n_entities")]
-    plain = rows.where("text_key_ is null").select(*other, text_col, F.lit(0).cast("long").alias("n_entities"))
+    plain = rows.where("__pii_text_key is null").select(*other, text_col, F.lit(0).cast("long").alias("n_entities"))
     pieces = F.split(text, PATTERN, -1)
-    done = F.array_join(F.zip_with(pieces, F.concat("swaps_", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
-    changed = rows.where("text_key_ is not null").drop("found_").join(stored(swaps, "swaps"), "text_key_").select(*other, done.alias(text_col), F.size("swaps_").cast("long").alias("n_entities"))
+    done = F.array_join(F.zip_with(pieces, F.concat("__pii_swaps", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
+    changed = rows.where("__pii_text_key is not null").drop("__pii_found").join(stored(swaps, "swaps"), "__pii_text_key").select(*other, done.alias(text_col), F.size("__pii_swaps").cast("long").alias("n_entities"))
     order = [c for c in docs.columns if c != "n_entities"]
     return plain.unionByName(changed).select(*order, "n_entities")
 
