@@ -36,3 +36,10 @@ def cosine(a: Column, b: Column) -> Column:
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
     norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     return F.try_divide(dot, norm(a) * norm(b))
+
+
+def first_sponsor(sponsors: Column) -> Column:
+    """struct(kind, key, url) of the first sponsor: a member with an id, else a committee known by its address; null without sponsors."""
+    s = F.try_element_at(sponsors, F.lit(1))
+    kind = F.when(s["bioguideId"].isNotNull(), F.lit("Member")).when(s["url"].isNotNull(), F.lit("Committee"))
+    return F.when(s.isNotNull(), F.struct(kind.alias("kind"), s["bioguideId"].alias("key"), s["url"].alias("url")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -26,3 +26,9 @@ def text_length(rows: DataFrame, key: str, text: str) -> DataFrame:
 
 def last_success(runs: DataFrame, step: str, statuses: tuple[str, ...] = ("Succeeded", "PartiallySucceeded")) -> DataFrame:
     return runs.where((F.col("step_name") == step) & F.col("status").isin(*statuses)).agg(F.max("completed_at").alias("completed_at"))
+
+
+def observed(rows: DataFrame, name: str, **conditions: Column) -> tuple[DataFrame, "Observation"]:
+    """rows, and counters that are filled while an action runs over them (dropped, out of range, skipped, ...), at no extra pass."""
+    seen = Observation(name)
+    return rows.observe(seen, *[F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).cast("long").alias(n) for n, c in conditions.items()]), seen

@@ -223,4 +223,12 @@ def outcome_summary(t: Tables):
     return sm.outcomes(ch.classify(inc, sto, ["o_orderkey"], "d", "vote").withColumnRenamed("change", "outcome"), "outcome")
 
 
-__all__ = ["flagship", "shown"]
+
+
+
+@query("SELECT count(*) AS kept, (SELECT count(*) FROM orders WHERE o_custkey < 100) AS low, (SELECT count(*) FROM orders WHERE o_custkey > 900) AS high FROM orders WHERE o_custkey BETWEEN 100 AND 900")
+def observed_range(t: Tables):
+    """Rows out of range are counted while the kept ones are read."""
+    rows, seen = sm.observed(t.orders, "range", low=F.col("o_custkey") < 100, high=F.col("o_custkey") > 900)
+    kept = rows.where(fl.congress_range(F.col("o_custkey"), 100, 900)).agg(F.count("*").alias("kept")).first()["kept"]
+    return t.spark.createDataFrame([(kept, seen.get["low"], seen.get["high"])], "kept long, low long, high long")

@@ -216,3 +216,20 @@ def roster_entries(t: Tables):
     page = F.concat(F.lit("Committee on Budget\nAnn Q. "), "s_name", F.lit(", of Ohio, Chair.   Bob "), "n_name", F.lit(", Jr., of West\n(page 2)   Virginia.\nSubcommittee on Water\nCal \"Ace\" "), "s_name", F.lit(", of Iowa."))
     rows = texts.parse_rosters(named.select("s_suppkey", page.alias("text")), ["Committee on Budget"], ["Ohio", "Virginia", "West Virginia", "Iowa"], key="s_suppkey")
     return rows.withColumn("committee", F.regexp_replace("committee", "^Committee on ", ""))
+
+
+@query("SELECT event_id, CASE WHEN event_type = 'view' THEN NULL WHEN event_type = 'click' THEN CASE WHEN value > 50 THEN 'Transient' ELSE 'Systemic' END WHEN event_type = 'error' THEN 'Transient' ELSE 'Systemic' END AS class FROM events")
+def error_classes(t: Tables):
+    from ..functions.errors import error_class
+
+    kind = F.when(F.col("event_type") == "error", "timeout").when(F.col("event_type").isin("signup", "purchase"), "parse")
+    status = F.when(F.col("event_type") == "click", F.when(F.col("value") > 50, 503).otherwise(404))
+    return t.events.select("event_id", error_class(kind, status).alias("class"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Committee' WHEN c_mktsegment <> 'MACHINERY' THEN 'Member' END AS kind, CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN c_name END AS key FROM customer")
+def sponsor_kinds(t: Tables):
+    seg = F.col("c_mktsegment")
+    one = F.struct(F.when(seg != "BUILDING", F.col("c_name")).alias("bioguideId"), F.lit("u").alias("url"))
+    who = F.when(seg != "MACHINERY", F.array(one)).otherwise(F.array().cast("array<struct<bioguideId: string, url: string>>"))
+    return t.customer.select("c_custkey", arrays.first_sponsor(who).alias("x")).select("c_custkey", "x.kind", "x.key")
