@@ -19,24 +19,29 @@ _TITLES = {
     "m": ("Mr", "Herr", "Señor", "Monsieur", "г-н", "κύριος"),
     "x": ("Dr", "Prof"),
 }
-_PERSON = r"\b(?:" + "|".join(t for ts in _TITLES.values() for t in ts) + r")\.? \p{Lu}\p{Ll}+(?:['’-]\p{Lu}\p{Ll}+)?(?: \p{Lu}\p{Ll}+(?:['’-]\p{Lu}\p{Ll}+)?)?"
-#: In this order: of two patterns that match at a place the earlier one decides.
+_TITLE = "(?:" + "|".join(t for ts in _TITLES.values() for t in ts) + ")"
+_INITIALS = "(?=[" + "".join(sorted({t[0] for ts in _TITLES.values() for t in ts})) + "])"
+_NAME = r"\p{Lu}\p{Ll}+(?:['’-]\p{Lu}\p{Ll}+)?"
+#: A word before a value that is secret whatever it looks like.
+_KEYWORD = r"(?i:token|secret|password|passwd|api[_-]?key|access_key) {0,2}[=:] {0,2}[\"']?"
+#: In this order: of two patterns that match at a place the earlier one decides. Each begins with what the next character has to be, so that
+#: most places cost one look.
 PATTERNS = {
-    "EMAIL": r"[\p{L}\p{N}_%+](?:[\p{L}\p{N}._%+'-]{0,62}[\p{L}\p{N}_%+-])?@[\p{L}\p{N}](?:[\p{L}\p{N}-]{0,62})(?:\.[\p{L}\p{N}-]{1,63})*\.\p{L}{2,24}",
-    "SECRET": r"(?<![\p{L}\p{N}_-])(?:[0-9a-fA-F]{32,}|(?:sk|pk|rk|ghp|gho|ghs|xoxb|xoxp|AKIA|ASIA|AIza)[_-]?[A-Za-z0-9_-]{16,}|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,})(?![\p{L}\p{N}_])"
-    r"|(?<=(?:token|secret|password|passwd|api_key|apikey|api-key|access_key|TOKEN|SECRET|PASSWORD|API_KEY|Token|Secret|Password) {0,2}[=:] {0,2}[\"']?)[^\s\"',;]{8,}",
-    "MAC": r"(?<![\p{L}\p{N}:])(?:[0-9a-fA-F]{2}[:-]){5}[0-9a-fA-F]{2}(?![\p{L}\p{N}:])",
-    "IPV6": r"(?<![\p{L}\p{N}:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![\p{L}\p{N}:])",
-    "IPV4": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
-    "IBAN": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "SSN": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "CARD": r"(?<![\d+])\d(?:[ -]?\d){12,18}(?!\d)",
-    "PHONE": r"(?<![\p{L}\p{N}])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,5}){2,5}(?!\d)|(?<![\p{L}\p{N}])(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
-    "PERSON": _PERSON,
+    "KEYED": rf"(?=[tTsSpPaA])(?<![\p{{L}}\p{{N}}])(?:{_KEYWORD})[^\s\"',;]{{8,}}",
+    "EMAIL": r"(?=[\p{L}\p{N}_%+])(?<![\p{L}\p{N}._%+'-])[\p{L}\p{N}._%+'-]{1,64}+@[\p{L}\p{N}][\p{L}\p{N}-]{0,62}(?:\.[\p{L}\p{N}-]{1,63})*\.\p{L}{2,24}",
+    "SECRET": r"(?=[0-9a-fA-Fsprgxe])(?<![\p{L}\p{N}_-])(?:(?=[a-fA-F]*[0-9])[0-9a-fA-F]{32,}+|(?=[A-Za-z_-]{1,64}[0-9])(?:(?:sk|pk|rk|ghp|gho|ghs|xoxb|xoxp|AKIA|ASIA|AIza)[_-]?[A-Za-z0-9_-]{16,}+|eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+))(?![\p{L}\p{N}_])",
+    "MAC": r"(?=[0-9a-fA-F]{2}[:-])(?<![\p{L}\p{N}:])(?:[0-9a-fA-F]{2}[:-]){5}[0-9a-fA-F]{2}(?![\p{L}\p{N}:])",
+    "IPV6": r"(?=[0-9a-fA-F]{1,4}:)(?<![\p{L}\p{N}:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![\p{L}\p{N}:])",
+    "IPV4": rf"(?=\d)(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
+    "IBAN": r"(?=[A-Z]{2}\d)(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    "SSN": r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
+    "CARD": r"(?=\d)(?<![\d+])\d(?:[ -]?\d){12,18}(?!\d)",
+    "PHONE": r"(?=[\d+(])(?<![\p{L}\p{N}])(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,5}){2,5}(?!\d)|(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d))",
+    "PERSON": rf"{_INITIALS}\b{_TITLE}\.? {_NAME}(?: {_NAME})?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: What a text must hold to be searched: one cheap scan spares most texts the patterns.
-_HINT = r"[0-9@]|\b(?:" + "|".join(t for ts in _TITLES.values() for t in ts) + r")\.? \p{Lu}|(?:eyJ|sk|pk|rk|ghp|gho|ghs|xox|AKIA|ASIA|AIza)[_-]?[A-Za-z0-9_-]{16}|(?i:token|secret|passw|api.?key|access_key) {0,2}[=:]"
+#: What a text must hold to be searched, all other patterns needing a digit, @, = or : somewhere: two cheap scans spare most texts the patterns.
+_HINTS = ("[0-9@=:]", rf"{_INITIALS}{_TITLE}\.? \p{{Lu}}")
 
 # Parts of invented names; a replacement is a given name and a surname made of a stem and an ending.
 _GIVEN = {
@@ -56,8 +61,8 @@ def kind_of(m: Column) -> Column:
     """The type of a match."""
     out = None
     for name, p in PATTERNS.items():
-        out = (F if out is None else out).when(m.rlike(rf"^(?:{p})$"), F.lit(name))
-    return out.otherwise(F.lit("SECRET"))  # a value after "password =" may have any form
+        out = (F if out is None else out).when(m.rlike(rf"^(?:{p})$"), F.lit("SECRET" if name == "KEYED" else name))
+    return out.otherwise(F.lit("SECRET"))
 
 
 def _gender(m: Column) -> Column:
@@ -71,6 +76,7 @@ def canonical(m: Column, kind: Column) -> Column:
     return (
         F.when(kind == "EMAIL", F.lower(m)).when(kind.isin("CARD", "SSN", "PHONE", "IBAN"), compact)
         .when(kind.isin("MAC", "IPV6"), F.lower(F.regexp_replace(m, "-", ":")))
+        .when(kind == "SECRET", F.regexp_replace(m, f"^{_KEYWORD}", ""))
         .when(kind == "PERSON", F.concat(_gender(m), F.lit(":"), F.lower(F.regexp_replace(m, r"^[^ ]+ ", ""))))
         .otherwise(m)
     )
@@ -165,7 +171,7 @@ def dress(m: Column, kind: Column, replacement: Column) -> Column:
     filled = F.array_join(F.transform(F.split(m, ""), lambda c, i: F.when(c.rlike(r"[\p{L}\p{N}]"), F.substring(body, F.length(F.regexp_replace(F.substring(m, F.lit(1), i), r"[^\p{L}\p{N}]", "")) + 1, F.lit(1))).otherwise(c)), "")
     name = F.concat(F.regexp_extract(m, r"^[^ ]+ ", 0), F.array_join(F.transform(F.split(F.substring(replacement, F.lit(3), F.length(replacement)), "(?<=[ -])"), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w)))), ""))
     return (
-        F.when(kind == "PERSON", name)
+        F.when(kind == "PERSON", name).when(kind == "SECRET", F.concat(F.regexp_extract(m, f"^{_KEYWORD}", 0), replacement))
         .when(kind.isin("CARD", "SSN", "PHONE", "IBAN"), filled)
         .when(kind.isin("MAC", "IPV6"), F.when(m.rlike("[A-F]"), F.upper(F.when(m.contains("-"), F.regexp_replace(replacement, ":", "-")).otherwise(replacement))).otherwise(F.when(m.contains("-"), F.regexp_replace(replacement, ":", "-")).otherwise(replacement)))
         .otherwise(replacement)
@@ -202,7 +208,7 @@ def replace_entities(docs: DataFrame, key: str = "docketry", text_col: str = "te
     n_entities is replaced; names that begin with __pii_ are used inside.
     """
     text = F.col(text_col)
-    has = F.coalesce(text.rlike(_HINT), F.lit(False))
+    has = F.coalesce(text.rlike(_HINTS[0]) | text.rlike(_HINTS[1]), F.lit(False))
     found = F.when(has, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
     rows = docs.withColumn("__pii_found", found).withColumn("__pii_text_key", F.when(F.size("__pii_found") > 0, F.sha2(text, 256)))
     m = F.col("__pii_match")
