@@ -131,7 +131,7 @@ def smallest_holders(bundle: Bundle, window: int, most: int = 2_000) -> list[np.
     return out
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, kind: Kind = WORDS, bucket_symbols: int = 3_000_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 13, kind: Kind = WORDS, bucket_symbols: int = 1_000_000) -> DataFrame:
     """(doc_id, text, n_words, n_removed, kept string) for every row of docs (doc_id, text).
 
     Every word goes that lies in `window` words in a row which also start in a document with a smaller id; windows are judged on the input. kept

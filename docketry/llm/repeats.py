@@ -18,10 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import find_words, hash_words, roll, stored
+from .common import find_words, hash_words, mix, roll, stored
 
 
 @dataclass(frozen=True)
@@ -197,7 +198,7 @@ def covered_windows(docs: DataFrame, kind: Kind, compare: Callable[[Bundle], lis
             many = np.repeat(first != last, np.diff(runs))
             if many.any():
                 i, v = _by_id(who[many], code[many])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), -1), pa.int64()), i, v, pa.nulls(len(i), pa.binary()), pa.nulls(len(i), pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([_aside(i), i, v, pa.nulls(len(i), pa.binary()), pa.nulls(len(i), pa.binary())], names=names)
             # one entry for each anchor, packed by bucket: the ids once, how many anchors each, their low bits
             code, who = code[runs[:-1]], first
             bucket = (code >> np.uint64(32)).astype(np.int64)
@@ -210,10 +211,13 @@ def covered_windows(docs: DataFrame, kind: Kind, compare: Callable[[Bundle], lis
 
     names = ["bucket", "id", "a", "b", "c"]
     schema = "bucket bigint, id bigint, a binary, b binary, c binary"
-    sent = stored(docs.mapInArrow(anchors, schema), "anchors")
+    sent = docs.mapInArrow(anchors, schema).repartition(buckets, "bucket").sortWithinPartitions("bucket")
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, (a, b, c) in _groups(batches):
+        for bucket, (ids, a, b, c) in _groups(batches):
+            if bucket < 0:
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(a, pa.binary())], names=["id", "codes"])
+                continue
             who = np.repeat(np.frombuffer(b"".join(a), np.int64), np.frombuffer(b"".join(b), np.uint32))
             low = np.frombuffer(b"".join(c), np.uint32)
             order = np.argsort(low, kind="stable")
@@ -224,11 +228,10 @@ def covered_windows(docs: DataFrame, kind: Kind, compare: Callable[[Bundle], lis
                 i, v = _by_id(who[many], low[many].astype(np.uint64) | np.uint64(bucket << 32))
                 yield pa.RecordBatch.from_arrays([i, v], names=["id", "codes"])
 
-    far = sent.where("bucket >= 0").select("bucket", "a", "b", "c").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(shared, "id bigint, codes binary")
-    near = sent.where("bucket < 0").select("id", F.col("a").alias("codes"))
-    hits = stored(far.unionByName(near), "hits").groupBy("id").agg(F.collect_list("codes").alias("codes"))
+    hits = stored(sent.mapInArrow(shared, "id bigint, codes binary").groupBy("id").agg(F.collect_list("codes").alias("codes")), "hits")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
         for chunk in _chunks(batches, kind):
             ids, starts, windows, anchors_, bodies, seen = [], [], [], [], [], {}
             known_i, known_v = [], []
@@ -260,17 +263,22 @@ def covered_windows(docs: DataFrame, kind: Kind, compare: Callable[[Bundle], lis
                 bucket = _bucket(anchor, buckets)
                 order = np.argsort(bucket, kind="stable")
                 runs = _runs(bucket[order])
-                body = [b"".join([bodies[j] for j in order[x:y].tolist()]) for x, y in zip(runs[:-1], runs[1:], strict=True)]
+                body = [pack(b"".join([bodies[j] for j in order[x:y].tolist()])) for x, y in zip(runs[:-1], runs[1:], strict=True)]
                 cols = [_binary(np.array(v, t)[order], runs) for v, t in ((ids, np.int64), (starts, np.int64), (windows, np.uint32), (anchors_, np.uint64))]
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[order][runs[:-1]], pa.int64()), pa.nulls(len(body), pa.int64()), *cols, pa.array(body, pa.binary())], names=sent_names)
 
     sent_names = ["bucket", "id", "a", "b", "c", "d", "e"]
     parts = docs.join(hits, "id").select("id", "text", "codes").mapInArrow(cut, "bucket bigint, id bigint, a binary, b binary, c binary, d binary, e binary")
-    parts = stored(parts, "stretches")
+    parts = parts.repartition(buckets, "bucket").sortWithinPartitions("bucket")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, columns in _groups(batches):
-            a, b, c, d, e = (b"".join(x) for x in columns)
+        unpack = zstandard.ZstdDecompressor().decompress
+        for bucket, columns in _groups(batches):
+            if bucket < 0:
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary())], names=["id", "covered"])
+                continue
+            a, b, c, d = (b"".join(x) for x in columns[1:5])
+            e = b"".join(map(unpack, columns[5]))
             ids, starts, windows, anchor = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64), np.frombuffer(c, np.uint32).astype(np.int64), np.frombuffer(d, np.uint64)
             ends = np.cumsum((windows - 1 + kind.window) * np.dtype(kind.dtype).itemsize)
             known: dict[tuple[int, bytes], int] = {}
@@ -307,9 +315,12 @@ def covered_windows(docs: DataFrame, kind: Kind, compare: Callable[[Bundle], lis
                             out_v.append(np.stack([lo, hi], 1) + starts[j])
             yield _cover_rows(np.concatenate(out_i), np.concatenate(out_v), ["id", "covered"], False)
 
-    far = parts.where("bucket >= 0").drop("id").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answer, "id bigint, covered binary")
-    near = parts.where("bucket < 0").select("id", F.col("a").alias("covered"))
-    return stored(far.unionByName(near), "covered").groupBy("id").agg(F.collect_list("covered").alias("covered"))
+    return stored(parts.mapInArrow(answer, "id bigint, covered binary").groupBy("id").agg(F.collect_list("covered").alias("covered")), "covered")
+
+
+def _aside(ids: pa.Array) -> pa.Array:
+    """Buckets, dealt by id, of rows that only have to reach the next stage."""
+    return pa.array(-1 - (mix(ids.to_numpy().astype(np.uint64)) % np.uint64(1 << 16)).astype(np.int64), pa.int64())
 
 
 def _cover_rows(ids: np.ndarray, spans: np.ndarray, names: list[str], mark: bool = True) -> pa.RecordBatch:
@@ -318,7 +329,7 @@ def _cover_rows(ids: np.ndarray, spans: np.ndarray, names: list[str], mark: bool
     at = _runs(ids)
     i, v = pa.array(ids[at[:-1]], pa.int64()), _binary(spans.reshape(-1), at * 2)
     n = len(i)
-    return pa.RecordBatch.from_arrays([pa.array(np.full(n, -1), pa.int64()), i, v, *(pa.nulls(n, pa.binary()) for _ in names[3:])] if mark else [i, v], names=names)
+    return pa.RecordBatch.from_arrays([_aside(i), i, v, *(pa.nulls(n, pa.binary()) for _ in names[3:])] if mark else [i, v], names=names)
 
 
 def mask(size: int, covered: list[bytes] | None) -> np.ndarray:

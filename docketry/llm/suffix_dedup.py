@@ -122,7 +122,7 @@ def smallest_holders(bundle: Bundle, window: int) -> list[np.ndarray]:
     return np.split(least, np.cumsum(bundle.windows)[:-1])
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, kind: Kind = BYTES, bucket_symbols: int = 16_000_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 50, kind: Kind = BYTES, bucket_symbols: int = 5_000_000) -> DataFrame:
     """(doc_id, text, n_bytes, n_removed, n_spans, kept binary) for every row of docs (doc_id, text).
 
     Every byte goes that lies in a string of `window` bytes which also starts in a document with a smaller id; strings are judged on the
