@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 #: A word is a run of code points that are not a space or one of \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
 find_words = re.compile(WORD).findall
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,11 +37,16 @@ def shared_dir(spark: SparkSession) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again, which cuts its lineage.
 
-    Executors that are lost later cost nothing: the rows are files.
+    Executors that are lost later cost nothing: the rows are files. The shuffle files of the job that writes them are given back as soon as it ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
