@@ -2,7 +2,7 @@
 
 Each document is its set of shingles (five words in a row). A run splits the sets again and again: at every node a shared hash picks
 about one token of each set, and sets that hold the same picked token stay together. Sets as similar as the threshold asks stay
-together with a fair chance, others part soon. Buckets that are still large are split further, small ones are compared by brute force. Runs repeat
+together with a fair chance, others part soon. Sets of buckets that are still large are split once more, small buckets are compared by brute force. Runs repeat
 until the chance of having missed a pair is under the wanted bound. Candidates are then verified exactly.
 """
 
@@ -23,6 +23,8 @@ from .components import components
 SKETCH = 128
 #: From so many leaders on a bucket finds them by parts of their sketches.
 MANY = 256
+#: Sketch bytes that two sets of a large bucket have to share in a row to stay together; at similarity 0.8 all of the 32 rows differ by a chance of 5e-8.
+BAND = 4
 _rng = np.random.default_rng(20_17)
 _FUNCTIONS = _rng.integers(1, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -51,27 +53,22 @@ def runs_for(recall: float, threshold: float, depth: int, spread: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(miss_chance(threshold, depth, spread)))
 
 
-def paths(tokens: np.ndarray, runs: int, depth: int, threshold: float, spread: float) -> tuple[list[int], list[int], list[int]]:
-    """The chosen paths of a set: hashes of those of half the depth, and of those of the full depth with the halves that they go on from.
+def paths(tokens: np.ndarray, runs: int, depth: int, threshold: float, spread: float) -> np.ndarray:
+    """Hashes of the chosen paths of a set.
 
     At each node a token is picked if its hash, which all sets share, is small enough for two sets at the threshold to share `spread`
     picks of it on average."""
     limit = np.uint64(min((1 << 64) - 1, int((1 << 64) * spread * (1 + threshold) / (2 * threshold) / max(1, len(tokens)))))
     heads = mix(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    origin = half = np.zeros(0, np.uint64)
     step = max(1, (1 << 18) // max(1, len(tokens)))
-    for level in range(1, depth + 1):
-        found_h, found_o = [heads[:0]], [origin[:0]]
+    for _ in range(depth):
+        found = [heads[:0]]
         for at in range(0, len(heads), step):
             some = heads[at : at + step]
             node, token = np.nonzero((tokens[None, :] ^ some[:, None]) * (some[:, None] | np.uint64(1)) < limit)
-            found_h.append(mix(some[node] * np.uint64(0xD6E8FEB86659FD93) + tokens[token]))
-            if len(origin):
-                found_o.append(origin[at + node])
-        heads, origin = np.concatenate(found_h), np.concatenate(found_o)
-        if level == depth // 2:
-            half = origin = heads
-    return np.unique(half).view(np.int64).tolist(), origin.view(np.int64).tolist(), heads.view(np.int64).tolist()
+            found.append(mix(some[node] * np.uint64(0xD6E8FEB86659FD93) + tokens[token]))
+        heads = np.concatenate(found)
+    return np.unique(heads)
 
 
 def sketch(tokens: np.ndarray) -> bytes:
@@ -216,7 +213,7 @@ def _verify(batches: Iterator[pa.RecordBatch], size: int, threshold: float) -> I
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(links, pa.int64())], names=["a", "b", "links"])
 
 
-def jaccard_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.9999, depth: int = 4, spread: float = 1.5, bucket_limit: int = 256, block: int = 768, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.9999, depth: int = 2, spread: float = 1.5, bucket_limit: int = 256, block: int = 768, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, class_id, copy_id, n_links) for every row of docs.
 
     copy_id is the smallest id with the same set of shingles, class_id the smallest id that links reach (of documents with
@@ -237,13 +234,13 @@ def jaccard_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, recal
                 for i, t in zip(b.column(0)[at : at + 512].to_pylist(), b.column(1)[at : at + 512].to_pylist(), strict=True):
                     s = shingles(t, size)
                     if len(s):
-                        rows.append((i, xxh3_128_digest(s.tobytes()), *paths(s, runs, depth, threshold, spread), sketch(s)))
+                        rows.append((i, xxh3_128_digest(s.tobytes()), paths(s, runs, depth, threshold, spread).view(np.int64), sketch(s)))
                     else:
-                        rows.append((i, None, [], [], [], None))
-                kinds = (pa.int64(), pa.binary(), *(pa.list_(pa.int64()),) * 3, pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["id", "set", "half", "origin", "full", "sketch"])
+                        rows.append((i, None, [], None))
+                kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["id", "set", "paths", "sketch"])
 
-    sets = stored(texts.mapInArrow(signs, "id bigint, set binary, half array<bigint>, origin array<bigint>, full array<bigint>, sketch binary"), "sets")
+    sets = stored(texts.mapInArrow(signs, "id bigint, set binary, paths array<bigint>, sketch binary"), "sets")
     copies = stored(sets.where("set is not null").groupBy("set").agg(F.min("id").alias("copy")), "copies")
     first = sets.join(copies.select("set", F.col("copy").alias("id")), ["set", "id"], "left_semi")
 
@@ -252,11 +249,13 @@ def jaccard_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, recal
         sizes = rows.groupBy("p").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("p", "n")
         return stored(rows.join(sizes, "p"), "buckets")
 
-    halves = shared(first.select("id", F.explode("half").alias("p")))
-    large = halves.where(F.col("n") > bucket_limit).select(F.col("p").alias("origin"), "id").distinct()
-    chains = first.join(large.select("id").distinct(), "id", "left_semi").select("id", F.explode(F.arrays_zip("origin", "full")).alias("x")).select("id", "x.origin", F.col("x.full").alias("p"))
-    fulls = shared(chains.join(large, ["origin", "id"], "left_semi").select("id", "p").distinct())
-    found = halves.where(F.col("n") <= bucket_limit).select(F.col("p").alias("bucket"), "id").unionByName(fulls.select(F.col("p").alias("bucket"), "id")).distinct()
+    buckets = shared(first.select("id", F.explode("paths").alias("p")))
+    # sets of large buckets are split again, on the tokens that have the smallest hashes, four of them at a time; once for each set, however
+    # many of its buckets are large
+    large = buckets.where(F.col("n") > bucket_limit).select("id").distinct()
+    again = F.transform(F.sequence(F.lit(0), F.lit(SKETCH // BAND - 1)), lambda k: F.xxhash64(k, F.substring(F.col("sketch"), k * BAND + 1, F.lit(BAND))))
+    bands = shared(first.join(large, "id", "left_semi").select("id", F.explode(again).alias("p")))
+    found = buckets.where(F.col("n") <= bucket_limit).select(F.col("p").alias("bucket"), "id").unionByName(bands.select(F.col("p").alias("bucket"), "id"))
     found = found.join(first.select("id", "sketch"), "id").select("bucket", "id", "sketch")
     found = found.repartition("bucket").sortWithinPartitions("bucket", "id")
     edges = found.mapInArrow(lambda b: _star_edges(b, threshold - 0.06, threshold - 0.35), "a bigint, b bigint")
