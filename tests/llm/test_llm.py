@@ -335,3 +335,41 @@ def test_mix_reaches_targets(spark):
         taken[x["pattern_"]] = taken.get(x["pattern_"], 0) + x["taken_"]
         target[x["pattern_"]] = x["target_"]
     assert all(abs(taken[p] - target[p]) <= 5 for p in taken)
+
+
+def test_pipeline_against_brute_force(spark):
+    """On the small tables every language is known, and items leak whole or not at all; so plain code can tell who stays."""
+    import corpus_pipeline
+
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    items = [" ".join(decontamination.tokens(r["text"])) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    sets = {k: frozenset(jaccard_join.shingles(r["text"]).tolist()) for k, r in docs.items()}
+    up = {k: k for k in docs}
+
+    def find(k):
+        while up[k] != k:
+            k = up[k]
+        return k
+
+    for a in docs:
+        for b in docs:
+            if a < b and sets[a] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                up[max(x, y)] = min(x, y)
+    stay = {k for k in docs if find(k) == k and not any(i in " ".join(decontamination.tokens(docs[k]["text"])) for i in items)}
+    rows = corpus_pipeline.run(spark, SF).collect()
+    assert {r["doc_id"] for r in rows} == stay and len(rows) == len(stay)
+    assert all(r["size"] == len(find_words(docs[r["doc_id"]]["text"])) for r in rows)
+    assert all(r["taken"] in (0, r["size"], 2 * r["size"]) for r in rows)
+
+
+def test_stages_keep_columns_and_take_odd_rows(spark, odd):
+    import corpus_pipeline
+
+    docs = odd.select("doc_id", "text", "lang", "source", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"))
+    for empty in (False, True):
+        d = docs.limit(0) if empty else docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            d = spark.createDataFrame(stage(spark, d, SF).collect(), docs.schema)
+            assert d.columns == docs.columns, name
+        assert corpus_pipeline.STAGES[-1][1](spark, d, SF).count() == d.count()
