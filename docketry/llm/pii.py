@@ -42,6 +42,7 @@ PATTERNS = {
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What a text must hold to be searched, all other patterns needing a digit, @, = or : somewhere: two cheap scans spare most texts the patterns.
 _HINTS = ("[0-9@=:]", rf"{_INITIALS}{_TITLE}\.? \p{{Lu}}")
+_ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 
 # Parts of invented names; a replacement is a given name and a surname made of a stem and an ending.
 _GIVEN = {
@@ -55,6 +56,8 @@ _GIVEN = {
 }
 _STEM = {"latin": "Ahl Berg Cast Dorn Elm Falk Gold Hart Jans Kess Lind Mont Nord Oster Pell Quist Rosen Sand Torr Vald".split(), "cyrillic": "Бел Волк Гор Дуб Зим Кор Лес Мор Нов Сав".split(), "greek": "Αγγελ Βασιλ Δημητρ Ηλι Καρ Λαμπρ Μαρκ Παππ Σταμ Φωτ".split()}
 _ENDING = {"latin": "a er holm ini man mark ner ova sen stein stad strom ton wald well".split(), "cyrillic": "енко ко ук юк чук".split(), "greek": "άκης όπουλος ίδης άτος έας ιάδης".split()}
+#: Between stem and ending of names that were drawn in vain.
+_SYLLABLE = {"latin": "ba de fi go hu ka le mi no pu ra se ti vo lu zo".split(), "cyrillic": "ба де жи го ку ла ме ни по ру са те ви хо зу ше".split(), "greek": "βα δε ζι γο κου λα με νι πο ρου σα τε φι χο θυ ξε".split()}
 
 
 def kind_of(m: Column) -> Column:
@@ -132,13 +135,22 @@ def _luhn(digits: Column) -> Column:
 
 def draw(kind: Column, canon: Column, key: str, attempt: Column) -> Column:
     """The canonical form of a replacement: same length and make-up; IP addresses have valid octets, card numbers the check digit that
-    keeps them as valid or invalid as the original, emails keep their top-level domain and share a domain where originals do, names keep gender and script."""
+    keeps them as valid or invalid as the original, emails keep their top-level domain and share a domain where originals do, names keep gender and script.
+
+    From the third attempt on (attempt 2) a format is taken to be too full, and what there is to draw from grows by a factor with each attempt: local parts of
+    emails and surnames get longer, secrets take any letters and digits; from attempt 4 on phone numbers and SSNs get more digits. A secret without
+    letters and digits takes them from the start."""
     what = F.concat(kind, F.lit("|"), canon, F.lit("|"), attempt.cast("string"))
     stream = _hex(key, what, F.length(canon) * 2 + 16)
+    more = _hex(key, F.concat(F.lit("more|"), what), F.lit(64))
+    longer = F.greatest(F.lit(0), (attempt - 1) * 2)
+    digits = F.when(attempt > 3, F.substring(F.translate(more, "abcdef", "012345"), F.lit(1), (attempt - 3) * 2)).otherwise(F.lit(""))
     local, host = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
     top = F.substring_index(host, ".", -1)
     site = F.substring(host, F.lit(1), F.length(host) - F.length(top) - 1)
-    email = F.concat(_redraw(local, stream, digits=True), F.lit("@"), _redraw(site, _hex(key, F.concat(F.lit("site|"), host), F.length(host) * 2), digits=True), F.lit("."), top)
+    local = _redraw(local, stream, digits=True)
+    local = F.when(attempt > 1, F.concat(F.substring(local, F.lit(1), 64 - longer), F.substring(more, F.lit(1), longer))).otherwise(local)
+    email = F.concat(local, F.lit("@"), _redraw(site, _hex(key, F.concat(F.lit("site|"), host), F.length(host) * 2), digits=True), F.lit("."), top)
     octets = F.array_join(F.transform(F.split(canon, r"\."), lambda o, i: (_byte(stream, i) % 254 + 1).cast("string")), ".")
     card = _redraw(F.substring(canon, F.lit(1), F.length(canon) - 1), stream, 1, digits=True)
     check = (_luhn(canon) - _luhn(F.concat(card, F.lit("0"))) + 10) % 10
@@ -148,7 +160,9 @@ def draw(kind: Column, canon: Column, key: str, attempt: Column) -> Column:
     number = lambda k: F.conv(F.substring(stream, k * 6 + 1, 6), 16, 10).cast("long")
     given = surname = second = None
     for s in _STEM:
-        made = F.concat(_pick(_STEM[s], number(1)), _pick(_ENDING[s], number(2)))
+        syllables = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), longer)), lambda k: _pick(_SYLLABLE[s], _byte(more, k)))  # noqa: B023
+        inside = F.when(attempt > 1, F.array_join(syllables, "")).otherwise(F.lit(""))
+        made = F.concat(_pick(_STEM[s], number(1)), inside, _pick(_ENDING[s], number(2)))
         again = F.concat(_pick(_STEM[s], number(3)), _pick(_ENDING[s], number(4)))
         surname = (F if surname is None else surname).when(script == s, made)
         second = (F if second is None else second).when(script == s, again)
@@ -156,23 +170,27 @@ def draw(kind: Column, canon: Column, key: str, attempt: Column) -> Column:
             given = (F if given is None else given).when((script == s) & (gender == g), _pick(_GIVEN.get((s, g)) or _GIVEN[s, "m"], number(0)))
     surname = F.when(attempt > 0, F.concat(surname, F.lit("-"), second)).otherwise(surname)
     name = F.concat(gender, F.lit(":"), F.lower(F.when(plain.contains(" "), F.concat(given, F.lit(" "), surname)).otherwise(surname)))
+    wide = F.array_join(F.transform(F.split(canon, ""), lambda c, i: F.substring(F.lit(_ALNUM), _byte(stream, i) % len(_ALNUM) + 1, F.lit(1))), "")
     return (
         F.when(kind == "EMAIL", email).when(kind == "IPV4", octets).when(kind == "CARD", F.concat(card, check.cast("string"))).when(kind == "PERSON", name)
-        .when(kind == "PHONE", _redraw(canon, stream, F.when(canon.startswith("+"), F.lit(2)).otherwise(F.lit(0)), digits=True))
-        .when(kind == "IBAN", _redraw(canon, stream, 2, digits=True)).when(kind == "SSN", _redraw(canon, stream, digits=True))
+        .when(kind == "PHONE", F.concat(_redraw(canon, stream, F.when(canon.startswith("+"), F.lit(2)).otherwise(F.lit(0)), digits=True), digits))
+        .when(kind == "IBAN", _redraw(canon, stream, 2, digits=True)).when(kind == "SSN", F.concat(_redraw(canon, stream, digits=True), digits))
+        .when((kind == "SECRET") & ((attempt > 1) | ~canon.rlike(r"[\p{L}0-9]")), wide)
         .otherwise(_redraw(canon, stream))
     )
 
 
 def dress(m: Column, kind: Column, replacement: Column) -> Column:
-    """A replacement in the format of a match: its separators, its capitals, its title."""
+    """A replacement in the format of a match: its separators, its capitals, its title. Digits that it has more stand at the end."""
     # the k-th letter or digit of the match becomes the k-th of the replacement
     body = F.regexp_replace(replacement, r"[^\p{L}\p{N}]", "")
+    held = F.length(F.regexp_replace(m, r"[^\p{L}\p{N}]", ""))
     filled = F.array_join(F.transform(F.split(m, ""), lambda c, i: F.when(c.rlike(r"[\p{L}\p{N}]"), F.substring(body, F.length(F.regexp_replace(F.substring(m, F.lit(1), i), r"[^\p{L}\p{N}]", "")) + 1, F.lit(1))).otherwise(c)), "")
     name = F.concat(F.regexp_extract(m, r"^[^ ]+ ", 0), F.array_join(F.transform(F.split(F.substring(replacement, F.lit(3), F.length(replacement)), "(?<=[ -])"), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w)))), ""))
     return (
         F.when(kind == "PERSON", name).when(kind == "SECRET", F.concat(F.regexp_extract(m, f"^{_KEYWORD}", 0), replacement))
-        .when(kind.isin("CARD", "SSN", "PHONE", "IBAN"), filled)
+        .when(kind.isin("CARD", "IBAN"), filled)
+        .when(kind.isin("SSN", "PHONE"), F.concat(filled, F.substring(body, held + 1, F.length(body))))
         .when(kind.isin("MAC", "IPV6"), F.when(m.rlike("[A-F]"), F.upper(F.when(m.contains("-"), F.regexp_replace(replacement, ":", "-")).otherwise(replacement))).otherwise(F.when(m.contains("-"), F.regexp_replace(replacement, ":", "-")).otherwise(replacement)))
         .otherwise(replacement)
     )
@@ -182,7 +200,8 @@ def assign(entities: DataFrame, key: str, most_rounds: int = 12) -> DataFrame:
     """(kind, canon, replacement) for distinct entities (kind, canon): no two of a kind share a replacement, and none is an entity.
 
     In each round all that are left draw; of those that draw the same the smallest wins, and who draws an entity or what was given
-    before draws again. Few are left after the first round, so the later ones are small."""
+    before draws again. Few are left after the first round, so the later ones are small. Where a format is so full that many are left, draw() makes it
+    wider with each attempt. IPv4 addresses alone can't be wider; they fail when a large share of all 254**4 stand in the corpus."""
     entities = stored(entities.select("kind", "canon").distinct(), "entities")
     left, given = entities.withColumn("attempt", F.lit(0)), None
     for k in range(most_rounds):

@@ -202,6 +202,21 @@ def test_collisions_are_redrawn(spark):
     assert not {r["replacement"] for r in got} & {r["canon"] for r in got}
 
 
+def test_full_formats_are_left(spark):
+    """Formats with fewer values than entities, and values without letters and digits."""
+    rows = [("EMAIL", f"{c}@x.com") for c in "abcdefghijklmnopqrstuvwxyz0123456789"] + [("PHONE", f"+1{k:04}") for k in range(7000)] + [("SECRET", c * 8) for c in "*-#."] + [("SECRET", f"{k}-------") for k in range(10)]
+    rows += [("PERSON", f"{g}:{a}{b}{c}ов") for g in "fm" for a in "абвгдежзик" for b in "лмнопрстуф" for c in "абвгдежзиклмнопрстуфхцчшщ"]
+    got = pii.assign(spark.createDataFrame(rows, "kind string, canon string"), "k").collect()
+    assert {(r["kind"], r["canon"]) for r in got} == set(rows)
+    new = {(r["kind"], r["replacement"]) for r in got}
+    assert len(new) == len(rows) and not new & set(rows)
+    texts = ["Password: ********", "token: --------", "Call +1 12 34", "Call +1 12 35"]
+    out = pii.replace_entities(frame(spark, texts)).collect()
+    assert all(r["n_entities"] == 1 and r["text"] != texts[r["doc_id"]] for r in out)
+    m = spark.createDataFrame([("+1 12 34",)], "m string")
+    assert m.select(pii.dress(F.col("m"), F.lit("PHONE"), F.lit("+1987654"))).first()[0] == "+1 98 7654"
+
+
 # 5
 def test_jaccard_against_brute_force(spark):
     r = random.Random(5)
