@@ -91,49 +91,57 @@ def route(patterns: dict[tuple, int], quotas: dict[str | None, int], most: int =
     return out
 
 
-def select_words(docs: DataFrame, wanted: DataFrame, seed: int, bins: int = 4096, fills: int = 3) -> DataFrame:
-    """docs (pattern_, size_, draw_) with taken_: whole copies of documents that come near wanted (pattern_, total_, words_).
-
-    Every document gets the whole copies that all can have. One more copy goes to documents in the order of their draw (a seeded hash)
-    until the rest is used up. Where the order is cut is found from sums by bins of the draw, and inside the one bin of the cut from sums
-    by finer bins, so that only a 1/bins**2 part of a pattern is ever sorted. What the cut leaves open is filled, largest first, by
-    documents that still fit.
-    """
-    plan = wanted.select("pattern_", "words_", F.when(F.col("total_") > 0, F.floor(F.col("words_") / F.col("total_"))).otherwise(F.lit(0)).alias("copies_"), (F.col("words_") - F.when(F.col("total_") > 0, F.floor(F.col("words_") / F.col("total_"))).otherwise(F.lit(0)) * F.col("total_")).alias("rest_"))
+def _cut(free: DataFrame, bins: int) -> DataFrame:
+    """(pattern_, end_, run_) for free (pattern_, size_, draw_, gap_): the last draw up to which all of a pattern's documents fit its gap, and their words."""
     by = Window.partitionBy("pattern_").orderBy("bin_").rowsBetween(Window.unboundedPreceding, -1)
-    where = plan.select("pattern_", F.col("rest_").alias("open_"), F.lit(0).cast("long").alias("low_"), F.lit(1 << 62).cast("long").alias("width_"))
+    inside = free.withColumns({"open_": F.col("gap_"), "low_": F.lit(0).cast("long"), "width_": F.lit(1 << 62).cast("long")})
+    whole = where = None
     for _ in range(2):
-        inside = docs.join(F.broadcast(where), "pattern_").where((F.col("draw_") >= F.col("low_")) & (F.col("draw_") < F.col("low_") + F.col("width_")))
         step = F.greatest(F.lit(1), F.expr(f"width_ div {bins}"))
         sums = inside.groupBy("pattern_", "open_", "low_", "width_", F.expr("(draw_ - low_) div " + f"greatest(1, width_ div {bins})").alias("bin_")).agg(F.sum("size_").alias("words_"))
+        sums = stored(sums, "bins")
+        if whole is None:
+            whole = sums.groupBy("pattern_", "open_").agg(F.sum("words_").alias("run_")).where("run_ <= open_").select("pattern_", F.lit(1 << 62).cast("long").alias("end_"), "run_")
         sums = sums.withColumn("before_", F.coalesce(F.sum("words_").over(by), F.lit(0)))
         cut = sums.where((F.col("before_") <= F.col("open_")) & (F.col("before_") + F.col("words_") > F.col("open_")))
-        # patterns are few, so this table is small; a pattern without a cut has nothing to take
-        where = cut.select("pattern_", (F.col("open_") - F.col("before_")).alias("open_"), (F.col("low_") + F.col("bin_") * step).alias("low_"), step.alias("width_"))
-        where = stored(where, "cut")
-    last = docs.join(F.broadcast(where), "pattern_").where((F.col("draw_") >= F.col("low_")) & (F.col("draw_") < F.col("low_") + F.col("width_")))
+        # patterns are few, so this table is small
+        where = stored(cut.select("pattern_", (F.col("open_") - F.col("before_")).alias("open_"), (F.col("low_") + F.col("bin_") * step).alias("low_"), step.alias("width_")), "cut")
+        inside = free.join(F.broadcast(where), "pattern_").where((F.col("draw_") >= F.col("low_")) & (F.col("draw_") < F.col("low_") + F.col("width_")))
     run = Window.partitionBy("pattern_").orderBy("draw_").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    last = last.withColumn("run_", F.sum("size_").over(run)).where("run_ <= open_")
-    ends = last.groupBy("pattern_").agg(F.max("draw_").alias("end_"), F.max("run_").alias("run_"))
-    ends = stored(where.join(ends, "pattern_", "left").select("pattern_", F.coalesce("end_", F.col("low_") - 1).alias("end_"), (F.col("open_") - F.coalesce("run_", F.lit(0))).alias("gap_")), "ends")
+    last = inside.withColumn("run_", F.sum("size_").over(run)).where("run_ <= open_").groupBy("pattern_").agg(F.max("draw_").alias("end_"), F.max("run_").alias("last_"))
+    gaps = free.select("pattern_", "gap_").distinct()
+    cut = where.join(last, "pattern_", "left").join(gaps, "pattern_").select("pattern_", F.coalesce("end_", F.col("low_") - 1).alias("end_"), (F.col("gap_") - F.col("open_") + F.coalesce("last_", F.lit(0))).alias("run_"))
+    return stored(whole.unionByName(cut), "ends")
+
+
+def select_words(docs: DataFrame, wanted: DataFrame, seed: int, bins: int = 4096) -> DataFrame:
+    """docs (pattern_, size_, draw_) with taken_: whole copies of documents that come near wanted (pattern_, total_, words_).
+
+    Every document gets the whole copies that all can have. One more copy goes to documents in the order of their draw (a seeded hash)
+    until the rest is used up. Where the order is cut is found from sums by bins of the draw, and inside the one bin of the cut from sums
+    by finer bins, so that only a 1/bins**2 part of a pattern is ever sorted. Then the largest document that still fits is taken. What is left open goes
+    to those that are no larger than it, by the same cut, until none fits; two rounds halve what is open, so rounds are few.
+    """
+    plan = wanted.select("pattern_", "words_", F.when(F.col("total_") > 0, F.floor(F.col("words_") / F.col("total_"))).otherwise(F.lit(0)).alias("copies_"), (F.col("words_") - F.when(F.col("total_") > 0, F.floor(F.col("words_") / F.col("total_"))).otherwise(F.lit(0)) * F.col("total_")).alias("rest_"))
     # a text that stands in several rows has one draw; its rows are taken together or not at all
-    extra = []
-    gaps = ends
-    for _ in range(fills):
-        taken = F.col("draw_") <= F.col("end_")
-        for e in extra:
-            taken = taken | F.coalesce(F.col(e) == F.col("draw_"), F.lit(False))
-        free = docs.join(F.broadcast(gaps), "pattern_").where(~taken & (F.col("size_") > 0) & (F.col("size_") <= F.col("gap_")))
-        pick = free.groupBy("pattern_", "draw_").agg(F.sum("size_").alias("size_"), F.max("gap_").alias("gap_")).where("size_ <= gap_").groupBy("pattern_").agg(F.max_by("draw_", F.struct("size_", "draw_")).alias("pick_"), F.max("size_").alias("got_"))
-        name = f"fill{len(extra)}_"
-        gaps = stored(gaps.join(pick, "pattern_", "left").withColumn(name, F.col("pick_")).withColumn("gap_", F.col("gap_") - F.coalesce("got_", F.lit(0))).drop("pick_", "got_"), "fill")
-        extra.append(name)
-    final = plan.select("pattern_", "copies_").join(gaps, "pattern_", "left")
-    more = F.coalesce(F.col("draw_") <= F.col("end_"), F.lit(False))
-    for e in extra:
-        more = more | F.coalesce(F.col(e) == F.col("draw_"), F.lit(False))
-    out = docs.join(F.broadcast(final), "pattern_", "left")
-    return out.withColumn("taken_", (F.col("size_") * (F.coalesce("copies_", F.lit(0)) + more.cast("long"))).cast("long"))
+    several = docs.groupBy("pattern_", "draw_").agg(F.sum("size_").alias("unit_"), F.count("*").alias("n_")).where("n_ > 1").drop("n_")
+    units = docs.join(stored(several, "several"), ["pattern_", "draw_"], "left").withColumn("unit_", F.coalesce("unit_", "size_"))
+    light = stored(units.where("size_ > 0").select("pattern_", "draw_", "size_", "unit_"), "units")
+    none = F.array().cast("array<struct<gap_:bigint,end_:bigint,pick_:bigint>>")
+    gaps = stored(plan.select("pattern_", F.col("rest_").cast("long").alias("gap_"), none.alias("rounds_")), "gaps")
+    taken = F.exists("rounds_", lambda r: ((F.col("unit_") <= r["gap_"]) & (F.col("draw_") <= r["end_"])) | F.coalesce(F.col("draw_") == r["pick_"], F.lit(False)))
+    while True:
+        free = light.join(F.broadcast(gaps), "pattern_").where((F.col("unit_") <= F.col("gap_")) & ~taken)
+        ends = _cut(free.select("pattern_", "size_", "draw_", "gap_"), bins)
+        if ends.isEmpty():
+            break
+        left = free.join(F.broadcast(ends), "pattern_").where((F.col("draw_") > F.col("end_")) & (F.col("unit_") <= F.col("gap_") - F.col("run_")))
+        pick = left.groupBy("pattern_").agg(F.max(F.struct("unit_", "draw_")).alias("pick_"))
+        gaps = gaps.join(F.broadcast(ends), "pattern_", "left").join(pick, "pattern_", "left")
+        more = F.concat("rounds_", F.array(F.struct("gap_", "end_", F.col("pick_.draw_").alias("pick_"))))
+        gaps = stored(gaps.select("pattern_", (F.col("gap_") - F.coalesce("run_", F.lit(0)) - F.coalesce("pick_.unit_", F.lit(0))).alias("gap_"), F.when(F.col("end_").isNotNull(), more).otherwise(F.col("rounds_")).alias("rounds_")), "gaps")
+    out = units.join(F.broadcast(plan.select("pattern_", "copies_").join(gaps.select("pattern_", "rounds_"), "pattern_")), "pattern_", "left")
+    return out.withColumn("taken_", (F.col("size_") * (F.coalesce("copies_", F.lit(0)) + F.coalesce(taken, F.lit(False)).cast("long"))).cast("long"))
 
 
 def mix(docs: DataFrame, size: Column, sources: Column, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, seed: int = 11, most_patterns: int = 20_000) -> DataFrame:

@@ -352,6 +352,16 @@ def test_mix_reaches_targets(spark):
     assert all(abs(taken[p] - target[p]) <= 5 for p in taken)
 
 
+@pytest.mark.parametrize("at", [0, 50])
+def test_one_long_document_leaves_no_gap(spark, at):
+    """A document over the gap, drawn first or in mid-order, doesn't keep shorter ones out; rows of one draw go together."""
+    rows = [("p", 60_000 if k == at else 500, k << 54) for k in range(101)] + [("q", 30, 5), ("q", 30, 5), ("q", 20, 9), ("q", 20, 11)]
+    docs = spark.createDataFrame(rows, "pattern_ string, size_ long, draw_ long")
+    wanted = spark.createDataFrame([("p", 110_000, 165_000), ("q", 100, 150)], "pattern_ string, total_ long, words_ long")
+    got = {r["pattern_"]: r["n"] for r in mixing.select_words(docs, wanted, 1).groupBy("pattern_").agg(F.sum("taken_").alias("n")).collect()}
+    assert got == {"p": 160_000, "q": 140}
+
+
 def test_pipeline_against_brute_force(spark):
     """On the small tables every language is known, and items leak whole or not at all; so plain code can tell who stays."""
     import corpus_pipeline
