@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import decontamination, jaccard_join, language_id, mixing, pii
+from docketry.llm import decontamination, jaccard_join, language_id, mixing, pii, repeats
 from docketry.llm.common import shared_dir, table, word_count
 
 
@@ -21,9 +21,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group that links of Jaccard similarity 0.8 and more connect."""
-    groups = jaccard_join.jaccard_groups(docs).where("doc_id = class_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_semi").select(*docs.columns)
+    """The document with the smallest id of each group that links of Jaccard similarity 0.8 and more connect. Rows with a null id are documents
+    of their own, after all others."""
+    rows = repeats.keyed(docs)
+    groups = jaccard_join.jaccard_groups(rows.withColumn("doc_id", F.col("__key"))).where("doc_id = class_id").select(F.col("doc_id").alias("__key")).distinct()
+    return rows.join(groups, "__key", "left_semi").select(*docs.columns)
 
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from .common import find_words, table, with_columns
-from .repeats import WORDS, Bundle, Kind, covered_windows, mask
+from .repeats import WORDS, Bundle, Kind, covered_windows, keyed, mask
 
 
 class SuffixAutomaton:
@@ -136,12 +136,13 @@ def remove_repeats(docs: DataFrame, window: int = 13, kind: Kind = WORDS, bucket
 
     Every word goes that lies in `window` words in a row which also start in a document with a smaller id; windows are judged on the input. kept
     has the other words, joined by one space. Null texts have no words; texts under `window` words stay whole; of equal texts the one with the smallest
-    id stays. Rows that share an id are one document. Words are compared by 64-bit hashes. Other columns are not read.
+    id stays. Rows that share an id are one document. Words are compared by 64-bit hashes. Other columns are not read. Rows with a null doc_id are documents of
+    their own, after all others.
     """
     kind = Kind(kind.symbols, kind.dtype, window, min(kind.gram, window), kind.piece, kind.chunk)
-    docs = docs.select(F.col("doc_id"), F.col("text"))
-    spans = covered_windows(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), kind, lambda b: smallest_holders(b, window), bucket_symbols)
-    rows = docs.join(spans.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    docs = keyed(docs.select(F.col("doc_id"), F.col("text")))
+    spans = covered_windows(docs.select(F.col("__key").alias("id"), "text"), kind, lambda b: smallest_holders(b, window), bucket_symbols)
+    rows = docs.join(spans.withColumnRenamed("id", "__key"), "__key", "left").drop("__key")
 
     def work(columns):
         out = [[], [], []]

@@ -162,6 +162,27 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[list]
         yield key, held
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with __key (long): doc_id, and for rows whose doc_id is null a number of their own after all ids.
+
+    Which of several such rows comes first is open; they are stored, so that it stays as it is."""
+    key = F.col("doc_id").cast("long")
+    seen = docs.agg(F.count_if(key.isNull()).alias("n"), F.max(key).alias("top")).first()
+    if not seen["n"]:
+        return docs.withColumn("__key", key)
+    first = 0 if seen["top"] is None else seen["top"] + 1
+    if first + seen["n"] >= 1 << 63:
+        raise ValueError("no numbers are left after the ids for rows without an id")
+    lost = stored(docs.where(key.isNull()).withColumn("__key", F.monotonically_increasing_id()), "unnamed")
+    part, starts = F.shiftright("__key", 33), []
+    for r in sorted(lost.groupBy(part.alias("part")).count().collect()):
+        starts.append((r["part"], first))
+        first += r["count"]
+    starts = F.broadcast(docs.sparkSession.createDataFrame(starts, "__part long, __first long"))
+    lost = lost.withColumn("__part", part).join(starts, "__part").withColumn("__key", F.col("__first") + F.col("__key").bitwiseAND((1 << 33) - 1))
+    return docs.where(key.isNotNull()).withColumn("__key", key).unionByName(lost.drop("__part", "__first"))
+
+
 @dataclass
 class Bundle:
     """The distinct stretches of a bucket that hold an anchor in common with another one."""

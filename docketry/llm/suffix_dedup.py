@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, with_columns
-from .repeats import BYTES, Bundle, Kind, covered_windows, mask
+from .repeats import BYTES, Bundle, Kind, covered_windows, keyed, mask
 
 SHALLOW = 16
 
@@ -127,12 +127,13 @@ def remove_repeats(docs: DataFrame, window: int = 50, kind: Kind = BYTES, bucket
 
     Every byte goes that lies in a string of `window` bytes which also starts in a document with a smaller id; strings are judged on the
     input. Null texts count as empty; texts under `window` bytes stay whole; of equal texts the one with the smallest id stays. Rows that share an id are one document as to
-    others and keep what they repeat among themselves. kept may end inside a character. Other columns are not read.
+    others and keep what they repeat among themselves. kept may end inside a character. Other columns are not read. Rows with a null doc_id are documents of
+    their own, after all others.
     """
     kind = Kind(kind.symbols, kind.dtype, window, min(kind.gram, window), kind.piece, kind.chunk)
-    docs = docs.select(F.col("doc_id"), F.col("text"))
-    spans = covered_windows(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), kind, lambda b: smallest_holders(b, window), bucket_symbols)
-    rows = docs.join(spans.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    docs = keyed(docs.select(F.col("doc_id"), F.col("text")))
+    spans = covered_windows(docs.select(F.col("__key").alias("id"), "text"), kind, lambda b: smallest_holders(b, window), bucket_symbols)
+    rows = docs.join(spans.withColumnRenamed("id", "__key"), "__key", "left").drop("__key")
 
     def work(columns):
         out = [[], [], [], []]

@@ -133,6 +133,18 @@ def test_byte_repeats_against_brute_force(spark, chunk):
         assert got[k]["n_spans"] == int((np.diff(np.concatenate([[0], m.astype(int)])) == 1).sum())
 
 
+def test_rows_without_id(spark):
+    """Null ids come after all others; a copy among them goes, and what is unique stays, in the pipeline too."""
+    rows = [(7, words(60, 1)), (None, words(60, 1)), (None, words(60, 2)), (None, words(60, 2)), (None, words(60, 3))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for op in (suffix_dedup, automaton_dedup):
+        got = op.remove_repeats(docs).select("doc_id", "text", (F.col("n_removed") > 0).alias("gone")).collect()
+        assert sorted((r["text"], r["gone"]) for r in got) == sorted([(words(60, 1), False), (words(60, 1), True), (words(60, 2), False), (words(60, 2), True), (words(60, 3), False)])
+        assert [r["gone"] for r in got if r["doc_id"] == 7] == [False]
+    kept = __import__("corpus_pipeline").one_of_near_copies(spark, docs, SF).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(7, words(60, 1)), (0, words(60, 2)), (0, words(60, 3))])
+
+
 def test_digest_queries_hold_the_same(spark):
     for r in QUERIES["op2_suffix_array_dedup"](spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), "doc_id").where("n_removed = 0").limit(20).collect():
         assert r["kept_sha256"] == hashlib.sha256(r["text"].encode()).hexdigest()
