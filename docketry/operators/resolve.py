@@ -55,18 +55,18 @@ def link_unique(left: DataFrame, right: DataFrame, keys: list[str], right_id: st
     return pairs.withColumn("_n", F.count("*").over(Window.partitionBy(right_id))).where("_n = 1").drop("_n")
 
 
-def parent_chain(rows: DataFrame, key: str, parent: str, value: str, most: int = 10) -> DataFrame:
+def parent_chain(rows: DataFrame, key: str, parent: str, value: str, most: int = 10, salts: int = 64) -> DataFrame:
     """(key, depth, root, value, failed): the steps from each row up to the row without a parent, and the first value that is not null on the way.
 
-    A chain that is longer than `most`, or runs in a circle, has failed and no root. One self-join a step; those that have arrived carry on unjoined."""
-    up = rows.select(F.col(key).alias("_k"), F.col(parent).alias("_p"), F.col(value).alias("_v"))
-    open_ = rows.select(key, F.col(key).alias("root"), F.col(parent).alias("_at"), F.col(value).alias(value), F.lit(0).alias("depth"))
-    done = None
+    A chain that is longer than `most`, or runs in a circle, has failed and no root. One chain of most + 1 joins that all rows pass; those that have arrived meet nothing, and
+    are dealt over `salts` parts so that they make no large task."""
+    up = rows.select(F.col(key).alias("_k"), F.col(parent).alias("_p"), F.col(value).alias("_v"), F.lit(0).alias("_s"))
+    at = rows.select(key, F.col(key).alias("root"), F.col(parent).alias("_at"), F.col(value).alias(value), F.lit(0).alias("depth"))
     for _ in range(most + 1):
-        ended = open_.where("_at IS NULL").select(key, "depth", "root", value, F.lit(False).alias("failed"))
-        done = ended if done is None else done.unionByName(ended)
-        step = open_.where("_at IS NOT NULL").join(up, F.col("_at") == F.col("_k"), "left")
+        on = at.withColumn("_salt", F.when(F.col("_at").isNull(), F.pmod(F.xxhash64(key), F.lit(salts)).cast("int")).otherwise(F.lit(0)))
+        step = on.join(up, (F.col("_at") == F.col("_k")) & (F.col("_salt") == F.col("_s")), "left")
+        going = F.col("_at").isNotNull()
         # a parent that isn't stored ends the chain at its key
-        open_ = step.select(key, F.col("_at").alias("root"), F.col("_p").alias("_at"), F.coalesce(value, "_v").alias(value), (F.col("depth") + 1).alias("depth"))
-    left = open_.select(key, F.lit(None).cast("int").alias("depth"), F.lit(None).cast(rows.schema[key].dataType).alias("root"), value, F.lit(True).alias("failed"))
-    return done.unionByName(left)
+        at = step.select(key, F.coalesce("_at", "root").alias("root"), F.col("_p").alias("_at"), F.coalesce(value, F.when(going, F.col("_v"))).alias(value), (F.col("depth") + going.cast("int")).alias("depth"))
+    failed = F.col("depth") > most
+    return at.select(key, F.when(~failed, F.col("depth")).alias("depth"), F.when(~failed, F.col("root")).alias("root"), value, failed.alias("failed"))

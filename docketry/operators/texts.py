@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from ..functions.text import collapse, html_fragments, strip_nul, strip_record_noise
+from ..functions.keys import name_key
+from ..functions.text import collapse, html_fragments, strip_nul, strip_record_noise, xml_text
 
 FORMATS = {"Formatted Text": "html", "Formatted XML": "xml", "PDF": "pdf"}
 
@@ -23,8 +25,8 @@ def plain_text(c: Column) -> Column:
 
 
 def bill_xml_text(c: Column) -> Column:
-    """The text under <legis-body>. DTDs and entities of other files are not read: the part is cut out as text."""
-    return F.trim(collapse(F.regexp_replace(F.regexp_extract(c, r"(?s)<legis-body\b[^>]*>(.*?)</legis-body>", 1), r"<[^>]*>", " ")))
+    """The text under all <legis-body> elements. DTDs and entities of other files are not read: the parts are cut out as text."""
+    return xml_text(c, "legis-body")
 
 
 def record_text(c: Column) -> Column:
@@ -46,31 +48,52 @@ def extract_record(content: Column, fmt: Column) -> Column:
     )
 
 
+def _with_fields(rows: DataFrame, fields: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType([*rows.schema.fields, *(T.StructField(n, t) for n, t in fields.items())])
+
+
 def extract_with(rows: DataFrame, content: str, parse: Callable[[bytes], str], out: str = "text") -> DataFrame:
-    """rows with the text that parse (a PDF reader, say) finds in binary content; null where it fails or content is null."""
+    """rows with the text that parse (a PDF reader, say) finds in binary content, and {out}_error: why there is none (null where nothing failed).
+
+    A document that can't be read fails alone; null content gives a null text and no error. Give the kind before the colon of an error to errors.error_class."""
     names = rows.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = []
+            texts, errors = [], []
             for x in b.column(names.index(content)).to_pylist():
+                text = error = None
                 try:
-                    texts.append(None if x is None else parse(x))
-                except Exception:  # noqa: BLE001  a document that can't be read must not end the job
-                    texts.append(None)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*names, out])
+                    text = None if x is None else parse(x)
+                except Exception as e:  # noqa: BLE001  a document that can't be read must not end the job
+                    error = failure("parse", e)
+                texts.append(text)
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string()), pa.array(errors, pa.string())], names=[*names, out, f"{out}_error"])
+
+    return rows.mapInArrow(work, _with_fields(rows, {out: T.StringType(), f"{out}_error": T.StringType()}))
+
+
+def failure(kind: str, e: Exception) -> str:
+    """"kind: reason" of an exception; what timed out or lost its connection is of that kind."""
+    kind = "timeout" if isinstance(e, TimeoutError) else "connection" if isinstance(e, ConnectionError) else "io" if isinstance(e, OSError) else kind
+    return f"{kind}: {type(e).__name__} {e}".strip()
+
 
-    from pyspark.sql import types as T
+def failed_rows(rows: DataFrame, key: str, error: str) -> DataFrame:
+    """(key, class, reason) of the rows that failed: what to try again and what not."""
+    from ..functions.errors import error_class
 
-    return rows.mapInArrow(work, T.StructType([*rows.schema.fields, T.StructField(out, T.StringType())]))
+    kind = F.substring_index(error, ":", 1)
+    return rows.where(F.col(error).isNotNull()).select(key, error_class(kind).alias("class"), F.col(error).alias("reason"))
 
 
 def chunks(text: Column, size: int) -> Column:
-    """Pieces of `size` characters, each trimmed, blank ones left out; null for a null text."""
+    """Pieces of `size` characters, each trimmed, blank ones left out; null for a null text. One pass over the text, whatever its length."""
     if size <= 0:
         raise ValueError("chunks need a positive size")
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text)), F.lit(size))
-    return F.filter(F.transform(starts, lambda i: F.trim(F.substring(text, i, F.lit(size)))), lambda c: c != "")
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    return F.filter(F.transform(pieces, lambda p: F.trim(p)), lambda c: c != "")
 
 
 def chunks_of_fragments(fragments: Column, size: int) -> Column:
@@ -82,103 +105,91 @@ class ContextTooLong(Exception):
     """An embedder raises it for a text over its context; it is passed on instead of giving nulls."""
 
 
-def embed(rows: DataFrame, content: str, model: Callable[[list[str]], list[list[float]]] | None, dims: int, batch: int = 50, out: str = "embedding") -> DataFrame:
-    """rows with a vector for each text: model is called with up to `batch` texts, of whatever documents they are. Blank texts get null, a failing batch
-    gets nulls for all its texts, and so do vectors of other than dims numbers. Without a model all are null."""
+def embed(rows: DataFrame, content: str, model: Callable[[list[str]], list[list[float]]] | None, dims: int, batch: int = 50, out: str = "embedding", error: str | None = None) -> DataFrame:
+    """rows with a vector for each text: model is called with `batch` texts, of whatever documents they are, and with fewer only at the end of a
+    partition. Blank texts get null, a failing batch gets nulls for all its texts, and so do vectors of other than dims numbers; with `error` a column of that name says why.
+    Without a model all are null."""
     if model is None:
-        return rows.withColumn(out, F.lit(None).cast("array<float>"))
+        out_rows = rows.withColumn(out, F.lit(None).cast("array<float>"))
+        return out_rows if error is None else out_rows.withColumn(error, F.lit(None).cast("string"))
     names = rows.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list] = []  # [rows, vectors, reasons, texts without an answer]
+        waiting: list[tuple[list, int, str]] = []
+
+        def call(some: list[tuple[list, int, str]]) -> None:
+            reason, made = None, [None] * len(some)
+            try:
+                made = model([t for _, _, t in some])
+            except ContextTooLong:
+                raise
+            except Exception as e:  # noqa: BLE001
+                reason = failure("embedding", e)
+            for (h, k, _), v in zip(some, made, strict=True):
+                h[1][k] = v if v is not None and len(v) == dims else None
+                h[2][k] = reason or (None if h[1][k] is not None else f"dims: not {dims} numbers")
+                h[3] -= 1
+
+        def answered() -> Iterator[pa.RecordBatch]:
+            while held and not held[0][3]:
+                b, vectors, reasons, _ = held.pop(0)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(vectors, pa.list_(pa.float32())), *([pa.array(reasons, pa.string())] if error else [])], names=[*names, out, *([error] if error else [])])
+
         for b in batches:
             texts = b.column(names.index(content)).to_pylist()
-            vectors: list[list[float] | None] = [None] * len(texts)
-            full = [k for k, t in enumerate(texts) if t and t.strip()]
-            for at in range(0, len(full), batch):
-                some = full[at : at + batch]
-                try:
-                    made = model([texts[k] for k in some])
-                except ContextTooLong:
-                    raise
-                except Exception:  # noqa: BLE001
-                    continue
-                for k, v in zip(some, made, strict=True):
-                    vectors[k] = v if v is not None and len(v) == dims else None
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(vectors, pa.list_(pa.float32()))], names=[*names, out])
-
-    from pyspark.sql import types as T
-
-    return rows.mapInArrow(work, T.StructType([*rows.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))]))
-
-
-# Words that are no part of a name, endings of names, and the roles that a roster prints.
-ROLE_WORDS = ("chair", "chairman", "chairwoman", "chairperson", "ranking", "vice", "member")
-NAME_ENDINGS = ("jr.", "sr.", "ii", "iii", "iv", "jr", "sr")
-ROLE_NAMES = {"chair": "Chairman", "chairman": "Chairman", "chairwoman": "Chairman", "vice chair": "Vice Chairman", "vice chairman": "Vice Chairman", "ranking member": "Ranking Member", "ranking minority member": "Ranking Member"}
-_MARK = ", of "
-
-
-def _committee(line: str) -> str:
-    return " ".join(re.sub(r"[^a-z0-9]", " ", line.lower().replace("committee", "")).split())
-
-
-def _person(raw: str) -> tuple[str, str] | None:
-    tokens: list[str] = []
-    for t in reversed(re.sub(r"``[^']*''|\"[^\"]*\"", "", raw).split()):
-        bare = t.replace(",", "")
-        if not bare or not bare[0].isupper() or bare.lower().rstrip(".") in ROLE_WORDS or "/" in bare:
-            break
-        tokens.insert(0, t)
-    if len(tokens) < 2:
-        return None
-    if tokens[-1].lower().replace(",", "") in NAME_ENDINGS:
-        tokens.pop()
-    return (tokens[0], tokens[-1].replace(",", "")) if len(tokens) > 1 else None
-
-
-def _column(text: str, states: list[str]) -> Iterator[tuple[str, str, str, str | None]]:
-    text, begin, at = " ".join(text.split()), 0, 0
-    while (at := text.find(_MARK, at)) >= 0:
-        after = text[at + len(_MARK) :]
-        state = next((s for s in states if after.lower().startswith(s.lower())), None)
-        if state is None:
-            at += len(_MARK)
-            continue
-        role = re.match(r"[,.\s]*([A-Za-z]+(?: [A-Za-z]+){0,2}?)\s*(?:[.,]|$)", after[len(state) :])
-        person = _person(text[begin:at])
-        if person:
-            yield (*person, state, ROLE_NAMES.get(role.group(1).lower().strip()) if role else None)
-        at = begin = at + len(_MARK) + len(state)
-
-
-def roster(text: str, committees: set[str], states: list[str]) -> list[tuple[str, bool, str, str, str, str | None]]:
-    """(committee, is_subcommittee, first, last, state, role) in a directory's listing. A line that names a committee, or begins with "Subcommittee on", opens
-    a block; the other lines are split at their first wide gap into two columns, which are read one after the other, each entry ending in ", of STATE"."""
-    known = {_committee(c) for c in committees} - {""}
-    states = sorted(states, key=lambda s: -len(s))
-    blocks: list[list] = []
-    for line in (x.strip() for x in text.splitlines()):
-        if not line:
-            continue
-        sub = line.lower().startswith("subcommittee on")
-        if sub or _committee(line) in known:
-            blocks.append([line, sub, "", ""])
-        elif blocks:
-            left, _, right = re.sub(r"\s{2,}", "\0", line, count=1).partition("\0")
-            blocks[-1][2] += " " + left.strip()
-            blocks[-1][3] += " " + right.strip() if right.strip() else ""
-    return [(name, sub, *e) for name, sub, left, right in blocks for column in (left, right) for e in _column(column, states)]
+            held.append([b, [None] * len(texts), [None] * len(texts), 0])
+            full = [(held[-1], k, t) for k, t in enumerate(texts) if t and t.strip()]
+            held[-1][3] = len(full)
+            waiting += full
+            while len(waiting) >= batch:
+                call(waiting[:batch])
+                del waiting[:batch]
+            yield from answered()
+        if waiting:
+            call(waiting)
+        yield from answered()
 
+    fields = {out: T.ArrayType(T.FloatType())} | ({error: T.StringType()} if error else {})
+    return rows.mapInArrow(work, _with_fields(rows, fields))
 
-def parse_rosters(listings: DataFrame, committees: list[str], states: list[str], key: str = "id", text: str = "text") -> DataFrame:
-    """Assignments of all listings (key, text): key, committee, is_subcommittee, first_name, last_name, state, role. A listing is a page of a directory; each is read by itself."""
-    kind = listings.schema[key].dataType.simpleString()
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [(k, *r) for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for r in roster(t or "", set(committees), states)]
-            cols = list(zip(*rows, strict=True)) if rows else [()] * 7
-            types = [b.schema.field(0).type, pa.string(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=[key, "committee", "is_subcommittee", "first_name", "last_name", "state", "role"])
+# The roles that a roster prints, by how they begin, and what may follow a name.
+ROLES_BY_START = (("vice chair", "Vice Chairman"), ("ranking", "Ranking Member"), ("chair", "Chairman"))
+SUFFIXES = ("II", "III", "IV", "Jr", "Sr")
+
 
-    return listings.select(key, text).mapInArrow(work, f"{key} {kind}, committee string, is_subcommittee boolean, first_name string, last_name string, state string, role string")
+def parse_rosters(listings: DataFrame, committees: list[str], states: list[str], key: str = "id", text: str = "text") -> DataFrame:
+    """Assignments of all listings (key, text): key, committee, is_subcommittee, first_name, last_name, state, role. A listing is a page of a directory; each is read by itself.
+
+    A line that is the name of a committee, or begins with "Subcommittee on", heads what follows. Cells of a line stand two blanks or more apart; the cells of one
+    column, from the heading on, make one running text, in which an entry is a name, ", of", a state and maybe a role. Lines of a page are few, so all
+    steps on them are small groups."""
+    known = F.array(*[name_key(F.lit(c)) for c in committees])
+    lines = listings.select(key, F.coalesce(text, F.lit("")).alias("_all"), F.monotonically_increasing_id().alias("_page")).select(key, "_page", F.posexplode(F.split("_all", r"\R")).alias("_at", "_line")).where(F.trim("_line") != "")
+    sub = F.lower(F.trim("_line")).startswith("subcommittee on")
+    head = sub | ((name_key(F.col("_line")) != "") & F.array_contains(known, name_key(F.col("_line"))))
+    so_far = Window.partitionBy("_page").orderBy("_at")
+    lines = lines.select("*", F.last(F.when(head, F.struct(F.col("_at").alias("at"), F.trim("_line").alias("committee"), sub.alias("is_subcommittee"))), ignorenulls=True).over(so_far).alias("_head"), head.alias("_is_head"))
+    cell = F.split(F.trim("_line"), r"\s{2,}", 2)
+    cell = F.when((F.size(cell) == 1) & F.col("_line").rlike(r"^\s{8,}"), F.array(F.lit(""), F.trim("_line"))).otherwise(cell)  # far in: the left column is blank
+    cells = lines.where(~F.col("_is_head") & F.col("_head").isNotNull()).select(key, "_page", "_head", "_at", F.posexplode(cell).alias("_column", "_cell"))
+    running = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_cell"))), lambda c: c["_cell"]), " ")
+    columns = cells.groupBy(key, "_page", "_head", "_column").agg(F.regexp_replace(running, r"\s+", " ").alias("_text"))
+    state = "|".join(sorted((s.replace(".", r"\.") for s in states), reverse=True))
+    word = r"(?:\p{Lu}[^,\s/]*|``[^']*''|\"[^\"]*\")"
+    entry = rf"(?<![^\s.)])({word}(?: {word})*(?:, (?:{'|'.join(SUFFIXES)})\.?)?), of ((?i:{state}))(?![A-Za-z])(?:,? ([A-Za-z ]+?)(?=[.,]|$))?"
+    found = columns.select(key, "_page", "_head", "_column", F.posexplode(F.regexp_extract_all("_text", F.lit(entry), F.lit(0))).alias("_k", "_entry"))
+    pick = lambda k: F.regexp_extract("_entry", entry, k)
+    # a name begins after the last full stop that ends what came before it, has no words in quotes, and ends before its suffix
+    bare = F.regexp_replace(F.regexp_replace(pick(1), "``[^']*''|\"[^\"]*\"", " "), rf",? (?:{'|'.join(SUFFIXES)})\.?$", "")
+    words = F.filter(F.split(bare, r"\s+"), lambda w: w.rlike(r"^\p{Lu}"))
+    titled = F.array_position(F.transform(words, lambda w: F.lower(w).rlike(r"^(?:vice|chair|ranking|member|minority)")), F.lit(True))
+    role = F.lit(None).cast("string")
+    for start, name in reversed(ROLES_BY_START):
+        role = F.when(F.lower(F.trim(pick(3))).startswith(start), F.lit(name)).otherwise(role)
+    where = F.lower(pick(2))
+    named = F.element_at(F.create_map(*[F.lit(x) for s in states for x in (s.lower(), s)]), where) if states else F.lit(None).cast("string")
+    rows = found.select(key, F.col("_head.committee").alias("committee"), F.col("_head.is_subcommittee").alias("is_subcommittee"), words.alias("_words"), titled.alias("_titled"), named.alias("state"), role.alias("role"))
+    rows = rows.where((F.size("_words") > 1) & (F.col("_titled") == 0))
+    return rows.select(key, "committee", "is_subcommittee", F.element_at("_words", 1).alias("first_name"), F.element_at("_words", -1).alias("last_name"), "state", "role")

@@ -129,10 +129,12 @@ def test_embed(spark):
     assert texts.embed(df, "content", None, 2).first()["embedding"] is None
 
 
-def test_roster():
+def test_roster(spark):
     page = "Budget\nRoom 5\nAnn Lee, of Ohio, Chair.     ``Bo'' Robert Poe, III, of Iowa.\nX. Y. Zee, of West Virginia.  Max Moe, of\n   (p)   Texas, Ranking Member."
-    got = texts.roster(page, {"Committee on the Budget", "Budget"}, ["Ohio", "Iowa", "Virginia", "West Virginia", "Texas"])
-    assert [(g[2], g[3], g[4], g[5]) for g in got] == [("Ann", "Lee", "Ohio", "Chairman"), ("X.", "Zee", "West Virginia", None), ("Robert", "Poe", "Iowa", None), ("Max", "Moe", "Texas", "Ranking Member")]
+    listings = spark.createDataFrame([(1, page), (2, None), (3, "no heading\nAnn Lee, of Ohio.")], "id long, text string")
+    got = texts.parse_rosters(listings, ["Committee on the Budget", "Budget"], ["Ohio", "Iowa", "Virginia", "West Virginia", "Texas"]).collect()
+    assert {(g["first_name"], g["last_name"], g["state"], g["role"]) for g in got} == {("Ann", "Lee", "Ohio", "Chairman"), ("X.", "Zee", "West Virginia", None), ("Robert", "Poe", "Iowa", None), ("Max", "Moe", "Texas", "Ranking Member")}
+    assert len(got) == 4 and all(g["id"] == 1 and g["committee"] == "Budget" and not g["is_subcommittee"] for g in got)
 
 
 def test_dates(spark):
@@ -157,5 +159,10 @@ def test_urls_and_text(spark):
     assert one(spark, urls.bill_text_url(F.lit("https://elsewhere/"), "https://b")) is None
     assert one(spark, text.strip_record_noise(F.lit("[Time: 10:30] a [[Page S1]]  b Pg S5255 c"))) == "a b c"
     assert one(spark, text.html_fragments(F.lit("<html><head>h</head><body><script>x</script><p>A &amp; b</p><p>c</body>"))) == "A & b c"
+    assert one(spark, text.html_fragments(F.lit("<p>&#167; 5 &mdash; it&#8217;s &#x41;&amp;lt; &nope; &nbsp;x"))) == "\u00a7 5 \u2014 it\u2019s A&lt; &nope; x"
+    assert one(spark, texts.bill_xml_text(F.lit("<b><legis-body>&lt;a&gt; <![CDATA[1 < 2 &amp;]]></legis-body><x>no</x><legis-body a='1'>two</legis-body></b>"))) == "<a> 1 < 2 &amp; two"
+    assert one(spark, urls.record_text_url(F.lit("https://www.congress.gov/117/crec/2021/08/01/167/1/modified/CREC-2021-08-01-pt1-PgS52-3.htm"), "https://b")) == "https://b/packages/CREC-2021-08-01/granules/CREC-2021-08-01-pt1-PgS52-3/htm"
+    assert one(spark, urls.record_text_url(F.lit("https://congress.gov/117/crec/2021/08/01/167/CREC-2021-08-01-pt1-PgS52.htm"), "https://b")) is None
+    assert one(spark, keys.roll_number(F.lit("Passed: Roll call 45."), F.lit("House"))) == 45
     assert one(spark, texts.bill_xml_text(F.lit("<bill><title>t</title><legis-body><p>One</p> <p>two</p></legis-body></bill>"))) == "One two"
     assert one(spark, texts.extract_record(F.lit("x"), F.lit("DOC")))["error"] == "unsupported format: DOC"
