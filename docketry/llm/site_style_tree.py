@@ -2,8 +2,9 @@
 
 The pages of a host are merged into one tree: a node is a path of tags (with their classes) and collects the
 presentations (which child tags follow each other) and the contents that the pages have there. A node whose
-presentations and contents hardly vary over the pages of a site carries the site's frame; its branch is
-removed. Elements that HTML itself declares to be frame or main text (nav, footer, form, article, ...) are taken at their word.
+presentations and contents hardly vary over the pages of a site carries the site's frame; such a branch is
+removed from each page. What HTML or a class declares a branch to be (nav, article, "sidebar") is a prior: it weighs
+most where few pages speak, and the entropies of the tree decide where many do.
 """
 
 from __future__ import annotations
@@ -29,20 +30,35 @@ _VOID = frozenset("area base br col embed hr img input link meta source track wb
 _BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-#: Elements that never hold main text.
-_FRAME = frozenset("nav footer aside form button select menu dialog head object canvas audio video label input fieldset header".split())
+#: Elements that hold no article text on any site: controls, media and what isn't shown.
+_NEVER = frozenset("form button select dialog head object canvas audio video label input fieldset".split())
+#: Elements and roles that HTML defines as frame.
+_FRAME = frozenset("nav footer aside menu header".split())
 _FRAME_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
-_FRAME_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side-?bar|footer|header|masthead|cookies?\w*|consent|gdpr|notice|popup|modal|newsletter|subscribe|comments?|respond|disqus|replies|share|sharing|social|related|recommend\w*|widget|toolbar|skip\w*|copyright|pagination|pager|login|signup)(?:$|[\s_-])",
-    re.I,
-)
+#: Words of class names and ids that speak of a frame, and those that say nothing either way. A name speaks of a frame when it has one of the
+#: first and none but these: "ad-box" and "cookie-notice" do, "article-header", "sidebar-layout" and "related-work" don't.
+_FRAME_WORDS = frozenset("ad ads advert adverts advertisement sponsor sponsored promo banner nav navbar navigation menu breadcrumb breadcrumbs sidebar footer header masthead cookie cookies consent gdpr notice popup modal newsletter subscribe share sharing social related recommended widget toolbar skip copyright pagination pager login signup".split())
+_PLAIN_WORDS = frozenset("site page main top bottom left right box bar list item items block section area container wrapper inner outer panel links link buttons button posts stories global wrap slot unit zone group text".split())
+#: Readers write these, so they differ on every page and no tree can tell them from articles.
+_READERS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|respond|disqus|replies)(?:$|[\s_-]|\d)", re.I)
+
+
+def _speaks_of_frame(name: str) -> bool:
+    words = [w for w in re.split(r"[^a-z]+", name.lower()) if w]
+    return any(w in _FRAME_WORDS for w in words) and all(w in _FRAME_WORDS or w in _PLAIN_WORDS for w in words)
+
+
+#: What a branch is declared to be, with its prior importance and the prior's weight against the tree's. Frames by tag or by name go whatever the
+#: entropies are (adverts change from page to page as articles do); neutral branches, those beside a declared main part and those inside it go by the tree.
+FRAME, NAMED, OUTSIDE, NEUTRAL, MAIN = range(5)
+PRIORS = {FRAME: (0.0, 0.6), NAMED: (0.0, 0.55), OUTSIDE: (0.0, 0.45), NEUTRAL: (0.8, 0.2), MAIN: (1.0, 0.4)}
 #: A start tag on the left ends an open element on the right.
 _ENDS = {"p": {"p"}, "li": {"li", "p"}, "dd": {"dd", "dt", "p"}, "dt": {"dd", "dt", "p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("html body div article section main ul ol table dl aside nav header footer form blockquote td th".split())
 
 
 class Node:
-    __slots__ = ("tag", "label", "frame", "main", "children")
+    __slots__ = ("tag", "label", "never", "frame", "named", "main", "children")
 
     def __init__(self, tag: str, attrs: str = ""):
         names, role, hidden = [], "", False
@@ -51,15 +67,19 @@ class Node:
                 value = value.strip("\"'")
                 name = name.lower()
                 if name in ("class", "id"):
-                    names.append(value)
+                    names += value.split()
                 elif name == "role":
                     role = value.lower()
                 else:
                     hidden = True
         self.tag = tag
-        self.label = tag + "".join("." + n for n in sorted(" ".join(names).lower().split()))
+        # numbers in names count things of one kind
+        self.label = tag + "".join("." + n for n in sorted(re.sub(r"\d+", "0", n.lower()) for n in names))
         self.main = tag in ("article", "main") or role == "main"
-        self.frame = tag in _FRAME or role in _FRAME_ROLE or hidden or bool(names and not self.main and tag not in ("body", "html") and any(_FRAME_NAME.search(n) for n in names))
+        body = tag in ("html", "body") or self.main
+        self.never = tag in _NEVER or hidden or (not body and any(_READERS.search(n) for n in names))
+        self.frame = tag in _FRAME or role in _FRAME_ROLE
+        self.named = not body and any(_speaks_of_frame(n) for n in names)
         self.children: list = []
 
 
@@ -102,29 +122,60 @@ def parse(text: str) -> Node:
     return root
 
 
-def _text(node: Node) -> str:
-    out, todo = [], [node]
-    while todo:
-        x = todo.pop()
-        if isinstance(x, str):
-            out.append(x)
-        else:
-            todo.extend(reversed(x.children))
-    return " ".join("".join(out).split())
-
-
-def style_nodes(page: str) -> set[tuple[str, int, int]]:
-    """(path, hash of the presentation, hash of the content) of every element that lies outside the declared main text and doesn't hold it."""
-    out, root = set(), parse(page)
-    order: list[tuple[Node, str, int]] = [(root, "", -1)]
-    for at, (node, path, _) in enumerate(order):  # parents come before their children
-        if not node.main and path.count("/") < 24:
-            order += [(c, f"{path}/{c.label}", at) for c in node.children if not isinstance(c, str)]
-    holds = {at for at, (node, _, _) in enumerate(order) if node.main}
+def _hash(text: str) -> int:
+    return xxh3_64_intdigest(text) - (1 << 63)
+
+
+def branches(root: Node) -> list[tuple[Node, int, int, int | None, int]]:
+    """(node, its parent's place, path, key, what it is declared to be) of all elements, parents before children; without what never holds text, and all below it.
+
+    path is a hash of the labels from the root, of any depth. key tells branches that the tree judges together: path and what the branch is
+    declared to be on its page. It is None for branches that aren't judged: the declared main part and what holds it."""
+    order: list[tuple[Node, int, int]] = [(root, -1, 0)]
+    for at, (node, _, path) in enumerate(order):
+        order += [(c, at, _hash(f"{path}/{c.label}")) for c in node.children if not isinstance(c, str) and not c.never]
+    # the main part is what lies in no frame, or, if there is none such, in none but frames by name
+    main: set[int] = set()
+    for barred in ((lambda n: n.frame or n.named), (lambda n: n.frame)):
+        away = set()
+        for at, (node, parent, _) in enumerate(order):
+            if parent in away or barred(node):
+                away.add(at)
+            elif node.main:
+                main.add(at)
+        if main:
+            break
+    holds, inside = set(main), set()
     for at in range(len(order) - 1, 0, -1):
-        node, path, parent = order[at]
         if at in holds:
-            holds.add(parent)
+            holds.add(order[at][1])
+    out = []
+    for at, (node, parent, path) in enumerate(order):
+        if at in main or parent in inside:
+            inside.add(at)
+        if node.frame and not (node.tag == "header" and at in inside):
+            kind = FRAME
+        elif node.named:
+            kind = NAMED
+        else:
+            kind = (MAIN if at in inside else OUTSIDE) if main else NEUTRAL
+        out.append((node, parent, path, None if at == 0 or at in holds else _hash(f"{kind}:{path}"), kind))
+    return out
+
+
+def style_nodes(page: str) -> list[tuple[int, int, int, int]]:
+    """(key, what it is declared to be, hash of the presentation, hash of the content) of every judged branch of a page; elements of one key are taken together, in page order."""
+    order = branches(parse(page))
+    content: list[list[str]] = [[c if isinstance(c, str) else "" for c in node.children] for node, *_ in order]
+    digest = [0] * len(order)
+    for at in range(len(order) - 1, -1, -1):  # children before their parents
+        digest[at] = _hash(" ".join("".join(content[at]).split()))
+        parent = order[at][1]
+        if parent >= 0:
+            content[parent].append(f" {digest[at]}")
+    styles: dict[int, tuple[int, list[str], list[int]]] = {}
+    for (node, _, _, key, kind), d in zip(order, digest, strict=True):
+        if key is None:
             continue
         # a run of equal tags is one tag with a plus, as in the style tree's sequences
         tags: list[str] = []
@@ -134,53 +185,54 @@ def style_nodes(page: str) -> set[tuple[str, int, int]]:
                     tags[-1] = c.label + "+"
                 else:
                     tags.append(c.label)
-        out.add((path, _hash(",".join(tags)), _hash(_text(node))))
-    return out
+        _, seen, contents = styles.setdefault(key, (kind, [], []))
+        seen.append(",".join(tags))
+        contents.append(d)
+    return [(key, kind, _hash(";".join(seen)), _hash(";".join(map(str, contents)))) for key, (kind, seen, contents) in styles.items()]
 
 
-def _hash(text: str) -> int:
-    return xxh3_64_intdigest(text) - (1 << 63)
-
+def main_text(page: str | None, unimportant: frozenset[int] = frozenset()) -> str:
+    """The blocks of a page, one a line, without what never holds text and without the branches whose keys are unimportant.
 
-def main_text(page: str | None, unimportant: frozenset[str] = frozenset()) -> str:
-    """The blocks of the main text, one a line. Where the page declares a main part (article or main), that part counts, otherwise
-    all but the frame and the branches at unimportant paths."""
+    Text that stands right in an element around the declared main part, in no branch of its own, is left out. If the tree would take all
+    of a declared main part, that part stays."""
     if not page:
         return ""
-    root = parse(page)
-
-    def has_main(node: Node) -> bool:
-        todo = [node]
-        while todo:
-            x = todo.pop()
-            if x.main and not x.frame:
-                return True
-            todo += [c for c in x.children if not isinstance(c, str) and not c.frame]
-        return False
-
-    only_main = has_main(root)
+    order = branches(parse(page))
+    whole = any(node.main for node, *_ in order)
+    text = _blocks(order, unimportant)
+    if not text and whole:
+        text = _blocks(order, frozenset(key for _, _, _, key, kind in order if key in unimportant and kind != MAIN))
+    return text
+
+
+def _blocks(order: list[tuple], unimportant: frozenset[int]) -> str:
+    place = {id(node): at for at, (node, *_) in enumerate(order)}
+    around = set()  # elements that hold the main part without being inside it
+    has_main = any(kind == OUTSIDE for *_, kind in order)
+    for at, (_, _, _, key, kind) in enumerate(order):
+        if has_main and key is None and kind == OUTSIDE:
+            around.add(at)
     blocks: list[list[str]] = [[]]
-    # a stack of (node or string, path, inside the main part); None ends a block
-    todo: list = [(root, "", not only_main)]
+    todo: list = [(order[0][0], False)]  # a node or a string with whether it counts; None ends a block
     while todo:
         x = todo.pop()
         if x is None:
             blocks.append([])
             continue
-        node, path, inside = x
+        node, counts = x
         if isinstance(node, str):
-            if inside:
+            if counts:
                 blocks[-1].append(node)
             continue
-        header_of_main = node.tag == "header" and inside and only_main
-        if node.frame and not header_of_main or (not only_main and path in unimportant):
+        at = place.get(id(node))
+        if at is None or order[at][3] in unimportant:
             continue
-        inside = inside or node.main
-        block = node.tag in _BLOCK
-        if block:
+        if node.tag in _BLOCK:
             blocks.append([])
             todo.append(None)
-        todo.extend((c, path if isinstance(c, str) else f"{path}/{c.label}", inside) for c in reversed(node.children))
+        counts = at not in around
+        todo.extend((c, counts) for c in reversed(node.children))
     lines = (" ".join(html.unescape("".join(b)).split()) for b in blocks if b)
     return "\n".join(line for line in lines if line)
 
@@ -190,61 +242,67 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def unimportant_branches(pages: DataFrame, least_pages: int = 3, threshold: float = 0.2, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, path) of the branches whose importance is under the threshold.
+def importance(kind: Column, pages: Column, entropy: Column) -> Column:
+    """Of a branch from 0 to 1: its entropy over so many pages, drawn to the prior by the weight of two pages, and the prior itself by its weight."""
+    prior = weight = F.lit(0.0)
+    for k, (p, w) in PRIORS.items():
+        prior, weight = F.when(kind == k, F.lit(p)).otherwise(prior), F.when(kind == k, F.lit(w)).otherwise(weight)
+    return (1 - weight) * (pages * entropy + 2 * prior) / (pages + 2) + weight * prior
+
+
+def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(host, key, kind, pages, entropy, importance) of all branches of all hosts.
 
-    The importance of a node over the m pages that have it is the larger of two entropies to the base m: that of its presentations
-    and that of its contents. It is 0 where all pages agree and 1 where all differ. Nodes on fewer than least_pages pages are not judged.
-    Counts are combined before the shuffle, so a host with a third of all pages makes no large group: its rows are the distinct
-    (path, presentation, content) of its frame.
+    The entropy of a branch over the m pages that have it is the larger of two to the base m: that of its presentations and that of its
+    contents, which are those of the whole branch, so that it is at least that of any branch below. It is 0 where all pages agree, 1 where all differ, and 1 for a
+    branch of one page. Equal pages of a host count once. Pages without a host have no site: each stands alone.
+    Counts are combined before the shuffle and keys carry the branch, so a host with a third of all pages makes no large group.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                host, path, style, content = [], [], [], []
-                for h, page in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    for p, s, c in style_nodes(page or ""):
-                        host.append(h)
-                        path.append(p)
-                        style.append(s)
-                        content.append(c)
-                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.string()) for x in (host, path)), *(pa.array(x, pa.int64()) for x in (style, content))], names=["host", "path", "style", "content"])
-
-    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).mapInArrow(work, "host string, path string, style bigint, content bigint")
-    rows = rows.select("host", "path", F.explode(F.array(F.struct(F.lit("s").alias("kind"), F.col("style").alias("v")), F.struct(F.lit("c").alias("kind"), F.col("content").alias("v")))).alias("x"))
-    counts = rows.groupBy("host", "path", "x.kind", "x.v").agg(F.count("*").alias("n"))
-    entropy = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
-    value = F.when(F.col("m") > 1, (F.log("m") - F.col("nlogn") / F.col("m")) / F.log("m")).otherwise(F.lit(1.0))
-    return entropy.groupBy("host", "path").agg(F.max("m").alias("m"), F.max(value).alias("importance")).where((F.col("m") >= least_pages) & (F.col("importance") < threshold)).select("host", "path")
-
-
-def extract_main_text(pages: DataFrame, least_pages: int = 3, threshold: float = 0.2, broadcast_limit: int = 4_000_000, salts: int = 64) -> DataFrame:
+                rows = [(h, _hash(page or ""), *x) for h, page in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) for x in style_nodes(page or "")]
+                cols = list(zip(*rows, strict=True)) if rows else [()] * 6
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["host", "page", "key", "kind", "style", "content"])
+
+    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).mapInArrow(work, "host string, page bigint, key bigint, kind int, style bigint, content bigint")
+    counts = rows.distinct().groupBy("host", "key", "kind", "style", "content").agg(F.count("*").alias("n"))
+    each = counts.select("host", "key", "kind", "n", F.explode(F.array(F.struct(F.lit("s").alias("of"), F.col("style").alias("v")), F.struct(F.lit("c").alias("of"), F.col("content").alias("v")))).alias("x"))
+    sums = each.groupBy("host", "key", "kind", "x.of", "x.v").agg(F.sum("n").alias("n"))
+    entropy = sums.groupBy("host", "key", "kind", "of").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
+    value = F.when((F.col("m") > 1) & (F.col("host") != ""), (F.log("m") - F.col("nlogn") / F.col("m")) / F.log("m")).otherwise(F.lit(1.0))
+    out = entropy.groupBy("host", "key", "kind").agg(F.when(F.col("host") != "", F.max("m")).otherwise(F.lit(1)).alias("pages"), F.max(value).alias("entropy"))
+    return out.withColumn("importance", importance(F.col("kind"), F.col("pages"), F.col("entropy")))
+
+
+def extract_main_text(pages: DataFrame, threshold: float = 0.5, broadcast_limit: int = 200_000, salts: int = 64) -> DataFrame:
     """(page_id, url, text) for every row of pages (page_id, url, html).
 
-    Null or empty html gives an empty text; a null or odd url puts the page under the host ''. Repeated rows are extracted each. Other columns are not read.
-    The removed branches of a host (its frame, not its pages) meet its pages by broadcast while all of them together stay under
-    broadcast_limit characters, and else by a join on the host dealt over `salts` parts, so that a large host is no large task.
+    Null or empty html gives an empty text; a null or odd url puts the page under no host, where the priors alone decide. Repeated rows are extracted each. Other columns are not read.
+    The removed branches of a host (its frame, not its pages) meet its pages by broadcast while all of them together are at most
+    broadcast_limit, and else by a join on the host dealt over `salts` parts, so that a large host is no large task.
     """
-    paths = stored(unimportant_branches(pages, least_pages, threshold).groupBy("host").agg(F.collect_set("path").alias("paths")), "branches")
-    chars = paths.agg(F.coalesce(F.sum(F.length("host") + F.aggregate("paths", F.lit(0), lambda n, p: n + F.length(p))), F.lit(0)).alias("n")).first()["n"]
+    keys = stored(style_tree(pages).where(F.col("importance") < threshold).groupBy("host").agg(F.collect_set("key").alias("keys")), "branches")
+    n = keys.agg(F.coalesce(F.sum(F.size("keys") + F.lit(1)), F.lit(0)).alias("n")).first()["n"]
     rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
-    if chars <= broadcast_limit:
-        rows = rows.join(F.broadcast(paths), "host", "left")
+    if n <= broadcast_limit:
+        rows = rows.join(F.broadcast(keys), "host", "left")
     else:
-        rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int"))
-        rows = rows.join(paths.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["host", "salt"], "left")
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(salts)).cast("int"))
+        rows = rows.join(keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["host", "salt"], "left")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                texts = [main_text(h, frozenset(p or ())) for h, p in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+                texts = [main_text(h, frozenset(k or ())) for h, k in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return rows.select("page_id", "url", "html", "paths").mapInArrow(work, f"page_id {kind}, url string, text string")
+    return rows.select("page_id", "url", "html", "keys").mapInArrow(work, f"page_id {kind}, url string, text string")
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
