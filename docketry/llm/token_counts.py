@@ -9,7 +9,6 @@ count at every prefix, and no prefix is ever encoded by itself.
 from __future__ import annotations
 
 import json
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .common import table
 
@@ -26,14 +26,6 @@ _ODD = regex.compile(r"[\x1c-\x1f]")
 _SPACES = regex.compile(r"\p{White_Space}+")
 
 
-def _byte_letters() -> list[str]:
-    """The letter that stands for each byte in byte-level vocabularies: printable bytes stand
-    for themselves, the others get the code points from 256 on, in order."""
-    keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    extra = iter(range(256, 512))
-    return [chr(b) if b in keep else chr(next(extra)) for b in range(256)]
-
-
 class PrefixCounter:
     """Exact token counts at every prefix, for a vocabulary file with word ends."""
 
@@ -42,10 +34,10 @@ class PrefixCounter:
             spec = json.load(f)
         self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(spec["model"]["merges"])}
         self.vocab = spec["model"]["vocab"]
-        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.pieces = regex.compile(pattern).findall
+        # the library's own Unicode tables decide on cases and on what a letter is
+        library = Tokenizer.from_file(path)
+        self.normal, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"])) if spec["added_tokens"] else None
-        self.letters = _byte_letters()
         self.longest = max(len(t.removesuffix(END)) for t in self.vocab)
         self.follows: dict[tuple[str, str], bool] = {}
         self.words: dict[str, int] = {}
@@ -77,9 +69,12 @@ class PrefixCounter:
             self.follows[a, b] = found
         return found
 
-    def piece(self, text: str) -> tuple[list[int], int]:
-        """(tokens of every prefix while the word goes on, tokens of the whole word)."""
-        s = "".join([self.letters[b] for b in text.encode()])
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of a text that are merged each by itself, as the letters that stand for their bytes."""
+        return [p for p, _ in self.split(self.normal(text))]
+
+    def piece(self, s: str) -> tuple[list[int], int]:
+        """(tokens of every prefix while the word goes on, tokens of the whole word) of a piece."""
         n, vocab, follows = len(s), self.vocab, self.follows
         last, count = [""] * (n + 1), [0] * (n + 1)
         for i in range(1, n):
@@ -102,8 +97,8 @@ class PrefixCounter:
         return 0
 
     def closed_prefixes(self, text: str) -> list[int]:
-        """Tokens of text[:k] for k = 0..len(text), for one piece of text."""
-        s = "".join(self.letters[b] for b in text.encode())
+        """Tokens of text[:k] for k = 0..len(text), for a text that is one piece in its normal form."""
+        s = "".join(self.pieces(text))
         n, vocab = len(s), self.vocab
         last, count = [""] * (n + 1), [0] * (n + 1)
         for i in range(1, n + 1):
@@ -122,8 +117,7 @@ class PrefixCounter:
         """Tokens of a run without white space."""
         found = self.words.get(word)
         if found is None:
-            low = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
-            found = sum(self.piece(p)[1] for p in self.pieces(low))
+            found = sum(self.piece(p)[1] for p in self.pieces(word))
             if len(word) <= 48:
                 if len(self.words) >= self.limit:
                     self.words.clear()
@@ -160,10 +154,7 @@ class PrefixCounter:
         start = regex.search(r"\P{White_Space}", text, pos=ends[k - 1] if k else 0).start()
         word, used, size = text[start : ends[k]], counts[k], 0
         for j in range(1, len(word) + 1):
-            low = unicodedata.normalize("NFC", word[:j]).replace("Σ", "σ").lower()
-            pieces = self.pieces(low)
-            n = sum(self.piece(p)[1] for p in pieces[:-1]) + (self.closed_prefixes(pieces[-1])[-1] if pieces else 0)
-            if used + n <= budget:
+            if used + sum(self.piece(p)[1] for p in self.pieces(word[:j])) <= budget:
                 size = j
         return text[: start + size] if size else text[: ends[k - 1] if k else 0]
 
