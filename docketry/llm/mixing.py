@@ -7,7 +7,6 @@ source to its quota. The cheapest flow repeats as little as possible. Documents
 
 from __future__ import annotations
 
-import heapq
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,59 +35,77 @@ def share_out(sizes: dict[str | None, int], weights: tuple[float, ...] = (5, 2,
     return out
 
 
-def min_cost_flow(arcs: list[tuple[int, int, int, int]], source: int, sink: int, n: int) -> list[int]:
-    """Flow on each arc (from, to, capacity, cost >= 0) of a cheapest maximum flow: cheapest paths one after the other, with potentials."""
-    to, cap, cost, out = [], [], [], [[] for _ in range(n)]
-    for a, b, c, w in arcs:
-        for x, y, c1, w1 in ((a, b, c, w), (b, a, 0, -w)):
-            out[x].append(len(to))
-            to.append(y)
-            cap.append(c1)
-            cost.append(w1)
-    height = [0] * n
+def max_flow(to: list[int], cap: list[int], out: list[list[int]], source: int, sink: int) -> int:
+    """More flow from source to sink by Dinic's blocking flows, none of it taken back from the source's arcs. Arc e and its reverse e ^ 1 lie side by side; cap is changed in place."""
+    pushed = 0
     while True:
-        far, via = [None] * n, [-1] * n
-        far[source], heap = 0, [(0, source)]
-        while heap:
-            d, x = heapq.heappop(heap)
-            if d > far[x]:
-                continue
+        level = [-1] * len(out)
+        level[source], line = 0, [source]
+        for x in line:
             for e in out[x]:
-                if cap[e] > 0:
-                    d1 = d + cost[e] + height[x] - height[to[e]]
-                    if far[to[e]] is None or d1 < far[to[e]]:
-                        far[to[e]], via[to[e]] = d1, e
-                        heapq.heappush(heap, (d1, to[e]))
-        if far[sink] is None:
-            return [cap[2 * k + 1] for k in range(len(arcs))]
-        height = [h + (f if f is not None else 0) for h, f in zip(height, far, strict=True)]
-        x, push = sink, None
-        while x != source:
-            e = via[x]
-            push = cap[e] if push is None else min(push, cap[e])
-            x = to[e ^ 1]
-        x = sink
-        while x != source:
-            e = via[x]
-            cap[e] -= push
-            cap[e ^ 1] += push
-            x = to[e ^ 1]
+                if cap[e] > 0 and level[to[e]] < 0:
+                    level[to[e]] = level[x] + 1
+                    line.append(to[e])
+        if level[sink] < 0:
+            return pushed
+        at = [0] * len(out)
+        path: list[int] = []
+        x = source
+        while True:
+            if x == sink:
+                n = min(cap[e] for e in path)
+                pushed += n
+                for k, e in enumerate(path):
+                    cap[e] -= n
+                    cap[e ^ 1] += n
+                cut = next(k for k, e in enumerate(path) if not cap[e])
+                x = to[path[cut] ^ 1]
+                del path[cut:]
+                continue
+            while at[x] < len(out[x]):
+                e = out[x][at[x]]
+                if cap[e] > 0 and level[to[e]] == level[x] + 1:
+                    break
+                at[x] += 1
+            if at[x] < len(out[x]):
+                path.append(e)
+                x = to[e]
+            elif path:
+                x = to[path.pop() ^ 1]
+                at[x] += 1
+            else:
+                break
 
 
 def route(patterns: dict[tuple, int], quotas: dict[str | None, int], most: int = 2) -> dict[tuple, dict]:
-    """Words of each pattern (a tuple of sources) that go to each of its sources; the k-th copy of a pattern's words costs k * k."""
-    names, kinds = list(quotas), list(patterns)
-    n = 2 + len(kinds) + len(names)
-    arcs = []
-    for p, kind in enumerate(kinds):
-        arcs += [(0, 2 + p, patterns[kind], k * k) for k in range(most)]
-        arcs += [(2 + p, 2 + len(kinds) + names.index(s), most * patterns[kind], 0) for s in kind]
-    arcs += [(2 + len(kinds) + k, 1, quotas[s], 0) for k, s in enumerate(names)]
-    flow, out = min_cost_flow(arcs, 0, 1, n), {}
-    for (a, b, _, _), f in zip(arcs, flow, strict=True):
-        if 2 <= a < 2 + len(kinds):
-            out.setdefault(kinds[a - 2], {})[names[b - 2 - len(kinds)]] = f
-    return out
+    """Words of each pattern (a tuple of sources) that go to each of its sources, by min-cost flow; each further copy of a pattern's words costs more.
+
+    As costs lie on the source's arcs alone and rise with the copy, a cheapest maximum flow is a maximum flow of first copies, filled up to one
+    of two copies, and so on: filling up takes nothing back from arcs that leave the source. Patterns of one source are summed in closed form by
+    the same arcs, so the work grows with the memberships of the patterns."""
+    names, kinds = {s: k for k, s in enumerate(quotas)}, list(patterns)
+    first = 2 + len(kinds)
+    to, cap, out = [], [], [[] for _ in range(first + len(names))]
+
+    def arc(a: int, b: int, c: int) -> int:
+        for x, y, n in ((a, b, c), (b, a, 0)):
+            out[x].append(len(to))
+            to.append(y)
+            cap.append(n)
+        return len(to) - 2
+
+    copies = [arc(0, 2 + p, 0) for p in range(len(kinds))]
+    given = [(kind, s, arc(2 + p, first + names[s], most * patterns[kind])) for p, kind in enumerate(kinds) for s in kind]
+    for s, k in names.items():
+        arc(first + k, 1, quotas[s])
+    for _ in range(most):
+        for p, kind in enumerate(kinds):
+            cap[copies[p]] += patterns[kind]
+        max_flow(to, cap, out, 0, 1)
+    routed: dict[tuple, dict] = {}
+    for kind, s, e in given:
+        routed.setdefault(kind, {})[s] = cap[e ^ 1]
+    return routed
 
 
 def _cut(free: DataFrame, bins: int) -> DataFrame:
@@ -144,13 +161,13 @@ def select_words(docs: DataFrame, wanted: DataFrame, seed: int, bins: int = 4096
     return out.withColumn("taken_", (F.col("size_") * (F.coalesce("copies_", F.lit(0)) + F.coalesce(taken, F.lit(False)).cast("long"))).cast("long"))
 
 
-def mix(docs: DataFrame, size: Column, sources: Column, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, seed: int = 11, most_patterns: int = 20_000) -> DataFrame:
+def mix(docs: DataFrame, size: Column, sources: Column, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, seed: int = 11, most_patterns: int = 1_000_000) -> DataFrame:
     """Rows (row of docs as struct doc_, pattern_, size_, source_size_, target_, taken_).
 
     size is a long (null counts as 0), sources an array of names (null: the one source null). source_size_ and target_ are those of the
     first source of the document. A document takes part in all its sources; no document is taken more than `most` times.
-    Ties cannot arise but among repeated rows, which share a draw and so a fate. An empty table gives no rows. More than
-    most_patterns membership patterns raise ValueError: the flow is solved on the driver.
+    Ties cannot arise but among repeated rows, which share a draw and so a fate. An empty table gives no rows. The flow is solved on the driver, whose memory holds one
+    number for each membership of a pattern (not of a document); more than most_patterns patterns raise ValueError before anything is collected.
     """
     names = F.array_sort(F.array_distinct(F.coalesce(sources, F.array(F.lit(None).cast("string")))))
     doc = F.struct(*[F.col(c) for c in docs.columns]) if docs.columns else F.struct(F.lit(1))
