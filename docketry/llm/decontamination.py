@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hash_words, roll, table, with_columns
+from .common import hash_words, roll, stored, table, with_columns
 
 _tokens = re.compile(r"\w+").findall
 
@@ -69,8 +69,11 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
 class _Items:
     """Test items, prepared for look-up by their seeds (hashes of `least` tokens in a row)."""
 
-    def __init__(self, rows: list[tuple[int, str]], least: int):
-        words = {i: tokens(t) for i, t in rows}
+    def __init__(self, rows: list[tuple[int | None, str]], least: int):
+        # items by place: rows that share an id, and rows without one, are items of their own
+        rows = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        self.ids = [i for i, _ in rows]
+        words = {k: tokens(t) for k, (_, t) in enumerate(rows)}
         self.items = {i: w for i, w in words.items() if len(w) >= least}
         self.vocab = {w: k for k, w in enumerate(sorted({w for ws in self.items.values() for w in ws}), 1)}
         hashes = dict(zip(self.vocab, hash_words(list(self.vocab)).tolist(), strict=True))
@@ -86,7 +89,7 @@ class _Items:
         self.least = least
 
     def cover(self, text: str | None) -> tuple[int | None, float, int]:
-        """(item covered most, covered share of it, number of tiles)."""
+        """(place of the item covered most, covered share of it, number of tiles)."""
         words = tokens(text)
         if len(words) < self.least or not len(self.sorted):
             return None, 0.0, 0
@@ -121,35 +124,47 @@ class _Items:
         return best
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: float = 0.5, block_chars: int = 20_000_000, text_col: str = "text") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: float = 0.5, block_chars: int = 2_000_000, text_col: str = "text") -> DataFrame:
     """docs with leak_item (the benchmark item that tiles cover most; the smallest id of equals; null if none), leak_cover (its
     covered share), leak_tiles and leaked (leak_cover >= threshold).
 
-    Nothing is shuffled. The benchmark goes to the executors in blocks of at most block_chars characters, one after the other, so a
-    benchmark of any size needs bounded memory; one block is the usual case. Items of under `least` tokens (null ones too) can't be
-    told from chance and are left out; null and empty documents leak nothing; repeated rows are judged each.
+    A benchmark of up to block_chars characters goes out whole, and nothing is shuffled. A larger one goes in blocks of about that size, each in a pass of its own
+    over the documents whose hits (rows, not texts) are stored before the next block goes out; so no executor ever holds two blocks. A block takes about 60 bytes a
+    character in each Python worker. An item longer than a block is a block. Items of under `least` tokens (null ones too) can't be
+    told from chance and are left out. Items that share an id but not a text are judged each; an item without an id leaks with a null leak_item. Null
+    and empty documents leak nothing; repeated rows are judged each.
     """
-    sized = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select("item_id", "text")
+    sized = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
     total = sized.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-total // block_chars))
     sc = docs.sparkSession.sparkContext
-    out = docs.withColumns({"leak_item": F.lit(None).cast("long"), "leak_cover": F.lit(0.0), "leak_tiles": F.lit(0)})
-    for k in range(blocks):
-        rows = [(r["item_id"], r["text"]) for r in sized.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()]
-        given = sc.broadcast(_Items(sorted(rows), least))
-
-        def work(columns, given=given):
-            item, cover, n = [], [], []
-            for text, i0, c0, n0 in zip(*(c.to_pylist() for c in columns), strict=True):
-                i, c, t = given.value.cover(text)
-                if i0 is not None and (i is None or c < c0 or (c == c0 and i0 < i)):
-                    i, c, t = i0, c0, n0
-                item.append(i)
-                cover.append(c)
-                n.append(t)
-            return [pa.array(item, pa.int64()), pa.array(cover, pa.float64()), pa.array(n, pa.int32())]
-
-        out = with_columns(out, [text_col, "leak_item", "leak_cover", "leak_tiles"], "leak_item bigint, leak_cover double, leak_tiles int", work)
+    fields = "leak_item bigint, leak_cover double, leak_tiles int"
+
+    def judged(rows: DataFrame, k: int):
+        items = [(r["item_id"], r["text"]) for r in sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()]
+        given = sc.broadcast(_Items(items, least))
+
+        def work(columns):
+            found = [given.value.cover(t) for t in columns[0].to_pylist()]
+            ids = given.value.ids
+            return [pa.array([None if i is None else ids[i] for i, _, _ in found], pa.int64()), pa.array([c for _, c, _ in found], pa.float64()), pa.array([n for _, _, n in found], pa.int32())]
+
+        return with_columns(rows, [text_col], fields, work), given
+
+    if blocks == 1:
+        out, _ = judged(docs, 0)
+    else:
+        # rows get a number that stays, as they are written once
+        rows, hits = stored(docs.withColumn("__leak_row", F.monotonically_increasing_id()), "numbered"), None
+        for k in range(blocks):
+            found, given = judged(rows.select("__leak_row", text_col), k)
+            found = stored(found.where("leak_cover > 0").select("__leak_row", "leak_item", "leak_cover", "leak_tiles"), "hits")
+            given.unpersist()
+            hits = found if hits is None else hits.unionByName(found)
+        first = F.max_by(F.struct("leak_item", "leak_cover", "leak_tiles"), F.struct("leak_cover", -F.coalesce("leak_item", F.lit((1 << 63) - 1))))
+        hits = hits.groupBy("__leak_row").agg(first.alias("__leak"))
+        out = rows.drop("leak_item", "leak_cover", "leak_tiles").join(hits, "__leak_row", "left").drop("__leak_row")
+        out = out.withColumns({"leak_item": F.col("__leak.leak_item"), "leak_cover": F.coalesce("__leak.leak_cover", F.lit(0.0)), "leak_tiles": F.coalesce("__leak.leak_tiles", F.lit(0))}).drop("__leak")
     return out.withColumn("leaked", F.col("leak_cover") >= threshold)
 
 
