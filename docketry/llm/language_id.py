@@ -14,8 +14,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import stored, table, with_columns
+from .site_style_tree import host_of
 
 BITS = 16
 
@@ -46,31 +48,45 @@ class TextModel:
         return (mean * min(len(t), self.trust)).tolist(), len(t)
 
 
-def train(docs: DataFrame, sample: int = 4_000, least: int = 5, most_languages: int = 64, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", trust: int = 60) -> TextModel:
-    """Trigram frequencies of at most `sample` documents with a declared language (the smallest hashes of their ids); counting is
-    done by Spark, a row for each language. Languages that fewer than `least` of them declare are left out."""
-    some = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(label_col).cast("string").alias("l"))
-    some = F.broadcast(some.orderBy(F.xxhash64("i"), "i").limit(sample))
-    rows = docs.select(F.col(id_col).alias("i"), F.col(label_col).cast("string").alias("l"), F.col(text_col).alias("t")).join(some, ["i", "l"])
+#: The outcome for a text in none of the model's languages: its trigrams are taken to be anything, evenly.
+UNKNOWN = "und"
+
+
+def train(docs: DataFrame, sample: int = 1_000, least: int = 5, most_languages: int = 200, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", trust: int = 60) -> TextModel:
+    """Trigram frequencies of at most `sample` documents of each declared language (the smallest hashes of their ids), and UNKNOWN.
+
+    All tasks count what lies in their part; counts are summed by (language, trigram), and the table of the model alone comes to the driver: at most
+    most_languages times 65,536 numbers. Languages that fewer than `least` documents declare are left out, and those beyond the
+    most_languages most frequent; their texts are UNKNOWN unless they look like another language. Rows that share an id and a language are one for the sample."""
+    told = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(label_col).cast("string").alias("l"))
+    sizes = told.groupBy("l").agg(F.count("*").alias("n")).where(F.col("n") >= least).orderBy(F.col("n").desc(), "l").limit(most_languages)
+    # about sample * 1.2 + 20 rows of a language lie under its cut of the hash; of those the first `sample` are taken
+    place = F.xxhash64("i") / F.lit(float(1 << 64)) + 0.5
+    near = told.join(F.broadcast(sizes), "l").select("i", "l", place.alias("h"), ((sample * 1.2 + 20) / F.col("n")).alias("cut")).where("h < cut").distinct()
+    first = near.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h", "i"))).where(F.col("k") <= sample).select("i", "l")
+    rows = docs.select(F.col(id_col).alias("i"), F.col(label_col).cast("string").alias("l"), F.col(text_col).alias("t")).join(F.broadcast(first), ["i", "l"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, list] = {}
+        sums: dict[str, np.ndarray] = {}
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                s = sums.setdefault(lang, [0, np.zeros(1 << BITS, np.int64)])
-                s[0] += 1
-                s[1] += np.bincount(_trigrams(text), minlength=1 << BITS)
-        for lang, (n, c) in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([n], pa.int64()), pa.array([c.tobytes()], pa.binary())], names=["l", "n", "c"])
-
-    total: dict[str, list] = {}
-    for r in rows.select("l", "t").coalesce(8).mapInArrow(count, "l string, n bigint, c binary").toLocalIterator():
-        s = total.setdefault(r["l"], [0, np.zeros(1 << BITS, np.int64)])
-        s[0] += r["n"]
-        s[1] += np.frombuffer(r["c"], np.int64)
-    names = sorted(sorted(k for k, v in total.items() if v[0] >= least), key=lambda k: -total[k][0])[:most_languages]
-    names.sort()
-    cols = [np.log((total[k][1] + 0.1) / (total[k][1].sum() + 0.1 * (1 << BITS))) for k in names]
+                sums.setdefault(lang, np.zeros(1 << BITS, np.int64))
+                sums[lang] += np.bincount(_trigrams(text), minlength=1 << BITS)
+        for lang, c in sums.items():
+            g = np.flatnonzero(c)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g, pa.int32()), pa.array(c[g], pa.int64())], names=["l", "g", "n"])
+
+    counts = rows.select("l", "t").mapInArrow(count, "l string, g int, n bigint").groupBy("l", "g").agg(F.sum("n").alias("n")).toPandas()
+    names = sorted(set(counts["l"]))
+    cols = []
+    for name in names:
+        some = counts[counts["l"] == name]
+        c = np.full(1 << BITS, 0.1)
+        c[some["g"].to_numpy()] += some["n"].to_numpy()
+        cols.append(np.log(c / c.sum()))
+    if names:
+        cols.append(np.full(1 << BITS, -BITS * np.log(2)))
+        names.append(UNKNOWN)
     return TextModel(tuple(names), np.stack(cols, 1).astype(np.float32) if cols else np.zeros((1 << BITS, 0), np.float32), trust)
 
 
@@ -82,8 +98,8 @@ def address_suffix(url: Column) -> Column:
 
 
 def domain(host: Column) -> Column:
-    """The last two labels of a host."""
-    return F.regexp_extract(host, r"([^.]*(?:\.[^.]*)?)$", 1)
+    """The last two labels of a host; for a name without dots (a source's) what stands before its first digit or mark, so that src1 and src2 are of one kind."""
+    return F.when(host.contains("."), F.regexp_extract(host, r"([^.]*\.[^.]*)$", 1)).otherwise(F.regexp_extract(host, r"^([^\d_/:-]*)", 1))
 
 
 def identify(docs: DataFrame, model: TextModel, text: Column, declared: Column, host: Column, url: Column | None = None, smooth: float = 20.0, broadcast_hosts: int = 100_000, salts: int = 64) -> DataFrame:
@@ -159,15 +175,33 @@ ACCEPT = 0.5
 
 
 def accepted() -> Column:
-    """Whether the language is known: its posterior is at least ACCEPT and the text has letters."""
-    return (F.col("trigrams_") > 0) & (F.col("posterior") >= ACCEPT)
+    """Whether the language is known: it is one of the model's, its posterior is at least ACCEPT, and the text has letters."""
+    return (F.col("trigrams_") > 0) & (F.col("posterior") >= ACCEPT) & (F.col("language") != UNKNOWN)
 
 
 def of_documents(docs: DataFrame) -> DataFrame:
-    """identify() over documents (doc_id, text, lang, source): lang is the declared language, source the host."""
+    """identify() over documents (doc_id, text, lang, source): lang is the declared language, source the host. Documents have no address, so its suffix
+    is no witness here (see of_pages)."""
     return identify(docs, train(docs), F.col("text"), F.col("lang"), F.col("source"))
 
 
+def of_pages(pages: DataFrame) -> DataFrame:
+    """pages (page_id, url, html) with declared, language, posterior and trigrams_: all four witnesses speak. Markup declares a language in <html lang>, the
+    address has a suffix, and its host a domain. The text is that of the whole page without scripts; the model is trained on what pages declare.
+
+    Null or empty html has no text; a null or odd url no host and suffix. Pages that share a page_id are judged each."""
+    lang = F.lower(F.regexp_extract("html", r"(?i)<html\b[^>]*?\slang\s*=\s*[\"']?([a-z]{2,3})", 1))
+    bare = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " "), r"<[^>]*>|&[#A-Za-z0-9]+;", " ")
+    rows = pages.select("page_id", "url", bare.alias("text"), F.nullif(lang, F.lit("")).alias("declared"))
+    model = train(rows, id_col="page_id", label_col="declared")
+    return identify(rows, model, F.col("text"), F.col("declared"), host_of(F.col("url")), F.col("url")).drop("text")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = of_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     return out.select("doc_id", F.col("lang").alias("declared"), "language", F.round("posterior", 4).alias("posterior"), accepted().alias("accepted"))
+
+
+def op7_page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = of_pages(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "declared", "language", F.round("posterior", 4).alias("posterior"), accepted().alias("accepted"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from .automaton_dedup import op4_substring_dedup
 from .decontamination import op6_benchmark_decontamination
 from .jaccard_join import op5_jaccard_join
-from .language_id import op7_language_id
+from .language_id import op7_language_id, op7_page_languages
 from .mixing import op10_mixing
 from .pii import op3_pii_surrogates
 from .quality_rules import op1_quality_rules
@@ -13,5 +13,5 @@ from .site_style_tree import op8_html_extraction
 from .suffix_dedup import op2_suffix_array_dedup
 from .token_counts import op9_token_counts
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_suffix_array_dedup": op2_suffix_array_dedup, "op3_pii_surrogates": op3_pii_surrogates, "op4_substring_dedup": op4_substring_dedup, "op5_jaccard_join": op5_jaccard_join, "op6_benchmark_decontamination": op6_benchmark_decontamination, "op7_language_id": op7_language_id, "op8_html_extraction": op8_html_extraction, "op9_token_counts": op9_token_counts, "op10_mixing": op10_mixing}
+QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_suffix_array_dedup": op2_suffix_array_dedup, "op3_pii_surrogates": op3_pii_surrogates, "op4_substring_dedup": op4_substring_dedup, "op5_jaccard_join": op5_jaccard_join, "op6_benchmark_decontamination": op6_benchmark_decontamination, "op7_language_id": op7_language_id, "op7_page_languages": op7_page_languages, "op8_html_extraction": op8_html_extraction, "op9_token_counts": op9_token_counts, "op10_mixing": op10_mixing}
 ORACLES: dict[str, str] = {}

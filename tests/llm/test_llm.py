@@ -57,7 +57,7 @@ def test_odd_and_empty_tables(spark, odd, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_run_whole(spark, name):
-    n = spark.read.parquet(f"{SF}/{'pages' if name.startswith('op8') else 'documents'}.parquet").count()
+    n = spark.read.parquet(f"{SF}/{'pages' if name.startswith('op8') or 'page' in name else 'documents'}.parquet").count()
     assert QUERIES[name](spark, SF).count() == n
 
 
