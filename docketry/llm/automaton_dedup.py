@@ -1,8 +1,9 @@
 """Removal of word windows that repeat across documents, by suffix automata.
 
-The reference is cut into shards: all passages that share an anchor (see repeats.py). A shard's passages make one suffix automaton, and the
-same passages are streamed through it; the matching statistics say how long a match ends at each word and which documents have it.
-Shards are dealt by their anchors instead of being broadcast: sending every shard to every document would cost documents times shards.
+The reference, all passages that may repeat (see repeats.py), is cut into shards of bounded size. A shard's passages make one suffix automaton, and the
+passages are streamed through it; the matching statistics say how long a match ends at each word and which documents have it.
+Shards are dealt by anchors instead of being broadcast: here every document is a reference for every other, so sending every shard to every document would cost
+documents times shards. A passage meets the one shard that can hold its windows.
 """
 
 from __future__ import annotations
@@ -97,37 +98,54 @@ class SuffixAutomaton:
         return out
 
 
-def smallest_holders(bundle: Bundle, window: int, most: int = 2_000) -> list[np.ndarray]:
+def _stream(rows: list[list[int]], owners: list[int], window: int) -> list[np.ndarray]:
+    """The smallest owner of each window of each row, by one automaton of them all."""
+    a = SuffixAutomaton()
+    for r, o in zip(rows, owners, strict=True):
+        a.add(r, o)
+    a.settle()
+    return [np.array(a.matches(r, window), np.int64) for r in rows]
+
+
+def smallest_holders(bundle: Bundle, window: int, most: int = 40_000) -> list[np.ndarray]:
     """For each window of each stretch the smallest id of those that hold it.
 
-    A shard of over `most` stretches (a common phrase amid different words) is cut into smaller ones by the windows' own hashes; equal
-    windows stay together."""
+    Whole anchors fill a shard up to about `most` symbols, which bounds the memory of an automaton. An anchor of more (a common phrase amid different words) is cut
+    into shards by the windows' own hashes; equal windows stay together."""
     out: list[np.ndarray | None] = [None] * len(bundle.symbols)
     cuts = np.concatenate([[0], np.flatnonzero(bundle.anchors[1:] != bundle.anchors[:-1]) + 1, [len(bundle.anchors)]])
+    sizes = np.concatenate([[0], np.cumsum([len(r) for r in bundle.symbols])])
+    held: list[int] = []
+
+    def answered() -> None:
+        if held:
+            found = _stream([bundle.symbols[k].tolist() for k in held], bundle.smallest[held].tolist(), window)
+            for k, x in zip(held, found, strict=True):
+                out[k] = x
+            held.clear()
+
+    filled = 0
     for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        rows = [r.tolist() for r in bundle.symbols[lo:hi]]
-        owners = bundle.smallest[lo:hi].tolist()
-        if hi - lo <= most:
-            a = SuffixAutomaton()
-            for r, o in zip(rows, owners, strict=True):
-                a.add(r, o)
-            a.settle()
-            for k, r in enumerate(rows):
-                out[lo + k] = np.array(a.matches(r, window), np.int64)
+        n = int(sizes[hi] - sizes[lo])
+        if n <= most:
+            if filled + n > most:
+                answered()
+                filled = 0
+            held += range(lo, hi)
+            filled += n
             continue
-        shards = -(-(hi - lo) // most) * 8
-        placed: list[list[tuple[int, int]]] = [[] for _ in range(shards)]
-        for k, r in enumerate(bundle.symbols[lo:hi]):
-            out[lo + k] = np.zeros(len(r) - window + 1, np.int64)
-            for s in range(len(r) - window + 1):
-                placed[xxh3_64_intdigest(r[s : s + window].tobytes()) % shards].append((k, s))
-        for shard in placed:
-            a = SuffixAutomaton()
-            for k, s in shard:
-                a.add(rows[k][s : s + window], owners[k])
-            a.settle()
-            for k, s in shard:
-                out[lo + k][s] = a.matches(rows[k][s : s + window], window)[0]
+        shards = -(-n * window // most)
+        placed: dict[int, list[tuple[int, int]]] = {}
+        for k in range(lo, hi):
+            row = bundle.symbols[k]
+            out[k] = np.zeros(len(row) - window + 1, np.int64)
+            for s in range(len(row) - window + 1):
+                placed.setdefault(xxh3_64_intdigest(row[s : s + window].tobytes()) % shards, []).append((k, s))
+        for shard in placed.values():
+            found = _stream([bundle.symbols[k][s : s + window].tolist() for k, s in shard], [int(bundle.smallest[k]) for k, _ in shard], window)
+            for (k, s), x in zip(shard, found, strict=True):
+                out[k][s] = x[0]
+    answered()
     return out
 
 

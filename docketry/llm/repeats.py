@@ -193,12 +193,14 @@ class Bundle:
     smallest: np.ndarray  # the smallest id that has it
 
 
-def covered_windows(docs: DataFrame, kind: Kind, compare: Callable[[Bundle], list[np.ndarray]], bucket_symbols: int) -> DataFrame:
+def covered_windows(docs: DataFrame, kind: Kind, compare: Callable[[Bundle], list[np.ndarray]], bucket_symbols: int, most_partitions: int = 20_000) -> DataFrame:
     """(id, covered): for each document (id, text) of docs with covered windows, arrays of packed int64 pairs (from, to) of symbols.
 
-    compare gets bundles and says for each stretch, for each of its windows, the smallest id of all stretches that hold that window."""
+    compare gets bundles and says for each stretch, for each of its windows, the smallest id of all stretches that hold that window. A bucket holds about bucket_symbols
+    symbols at most, which bounds the memory of a task; a task takes one bucket after the other, so there are never more than most_partitions tasks."""
     symbols = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"] // (1 if kind.dtype is np.uint8 else 6)
     buckets = max(48, -(-symbols // bucket_symbols))
+    tasks = min(buckets, most_partitions)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, kind):
@@ -232,7 +234,7 @@ def covered_windows(docs: DataFrame, kind: Kind, compare: Callable[[Bundle], lis
 
     names = ["bucket", "id", "a", "b", "c"]
     schema = "bucket bigint, id bigint, a binary, b binary, c binary"
-    sent = docs.mapInArrow(anchors, schema).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    sent = docs.mapInArrow(anchors, schema).repartition(tasks, "bucket").sortWithinPartitions("bucket")
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, (ids, a, b, c) in _groups(batches):
@@ -290,7 +292,7 @@ def covered_windows(docs: DataFrame, kind: Kind, compare: Callable[[Bundle], lis
 
     sent_names = ["bucket", "id", "a", "b", "c", "d", "e"]
     parts = docs.join(hits, "id").select("id", "text", "codes").mapInArrow(cut, "bucket bigint, id bigint, a binary, b binary, c binary, d binary, e binary")
-    parts = parts.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    parts = parts.repartition(tasks, "bucket").sortWithinPartitions("bucket")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
