@@ -3,10 +3,18 @@
 Every entity that a pattern finds gets a replacement drawn by a keyed hash: the same kind of thing in the same format, the
 same one for the same entity wherever it stands. All entities of the corpus are drawn together and checked: where two would share a
 replacement, or a replacement is itself a real entity of the corpus, the later ones are drawn again.
+
+A person is found by a title ("Mrs Anna Weber"); from then on the text is searched for the bare name and surname too. Surnames and given names are entities of
+their own: a surname has one surrogate everywhere, so "Ms Weber" and "Weber" follow "Anna Weber", and a given name is drawn for each full name.
+
+Found are: emails, phone numbers, payment cards, IBANs, SSNs, IPv4 and IPv6 (also shortened), MACs, secrets by their look or after a word such as password,
+and persons with a title of _TITLES. Not found are persons that no title ever precedes in the text, given names standing alone, postal addresses and dates.
 """
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,7 +39,7 @@ PATTERNS = {
     "EMAIL": r"(?=[\p{L}\p{N}_%+])(?<![\p{L}\p{N}._%+'-])[\p{L}\p{N}._%+'-]{1,64}+@[\p{L}\p{N}][\p{L}\p{N}-]{0,62}(?:\.[\p{L}\p{N}-]{1,63})*\.\p{L}{2,24}",
     "SECRET": r"(?=[0-9a-fA-Fsprgxe])(?<![\p{L}\p{N}_-])(?:(?=[a-fA-F]*[0-9])[0-9a-fA-F]{32,}+|(?=[A-Za-z_-]{1,64}[0-9])(?:(?:sk|pk|rk|ghp|gho|ghs|xoxb|xoxp|AKIA|ASIA|AIza)[_-]?[A-Za-z0-9_-]{16,}+|eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+))(?![\p{L}\p{N}_])",
     "MAC": r"(?=[0-9a-fA-F]{2}[:-])(?<![\p{L}\p{N}:])(?:[0-9a-fA-F]{2}[:-]){5}[0-9a-fA-F]{2}(?![\p{L}\p{N}:])",
-    "IPV6": r"(?=[0-9a-fA-F]{1,4}:)(?<![\p{L}\p{N}:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![\p{L}\p{N}:])",
+    "IPV6": r"(?=[0-9a-fA-F]{1,4}:[0-9a-fA-F:]*[0-9])(?<![\p{L}\p{N}:])(?:(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}|(?:[0-9a-fA-F]{1,4}:){2,6}(?::[0-9a-fA-F]{1,4}){1,5}|[0-9a-fA-F]{1,4}:(?::[0-9a-fA-F]{1,4}){2,6}|(?:[0-9a-fA-F]{1,4}:){3,7}:)(?![\p{L}\p{N}:])",
     "IPV4": rf"(?=\d)(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "IBAN": r"(?=[A-Z]{2}\d)(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "SSN": r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -40,8 +48,9 @@ PATTERNS = {
     "PERSON": rf"{_INITIALS}\b{_TITLE}\.? {_NAME}(?: {_NAME})?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: What a text must hold to be searched, all other patterns needing a digit, @, = or : somewhere: two cheap scans spare most texts the patterns.
-_HINTS = ("[0-9@=:]", rf"{_INITIALS}{_TITLE}\.? \p{{Lu}}")
+#: What a text must hold to be searched: a digit, @, = or : for most patterns, two hexadecimal pairs with a hyphen for MACs of letters alone, a title for
+#: persons. Cheap scans spare most texts the patterns.
+_HINTS = ("[0-9@=:]", rf"{_INITIALS}{_TITLE}\.? \p{{Lu}}", "[a-fA-F]{2}-[a-fA-F]{2}-[a-fA-F]{2}-")
 _ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 
 # Parts of invented names; a replacement is a given name and a surname made of a stem and an ending.
@@ -65,7 +74,12 @@ def kind_of(m: Column) -> Column:
     out = None
     for name, p in PATTERNS.items():
         out = (F if out is None else out).when(m.rlike(rf"^(?:{p})$"), F.lit("SECRET" if name == "KEYED" else name))
-    return out.otherwise(F.lit("SECRET"))
+    return out.when(m.rlike(rf"^{_NAME}(?: {_NAME})?$"), F.lit("PERSON")).otherwise(F.lit("SECRET"))
+
+
+def name_of(m: Column) -> Column:
+    """The name in a match of a person, without its title."""
+    return F.regexp_replace(m, rf"^{_TITLE}\.? ", "")
 
 
 def _gender(m: Column) -> Column:
@@ -74,13 +88,13 @@ def _gender(m: Column) -> Column:
 
 
 def canonical(m: Column, kind: Column) -> Column:
-    """What matches of one entity have in common: digits of numbers, lower-case addresses, names without their title."""
+    """What matches of one entity have in common: digits of numbers, lower-case addresses, lower-case names without their title."""
     compact = F.regexp_replace(m, r"[ .()-]", "")
     return (
         F.when(kind == "EMAIL", F.lower(m)).when(kind.isin("CARD", "SSN", "PHONE", "IBAN"), compact)
         .when(kind.isin("MAC", "IPV6"), F.lower(F.regexp_replace(m, "-", ":")))
         .when(kind == "SECRET", F.regexp_replace(m, f"^{_KEYWORD}", ""))
-        .when(kind == "PERSON", F.concat(_gender(m), F.lit(":"), F.lower(F.regexp_replace(m, r"^[^ ]+ ", ""))))
+        .when(kind == "PERSON", F.lower(name_of(m)))
         .otherwise(m)
     )
 
@@ -99,10 +113,10 @@ def _pick(values: list[str], n: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (n % len(values) + 1).cast("int"))
 
 
-def _redraw(text: Column, stream: Column, first: Column | int = 0, digits: bool = False) -> Column:
+def _redraw(text: Column, stream: Column, first: Column | int = 0, digits: bool = False, surely_hex: bool = False) -> Column:
     """Letters become letters and digits digits of the same case; in hexadecimal texts they stay hexadecimal. The first
     `first` characters stay."""
-    hexadecimal = F.lit(False) if digits else text.rlike(r"^[0-9a-f:]+$|^[0-9A-F]+$") & text.rlike("[0-9]")
+    hexadecimal = F.lit(False) if digits else F.lit(True) if surely_hex else text.rlike(r"^[0-9a-f:]+$|^[0-9A-F]+$") & text.rlike("[0-9]")
 
     def one(c, i):
         x = _byte(stream, i)
@@ -133,12 +147,13 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.split(digits, ""), one), F.lit(0), lambda a, d: a + d) % 10
 
 
-def draw(kind: Column, canon: Column, key: str, attempt: Column) -> Column:
+def draw(kind: Column, canon: Column, hint: Column, key: str, attempt: Column) -> Column:
     """The canonical form of a replacement: same length and make-up; IP addresses have valid octets, card numbers the check digit that
-    keeps them as valid or invalid as the original, emails keep their top-level domain and share a domain where originals do, names keep gender and script.
+    keeps them as valid or invalid as the original, emails keep their top-level domain and share a domain where originals do. A SURNAME keeps its script; a GIVEN (a full
+    name, of which only the first name is drawn) its script and its gender, which hint tells.
 
-    From the third attempt on (attempt 2) a format is taken to be too full, and what there is to draw from grows by a factor with each attempt: local parts of
-    emails and surnames get longer, secrets take any letters and digits; from attempt 4 on phone numbers and SSNs get more digits. A secret without
+    From the second attempt on names get longer, from the third on (attempt 2) a format is taken to be too full, and what there is to draw from grows by a factor with each
+    attempt: local parts of emails and names get more syllables, secrets take any letters and digits; from attempt 4 on phone numbers and SSNs get more digits. A secret without
     letters and digits takes them from the start."""
     what = F.concat(kind, F.lit("|"), canon, F.lit("|"), attempt.cast("string"))
     stream = _hex(key, what, F.length(canon) * 2 + 16)
@@ -154,27 +169,27 @@ def draw(kind: Column, canon: Column, key: str, attempt: Column) -> Column:
     octets = F.array_join(F.transform(F.split(canon, r"\."), lambda o, i: (_byte(stream, i) % 254 + 1).cast("string")), ".")
     card = _redraw(F.substring(canon, F.lit(1), F.length(canon) - 1), stream, 1, digits=True)
     check = (_luhn(canon) - _luhn(F.concat(card, F.lit("0"))) + 10) % 10
-    plain = F.substring(canon, F.lit(3), F.length(canon))
-    gender = F.substring(canon, 1, 1)
-    script = F.when(plain.rlike(r"\p{IsCyrillic}"), F.lit("cyrillic")).when(plain.rlike(r"\p{IsGreek}"), F.lit("greek")).otherwise(F.lit("latin"))
+    script = F.when(canon.rlike(r"\p{IsCyrillic}"), F.lit("cyrillic")).when(canon.rlike(r"\p{IsGreek}"), F.lit("greek")).otherwise(F.lit("latin"))
     number = lambda k: F.conv(F.substring(stream, k * 6 + 1, 6), 16, 10).cast("long")
-    given = surname = second = None
+    given = surname = None
     for s in _STEM:
-        syllables = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), longer)), lambda k: _pick(_SYLLABLE[s], _byte(more, k)))  # noqa: B023
-        inside = F.when(attempt > 1, F.array_join(syllables, "")).otherwise(F.lit(""))
-        made = F.concat(_pick(_STEM[s], number(1)), inside, _pick(_ENDING[s], number(2)))
-        again = F.concat(_pick(_STEM[s], number(3)), _pick(_ENDING[s], number(4)))
-        surname = (F if surname is None else surname).when(script == s, made)
-        second = (F if second is None else second).when(script == s, again)
+        # two more syllables with each attempt: the space of names grows 256-fold
+        syllables = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), attempt * 2)), lambda k: _pick(_SYLLABLE[s], _byte(more, k)))  # noqa: B023
+        inside = F.when(attempt > 0, F.array_join(syllables, "")).otherwise(F.lit(""))
+        surname = (F if surname is None else surname).when(script == s, F.concat(_pick(_STEM[s], number(1)), inside, _pick(_ENDING[s], number(2))))
         for g in "fmx":
-            given = (F if given is None else given).when((script == s) & (gender == g), _pick(_GIVEN.get((s, g)) or _GIVEN[s, "m"], number(0)))
-    surname = F.when(attempt > 0, F.concat(surname, F.lit("-"), second)).otherwise(surname)
-    name = F.concat(gender, F.lit(":"), F.lower(F.when(plain.contains(" "), F.concat(given, F.lit(" "), surname)).otherwise(surname)))
+            names = _GIVEN.get((s, g)) or _GIVEN[s, "m"]
+            first = _pick(names, number(0))
+            double = F.concat(first, F.lit("-"), _pick(names, number(3)))
+            made = F.when(attempt == 0, first).when(attempt == 1, double).otherwise(F.concat(first, F.array_join(F.slice(syllables, 1, F.greatest(F.lit(1), longer)), "")))
+            given = (F if given is None else given).when((script == s) & (hint == g), made)
     wide = F.array_join(F.transform(F.split(canon, ""), lambda c, i: F.substring(F.lit(_ALNUM), _byte(stream, i) % len(_ALNUM) + 1, F.lit(1))), "")
     return (
-        F.when(kind == "EMAIL", email).when(kind == "IPV4", octets).when(kind == "CARD", F.concat(card, check.cast("string"))).when(kind == "PERSON", name)
+        F.when(kind == "EMAIL", email).when(kind == "IPV4", octets).when(kind == "CARD", F.concat(card, check.cast("string")))
+        .when(kind == "SURNAME", F.lower(surname)).when(kind == "GIVEN", F.concat(F.lower(given), F.lit(" "), F.substring_index(canon, " ", -1)))
         .when(kind == "PHONE", F.concat(_redraw(canon, stream, F.when(canon.startswith("+"), F.lit(2)).otherwise(F.lit(0)), digits=True), digits))
         .when(kind == "IBAN", _redraw(canon, stream, 2, digits=True)).when(kind == "SSN", F.concat(_redraw(canon, stream, digits=True), digits))
+        .when(kind.isin("MAC", "IPV6"), _redraw(canon, stream, surely_hex=True))
         .when((kind == "SECRET") & ((attempt > 1) | ~canon.rlike(r"[\p{L}0-9]")), wide)
         .otherwise(_redraw(canon, stream))
     )
@@ -186,7 +201,8 @@ def dress(m: Column, kind: Column, replacement: Column) -> Column:
     body = F.regexp_replace(replacement, r"[^\p{L}\p{N}]", "")
     held = F.length(F.regexp_replace(m, r"[^\p{L}\p{N}]", ""))
     filled = F.array_join(F.transform(F.split(m, ""), lambda c, i: F.when(c.rlike(r"[\p{L}\p{N}]"), F.substring(body, F.length(F.regexp_replace(F.substring(m, F.lit(1), i), r"[^\p{L}\p{N}]", "")) + 1, F.lit(1))).otherwise(c)), "")
-    name = F.concat(F.regexp_extract(m, r"^[^ ]+ ", 0), F.array_join(F.transform(F.split(F.substring(replacement, F.lit(3), F.length(replacement)), "(?<=[ -])"), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w)))), ""))
+    capitals = F.array_join(F.transform(F.split(replacement, "(?<=[ -])"), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w)))), "")
+    name = F.concat(F.regexp_extract(m, rf"^(?:{_TITLE}\.? )?", 0), capitals)
     return (
         F.when(kind == "PERSON", name).when(kind == "SECRET", F.concat(F.regexp_extract(m, f"^{_KEYWORD}", 0), replacement))
         .when(kind.isin("CARD", "IBAN"), filled)
@@ -197,15 +213,16 @@ def dress(m: Column, kind: Column, replacement: Column) -> Column:
 
 
 def assign(entities: DataFrame, key: str, most_rounds: int = 12) -> DataFrame:
-    """(kind, canon, replacement) for distinct entities (kind, canon): no two of a kind share a replacement, and none is an entity.
+    """(kind, canon, replacement) for distinct entities (kind, canon, hint): no two of a kind share a replacement, and none is an entity. A GIVEN's
+    replacement is its new first name before its old surname, so that first names differ among those of one surname.
 
     In each round all that are left draw; of those that draw the same the smallest wins, and who draws an entity or what was given
     before draws again. Few are left after the first round, so the later ones are small. Where a format is so full that many are left, draw() makes it
     wider with each attempt. IPv4 addresses alone can't be wider; they fail when a large share of all 254**4 stand in the corpus."""
-    entities = stored(entities.select("kind", "canon").distinct(), "entities")
+    entities = stored(entities.groupBy("kind", "canon").agg(F.min("hint").alias("hint")), "entities")
     left, given = entities.withColumn("attempt", F.lit(0)), None
     for k in range(most_rounds):
-        drawn = left.select("kind", "canon", draw(F.col("kind"), F.col("canon"), key, F.lit(k)).alias("replacement"))
+        drawn = left.select("kind", "canon", "hint", draw(F.col("kind"), F.col("canon"), F.col("hint"), key, F.lit(k)).alias("replacement"))
         drawn = stored(drawn, "drawn")
         won = drawn.groupBy("kind", "replacement").agg(F.min("canon").alias("canon"))
         won = won.join(entities.select("kind", F.col("canon").alias("replacement")), ["kind", "replacement"], "left_anti")
@@ -213,33 +230,71 @@ def assign(entities: DataFrame, key: str, most_rounds: int = 12) -> DataFrame:
             won = won.join(given.select("kind", "replacement"), ["kind", "replacement"], "left_anti")
         won = stored(won.select("kind", "canon", "replacement"), "won")
         given = won if given is None else given.unionByName(won)
-        left = stored(drawn.join(won, ["kind", "canon"], "left_anti").select("kind", "canon"), "left")
+        left = stored(drawn.join(won, ["kind", "canon"], "left_anti").select("kind", "canon", "hint"), "left")
         if left.isEmpty():
             return given
     raise RuntimeError("replacements could not be made distinct: too many entities of a short format")
 
 
-def replace_entities(docs: DataFrame, key: str = "docketry", text_col: str = "text") -> DataFrame:
-    """docs with text_col rewritten and n_entities (long), the number of matches replaced.
+def _entities(places: DataFrame) -> DataFrame:
+    """(kind, canon, hint) of what places (kind, canon, match) hold; a person is a SURNAME and, with a first name, a GIVEN, whose hint is the gender
+    that its titles tell in the corpus (x if none does, or several)."""
+    person, none = F.col("kind") == "PERSON", F.lit(None).cast("string")
+    other = places.where(~person).select("kind", "canon").distinct().withColumn("hint", none)
+    names = places.where(person).groupBy("canon").agg(F.collect_set(F.nullif(_gender(F.col("__pii_match")), F.lit("x"))).alias("g"))
+    gender = F.when(F.size("g") == 1, F.element_at("g", 1)).otherwise(F.lit("x"))
+    full = names.where(F.col("canon").contains(" ")).select(F.lit("GIVEN").alias("kind"), "canon", gender.alias("hint"))
+    last = names.select(F.lit("SURNAME").alias("kind"), F.substring_index("canon", " ", -1).alias("canon"), none.alias("hint")).distinct()
+    return other.unionByName(full).unionByName(last)
+
+
+def session_key(spark: SparkSession) -> str:
+    """The secret that surrogates are drawn by: the setting docketry.pii.key, or, where it is unset, a random one for this session. Who knows it can find out which
+    surrogate belongs to a guessed entity, so it is not kept in code."""
+    found = spark.conf.get("docketry.pii.key", None)
+    if found is None:
+        found = secrets.token_hex(32)
+        spark.conf.set("docketry.pii.key", found)
+    return found
+
+
+def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+    """docs with text_col rewritten and n_entities (long), the number of matches replaced. key is a secret of the caller's: the same key gives the same surrogates.
 
     Null texts stay null and empty ones empty, with 0 entities. An entity has one replacement in all rows; distinct entities
     have distinct ones. Equal texts are rewritten once, so a group of copies is no large group. Repeated rows stay repeated. A column of docs named
-    n_entities is replaced; names that begin with __pii_ are used inside.
+    n_entities is replaced; names that begin with __pii_ are used inside. Names without a title are found in texts that hold the same name or surname with one, in
+    the same spelling. An email doesn't follow the surrogate of a person whose name it holds.
     """
     text = F.col(text_col)
-    has = F.coalesce(text.rlike(_HINTS[0]) | text.rlike(_HINTS[1]), F.lit(False))
+    has = F.coalesce(text.rlike(_HINTS[0]) | text.rlike(_HINTS[1]) | text.rlike(_HINTS[2]), F.lit(False))
     found = F.when(has, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
-    rows = docs.withColumn("__pii_found", found).withColumn("__pii_text_key", F.when(F.size("__pii_found") > 0, F.sha2(text, 256)))
+    # the names that titles have introduced, longest first, make a pattern of their own for their text
+    titled = F.filter(F.col("__pii_found"), lambda m: m.rlike(rf"^{PATTERNS['PERSON']}$"))
+    names = F.transform(titled, lambda m: name_of(m))
+    names = F.array_distinct(F.concat(F.filter(names, lambda n: n.contains(" ")), F.transform(names, lambda n: F.substring_index(n, " ", -1))))
+    longest = F.transform(F.array_sort(F.transform(names, lambda n: F.struct((-F.length(n)).alias("l"), n.alias("n")))), lambda x: x["n"])
+    pattern = F.when(F.size(titled) > 0, F.concat(F.lit(PATTERN + r"|(?<![\p{L}\p{N}])(?:"), F.array_join(longest, "|"), F.lit(r")(?![\p{L}\p{N}])"))).otherwise(F.lit(PATTERN))
+    rows = docs.withColumn("__pii_found", found).withColumn("__pii_pattern", F.when(F.size("__pii_found") > 0, pattern))
+    rows = rows.withColumn("__pii_text_key", F.when(F.col("__pii_pattern").isNotNull(), F.sha2(text, 256)))
     m = F.col("__pii_match")
-    places = rows.where("__pii_text_key is not null").select("__pii_text_key", F.posexplode("__pii_found").alias("__pii_at", "__pii_match")).distinct()
+    all_found = F.when(F.col("__pii_pattern") == PATTERN, F.col("__pii_found")).otherwise(F.regexp_extract_all(text, F.col("__pii_pattern"), F.lit(0)))
+    places = rows.where("__pii_text_key is not null").select("__pii_text_key", F.posexplode(all_found).alias("__pii_at", "__pii_match")).distinct()
     places = places.withColumn("kind", kind_of(m)).withColumn("canon", canonical(m, F.col("kind")))
     places = stored(places, "places")
-    given = stored(assign(places, key), "given")
-    swaps = places.join(given, ["kind", "canon"]).select("__pii_text_key", "__pii_at", dress(m, F.col("kind"), F.col("replacement")).alias("__pii_swap"))
+    given = stored(assign(_entities(places), key), "given")
+    person = F.col("kind") == "PERSON"
+    # a person's replacement is the first name of its GIVEN and that of its SURNAME
+    plain_given = given.where("kind not in ('GIVEN', 'SURNAME')")
+    first = given.where("kind = 'GIVEN'").select("canon", F.substring_index("replacement", " ", 1).alias("__pii_first"))
+    last = given.where("kind = 'SURNAME'").select(F.col("canon").alias("__pii_surname"), F.col("replacement").alias("__pii_last"))
+    people = places.where(person).select("kind", "canon").distinct().withColumn("__pii_surname", F.substring_index("canon", " ", -1))
+    people = people.join(first, "canon", "left").join(last, "__pii_surname").select("kind", "canon", F.concat_ws(" ", "__pii_first", "__pii_last").alias("replacement"))
+    swaps = places.join(plain_given.unionByName(people), ["kind", "canon"]).select("__pii_text_key", "__pii_at", dress(m, F.col("kind"), F.col("replacement")).alias("__pii_swap"))
     swaps = swaps.groupBy("__pii_text_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("__pii_at", "__pii_swap"))), lambda x: x["__pii_swap"]).alias("__pii_swaps"))
     other = [c for c in docs.columns if c not in (text_col, "n_entities")]
     plain = rows.where("__pii_text_key is null").select(*other, text_col, F.lit(0).cast("long").alias("n_entities"))
-    pieces = F.split(text, PATTERN, -1)
+    pieces = F.split(text, F.col("__pii_pattern"), -1)
     done = F.array_join(F.zip_with(pieces, F.concat("__pii_swaps", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
     changed = rows.where("__pii_text_key is not null").drop("__pii_found").join(stored(swaps, "swaps"), "__pii_text_key").select(*other, done.alias(text_col), F.size("__pii_swaps").cast("long").alias("n_entities"))
     order = [c for c in docs.columns if c != "n_entities"]
@@ -247,4 +302,4 @@ def replace_entities(docs: DataFrame, key: str = "docketry", text_col: str = "te
 
 
 def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_entities", "text")
+    return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), session_key(spark)).select("doc_id", "n_entities", "text")
