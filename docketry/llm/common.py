@@ -26,9 +26,12 @@ def word_count(text) -> "F.Column":
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share, as spark.checkpoint.dir names it. Where it is unset, a local session gets one of its own; a cluster session must set it, as
+    a folder of one machine would be lost with it."""
     given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not given:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         given = tempfile.mkdtemp(prefix="docketry-")
         spark.conf.set("spark.checkpoint.dir", given)
     return given
