@@ -12,35 +12,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry.llm import decontamination, jaccard_join, language_id, mixing, pii, repeats
-from docketry.llm.common import shared_dir, table, word_count
+from docketry.llm.common import shared_dir, stored, table, word_count
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified: text with letters, and a posterior of at least language_id.ACCEPT."""
+    """Documents whose language is identified: text with letters, one of the languages that documents declare, and a posterior of at least language_id.ACCEPT.
+
+    Null and empty texts and those without letters go; a null lang or source is no evidence and keeps no row out; long texts are read whole; ties go to the first language by
+    name; repeated rows are judged each, alike. An empty table stays empty. Extra columns pass, whatever their names."""
     return language_id.of_documents(docs).where(language_id.accepted()).select(*docs.columns)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group that links of Jaccard similarity 0.8 and more connect. Rows with a null id are documents
-    of their own, after all others."""
+    """The document with the smallest id of each group that links of Jaccard similarity 0.8 and more connect.
+
+    Rows with a null id are documents of their own, after all others. Of rows that are repeated as a whole one stays; rows that share an id but differ are one document and
+    stay or go together. Null and empty texts are alike to nothing and stay; texts under five words are one shingle; long texts are compared whole. An empty table stays empty.
+    Extra columns pass."""
     rows = repeats.keyed(docs)
     groups = jaccard_join.jaccard_groups(rows.withColumn("doc_id", F.col("__key"))).where("doc_id = class_id").select(F.col("doc_id").alias("__key")).distinct()
-    return rows.join(groups, "__key", "left_semi").select(*docs.columns)
+    kept = rows.join(groups, "__key", "left_semi")
+    shared = stored(rows.groupBy("__key").agg(F.count("*").alias("n")).where("n > 1").select("__key"), "shared")
+    if shared.isEmpty():
+        return kept.select(*docs.columns)
+    once = kept.join(shared, "__key", "left_semi").dropDuplicates()
+    return kept.join(shared, "__key", "left_anti").unionByName(once).select(*docs.columns)
 
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no benchmark item leaks into."""
+    """Documents that no benchmark item leaks into: tiles cover less than half of every item.
+
+    Null and empty texts leak nothing and stay; long texts are searched whole; repeated rows are judged each, alike. An empty table, or an empty benchmark, changes nothing. Extra columns pass, but
+    for names that begin with leak_ or __leak, which must not be there."""
     return decontamination.contamination(docs, table(spark, sf_dir, "benchmark")).where(~F.col("leaked")).select(*docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with surrogates in place of personal data; n_chars follows."""
-    out = pii.replace_entities(docs)
+    """Texts with surrogates in place of personal data; n_chars follows.
+
+    Every row stays. Null texts stay null, with n_chars 0, and empty ones empty; long texts are rewritten whole; an entity has one surrogate in all rows, so repeated rows stay
+    repeated. An empty table stays empty. Extra columns pass, but for those that begin with __pii_."""
+    out = pii.replace_entities(docs, pii.session_key(spark))
     return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.lit(0))).select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of each document: doc_id, lang, source, size, source_size, target, taken."""
+    """Words that the mix takes of each document: doc_id, lang, source, size, source_size, target, taken, for every row. Other columns end here.
+
+    Null and empty texts have size 0 and taken 0; a null source is a source, the last one; long documents are taken whole or not at all; rows that are repeated as a whole
+    share a draw and are taken together. An empty table gives no rows."""
     sized = docs.select("doc_id", "lang", "source", word_count(F.col("text")).alias("size"))
     out = mixing.mix(sized, F.col("size"), F.array("source"))
     return out.select("doc_.doc_id", "doc_.lang", "doc_.source", F.col("size_").alias("size"), F.col("source_size_").alias("source_size"), F.col("target_").alias("target"), F.col("taken_").alias("taken"))
