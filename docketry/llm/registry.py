@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import oracles
 from .automaton_dedup import op4_substring_dedup
 from .decontamination import op6_benchmark_decontamination
 from .jaccard_join import op5_jaccard_join
@@ -14,4 +15,4 @@ from .suffix_dedup import op2_suffix_array_dedup
 from .token_counts import op9_token_counts
 
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_suffix_array_dedup": op2_suffix_array_dedup, "op3_pii_surrogates": op3_pii_surrogates, "op4_substring_dedup": op4_substring_dedup, "op5_jaccard_join": op5_jaccard_join, "op6_benchmark_decontamination": op6_benchmark_decontamination, "op7_language_id": op7_language_id, "op7_page_languages": op7_page_languages, "op8_html_extraction": op8_html_extraction, "op9_token_counts": op9_token_counts, "op10_mixing": op10_mixing}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op2_suffix_array_dedup": oracles.REPEATED_BYTES, "op4_substring_dedup": oracles.REPEATED_WORDS, "op5_jaccard_join": oracles.NEAR_COPIES}

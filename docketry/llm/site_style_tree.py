@@ -48,10 +48,10 @@ def _speaks_of_frame(name: str) -> bool:
     return any(w in _FRAME_WORDS for w in words) and all(w in _FRAME_WORDS or w in _PLAIN_WORDS for w in words)
 
 
-#: What a branch is declared to be, with its prior importance and the prior's weight against the tree's. Frames by tag or by name go whatever the
-#: entropies are (adverts change from page to page as articles do); neutral branches, those beside a declared main part and those inside it go by the tree.
+#: What a branch is declared to be, with its prior importance and the prior's weight against the tree's. Frames by tag or by name, and what
+#: lies beside a declared main part, go whatever the entropies are (adverts change from page to page as articles do); neutral branches and those inside the main part go by the tree.
 FRAME, NAMED, OUTSIDE, NEUTRAL, MAIN = range(5)
-PRIORS = {FRAME: (0.0, 0.6), NAMED: (0.0, 0.55), OUTSIDE: (0.0, 0.45), NEUTRAL: (0.8, 0.2), MAIN: (1.0, 0.4)}
+PRIORS = {FRAME: (0.0, 0.6), NAMED: (0.0, 0.55), OUTSIDE: (0.0, 0.55), NEUTRAL: (0.8, 0.2), MAIN: (1.0, 0.4)}
 #: A start tag on the left ends an open element on the right.
 _ENDS = {"p": {"p"}, "li": {"li", "p"}, "dd": {"dd", "dt", "p"}, "dt": {"dd", "dt", "p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("html body div article section main ul ol table dl aside nav header footer form blockquote td th".split())
@@ -199,11 +199,11 @@ def main_text(page: str | None, unimportant: frozenset[int] = frozenset()) -> st
     if not page:
         return ""
     order = branches(parse(page))
-    whole = any(node.main for node, *_ in order)
-    text = _blocks(order, unimportant)
-    if not text and whole:
-        text = _blocks(order, frozenset(key for _, _, _, key, kind in order if key in unimportant and kind != MAIN))
-    return text
+    if any(kind == MAIN and key in unimportant for *_, key, kind in order):
+        beside = {key for *_, key, kind in order if key is not None and kind != MAIN}
+        if not _blocks(order, unimportant | beside):
+            unimportant = unimportant & beside
+    return _blocks(order, unimportant)
 
 
 def _blocks(order: list[tuple], unimportant: frozenset[int]) -> str:
