@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -68,12 +69,14 @@ def unescape(c: Column) -> Column:
     return F.when(c.contains("&"), whole).otherwise(c)
 
 
-def html_fragments(c: Column) -> Column:
-    """The text of the body of an HTML page, script and style left out, one space between fragments, references decoded."""
+def html_fragments(c: Column, without: tuple[str, ...] = ("script", "style"), transform: Callable[[Column], Column] | None = None) -> Column:
+    """The text of the body of an HTML page, one space between fragments, references decoded. Elements `without` are left out with all in them; transform, if given, is
+    what a source does to its text before white space is collapsed."""
     body = F.when(c.rlike(r"(?is)<body[^>]*>"), F.regexp_extract(c, r"(?is)<body[^>]*>(.*?)(?:</body>|$)", 1)).otherwise(c)
-    for p in (r"(?is)<script[^>]*>.*?</script>", r"(?is)<style[^>]*>.*?</style>", r"(?s)<!--.*?-->", r"<[^>]*>"):
+    for p in (*(rf"(?is)<{e}\b[^>]*>.*?</{e}\s*>" for e in without), r"(?s)<!--.*?-->", r"<[^>]*>"):
         body = F.regexp_replace(body, p, " ")
-    return F.trim(collapse(F.translate(unescape(body), "\u00a0", " ")))
+    body = F.translate(unescape(body), "\u00a0", " ")
+    return F.trim(collapse(body if transform is None else transform(body)))
 
 
 def xml_text(c: Column, element: str) -> Column:

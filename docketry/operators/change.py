@@ -84,3 +84,27 @@ def keyed_diff(left: DataFrame, right: DataFrame, keys: list[str], ignore: tuple
 def routed(change: Column, positions_changed: Column) -> Column:
     """Whether an event is sent: new records and those whose positions changed; not for metadata alone."""
     return (change == "New") | ((change == "Updated") & F.coalesce(positions_changed, F.lit(False)))
+
+
+def member_events(members: DataFrame, terms: DataFrame, mapped: DataFrame, key: str, congress: str, position: str, chamber: str = "chamber") -> DataFrame:
+    """The members of whom an event is sent. Their chamber is that of their latest term; a senator's event waits until their id is mapped, all others, also those without a
+    term or a known chamber, are sent at once."""
+    now = terms.groupBy(key).agg(F.max_by(chamber, F.struct(F.coalesce(congress, F.lit(-1)), -F.col(position))).alias("_chamber"))
+    known = mapped.select(key, F.lit(True).alias("_mapped")).distinct()
+    rows = members.join(now, key, "left").join(known, key, "left")
+    return rows.where((F.coalesce("_chamber", F.lit("")) != "Senate") | F.col("_mapped").isNotNull()).select(*members.columns)
+
+
+def availability(candidates: DataFrame, offered: DataFrame, known: DataFrame, key: str, identity: list[str], error: str = "error") -> tuple[DataFrame, DataFrame]:
+    """(results (key, result, reason), new versions (offered's columns but error)) of candidates checked for versions that aren't known.
+
+    offered holds what was found for them, a row with an error being a check that failed. A failed check fails alone and has no new versions, one without new versions is
+    Skipped, others have Succeeded. Nulls in the identity equal each other."""
+    mine = offered.join(candidates.select(key), key, "left_semi")
+    failed = mine.where(F.col(error).isNotNull()).groupBy(key).agg(F.min(error).alias("_why"))
+    same = [F.col(f"m.{key}") == F.col(f"k.{key}")] + [F.col(f"m.{c}").eqNullSafe(F.col(f"k.{c}")) for c in identity]
+    fresh = mine.where(F.col(error).isNull()).drop(error).join(failed, key, "left_anti").alias("m").join(known.alias("k"), same, "left_anti")
+    found = fresh.select(key).distinct().withColumn("_new", F.lit(True))
+    rows = candidates.select(key).join(failed, key, "left").join(found, key, "left")
+    result = F.when(F.col("_why").isNotNull(), "Failed").when(F.col("_new").isNull(), "Skipped").otherwise("Succeeded")
+    return rows.select(key, result.alias("result"), F.coalesce("_why", F.when(F.col("_new").isNull(), F.lit("no-new-versions"))).alias("reason")), fresh

@@ -52,6 +52,13 @@ def merge(stored: DataFrame, incoming: DataFrame, spec: MergeSpec, status: str |
     return joined.select(*out)
 
 
+def append_or_touch(stored: DataFrame, entries: DataFrame, identity: list[str], touch: list[str]) -> DataFrame:
+    """stored with the entries that it lacks by identity appended; of those that it has only the `touch` columns are set. Of several entries of one identity the
+    largest touch values count. An entry with a null in its identity is always new."""
+    new = entries.groupBy(*identity).agg(F.max(F.struct(*touch)).alias("_t")).select(*identity, *[F.col(f"_t.{c}").alias(c) for c in touch])
+    return merge(stored, new, MergeSpec(tuple(identity), update=tuple(touch)))
+
+
 def insert_absent(stored: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """stored and a minimal row for each key of incoming that it lacks; columns that incoming lacks are null."""
     new = incoming.dropna(subset=keys).dropDuplicates(keys).join(stored.select(*keys).distinct(), keys, "left_anti")
@@ -99,13 +106,24 @@ def advance(stored: DataFrame, proposals: DataFrame, key: str, code: str, order:
     return best.select(key, f"_b.{code}", f"_b.{order}")
 
 
-def archive(parents: DataFrame, changed: DataFrame, keys: list[str], children: dict[str, DataFrame] | None = None, run: str = "") -> dict[str, DataFrame]:
+class NothingToArchive(ValueError):
+    """A record is to be archived that isn't stored."""
+
+
+def archive(parents: DataFrame, changed: DataFrame, keys: list[str], children: dict[str, DataFrame] | None = None, run: str = "", keep: dict[str, tuple[str, ...]] | None = None, strict: bool = False) -> dict[str, DataFrame]:
     """Copies of the changed parents and their children, with one history_id for each parent and run, as "" and the children's names.
 
-    Changed keys without a parent make no history."""
+    keep names the columns that the history of a child has (all if it isn't named). Changed keys without a parent make no history; with strict they raise NothingToArchive, whose text
+    names some of them."""
+    wanted = changed.select(*keys).distinct()
+    if strict:
+        lost = wanted.join(parents.select(*keys), keys, "left_anti").limit(5).collect()
+        if lost:
+            raise NothingToArchive(f"not stored: {[tuple(r) for r in lost]}")
     history = F.xxhash64(F.lit(run), *[F.col(k) for k in keys]).alias("history_id")
-    old = parents.join(changed.select(*keys).distinct(), keys, "left_semi")
+    old = parents.join(wanted, keys, "left_semi")
     out = {"": old.select(history, *parents.columns)}
     for name, rows in (children or {}).items():
-        out[name] = rows.join(old.select(*keys).distinct(), keys, "inner").select(history, *rows.columns)
+        columns = [c for c in (keep or {}).get(name, rows.columns) if c in rows.columns]
+        out[name] = rows.join(old.select(*keys).distinct(), keys, "inner").select(history, *columns)
     return out

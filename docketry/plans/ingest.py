@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,12 +32,18 @@ class Record:
     placeholder: tuple[str, ...] | None = None
     owned: tuple[str, ...] | None = None
     keep_if_null: tuple[str, ...] = ()
+    #: Columns that the history of a child has; a child that isn't named keeps all.
+    history: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    #: Child tables that are only appended to: the columns that tell entries apart, and those that an entry that is stored takes over.
+    appended: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = field(default_factory=dict)
+    #: The column whose chamber gives the earliest stage that a record has reached.
+    floor: str | None = None
 
 
-BILLS = Record("bills", ("bill_key",), "update_date", "bill", {"bill_cosponsors": ("member_key",), "bill_subjects": ("subject_name",)}, placeholder=("sponsor_key", "introduced_date", "latest_action_date", "update_date"))
-MEMBERS = Record("members", ("bioguide",), "update_date", "member", {"member_terms": ("congress", "chamber")}, values=("first_name", "last_name", "current_party", "state", "district"))
+BILLS = Record("bills", ("bill_key",), "update_date", "bill", {"bill_cosponsors": ("member_key",), "bill_subjects": ("subject_name",)}, placeholder=("sponsor_key", "introduced_date", "latest_action_date", "update_date"), floor="origin_chamber")
+MEMBERS = Record("members", ("bioguide",), "update_date", "member", {"member_terms": ("congress", "chamber")}, values=("first_name", "last_name", "current_party", "state", "district"), appended={"member_party_history": (("bioguide", "start_year", "party_name"), ("party_abbreviation",))})
 AMENDMENTS = Record("amendments", ("amendment_key",), "update_date", "amendment", {})
-VOTES = Record("votes", ("vote_key",), "update_date", "vote", {"vote_positions": ("chamber", "member_key")})
+VOTES = Record("votes", ("vote_key",), "update_date", "vote", {"vote_positions": ("chamber", "member_key")}, history={"vote_positions": ("member_key", "position", "party_at_vote", "state_at_vote")})
 
 
 def _or_empty(catalog: Catalog, table: str, like: DataFrame) -> DataFrame:
@@ -45,12 +51,13 @@ def _or_empty(catalog: Catalog, table: str, like: DataFrame) -> DataFrame:
     return like.limit(0) if found is None else found
 
 
-def ingest(catalog: Catalog, record: Record, incoming: DataFrame, children: dict[str, DataFrame], run: str, event: str | None = None) -> DataFrame:
-    """One run: classify, archive what will be overwritten, merge, replace the children of changed parents, queue events, and publish all as one
-    version. Returns (change, n).
+def ingest(catalog: Catalog, record: Record, incoming: DataFrame, children: dict[str, DataFrame], run: str, event: str | None = None, stages: DataFrame | None = None) -> DataFrame:
+    """One run: classify, archive what will be overwritten, merge, replace the children of changed parents, append to those that are appended to, raise stages to their floor, queue
+    events, and publish all as one version. Returns (change, n).
 
-    incoming holds a row for each key. A vote whose positions didn't change is updated without touching them and sends no event. A run that is
-    repeated finds everything unchanged and publishes nothing new but an equal version.
+    incoming holds a row for each key. A vote whose positions didn't change is updated without touching them and sends no event. stages (code, order) ranks the stages of a record with a floor.
+    Tables of records and children are dealt by key, and only the parts that a run touches are written; histories and events are appended. A run that is
+    repeated finds everything unchanged and publishes nothing new.
     """
     stored = _or_empty(catalog, record.table, incoming)
     k = list(record.keys)
@@ -58,31 +65,60 @@ def ingest(catalog: Catalog, record: Record, incoming: DataFrame, children: dict
     changed = found.where("change <> 'Unchanged'")
     rows = changed.select(*incoming.columns)
     spec = mg.MergeSpec(record.keys, record.owned, record.keep_if_null)
-    out = {record.table: mg.merge(stored, rows, spec)}
-    old_children = {name: _or_empty(catalog, name, df) for name, df in children.items()}
+    replaced = {name: df for name, df in children.items() if name not in record.appended}
+    upserts = {record.table: (rows, k, lambda s, new: new if s is None else mg.merge(s, new, spec))}
+    old_children = {name: _or_empty(catalog, name, df) for name, df in replaced.items()}
     moved = changed.select(*k, F.lit(True).alias("moved"))
-    if record.policy == "vote" and children:
-        name = next(iter(children))
-        diff = ch.keyed_diff(old_children[name].join(changed.select(*k), k, "left_semi"), children[name].join(changed.select(*k), k, "left_semi"), [*k, *record.children[name]])
+    if record.policy == "vote" and replaced:
+        name = next(iter(replaced))
+        diff = ch.keyed_diff(old_children[name].join(changed.select(*k), k, "left_semi"), replaced[name].join(changed.select(*k), k, "left_semi"), [*k, *record.children[name]])
         moved = diff.groupBy(*k).agg(F.bool_or(F.col("diff") != "Same").alias("moved"))
     touched = changed.join(moved, k, "left").where((F.col("change") == "New") | F.coalesce("moved", F.lit(False))).select(*k, "change")
-    for name, df in children.items():
-        out[name] = mg.replace_children(old_children[name], df.join(touched.select(*k), k, "left_semi"), k, touched)
+    for name, df in replaced.items():
+        # the touched parents take their children along, so that a parent that has none now loses its old ones
+        new = touched.select(*k).join(df, k, "left")
+        own = [c for c in df.columns if c not in k]
+
+        def renewed(s: DataFrame | None, n: DataFrame, own=own, df=df) -> DataFrame:
+            real = n.where(F.coalesce(*[F.col(c).isNotNull() for c in own[:1]], F.lit(True)) if own else F.lit(True)).select(*df.columns)
+            return real if s is None else mg.replace_children(s, real, k, n)
+
+        upserts[name] = (new, k, renewed)
+    for name, (identity, touch) in record.appended.items():
+        if name in children:
+            mine = children[name].join(changed.select(*k), k, "left_semi")
+            upserts[name] = (mine, k, lambda s, n, identity=identity, touch=touch: mg.append_or_touch(n.limit(0) if s is None else s, n, list(identity), list(touch)))
+    if record.floor and stages is not None and record.floor in incoming.columns:
+        reached = rows.select(*k, keys.stage_floor(F.col(record.floor)).alias("code")).join(F.broadcast(stages), "code").select(*k, "code", "order")
+        upserts[f"{record.table}_stages"] = (reached, k, lambda s, n: n if s is None else mg.advance(s, n, k[0], "code", "order"))
+    added = {}
     over = changed.where("change <> 'New'")
-    for name, df in mg.archive(stored, over, k, old_children, run).items():
+    for name, df in mg.archive(stored, over, k, old_children, run, record.history, strict=True).items():
         table = f"{record.table}_history" if not name else f"{name}_history"
         before = catalog.read(table)
         # a repeated run has the same history ids
-        out[table] = df if before is None else before.join(df.select("history_id").distinct(), "history_id", "left_anti").unionByName(df)
+        added[table] = df if before is None else df.join(before.select("history_id").distinct(), "history_id", "left_anti")
     if event:
         news = outbox(touched, event, record.table, run, k)
         before = catalog.read("events")
-        out["events"] = news if before is None else before.unionByName(news.join(before.select("event_id"), "event_id", "left_anti"))
+        added["events"] = news if before is None else news.join(before.select("event_id"), "event_id", "left_anti")
     counted = [tuple(r) for r in outcomes(found, "change").collect()]  # four kinds of change at most
-    catalog.commit(out)
+    catalog.commit({}, added, upserts)
     return catalog.spark.createDataFrame(counted, "change string, n long")
 
 
+def check_texts(catalog: Catalog, table: str, key: str, candidates: DataFrame, offered: DataFrame, known: DataFrame, identity: list[str], run: str, now, event: str, checked: str = "last_check") -> DataFrame:
+    """One run of a checker: candidates (key) are looked up in what is offered, an event is queued for each new version, and the records whose check didn't fail are stamped with
+    `now` in the column `checked` of their table, all in one version. Returns (key, result, reason); a check that failed comes again with the next run."""
+    results, fresh = ch.availability(candidates, offered, known, key, identity)
+    news = outbox(fresh, event, table, run, [key, *identity])
+    before = catalog.read("events")
+    stamped = results.where("result <> 'Failed'").select(key, F.lit(now).cast("timestamp").alias(checked))
+    upserts = {table: (stamped, [key], lambda s, n: n if s is None else mg.set_where(s, n, [key], {checked: lambda old, new: new}))}
+    catalog.commit({}, {"events": news if before is None else news.join(before.select("event_id"), "event_id", "left_anti")}, upserts)
+    return results
+
+
 def link_votes(votes: DataFrame, amendments: DataFrame) -> DataFrame:
     """votes (congress, chamber, roll_number, ...) with the amendment whose last action cites their roll, where only one does; such votes lose their
     bill. amendments: amendment_key, congress, amendment_type, number, latest_action_text."""

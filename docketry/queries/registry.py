@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import changes, ranks, scalars, writes  # noqa: F401
+from . import changes, feeds, jobs, ranks, scalars, writes  # noqa: F401
 from .changes import flagship
 from .tables import ORACLES, QUERIES
 

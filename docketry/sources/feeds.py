@@ -112,10 +112,14 @@ def senate_rosters(spark: SparkSession, path: str) -> DataFrame:
     return top.unionByName(below)
 
 
+def listing_text(granules: DataFrame, *other: str) -> DataFrame:
+    """(id, *other, text) of the granules (id, value) that are committee pages, tags and entities taken out."""
+    return granules.where(F.col("id").contains("HOUSECOMMITTEES") | F.col("id").contains("SENATECOMMITTEES")).select("id", *other, strip_tags(F.col("value")).alias("text"))
+
+
 def directory_listings(spark: SparkSession, path: str) -> DataFrame:
-    """(id, text) of a directory's committee pages, tags and entities taken out."""
-    rows = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[A-Za-z]+)?$", 1).alias("id"), "value")
-    return rows.where(F.col("id").contains("HOUSECOMMITTEES") | F.col("id").contains("SENATECOMMITTEES")).select("id", strip_tags(F.col("value")).alias("text"))
+    """(id, text) of a directory's committee pages; a granule's id is the name of its file."""
+    return listing_text(spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[A-Za-z]+)?$", 1).alias("id"), "value"))
 
 
 def editions(packages: DataFrame, congress: int, date: str = "date_issued") -> DataFrame:

@@ -1,15 +1,23 @@
 """Versioned tables: all tables of a run are written first, then one manifest makes them current together.
 
-The manifest is a table of one file; a reader sees the last one whole or the one before. Writers of one catalog take turns.
+The manifest has a folder for each version, of one file; a reader sees the last one whole or the one before. A version's folder can be made
+once, so of two writers who want the same version one fails, and nothing of theirs is lost or seen: data folders have names of their own.
+
+A table is whole, or dealt over parts by the hash of its keys; then an upsert reads and writes only the parts that its rows touch. What is only ever added to (histories, events) is
+appended, at the cost of the new rows.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_MANIFEST = T.StructType([T.StructField("version", T.LongType()), T.StructField("table", T.StringType()), T.StructField("path", T.StringType())])
+_MANIFEST = T.StructType([T.StructField(n, k) for n, k in (("version", T.LongType()), ("table", T.StringType()), ("kind", T.StringType()), ("part", T.IntegerType()), ("path", T.StringType()))])
+WHOLE, PART, ADDED = "whole", "part", "added"
 
 
 class Catalog:
@@ -18,7 +26,7 @@ class Catalog:
 
     def _manifest(self) -> DataFrame:
         try:
-            return self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest")
+            return self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/*")
         except Exception as e:  # noqa: BLE001
             if "PATH_NOT_FOUND" in str(e):
                 return self.spark.createDataFrame([], _MANIFEST)
@@ -27,19 +35,52 @@ class Catalog:
     def version(self) -> int:
         return self._manifest().agg(F.coalesce(F.max("version"), F.lit(0)).alias("v")).first()["v"]
 
-    def read(self, table: str, version: int | None = None) -> DataFrame | None:
-        """The table as of a version (the current one); None if it was never written."""
+    def _files(self, table: str, version: int | None = None) -> list[tuple[int | None, str]]:
+        """(part, path) of what makes up the table as of a version."""
         rows = self._manifest().where(F.col("table") == table)
         if version is not None:
             rows = rows.where(F.col("version") <= version)
-        last = rows.orderBy(F.col("version").desc()).first()
-        return None if last is None else self.spark.read.parquet(last["path"])
-
-    def commit(self, tables: dict[str, DataFrame]) -> int:
-        """Write all tables as the next version. If a write fails, nothing of the version is seen."""
-        v = self.version() + 1
-        paths = {name: f"{self.root}/data/{name}/v{v}" for name in tables}
-        for name, df in tables.items():
-            df.write.mode("overwrite").parquet(paths[name])
-        self.spark.createDataFrame([(v, n, p) for n, p in paths.items()], _MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
+        out: list[tuple[int | None, str]] = []
+        for r in sorted(rows.collect(), key=lambda r: r["version"]):  # a few rows for each version of one table
+            if r["kind"] == WHOLE:
+                out = [(None, r["path"])] if r["path"] else []
+            elif r["kind"] == PART:
+                out = [x for x in out if x[0] != r["part"]] + ([(r["part"], r["path"])] if r["path"] else [])
+            else:
+                out.append((None, r["path"]))
+        return out
+
+    def read(self, table: str, version: int | None = None) -> DataFrame | None:
+        """The table as of a version (the current one); None if it was never written."""
+        paths = [p for _, p in self._files(table, version)]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def commit(self, tables: dict[str, DataFrame], added: dict[str, DataFrame] | None = None, upserts: dict[str, tuple[DataFrame, list[str], Callable[[DataFrame | None, DataFrame], DataFrame]]] | None = None, parts: int = 64) -> int:
+        """Write the next version. tables are replaced, the rows of `added` are appended. An upsert (rows, keys, merge) merges rows into the parts that they touch: merge(stored, rows)
+        gets None for what isn't stored and returns the whole of those parts. If a write fails, nothing of the version is seen."""
+        v, lines = self.version() + 1, []
+        for kind, group in ((WHOLE, tables), (ADDED, added or {})):
+            for name, df in group.items():
+                path = f"{self.root}/data/{name}/{uuid.uuid4().hex}"
+                df.write.parquet(path)
+                lines.append((v, name, kind, None, path))
+        for name, (rows, keys, merge) in (upserts or {}).items():
+            lines += self._upsert(v, name, rows, keys, merge, parts)
+        manifest = self.spark.createDataFrame(lines, _MANIFEST).coalesce(1)
+        manifest.write.mode("errorifexists").parquet(f"{self.root}/manifest/v{v}")
         return v
+
+    def _upsert(self, v: int, name: str, rows: DataFrame, keys: list[str], merge, parts: int) -> list[tuple]:
+        part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+        files = self._files(name)
+        dealt = bool(files) and all(p is not None for p, _ in files)
+        touched = list(range(parts)) if files and not dealt else sorted(r["p"] for r in rows.select(part.alias("p")).distinct().collect())
+        if not touched:
+            return []
+        old = [p for k, p in files if not dealt or k in touched]
+        stored = self.spark.read.parquet(*old) if old else None
+        path = f"{self.root}/data/{name}/{uuid.uuid4().hex}"
+        merge(stored, rows).withColumn("__part", part).repartition("__part").write.partitionBy("__part").parquet(path)
+        there = {r["p"] for r in self.spark.read.parquet(path).select(F.col("__part").alias("p")).distinct().collect()}
+        lines = [(v, name, PART, k, f"{path}/__part={k}" if k in there else None) for k in touched]
+        return ([(v, name, WHOLE, None, None)] if files and not dealt else []) + lines

@@ -22,14 +22,13 @@ def drain(spark: SparkSession, path: str, schema, sink: Callable[[DataFrame, int
 
 
 def upsert_sink(catalog: Catalog, table: str, spec: MergeSpec, order: str) -> Callable[[DataFrame, int], None]:
-    """Merge each batch into a table of the catalog: of a key's rows in a batch the last counts, and a row older than the stored one by `order` changes
+    """Merge each batch into the parts of a table of the catalog that it touches: of a key's rows in a batch the last counts, and a row older than the stored one by `order` changes
     nothing. So batches may come twice or late."""
     guarded = MergeSpec(spec.keys, spec.update, spec.keep_if_null, lambda s, i: s(order).isNull() | (i(order) >= s(order)), spec.on_update)
 
     def sink(batch: DataFrame, _: int) -> None:
         rows = last_wins(batch, list(spec.keys), order)
-        stored = catalog.read(table)
-        catalog.commit({table: rows if stored is None else merge(stored, rows, guarded)})
+        catalog.commit({}, upserts={table: (rows, list(spec.keys), lambda stored, new: new if stored is None else merge(stored, new, guarded))})
 
     return sink
 
