@@ -7,6 +7,7 @@ smoothed towards those of its domain, and those towards the whole corpus.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,8 +23,12 @@ from .site_style_tree import host_of
 BITS = 16
 
 
+#: What is no letter: numbers, addresses and marks look alike in all languages.
+_no_letters = re.compile(r"[\W\d_]+").sub
+
+
 def _trigrams(text: str) -> np.ndarray:
-    b = np.frombuffer(f" {text.lower()} ".encode(), np.uint8).astype(np.uint32)
+    b = np.frombuffer(f" {_no_letters(' ', text.lower())} ".encode(), np.uint8).astype(np.uint32)
     return ((b[:-2] * np.uint32(0x9E3779B1) ^ b[1:-1] * np.uint32(0x85EBCA77) ^ b[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(32 - BITS)).astype(np.int64)
 
 
@@ -50,6 +55,8 @@ class TextModel:
 
 #: The outcome for a text in none of the model's languages: its trigrams are taken to be anything, evenly.
 UNKNOWN = "und"
+#: The share of trigrams that a language is granted to have from anywhere (names, codes, other languages), evenly.
+STRANGE = 0.2
 
 
 def train(docs: DataFrame, sample: int = 1_000, least: int = 5, most_languages: int = 200, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", trust: int = 60) -> TextModel:
@@ -81,9 +88,9 @@ def train(docs: DataFrame, sample: int = 1_000, least: int = 5, most_languages:
     cols = []
     for name in names:
         some = counts[counts["l"] == name]
-        c = np.full(1 << BITS, 0.1)
-        c[some["g"].to_numpy()] += some["n"].to_numpy()
-        cols.append(np.log(c / c.sum()))
+        c = np.zeros(1 << BITS)
+        c[some["g"].to_numpy()] = some["n"].to_numpy()
+        cols.append(np.log((1 - STRANGE) * c / c.sum() + STRANGE / (1 << BITS)))
     if names:
         cols.append(np.full(1 << BITS, -BITS * np.log(2)))
         names.append(UNKNOWN)
