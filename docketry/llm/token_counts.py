@@ -23,6 +23,7 @@ from .common import table
 END = "</w>"
 #: Control characters that str.split takes for white space and the encoder does not.
 _ODD = regex.compile(r"[\x1c-\x1f]")
+_ascii_pieces = regex.compile(r"'(?:[stmd]|re|ve|ll)|[a-z]+|[0-9]|[^ a-z0-9]+").findall
 _SPACES = regex.compile(r"\p{White_Space}+")
 
 
@@ -70,7 +71,10 @@ class PrefixCounter:
         return found
 
     def pieces(self, text: str) -> list[str]:
-        """The pieces of a text that are merged each by itself, as the letters that stand for their bytes."""
+        """The pieces of a text that are merged each by itself, as the letters that stand for their bytes. On printable ASCII, which stands for itself, all Unicode tables
+        agree, so the library is asked about other texts alone."""
+        if text.isascii() and text.isprintable():
+            return _ascii_pieces(text.lower())
         return [p for p, _ in self.split(self.normal(text))]
 
     def piece(self, s: str) -> tuple[list[int], int]:
