@@ -114,3 +114,13 @@ def check_availability(t: Tables):
     stamp = F.when(F.year("last_check") == 2024, "now").otherwise("old").alias("stamp")
     out = results.join(c.read("bills").select("o_orderkey", stamp), "o_orderkey").join(sent, "o_orderkey", "left")
     return shown(out.select("o_orderkey", "result", "reason", "stamp", F.coalesce("events", F.lit(0)).cast("long").alias("events")))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS version_key, CAST(unnest(range(len(cs))) AS INTEGER) AS chunk_index, unnest(cs) AS content FROM (SELECT doc_id, list_filter(list_transform(range(1, greatest(1, length(t)) + 1, 500), lambda i: trim(substr(t, i, 500), ' ')), lambda c: c <> '') AS cs FROM (SELECT doc_id, regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g') AS t FROM documents))")
+def ingest_texts(t: Tables):
+    """Texts of new versions into chunks; a second run leaves what is complete alone."""
+    c = Catalog(t.spark, shared(t.spark))
+    docs = t.documents.select(F.col("doc_id").cast("string").alias("version_key"), F.col("source").alias("document_key"), F.lit("2024").alias("version_date"), F.lit("Text").alias("format"), F.col("text").alias("content"))
+    job.store_texts(c, docs, "r1", chunk_size=500)
+    job.store_texts(c, docs.withColumn("content", F.lit("changed")), "r2", chunk_size=500)
+    return c.read("text_chunks").select("version_key", "chunk_index", "content")

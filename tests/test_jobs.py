@@ -1,5 +1,8 @@
 from datetime import date
 
+import pytest
+
+from docketry.operators import merge
 from docketry.plans import ingest as job
 from docketry.sources.snapshots import Catalog
 
@@ -49,3 +52,27 @@ def test_texts_are_stored_once(spark, tmp_path):
     assert [tuple(r)[0] for r in c.read("text_versions").where("fetched_in IS NOT NULL").collect()] == ["k1"]
     job.store_texts(c, spark.createDataFrame([("k1", "d1", "2025", "Formatted Text", "<body>changed</body>")], kind), "r2", chunk_size=6)
     assert c.read("text_chunks").count() == 3
+
+
+def test_only_stored_votes_are_archived(spark):
+    votes = spark.createDataFrame([("v1", "Passed")], "vote_key string, result string")
+    changed = spark.createDataFrame([("v1",), ("v9",)], "vote_key string")
+    assert merge.archive(votes, changed, ["vote_key"])[""].count() == 1
+    with pytest.raises(merge.NothingToArchive, match="v9"):
+        merge.archive(votes, changed, ["vote_key"], strict=True)
+
+
+def test_a_version_is_made_once_and_parts_are_kept(spark, tmp_path):
+    c = Catalog(spark, str(tmp_path))
+    rows = spark.range(200).selectExpr("id", "'a' AS v")
+    merged = lambda s, n: n if s is None else merge.merge(s, n, merge.MergeSpec(("id",)))
+    c.commit({"t": rows})
+    c.commit({}, upserts={"t": (spark.createDataFrame([(3, "b"), (500, "b")], "id long, v string"), ["id"], merged)})
+    before = dict(c._files("t"))
+    c.commit({}, {"log": rows.limit(2)}, {"t": (spark.createDataFrame([(3, "c")], "id long, v string"), ["id"], merged)})
+    c.commit({}, {"log": rows.limit(3)})
+    after = dict(c._files("t"))
+    assert sum(before[k] != after[k] for k in after) == 1 and c.read("log").count() == 5 and c.version() == 4
+    assert c.read("t").count() == 201 and {r["v"] for r in c.read("t").where("id in (3, 500)").collect()} == {"b", "c"} and c.read("t", 1).where("v <> 'a'").isEmpty()
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        spark.range(1).write.mode("errorifexists").parquet(f"{tmp_path}/manifest/v4")
