@@ -9,7 +9,7 @@ count at every prefix, and no prefix is ever encoded by itself.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +24,33 @@ END = "</w>"
 #: Control characters that str.split takes for white space and the encoder does not.
 _ODD = regex.compile(r"[\x1c-\x1f]")
 _ascii_pieces = regex.compile(r"'(?:[stmd]|re|ve|ll)|[a-z]+|[0-9]|[^ a-z0-9]+").findall
+_ONE = [1]
 _SPACES = regex.compile(r"\p{White_Space}+")
 
 
+def _lengths(tokens: Iterable[str]) -> dict[str, list[int]]:
+    ends: dict[str, set[int]] = {}
+    for t in tokens:
+        ends.setdefault(t[-2:], {1}).add(len(t))
+    return {end: sorted(found - {0}, reverse=True) for end, found in ends.items()}
+
+
+class _Known(dict):
+    """Counts by text, found on first use."""
+
+    def __init__(self, find: Callable[[str], int]):
+        self.find = find
+
+    def __missing__(self, text: str) -> int:
+        return self.find(text)
+
+    def keep(self, text: str, count: int, limit: int) -> None:
+        if len(text) <= 48:
+            if len(self) >= limit:
+                self.clear()
+            self[text] = count
+
+
 class PrefixCounter:
     """Exact token counts at every prefix, for a vocabulary file with word ends."""
 
@@ -39,9 +63,11 @@ class PrefixCounter:
         library = Tokenizer.from_file(path)
         self.normal, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"])) if spec["added_tokens"] else None
-        self.longest = max(len(t.removesuffix(END)) for t in self.vocab)
+        # lengths of the tokens inside a word, and of those that end one, by their last two letters, longest first
+        self.inner = _lengths(t for t in self.vocab if not t.endswith(END))
+        self.final = _lengths(t.removesuffix(END) for t in self.vocab if t.endswith(END))
         self.follows: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, int] = {}
+        self.words, self.wholes = _Known(self.word), _Known(lambda s: self.piece(s)[1])
         self.limit = cache_limit
 
     def _merge(self, symbols: list[str]) -> list[str]:
@@ -71,18 +97,27 @@ class PrefixCounter:
         return found
 
     def pieces(self, text: str) -> list[str]:
-        """The pieces of a text that are merged each by itself, as the letters that stand for their bytes. On printable ASCII, which stands for itself, all Unicode tables
-        agree, so the library is asked about other texts alone."""
+        """The pieces of a text that are merged each by itself, as the letters that stand for their bytes.
+        On printable ASCII, which stands for itself, all Unicode tables agree, so the library is asked about other texts alone."""
         if text.isascii() and text.isprintable():
             return _ascii_pieces(text.lower())
         return [p for p, _ in self.split(self.normal(text))]
 
     def piece(self, s: str) -> tuple[list[int], int]:
         """(tokens of every prefix while the word goes on, tokens of the whole word) of a piece."""
-        n, vocab, follows = len(s), self.vocab, self.follows
-        last, count = [""] * (n + 1), [0] * (n + 1)
-        for i in range(1, n):
-            for size in range(min(i, self.longest), 0, -1):
+        last, count = self._opened(s, len(s) - 1)
+        whole = self._closed(s, len(s), last, count)
+        self.wholes.keep(s, whole, self.limit)
+        return count, whole
+
+    def _opened(self, s: str, upto: int) -> tuple[list[str], list[int]]:
+        """(last token, tokens) of every prefix of at most `upto` letters while the word goes on."""
+        vocab, follows, inner = self.vocab, self.follows, self.inner
+        last, count = [""] * (len(s) + 1), [0] * (len(s) + 1)
+        for i in range(1, upto + 1):
+            for size in inner.get(s[i - 2 : i] if i > 1 else s[0], _ONE):
+                if size > i:
+                    continue
                 t = s[i - size : i]
                 if t in vocab:
                     a = last[i - size]
@@ -90,11 +125,13 @@ class PrefixCounter:
                     if ok or (ok is None and self._may_follow(a, t)):
                         last[i], count[i] = t, count[i - size] + 1
                         break
-        return count, self._closed(s, n, last, count)
+        return last, count
 
     def _closed(self, s: str, i: int, last: list[str], count: list[int]) -> int:
         """Tokens of the first i letters as a word of their own."""
-        for size in range(min(i, self.longest), 0, -1):
+        for size in self.final.get(s[max(i - 2, 0) : i], _ONE):
+            if size > i:
+                continue
             t = s[i - size : i] + END
             if t in self.vocab and self._may_follow(last[i - size], t):
                 return count[i - size] + 1
@@ -103,14 +140,7 @@ class PrefixCounter:
     def closed_prefixes(self, text: str) -> list[int]:
         """Tokens of text[:k] for k = 0..len(text), for a text that is one piece in its normal form."""
         s = "".join(self.pieces(text))
-        n, vocab = len(s), self.vocab
-        last, count = [""] * (n + 1), [0] * (n + 1)
-        for i in range(1, n + 1):
-            for size in range(min(i, self.longest), 0, -1):
-                t = s[i - size : i]
-                if t in vocab and self._may_follow(last[i - size], t):
-                    last[i], count[i] = t, count[i - size] + 1
-                    break
+        last, count = self._opened(s, len(s))
         out, at = [0], 0
         for c in text:
             at += len(c.encode())
@@ -121,11 +151,8 @@ class PrefixCounter:
         """Tokens of a run without white space."""
         found = self.words.get(word)
         if found is None:
-            found = sum(self.piece(p)[1] for p in self.pieces(word))
-            if len(word) <= 48:
-                if len(self.words) >= self.limit:
-                    self.words.clear()
-                self.words[word] = found
+            found = sum(map(self.wholes.__getitem__, self.pieces(word)))
+            self.words.keep(word, found, self.limit)
         return found
 
     def running(self, text: str) -> np.ndarray:
@@ -142,8 +169,7 @@ class PrefixCounter:
 
     def _counts(self, text: str) -> list[int]:
         words = [w for w in _SPACES.split(text) if w] if _ODD.search(text) else text.split()
-        known = self.words
-        return [known[w] if w in known else self.word(w) for w in words]
+        return list(map(self.words.__getitem__, words))
 
     def truncate(self, text: str, budget: int) -> str:
         """The longest prefix of text of at most budget tokens, from the stored counts: whole words first,
@@ -158,7 +184,7 @@ class PrefixCounter:
         start = regex.search(r"\P{White_Space}", text, pos=ends[k - 1] if k else 0).start()
         word, used, size = text[start : ends[k]], counts[k], 0
         for j in range(1, len(word) + 1):
-            if used + sum(self.piece(p)[1] for p in self.pieces(word[:j])) <= budget:
+            if used + sum(self.wholes[p] for p in self.pieces(word[:j])) <= budget:
                 size = j
         return text[: start + size] if size else text[: ends[k - 1] if k else 0]
 
