@@ -41,3 +41,31 @@ classes AS (SELECT a AS copy_id, min(b) AS class_id FROM reach GROUP BY 1),
 counts AS (SELECT a AS copy_id, count(*) AS n_links FROM links GROUP BY 1)
 SELECT doc_id, CAST(least(coalesce(class_id, sets.copy_id, doc_id), coalesce(sets.copy_id, doc_id)) AS BIGINT) AS class_id, CAST(coalesce(sets.copy_id, doc_id) AS BIGINT) AS copy_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
 FROM s LEFT JOIN sets ON len(s.shingles) > 0 AND md5(array_to_string(s.shingles, chr(10))) = sets.key LEFT JOIN classes ON classes.copy_id = sets.copy_id LEFT JOIN counts ON counts.copy_id = sets.copy_id"""
+
+
+#: The checksum goes byte by byte through a table that its polynomial makes. Near words share what is left when a letter is taken out of both (replaced), or out of the longer one.
+SPELLING = r"""
+WITH RECURSIVE bits AS (SELECT k, k AS v, 0 AS i FROM range(256) t(k) UNION ALL SELECT k, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, i + 1 FROM bits WHERE i < 8),
+crc AS (SELECT list(v ORDER BY k) AS t FROM bits WHERE i = 8),
+runs AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY 1, 2 HAVING length(w) >= 6),
+coded AS (SELECT w, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)) AS x FROM runs),
+summed AS (SELECT w, n, xor(list_reduce([4294967295] || list_transform(range(0, len(x) // 2), lambda k: 16 * (instr('0123456789ABCDEF', x[2 * k + 1]) - 1) + instr('0123456789ABCDEF', x[2 * k + 2]) - 1), lambda h, b: xor(h >> 8, t[xor(h & 255, b) + 1])), 4294967295) AS h FROM coded, crc),
+words AS (SELECT w, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS w, n FROM summed) WHERE length(w) >= 6 GROUP BY 1 HAVING sum(n) >= 5),
+less AS (SELECT w, n, i, substr(w, 1, i) || substr(w, i + 2) AS d FROM (SELECT w, n, unnest(range(0, length(w))) AS i FROM words)),
+near AS (SELECT a.w, b.w AS v, b.n FROM less a JOIN less b ON a.i = b.i AND a.d = b.d AND a.w <> b.w UNION SELECT a.w, b.w, b.n FROM less a JOIN words b ON a.d = b.w UNION SELECT b.w, a.w, a.n FROM less a JOIN words b ON a.d = b.w),
+best AS (SELECT w, count(*) AS n_near, arg_min(v, struct_pack(m := -n, v := v)) AS v, max(n) AS m FROM near GROUP BY 1),
+forms AS (SELECT w, v, m FROM best JOIN words USING (w) WHERE m >= 5 * n),
+ways AS (SELECT w, v, 1 AS k FROM forms UNION ALL SELECT ways.w, forms.v, k + 1 FROM ways JOIN forms ON ways.v = forms.w),
+ends AS (SELECT w, arg_max(v, k) AS root FROM ways GROUP BY 1)
+SELECT w AS word, forms.v AS form, coalesce(root, w) AS root, n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, forms.m AS form_n
+FROM words LEFT JOIN best USING (w) LEFT JOIN forms USING (w) LEFT JOIN ends USING (w)"""
+
+HARD_NEGATIVES = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5"""
