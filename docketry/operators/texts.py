@@ -8,9 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from ..functions.keys import name_key
+from ..functions import rosters
 from ..functions.text import collapse, html_fragments, strip_nul, strip_record_noise, xml_text
 
 FORMATS = {"Formatted Text": "html", "Formatted XML": "xml", "PDF": "pdf"}
@@ -154,42 +153,17 @@ def embed(rows: DataFrame, content: str, model: Callable[[list[str]], list[list[
     return rows.mapInArrow(work, _with_fields(rows, fields))
 
 
-# The roles that a roster prints, by how they begin, and what may follow a name.
-ROLES_BY_START = (("vice chair", "Vice Chairman"), ("ranking", "Ranking Member"), ("chair", "Chairman"))
-SUFFIXES = ("II", "III", "IV", "Jr", "Sr")
+def parse_rosters(listings: DataFrame, committees: list[str], states: list[str], key: str = "id", text: str = "text") -> DataFrame:
+    """Assignments of all listings (key, text): key, committee, is_subcommittee, first_name, last_name, state, role. A listing is a page of a directory as printed, its blanks kept; each is read by
+    itself (functions.rosters), in the task that holds it. A null or empty text, and one without a known heading, has none."""
+    known, places, roles = {rosters.heading_key(c) for c in committees} - {""}, rosters.Phrases({s: s for s in states}), rosters.Phrases(rosters.ROLES)
+    kind = T.StructType([listings.schema[key], *T._parse_datatype_string("committee string, is_subcommittee boolean, first_name string, last_name string, state string, role string").fields])
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [(i, e) for i, page in enumerate(b.column(1).to_pylist()) for e in rosters.assignments(page, known, places, roles)]
+            types = [pa.string(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.string()]
+            made = [pa.array([e[k] for _, e in found], t) for k, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([i for i, _ in found], pa.int64())), *made], names=kind.names)
 
-def parse_rosters(listings: DataFrame, committees: list[str], states: list[str], key: str = "id", text: str = "text") -> DataFrame:
-    """Assignments of all listings (key, text): key, committee, is_subcommittee, first_name, last_name, state, role. A listing is a page of a directory; each is read by itself.
-
-    A line that is the name of a committee, or begins with "Subcommittee on", heads what follows. Cells of a line stand two blanks or more apart; the cells of one
-    column, from the heading on, make one running text, in which an entry is a name, ", of", a state and maybe a role. Lines of a page are few, so all
-    steps on them are small groups."""
-    known = F.array(*[name_key(F.lit(c)) for c in committees])
-    lines = listings.select(key, F.coalesce(text, F.lit("")).alias("_all"), F.monotonically_increasing_id().alias("_page")).select(key, "_page", F.posexplode(F.split("_all", r"\R")).alias("_at", "_line")).where(F.trim("_line") != "")
-    sub = F.lower(F.trim("_line")).startswith("subcommittee on")
-    head = sub | ((name_key(F.col("_line")) != "") & F.array_contains(known, name_key(F.col("_line"))))
-    so_far = Window.partitionBy("_page").orderBy("_at")
-    lines = lines.select("*", F.last(F.when(head, F.struct(F.col("_at").alias("at"), F.trim("_line").alias("committee"), sub.alias("is_subcommittee"))), ignorenulls=True).over(so_far).alias("_head"), head.alias("_is_head"))
-    cell = F.split(F.trim("_line"), r"\s{2,}", 2)
-    cell = F.when((F.size(cell) == 1) & F.col("_line").rlike(r"^\s{8,}"), F.array(F.lit(""), F.trim("_line"))).otherwise(cell)  # far in: the left column is blank
-    cells = lines.where(~F.col("_is_head") & F.col("_head").isNotNull()).select(key, "_page", "_head", "_at", F.posexplode(cell).alias("_column", "_cell"))
-    running = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_cell"))), lambda c: c["_cell"]), " ")
-    columns = cells.groupBy(key, "_page", "_head", "_column").agg(F.regexp_replace(running, r"\s+", " ").alias("_text"))
-    state = "|".join(sorted((s.replace(".", r"\.") for s in states), reverse=True))
-    word = r"(?:\p{Lu}[^,\s/]*|``[^']*''|\"[^\"]*\")"
-    entry = rf"(?<![^\s.)])({word}(?: {word})*(?:, (?:{'|'.join(SUFFIXES)})\.?)?), of ((?i:{state}))(?![A-Za-z])(?:,? ([A-Za-z ]+?)(?=[.,]|$))?"
-    found = columns.select(key, "_page", "_head", "_column", F.posexplode(F.regexp_extract_all("_text", F.lit(entry), F.lit(0))).alias("_k", "_entry"))
-    pick = lambda k: F.regexp_extract("_entry", entry, k)
-    # a name begins after the last full stop that ends what came before it, has no words in quotes, and ends before its suffix
-    bare = F.regexp_replace(F.regexp_replace(pick(1), "``[^']*''|\"[^\"]*\"", " "), rf",? (?:{'|'.join(SUFFIXES)})\.?$", "")
-    words = F.filter(F.split(bare, r"\s+"), lambda w: w.rlike(r"^\p{Lu}"))
-    titled = F.array_position(F.transform(words, lambda w: F.lower(w).rlike(r"^(?:vice|chair|ranking|member|minority)")), F.lit(True))
-    role = F.lit(None).cast("string")
-    for start, name in reversed(ROLES_BY_START):
-        role = F.when(F.lower(F.trim(pick(3))).startswith(start), F.lit(name)).otherwise(role)
-    where = F.lower(pick(2))
-    named = F.element_at(F.create_map(*[F.lit(x) for s in states for x in (s.lower(), s)]), where) if states else F.lit(None).cast("string")
-    rows = found.select(key, F.col("_head.committee").alias("committee"), F.col("_head.is_subcommittee").alias("is_subcommittee"), words.alias("_words"), titled.alias("_titled"), named.alias("state"), role.alias("role"))
-    rows = rows.where((F.size("_words") > 1) & (F.col("_titled") == 0))
-    return rows.select(key, "committee", "is_subcommittee", F.element_at("_words", 1).alias("first_name"), F.element_at("_words", -1).alias("last_name"), "state", "role")
+    return listings.select(key, text).mapInArrow(work, kind)

@@ -137,6 +137,46 @@ def test_roster(spark):
     assert len(got) == 4 and all(g["id"] == 1 and g["committee"] == "Budget" and not g["is_subcommittee"] for g in got)
 
 
+PRINTED = """STANDING COMMITTEES OF THE HOUSE
+[Democrats in roman; Republicans in italic]
+Agriculture
+1301 Longworth House Office Building, phone 225-2171
+https://agriculture.house.gov
+David Scott, of Georgia, Chair
+Alma S. Adams, of North Carolina, Vice Chair
+Jim Costa, of California.            Glenn Thompson, of Pennsylvania.
+James P. McGovern, of                Austin Scott, of Georgia.
+        Massachusetts.                Eric A. ``Rick'' Crawford, of
+Abigail Davis Spanberger, of            Arkansas.
+        Virginia.                     Scott DesJarlais, of Tennessee."""
+
+
+def test_printed_page(spark):
+    states = ["Georgia", "North Carolina", "California", "Pennsylvania", "Massachusetts", "Virginia", "Arkansas", "Tennessee"]
+    pages = spark.createDataFrame([(1, PRINTED), (2, "\n".join(x.lstrip() for x in PRINTED.splitlines()))], "id long, text string")
+    want = {("David", "Scott", "Georgia", "Chairman"), ("Alma", "Adams", "North Carolina", "Vice Chairman"), ("Jim", "Costa", "California", None), ("James", "McGovern", "Massachusetts", None), ("Abigail", "Spanberger", "Virginia", None), ("Glenn", "Thompson", "Pennsylvania", None), ("Austin", "Scott", "Georgia", None), ("Eric", "Crawford", "Arkansas", None), ("Scott", "DesJarlais", "Tennessee", None)}
+    got = [tuple(r) for r in texts.parse_rosters(pages, ["Agriculture", "Appropriations"], states).collect()]
+    assert sorted(map(str, got)) == sorted(str((k, "Agriculture", False, *p)) for k in (1, 2) for p in want)
+    assert texts.parse_rosters(pages, ["Appropriations"], states).count() == 0
+
+
+def test_rosters_without_stops(spark):
+    states = ["Ohio", "Texas", "Utah", "Iowa", "Virginia", "West Virginia", "District of Columbia"]
+    cases = {
+        "John Smith, of Texas, Chair Bob Jones, of Ohio": [("John", "Smith", "Texas", "Chairman"), ("Bob", "Jones", "Ohio", None)],
+        "Ohio\nCarl Ray, of Utah": [("Carl", "Ray", "Utah", None)],
+        "Ann Lee, of West Virginia Bob Poe, Sr., of Virginia, Ranking Member Cy Fox, of Iowa": [("Ann", "Lee", "West Virginia", None), ("Bob", "Poe", "Virginia", "Ranking Member"), ("Cy", "Fox", "Iowa", None)],
+        "Eleanor Holmes Norton, of District of Columbia. Henry de la Cruz, of Texas": [("Eleanor", "Norton", "District of Columbia", None), ("Henry", "Cruz", "Texas", None)],
+        "Room 5, Longworth Building, Ann Lee, of Ohio": [("Ann", "Lee", "Ohio", None)],
+        "Ann Lee, of Ohioana. Lee, of Ohio": [],
+        "Ann Lee, of Ohio.   Bob Poe, of Iowa.\n                    Cy Fox, of Utah.": [("Ann", "Lee", "Ohio", None), ("Bob", "Poe", "Iowa", None), ("Cy", "Fox", "Utah", None)],
+    }
+    rows = spark.createDataFrame([(k, f"Budget\n{text}") for k, text in enumerate(cases)], "id long, text string")
+    got = texts.parse_rosters(rows, ["Budget"], states).collect()
+    for k, want in enumerate(cases.values()):
+        assert [tuple(r)[3:] for r in got if r["id"] == k] == want, k
+
+
 def test_dates(spark):
     for raw, want in [("2025-01-03T23:30:00-05:00", date(2025, 1, 3)), ("2025-01-03T10:00:00", date(2025, 1, 3)), ("Friday, January 3,  2025, 02:15 PM", date(2025, 1, 3)), ("January 13, 2025, 02:15 PM", date(2025, 1, 13)), ("soon", None), (None, None)]:
         assert one(spark, dates.vote_date(F.lit(raw).cast("string"))) == want, raw
