@@ -14,7 +14,8 @@ from ..operators import resolve as rs
 from ..operators import texts
 from ..operators.rank import last_wins, numbered_chunks
 from ..operators.summary import outcomes
-from ..sources.snapshots import Catalog
+from ..sources.landing import written
+from ..sources.snapshots import Catalog, Conflict
 from ..streaming.incremental import outbox
 
 
@@ -46,34 +47,51 @@ AMENDMENTS = Record("amendments", ("amendment_key",), "update_date", "amendment"
 VOTES = Record("votes", ("vote_key",), "update_date", "vote", {"vote_positions": ("chamber", "member_key")}, history={"vote_positions": ("member_key", "position", "party_at_vote", "state_at_vote")})
 
 
-def _or_empty(catalog: Catalog, table: str, like: DataFrame) -> DataFrame:
-    found = catalog.read(table)
+def _or_empty(catalog: Catalog, table: str, like: DataFrame, version: int | None = None) -> DataFrame:
+    found = catalog.read(table, version)
     return like.limit(0) if found is None else found
 
 
+def again(run, attempts: int = 5):
+    """What run() returns; a run whose rows another writer changed meanwhile is worked out again from what is stored then."""
+    for k in range(attempts):
+        try:
+            return run()
+        except Conflict:
+            if k + 1 == attempts:
+                raise
+    raise ValueError("attempts must be positive")
+
+
 def ingest(catalog: Catalog, record: Record, incoming: DataFrame, children: dict[str, DataFrame], run: str, event: str | None = None, stages: DataFrame | None = None) -> DataFrame:
     """One run: classify, archive what will be overwritten, merge, replace the children of changed parents, append to those that are appended to, raise stages to their floor, queue
     events, and publish all as one version. Returns (change, n).
 
     incoming holds a row for each key. A vote whose positions didn't change is updated without touching them and sends no event. stages (code, order) ranks the stages of a record with a floor.
     Tables of records and children are dealt by key, and only the parts that a run touches are written; histories and events are appended. A run that is
-    repeated finds everything unchanged and publishes nothing new.
+    repeated finds everything unchanged and publishes nothing new; one that meets another writer of the same records is worked out again. Events that come twice are told by their ids
+    (streaming.incremental.drain_once).
     """
-    stored = _or_empty(catalog, record.table, incoming)
+    return again(lambda: _ingest(catalog, record, incoming, children, run, event, stages))
+
+
+def _ingest(catalog: Catalog, record: Record, incoming: DataFrame, children: dict[str, DataFrame], run: str, event: str | None, stages: DataFrame | None) -> DataFrame:
+    base = catalog.version()
+    stored = _or_empty(catalog, record.table, incoming, base)
     k = list(record.keys)
-    found = ch.classify(incoming, stored, k, record.date, record.policy, list(record.values) if record.values else None, list(record.placeholder) if record.placeholder else None)
+    found = written(ch.classify(incoming, stored, k, record.date, record.policy, list(record.values) if record.values else None, list(record.placeholder) if record.placeholder else None))
     changed = found.where("change <> 'Unchanged'")
     rows = changed.select(*incoming.columns)
     spec = mg.MergeSpec(record.keys, record.owned, record.keep_if_null)
     replaced = {name: df for name, df in children.items() if name not in record.appended}
     upserts = {record.table: (rows, k, lambda s, new: new if s is None else mg.merge(s, new, spec))}
-    old_children = {name: _or_empty(catalog, name, df) for name, df in replaced.items()}
+    old_children = {name: _or_empty(catalog, name, df, base) for name, df in replaced.items()}
     moved = changed.select(*k, F.lit(True).alias("moved"))
     if record.policy == "vote" and replaced:
         name = next(iter(replaced))
         diff = ch.keyed_diff(old_children[name].join(changed.select(*k), k, "left_semi"), replaced[name].join(changed.select(*k), k, "left_semi"), [*k, *record.children[name]])
         moved = diff.groupBy(*k).agg(F.bool_or(F.col("diff") != "Same").alias("moved"))
-    touched = changed.join(moved, k, "left").where((F.col("change") == "New") | F.coalesce("moved", F.lit(False))).select(*k, "change")
+    touched = written(changed.join(moved, k, "left").where((F.col("change") == "New") | F.coalesce("moved", F.lit(False))).select(*k, "change"))
     for name, df in replaced.items():
         # the touched parents take their children along, so that a parent that has none now loses its old ones
         new = touched.select(*k).join(df, k, "left")
@@ -94,16 +112,11 @@ def ingest(catalog: Catalog, record: Record, incoming: DataFrame, children: dict
     added = {}
     over = changed.where("change <> 'New'")
     for name, df in mg.archive(stored, over, k, old_children, run, record.history, strict=True).items():
-        table = f"{record.table}_history" if not name else f"{name}_history"
-        before = catalog.read(table)
-        # a repeated run has the same history ids
-        added[table] = df if before is None else df.join(before.select("history_id").distinct(), "history_id", "left_anti")
+        added[f"{record.table}_history" if not name else f"{name}_history"] = df
     if event:
-        news = outbox(touched, event, record.table, run, k)
-        before = catalog.read("events")
-        added["events"] = news if before is None else news.join(before.select("event_id"), "event_id", "left_anti")
+        added["events"] = outbox(touched, event, record.table, run, k)
     counted = [tuple(r) for r in outcomes(found, "change").collect()]  # four kinds of change at most
-    catalog.commit({}, added, upserts)
+    catalog.commit({}, added, upserts, base, judged=(record.table, *replaced))
     return catalog.spark.createDataFrame(counted, "change string, n long")
 
 
@@ -112,10 +125,9 @@ def check_texts(catalog: Catalog, table: str, key: str, candidates: DataFrame, o
     `now` in the column `checked` of their table, all in one version. Returns (key, result, reason); a check that failed comes again with the next run."""
     results, fresh = ch.availability(candidates, offered, known, key, identity)
     news = outbox(fresh, event, table, run, [key, *identity])
-    before = catalog.read("events")
     stamped = results.where("result <> 'Failed'").select(key, F.lit(now).cast("timestamp").alias(checked))
     upserts = {table: (stamped, [key], lambda s, n: n if s is None else mg.set_where(s, n, [key], {checked: lambda old, new: new}))}
-    catalog.commit({}, {"events": news if before is None else news.join(before.select("event_id"), "event_id", "left_anti")}, upserts)
+    catalog.commit({}, {"events": news}, upserts)
     return results
 
 

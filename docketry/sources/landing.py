@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared(spark: SparkSession) -> str:
@@ -17,3 +17,10 @@ def shared(spark: SparkSession) -> str:
         given = tempfile.mkdtemp(prefix="docketry-")
         spark.conf.set("spark.checkpoint.dir", given)
     return f"{given}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df, worked out once: written to a new shared folder and read again."""
+    path = shared(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,10 +1,13 @@
+from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from docketry.operators import merge
 from docketry.plans import ingest as job
-from docketry.sources.snapshots import Catalog
+from docketry.sources.snapshots import Catalog, Conflict, address
 
 VOTE = "vote_key string, update_date date, result string"
 POSITION = "vote_key string, chamber string, member_key string, position string"
@@ -68,11 +71,78 @@ def test_a_version_is_made_once_and_parts_are_kept(spark, tmp_path):
     merged = lambda s, n: n if s is None else merge.merge(s, n, merge.MergeSpec(("id",)))
     c.commit({"t": rows})
     c.commit({}, upserts={"t": (spark.createDataFrame([(3, "b"), (500, "b")], "id long, v string"), ["id"], merged)})
-    before = dict(c._files("t"))
+    before = c.state("t")["files"]
     c.commit({}, {"log": rows.limit(2)}, {"t": (spark.createDataFrame([(3, "c")], "id long, v string"), ["id"], merged)})
     c.commit({}, {"log": rows.limit(3)})
-    after = dict(c._files("t"))
+    after = c.state("t")["files"]
     assert sum(before[k] != after[k] for k in after) == 1 and c.read("log").count() == 5 and c.version() == 4
     assert c.read("t").count() == 201 and {r["v"] for r in c.read("t").where("id in (3, 500)").collect()} == {"b", "c"} and c.read("t", 1).where("v <> 'a'").isEmpty()
-    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
-        spark.range(1).write.mode("errorifexists").parquet(f"{tmp_path}/manifest/v4")
+    assert not c.log.files.create(f"{tmp_path}/log/0000000000/000000000004.json", "x")
+
+
+def _counted(s, n):
+    both = n if s is None else s.unionByName(n)
+    return both.groupBy("id").agg(F.sum("n").alias("n"))
+
+
+@pytest.mark.parametrize("part_rows", [1000, 4])
+def test_concurrent_writers(spark, tmp_path, part_rows):
+    """Eight writers at once: every version is made once, and no row is lost, in parts that they share and in those that split under them."""
+    c = Catalog(spark, str(tmp_path), part_rows, snapshot_every=3)
+
+    def write(w):
+        rows = spark.createDataFrame([(k % 6, 1) for k in range(w, w + 3)], "id long, n long")
+        return [c.commit({}, {"log": spark.createDataFrame([(w,)], "w long")}, {"t": (rows.groupBy("id").agg(F.sum("n").alias("n")), ["id"], _counted)}) for _ in range(2)]
+
+    with ThreadPoolExecutor(8) as pool:
+        versions = sorted(v for vs in pool.map(write, range(8)) for v in vs)
+    assert versions == list(range(1, 17)) and c.version() == 16
+    assert Counter(r["w"] for r in c.read("log").collect()) == {w: 2 for w in range(8)}
+    want = Counter(k % 6 for w in range(8) for k in range(w, w + 3) for _ in range(2))
+    assert {r["id"]: r["n"] for r in c.read("t").collect()} == want
+    assert c.compact("log") == 17 and c.read("log").count() == 16 and len(c.state("log")["added"]) == 1
+
+
+def test_only_rows_that_changed_conflict(spark, tmp_path):
+    c = Catalog(spark, str(tmp_path))
+    merged = lambda s, n: n if s is None else merge.merge(s, n, merge.MergeSpec(("id",)))
+    one = lambda k, v: {"t": (spark.createDataFrame([(k, v)], "id long, v string"), ["id"], merged)}
+    c.commit({}, upserts={"t": (spark.createDataFrame([(1, "a"), (2, "a")], "id long, v string"), ["id"], merged)})
+    c.commit({}, upserts=one(1, "b"))
+    c.commit({}, upserts=one(2, "b"), base=1, judged=("t",))  # another row of the same part
+    assert {(r["id"], r["v"]) for r in c.read("t").collect()} == {(1, "b"), (2, "b")}
+    with pytest.raises(Conflict):
+        c.commit({}, upserts=one(1, "c"), base=1, judged=("t",))
+    with pytest.raises(Conflict):
+        c.commit({"t": spark.range(1)}, base=2)
+    tries = []
+
+    def job_of(spark=spark):
+        tries.append(c.version())
+        if len(tries) == 1:
+            c.commit({}, upserts=one(1, "d"))
+        return c.commit({}, upserts=one(1, "e"), base=tries[-1], judged=("t",))
+
+    assert job.again(job_of) == tries[1] + 1 and len(tries) == 2 and c.read("t").where("id = 1").first()["v"] == "e"
+
+
+def test_parts_grow_and_batches_stay_cheap(spark, tmp_path):
+    """With ten parts or a hundred, a batch writes the parts of its rows and those that the table grows by."""
+    c = Catalog(spark, str(tmp_path), part_rows=50, snapshot_every=4)
+    merged = lambda s, n: n if s is None else merge.merge(s, n, merge.MergeSpec(("id",)))
+    sizes = []
+    for first, last in ((0, 500), (500, 505), (505, 5000), (5000, 5003), (7, 8), (0, 5003)):
+        before = c.state("t")
+        c.commit({}, upserts={"t": (spark.range(first, last).selectExpr("id", f"'{last}' AS v"), ["id"], merged)})
+        after = c.state("t")
+        wrote = [k for k, f in after["files"].items() if before["files"].get(k) != f]
+        sizes.append((after["parts"], len(wrote)))
+        assert sum(n for _, n in after["files"].values()) == c.read("t").count()
+    assert [p for p, _ in sizes[:5]] == [10, 11, 100, 101, 101] and sizes[1][1] <= 5 + 2 and sizes[3][1] <= 3 + 2 and sizes[4][1] == 1
+    assert c.read("t").count() == 5003 and c.read("t").select("id").distinct().count() == 5003 and c.read("t").where("v <> '5003'").isEmpty()
+    parts = c.state("t")["parts"]
+    for k, (path, _) in list(c.state("t")["files"].items())[::40]:
+        assert {r["p"] for r in spark.read.parquet(path).select(address(["id"], parts).alias("p")).collect()} == {int(k)}
+    # readers of any version need one snapshot and fewer than four entries
+    assert [c.read("t", v).count() for v in range(1, 7)] == [500, 505, 5000, 5003, 5003, 5003]
+    assert c.read("none") is None and c.added_since("t", 0) is None
