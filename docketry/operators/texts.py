@@ -8,9 +8,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions import rosters
 from ..functions.text import collapse, html_fragments, strip_nul, strip_record_noise, xml_text
+from ..sources.landing import written
 
 FORMATS = {"Formatted Text": "html", "Formatted XML": "xml", "PDF": "pdf"}
 
@@ -153,6 +155,38 @@ def embed(rows: DataFrame, content: str, model: Callable[[list[str]], list[list[
     return rows.mapInArrow(work, _with_fields(rows, fields))
 
 
+def embed_in_full_batches(rows: DataFrame, content: str, model: Callable[[list[str]], list[list[float]]], dims: int, batch: int = 50, out: str = "embedding", error: str = "embedding_error") -> DataFrame:
+    """rows with a vector for each text, as embed gives them, but with ceil(texts / batch) calls of the model, however the rows are dealt over partitions.
+
+    Texts are numbered over all partitions: a count for each, and the sums of those before it; a batch is so many numbers in a row. The rows are written once for that and shuffled by batch."""
+    own = rows.columns
+    at = F.monotonically_increasing_id()
+    kept = written(rows.withColumn("__row", at))
+    full = F.coalesce(F.trim(content, F.lit(" \t\n\r\f\u000b")) != "", F.lit(False))
+    part = F.shiftright("__row", 33)
+    counts = kept.where(full).groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
+    starts = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    inside = F.row_number().over(Window.partitionBy("__part").orderBy("__row")) - 1
+    dealt = kept.where(full).withColumn("__part", part).withColumn("__inside", inside).join(F.broadcast(starts), "__part")
+    dealt = dealt.select(*own, F.floor((F.col("__start") + F.col("__inside")) / batch).alias("__batch"))
+
+    def work(t: pa.Table) -> pa.Table:
+        reason, made = None, [None] * t.num_rows
+        try:
+            made = model(t.column(content).to_pylist())
+        except ContextTooLong:
+            raise
+        except Exception as e:  # noqa: BLE001  a batch that fails gives nulls
+            reason = failure("embedding", e)
+        vectors = [v if v is not None and len(v) == dims else None for v in made]
+        reasons = [reason or (None if v is not None else f"dims: not {dims} numbers") for v in vectors]
+        return t.select(own).append_column(out, pa.array(vectors, pa.list_(pa.float32()))).append_column(error, pa.array(reasons, pa.string()))
+
+    embedded = dealt.groupBy("__batch").applyInArrow(work, _with_fields(rows, {out: T.ArrayType(T.FloatType()), error: T.StringType()}))
+    return embedded.unionByName(kept.where(~full).select(*own, F.lit(None).cast("array<float>").alias(out), F.lit(None).cast("string").alias(error)))
+
+
 def parse_rosters(listings: DataFrame, committees: list[str], states: list[str], key: str = "id", text: str = "text") -> DataFrame:
     """Assignments of all listings (key, text): key, committee, is_subcommittee, first_name, last_name, state, role. A listing is a page of a directory as printed, its blanks kept; each is read by
     itself (functions.rosters), in the task that holds it. A null or empty text, and one without a known heading, has none."""

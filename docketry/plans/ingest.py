@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from ..operators import resolve as rs
 from ..operators import texts
 from ..operators.rank import last_wins, numbered_chunks
 from ..operators.summary import outcomes
+from ..sources import chunks
 from ..sources.landing import written
 from ..sources.snapshots import Catalog, Conflict
 from ..streaming.incremental import outbox
@@ -143,20 +145,61 @@ def link_votes(votes: DataFrame, amendments: DataFrame) -> DataFrame:
     return out.select(*[F.when(hit, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in votes.columns])
 
 
-def store_texts(catalog: Catalog, documents: DataFrame, run: str, chunk_size: int = 20_000, model=None, dims: int = 1024) -> None:
-    """Texts of new document versions into chunks with vectors.
+def store_texts(catalog: Catalog, documents: DataFrame, run: str, chunk_size: int = 20_000, model=None, dims: int = 1024, newest_wins: bool = False, event: str = "text.stored") -> DataFrame:
+    """Texts of document versions into chunks with vectors. Returns (version_key, outcome, reason): Stored, Skipped or Failed.
 
-    documents: version_key, document_key, version_date, format, content (decoded). Versions that are complete are skipped; a version is marked complete in the same
-    commit that stores its chunks, and chunks past its new end go. What fails comes again with the next run.
+    documents: version_key, document_key, version_date, format, content (decoded). In a first version of the catalog the versions to be fetched are pending, and their document's latest text is
+    theirs; with newest_wins a version that is stored is fetched again only if what comes is of a later date, and the link moves only to a date that isn't before that of the version it shows.
+    In a second one the chunks are appended, those that they replace are dead, and the version is complete. Only a version all of whose chunks have vectors is complete; what fails leaves nothing but its
+    pending row and comes again with the next run. Complete versions are skipped, and their event is sent again, as the run before may have been lost before it was delivered.
     """
-    fresh = last_wins(documents, ["version_key"], "version_date")
-    versions = _or_empty(catalog, "text_versions", fresh.select("version_key", "document_key", "version_date", F.lit(None).cast("string").alias("fetched_in"), F.lit(None).cast("long").alias("text_length")))
-    fresh = fresh.join(versions.where("fetched_in IS NOT NULL").select("version_key"), "version_key", "left_anti")
-    text = fresh.select("version_key", "document_key", "version_date", texts.extract(F.col("content"), F.col("format")).alias("text"))
+    fresh = written(last_wins(documents, ["version_key"], "version_date"))
+    wanted = again(lambda: _pending(catalog, fresh, newest_wins))
+    open_ = wanted.where("wanted").select("version_key")
+    text = written(fresh.join(open_, "version_key", "left_semi").select("version_key", "document_key", "version_date", texts.extract(F.col("content"), F.col("format")).alias("text")))
     rows = numbered_chunks(text.select("version_key", "document_key", texts.chunks(F.col("text"), chunk_size).alias("chunks")), "chunks")
-    rows = texts.embed(rows, "content", model, dims)
-    counts = text.join(rows.groupBy("version_key").agg(F.count("*").alias("n")), "version_key", "left").select("version_key", F.coalesce("n", F.lit(0)).alias("n"))
-    stored = _or_empty(catalog, "text_chunks", rows)
-    merged = mg.merge(stored, rows, mg.MergeSpec(("version_key", "chunk_index")))
-    done = text.where("text IS NOT NULL").select("version_key", "document_key", "version_date", F.lit(run).alias("fetched_in"), F.length("text").cast("long").alias("text_length"))
-    catalog.commit({"text_chunks": mg.trim_tail(merged, counts, "version_key", "chunk_index", "n"), "text_versions": mg.merge(versions, done, mg.MergeSpec(("version_key",)))})
+    rows = texts.embed(rows, "content", None, dims, error="failed") if model is None else texts.embed_in_full_batches(rows, "content", model, dims, error="failed")
+    rows = written(rows)
+    counts = rows.groupBy("version_key").agg(F.count("*").alias("n"), F.count("failed").alias("n_failed"), F.min("failed").alias("failed"))
+    judged = text.join(counts, "version_key", "left")
+    reason = F.when(F.col("text").isNull(), "no text").when(F.col("n_failed") > 0, F.col("failed"))
+    judged = written(judged.select("version_key", "document_key", F.length("text").cast("long").alias("text_length"), reason.alias("reason")))
+    again(lambda: _complete(catalog, judged.where("reason IS NULL"), rows.drop("failed"), wanted.where("NOT wanted"), run, event))
+    result = judged.select("version_key", F.when(F.col("reason").isNull(), "Stored").otherwise("Failed").alias("outcome"), "reason")
+    return result.unionByName(wanted.where("NOT wanted").select("version_key", F.lit("Skipped").alias("outcome"), F.lit("already-processed").alias("reason")))
+
+
+def _pending(catalog: Catalog, fresh: DataFrame, newest_wins: bool) -> DataFrame:
+    """Make the rows of versions to be fetched, and the links to them. Returns (version_key, document_key, wanted)."""
+    base = catalog.version()
+    keys_ = fresh.select("version_key", "document_key", "version_date")
+    none = {"fetched_in": "string", "text_length": "long", "batch": "string"}
+    new = keys_.select("*", *[F.lit(None).cast(t).alias(c) for c, t in none.items()])
+    stored = _or_empty(catalog, "text_versions", new, base)
+    known = keys_.join(stored.select("version_key", F.col("version_date").alias("_date"), "fetched_in", F.lit(True).alias("_was")), "version_key", "left")
+    later = F.coalesce(F.col("version_date") > F.col("_date"), F.lit(False)) if newest_wins else F.lit(False)
+    known = written(known.select("version_key", "document_key", "version_date", (F.col("fetched_in").isNull() | later).alias("wanted"), F.coalesce("_was", F.lit(False)).alias("was"), later.alias("later")))
+    # a version that was pending stays as it is, but for one of a later date; the batch of the chunks that it has stays until they are replaced
+    rows = known.where("NOT was OR later").join(new.drop("document_key", "version_date"), "version_key").select("version_key", "document_key", "version_date", "fetched_in", "text_length", "batch")
+    spec = mg.MergeSpec(("version_key",), ("document_key", "version_date", "fetched_in", "text_length"))
+    first = F.max_by(F.struct("version_key", "version_date"), F.struct("version_date", "version_key"))
+    links = known.where("wanted").groupBy("document_key").agg(first.alias("l")).select("document_key", "l.version_key", "l.version_date")
+    newer = (lambda s, i: s("version_date").isNull() | (i("version_date") >= s("version_date"))) if newest_wins else None
+    linked = lambda s, n: n if s is None else mg.merge(s, n, mg.MergeSpec(("document_key",), guard=newer))
+    upserts = {"text_versions": (rows, ["version_key"], lambda s, n: n if s is None else mg.merge(s, n, spec)), "text_latest": (links, ["document_key"], linked)}
+    catalog.commit({}, upserts=upserts, base=base, judged=("text_versions",))
+    return known.select("version_key", "document_key", "wanted")
+
+
+def _complete(catalog: Catalog, done: DataFrame, rows: DataFrame, skipped: DataFrame, run: str, event: str) -> None:
+    """Append the chunks of what is done, mark those that they replace dead, complete the versions, and queue events, in one version."""
+    base, batch = catalog.version(), uuid.uuid4().hex
+    news = outbox(done.select("version_key", "document_key").unionByName(skipped.select("version_key", "document_key")), event, "text_versions", run, ["version_key", "document_key"])
+    added = {"events": news, chunks.CHUNKS: rows.join(done.select("version_key"), "version_key", "left_semi").withColumns({"batch": F.lit(batch), "row": F.monotonically_increasing_id() + 1})}
+    replaced = _or_empty(catalog, "text_versions", done, base).join(done.select("version_key"), "version_key", "left_semi").where("batch IS NOT NULL").select("version_key", "batch")
+    old = chunks.live(catalog, base, replaced.select("batch").distinct())
+    if old is not None:
+        added[chunks.DEAD] = chunks.dead_rows(old.join(replaced, ["version_key", "batch"], "left_semi"))
+    ends = done.select("version_key", F.lit(run).alias("fetched_in"), "text_length", F.lit(batch).alias("batch"))
+    spec = mg.MergeSpec(("version_key",), ("fetched_in", "text_length", "batch"))
+    catalog.commit({}, added, {"text_versions": (ends, ["version_key"], lambda s, n: n if s is None else mg.merge(s, n, spec))}, base, judged=("text_versions",))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import change as ch
 from ..operators import merge as m
 from ..plans import ingest as job
+from ..sources import chunks
 from ..sources.landing import shared
 from ..sources.snapshots import Catalog
 from .tables import Tables, incoming_orders, lines, query, shown, stored_orders
@@ -123,4 +124,44 @@ def ingest_texts(t: Tables):
     docs = t.documents.select(F.col("doc_id").cast("string").alias("version_key"), F.col("source").alias("document_key"), F.lit("2024").alias("version_date"), F.lit("Text").alias("format"), F.col("text").alias("content"))
     job.store_texts(c, docs, "r1", chunk_size=500)
     job.store_texts(c, docs.withColumn("content", F.lit("changed")), "r2", chunk_size=500)
-    return c.read("text_chunks").select("version_key", "chunk_index", "content")
+    return chunks.live(c).select("version_key", "chunk_index", "content")
+
+
+def _model(some: list[str]) -> list[list[float]]:
+    """Stands in for a model: how long a text is, and whether it says flag."""
+    return [[float(len(s)), float("flag" in s)] for s in some]
+
+
+@query("""WITH v AS (SELECT o_orderkey AS k, o_custkey AS c, strftime(o_orderdate, '%Y-%m-%d') AS d, o_orderpriority AS p FROM orders),
+ends AS (SELECT k, c, CASE WHEN p = '2-HIGH' THEN '9999' ELSE d END AS d, p, CASE WHEN p IN ('1-URGENT', '2-HIGH') THEN 'r2' ELSE 'r1' END AS run FROM v)
+SELECT CAST(k AS VARCHAR) AS version_key, d AS version_date, run AS fetched_in, 'text of ' || k || CASE WHEN p = '2-HIGH' THEN ' anew' ELSE '' END AS content,
+CASE WHEN p = '1-URGENT' THEN 1 ELSE 2 END AS events, d = max(d) OVER (PARTITION BY c) AS latest_date FROM ends""")
+def store_amendment_texts(t: Tables):
+    """Two runs over versions of the orders: those that have no text in the first run come again in the second, those of a later date replace their chunks, and the others are skipped and announced again."""
+    c = Catalog(t.spark, shared(t.spark))
+    p = F.col("o_orderpriority")
+    rows = t.orders.select(F.col("o_orderkey").cast("string").alias("version_key"), F.col("o_custkey").cast("string").alias("document_key"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("version_date"), p, F.concat(F.lit("text of "), F.col("o_orderkey").cast("string")).alias("content"))
+    kind = ["version_key", "document_key", "version_date", F.when(p == "1-URGENT", "PDF").otherwise("Text").alias("format"), "content"]
+    job.store_texts(c, rows.select(*kind), "r1", model=_model, dims=2, newest_wins=True)
+    later = rows.withColumn("version_date", F.when(p == "2-HIGH", "9999").otherwise(F.col("version_date"))).withColumn("content", F.when(p == "2-HIGH", F.concat("content", F.lit(" anew"))).when(p == "1-URGENT", F.col("content")).otherwise("changed"))
+    job.store_texts(c, later.select(*kind[:3], F.lit("Text").alias("format"), "content"), "r2", model=_model, dims=2, newest_wins=True)
+    sent = c.read("events").groupBy(F.get_json_object("payload", "$.version_key").alias("version_key")).agg(F.countDistinct("event_id").cast("int").alias("events"))
+    stored = c.read("text_versions").join(chunks.live(c).where("embedding[0] = length(content)").select("version_key", "content"), "version_key")
+    latest = c.read("text_latest").select("document_key", F.col("version_date").alias("_last"))
+    out = stored.join(sent, "version_key").join(latest, "document_key")
+    return out.select("version_key", "version_date", "fetched_in", "content", "events", (F.col("version_date") == F.col("_last")).alias("latest_date"))
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS version_key, CASE WHEN text IS NULL THEN 'no text' END AS reason, CASE WHEN text IS NOT NULL THEN 'r2' END AS fetched_in, CASE WHEN text IS NULL THEN 0 ELSE len(list_filter(list_transform(range(1, greatest(1, length(t)) + 1, 700), lambda i: trim(substr(t, i, 700), ' ')), lambda c: c <> '')) END AS n
+FROM (SELECT doc_id, text, regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g') AS t FROM documents)""")
+def failed_vectors_stay_open(t: Tables):
+    """A model that fails leaves versions open, with nothing stored; the run after it completes them."""
+    c = Catalog(t.spark, shared(t.spark))
+    docs = t.documents.select(F.col("doc_id").cast("string").alias("version_key"), F.lit("d").alias("document_key"), F.lit("2024").alias("version_date"), F.lit("Text").alias("format"), F.col("text").alias("content"))
+    first = job.store_texts(c, docs, "r1", chunk_size=700, model=lambda some: 1 / 0, dims=1)
+    if not first.where("outcome = 'Stored'").isEmpty() or not chunks.live(c).isEmpty():
+        raise ValueError("a model that fails stored something")
+    second = job.store_texts(c, docs, "r2", chunk_size=700, model=lambda some: [[1.0] for _ in some], dims=1)
+    n = chunks.live(c).groupBy("version_key").agg(F.count("*").cast("int").alias("n"))
+    out = second.join(c.read("text_versions").select("version_key", "fetched_in"), "version_key").join(n, "version_key", "left")
+    return out.select("version_key", "reason", "fetched_in", F.coalesce("n", F.lit(0)).cast("int").alias("n"))

@@ -1,3 +1,5 @@
+import os
+import uuid
 from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
@@ -5,8 +7,9 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from docketry.operators import merge
+from docketry.operators import merge, texts
 from docketry.plans import ingest as job
+from docketry.sources import chunks
 from docketry.sources.snapshots import Catalog, Conflict, address
 
 VOTE = "vote_key string, update_date date, result string"
@@ -47,14 +50,77 @@ def test_votes_link_to_single_amendments(spark):
     assert sorted(map(str, job.link_votes(once, acts).collect())) == sorted(map(str, once.collect()))
 
 
+KIND = "version_key string, document_key string, version_date string, format string, content string"
+
+
 def test_texts_are_stored_once(spark, tmp_path):
     c = Catalog(spark, str(tmp_path))
-    kind = "version_key string, document_key string, version_date string, format string, content string"
-    job.store_texts(c, spark.createDataFrame([("k1", "d1", "2025", "Formatted Text", "<body><p>one two</p> three</body>"), ("k2", "d2", "2025", "PDF", None)], kind), "r1", chunk_size=6)
-    assert [r["content"] for r in c.read("text_chunks").orderBy("chunk_index").collect()] == ["one tw", "o thre", "e"]
-    assert [tuple(r)[0] for r in c.read("text_versions").where("fetched_in IS NOT NULL").collect()] == ["k1"]
-    job.store_texts(c, spark.createDataFrame([("k1", "d1", "2025", "Formatted Text", "<body>changed</body>")], kind), "r2", chunk_size=6)
-    assert c.read("text_chunks").count() == 3
+    first = job.store_texts(c, spark.createDataFrame([("k1", "d1", "2025", "Formatted Text", "<body><p>one two</p> three</body>"), ("k2", "d2", "2025", "PDF", None)], KIND), "r1", chunk_size=6)
+    assert {tuple(r) for r in first.collect()} == {("k1", "Stored", None), ("k2", "Failed", "no text")}
+    assert [r["content"] for r in chunks.live(c).orderBy("chunk_index").collect()] == ["one tw", "o thre", "e"]
+    assert {(r["version_key"], r["fetched_in"]) for r in c.read("text_versions").collect()} == {("k1", "r1"), ("k2", None)}
+    again = job.store_texts(c, spark.createDataFrame([("k1", "d1", "2025", "Formatted Text", "<body>changed</body>")], KIND), "r2", chunk_size=6)
+    assert [tuple(r) for r in again.collect()] == [("k1", "Skipped", "already-processed")]
+    assert chunks.live(c).count() == 3 and c.read("events").select("event_id").distinct().count() == 2  # stored, and announced again
+
+
+def test_newest_text_wins_and_old_chunks_die(spark, tmp_path):
+    c = Catalog(spark, str(tmp_path))
+    def put(run, rows, **kw):
+        df = spark.createDataFrame([(*r[:3], "Text", r[3]) for r in rows], KIND)
+        return {r["version_key"]: r["outcome"] for r in job.store_texts(c, df, run, chunk_size=4, newest_wins=True, **kw).collect()}
+
+    assert put("r1", [("k1", "d1", "2025-01-01", "aaaabbbbcc"), ("k2", "d1", "2025-03-01", "dddd"), ("k3", "d2", "2025-01-01", "eeee")]) == {"k1": "Stored", "k2": "Stored", "k3": "Stored"}
+    files = c.state(chunks.CHUNKS)["added"]
+    # an older date changes nothing; a later one replaces the chunks, and those past the new end go
+    assert put("r2", [("k1", "d1", "2025-02-01", "ffff"), ("k2", "d1", "2025-02-01", "gggg")]) == {"k1": "Stored", "k2": "Skipped"}
+    assert {(r["version_key"], r["chunk_index"], r["content"]) for r in chunks.live(c).collect()} == {("k1", 0, "ffff"), ("k2", 0, "dddd"), ("k3", 0, "eeee")}
+    assert {r["document_key"]: r["version_key"] for r in c.read("text_latest").collect()} == {"d1": "k2", "d2": "k3"}
+    after = c.state(chunks.CHUNKS)["added"]
+    assert after[: len(files)] == files and c.read(chunks.CHUNKS).count() == 6  # appended; nothing is rewritten
+    assert c.read(chunks.DEAD).agg(F.sum("n")).first()[0] == 3
+    # a third set kills the second; then dead rows are dropped, and numbers stay
+    assert put("r3", [("k1", "d1", "2025-04-01", "hhhhiiii")])["k1"] == "Stored"
+    want = {("k1", 0, "hhhh"), ("k1", 1, "iiii"), ("k2", 0, "dddd"), ("k3", 0, "eeee")}
+    for _ in range(2):
+        assert {(r["version_key"], r["chunk_index"], r["content"]) for r in chunks.live(c).collect()} == want
+        chunks.compact(c)
+    assert c.read(chunks.CHUNKS).count() == 4 and not chunks.compact(c)
+    assert put("r4", [("k3", "d2", "2026-01-01", "jjjj")])["k3"] == "Stored"
+    assert {r["document_key"]: r["version_key"] for r in c.read("text_latest").collect()} == {"d1": "k1", "d2": "k3"} and chunks.live(c).count() == 4
+    # a model that fails leaves the version open and its old chunks alive
+    assert put("r5", [("k3", "d2", "2027-01-01", "kkkk")], model=lambda some: 1 / 0, dims=1)["k3"] == "Failed"
+    assert c.read("text_versions").where("version_key = 'k3'").first()["fetched_in"] is None and chunks.live(c).where("content = 'jjjj'").count() == 1
+    assert put("r6", [("k3", "d2", "2027-01-01", "kkkk")], model=lambda some: [[1.0]] * len(some), dims=1)["k3"] == "Stored"
+    assert chunks.live(c).where("version_key = 'k3'").select("content", "embedding").first() == ("kkkk", [1.0])
+
+
+def test_vectors_of_dead_rows(spark, tmp_path):
+    c = Catalog(spark, str(tmp_path))
+    rows = spark.range(1, 100_001).selectExpr("'b1' AS batch", "id AS row")
+    gone = [1, 2, 8, 9, 32767, 32768, 32769, 65536, 99_999, 100_000]
+    dead = [chunks.dead_rows(spark.createDataFrame([("b1", g) for g in some], "batch string, row long")) for some in (gone[:5], gone[5:], gone[2:4])]
+    c.commit({}, {chunks.CHUNKS: rows.unionByName(spark.createDataFrame([("b2", 1)], "batch string, row long")), chunks.DEAD: dead[0]})
+    c.commit({}, {chunks.DEAD: dead[1]})
+    c.commit({}, {chunks.DEAD: dead[2]})
+    left = chunks.live(c)
+    assert left.count() == 100_001 - len(gone) and left.where(F.col("row").isin(gone) & (F.col("batch") == "b1")).isEmpty()
+
+
+def test_model_is_called_with_full_batches(spark, tmp_path):
+    """However rows are dealt, ceil(texts / n) calls; each call leaves a file that names its size."""
+    rows = spark.createDataFrame([(k, None if k % 10 == 3 else " " if k % 10 == 4 else f"text {k}") for k in range(103)], "id long, content string").repartition(7)
+    folder = str(tmp_path)
+
+    def model(some):
+        with open(f"{folder}/{uuid.uuid4().hex}-{len(some)}", "w"):
+            return [[float(len(t))] for t in some]
+
+    got = {r["id"]: r["embedding"] for r in texts.embed_in_full_batches(rows, "content", model, 1, batch=10).collect()}
+    assert got == {k: None if k % 10 in (3, 4) else [float(len(f"text {k}"))] for k in range(103)}
+    sizes = sorted(int(n.split("-")[1]) for n in os.listdir(folder))
+    n = sum(k % 10 not in (3, 4) for k in range(103))
+    assert sizes == sorted([10] * (n // 10) + [n % 10])
 
 
 def test_only_stored_votes_are_archived(spark):
