@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from html.entities import name2codepoint
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import markup
+
+
 def collapse(c: Column) -> Column:
     """Runs of white space become one space; ends are not trimmed."""
     return F.regexp_replace(c, r"\s+", " ")
@@ -18,13 +21,9 @@ def strip_nul(c: Column) -> Column:
 
 
 def strip_record_noise(c: Column) -> Column:
-    """Without what a printed record carries besides its text: marks in square brackets that give a time or a page ("[Time: 10:30]", "[[Page S52]]"),
-    and page references in the text ("Pg S5255", "Page H12-3")."""
-    for opening in ("Time:", r"\[\s*Page\s"):  # a mark ends at its bracket
-        c = F.regexp_replace(c, rf"\[\s*{opening}[^\[\]]*\]+", "")
-    page = "|".join(("Page", "Pg"))
-    c = F.regexp_replace(c, rf"(?<!\w)(?:{page})\s+(?:[A-Za-z]?[0-9]+(?:-[0-9]+)?)(?!\w)", "")
-    return F.trim(collapse(c))
+    """Without what a printed record carries besides its text: marks in brackets that give a time or a page ("[Time: 10:30]", "[[Page S52]]"),
+    and page numbers in the text ("Pg S5255", "Page H12-3"); see markup.record_text."""
+    return _each(markup.record_text)(c)
 
 
 def strip_tags(c: Column) -> Column:
@@ -45,44 +44,22 @@ def shorten(c: Column, n: int = 200) -> Column:
     return F.when(F.length(c) > n, F.concat(F.left(c, F.lit(n)), F.lit("..."))).otherwise(c)
 
 
-_REFERENCE = "&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
-
-
-def _character(code: Column) -> Column:
-    """The character of a code point; U+FFFD where there is none."""
-    bad = code.isNull() | (code <= 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
-    return F.when(bad, F.lit("\ufffd")).otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-
+def html_fragments(c: Column, without: tuple[str, ...] = ("script", "style")) -> Column:
+    """The text of the body of an HTML page, one space between fragments, references decoded. Elements `without` are left out with all in them; broken markup is read as far as it goes. See markup.html_text."""
+    left_out = frozenset(without)
+    return _each(lambda page: markup.html_text(page, left_out))(c)
 
-def unescape(c: Column) -> Column:
-    """Character references as characters: decimal and hexadecimal ones, and the names of HTML; what is no known name stays. One pass, so that
-    "&amp;lt;" gives "&lt;"."""
-    names = F.create_map(*[F.lit(x) for name, code in {**name2codepoint, "apos": 39}.items() for x in (name, chr(code))])
 
-    def one(r: Column) -> Column:
-        hexadecimal = F.conv(F.substring(r, 3, 6), 16, 10).cast("int")
-        decimal = F.substring(r, 2, 7).try_cast("int")
-        return F.when(r.rlike("^#[xX]"), _character(hexadecimal)).when(r.startswith("#"), _character(decimal)).otherwise(F.coalesce(F.try_element_at(names, r), F.concat(F.lit("&"), r, F.lit(";"))))
-
-    found = F.transform(F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(1)), one)
-    whole = F.array_join(F.zip_with(F.split(c, _REFERENCE, -1), F.concat(found, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
-    return F.when(c.contains("&"), whole).otherwise(c)
+def xml_text(c: Column, element: str) -> Column:
+    """The text in all elements of a name, white space collapsed: references decoded, CDATA sections as they are, comments left out. DTDs and other files are not read."""
+    return _each(lambda doc: markup.xml_text(doc, element))(c)
 
 
-def html_fragments(c: Column, without: tuple[str, ...] = ("script", "style"), transform: Callable[[Column], Column] | None = None) -> Column:
-    """The text of the body of an HTML page, one space between fragments, references decoded. Elements `without` are left out with all in them; transform, if given, is
-    what a source does to its text before white space is collapsed."""
-    body = F.when(c.rlike(r"(?is)<body[^>]*>"), F.regexp_extract(c, r"(?is)<body[^>]*>(.*?)(?:</body>|$)", 1)).otherwise(c)
-    for p in (*(rf"(?is)<{e}\b[^>]*>.*?</{e}\s*>" for e in without), r"(?s)<!--.*?-->", r"<[^>]*>"):
-        body = F.regexp_replace(body, p, " ")
-    body = F.translate(unescape(body), "\u00a0", " ")
-    return F.trim(collapse(body if transform is None else transform(body)))
+def _each(read: Callable[[str | None], str | None]) -> Callable[[Column], Column]:
+    """A reader of one text as a function of columns, in Arrow batches."""
 
+    @F.arrow_udf("string")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array((read(t.as_py()) for t in texts), pa.string())
 
-def xml_text(c: Column, element: str) -> Column:
-    """The text in all elements of a name, white space collapsed: references decoded, CDATA sections as they are, comments left out. DTDs and other files are not read."""
-    cdata = r"(?s)<!\[CDATA\[(.*?)\]\]>"
-    inside = F.array_join(F.regexp_extract_all(F.regexp_replace(c, r"(?s)<!--.*?-->", ""), F.lit(rf"(?s)<{element}\b[^>]*(?<!/)>(.*?)</{element}\s*>"), F.lit(1)), " ")
-    markup = F.transform(F.split(inside, cdata, -1), lambda m: unescape(F.regexp_replace(m, r"<[^>]*>", " ")))
-    sections = F.concat(F.regexp_extract_all(inside, F.lit(cdata), F.lit(1)), F.array(F.lit("")))
-    return F.trim(collapse(F.array_join(F.zip_with(markup, sections, lambda a, b: F.concat(a, b)), "")))
+    return run

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.landing import written
+
 
 def resolve(rows: DataFrame, ids: DataFrame, key: str, id_key: str, id_col: str, missing: str = "null") -> DataFrame:
     """rows with the id of their key. A key that nothing has: "null" keeps the row, "drop" drops it, "flag" adds `unresolved`."""
@@ -56,17 +58,18 @@ def link_unique(left: DataFrame, right: DataFrame, keys: list[str], right_id: st
 
 
 def parent_chain(rows: DataFrame, key: str, parent: str, value: str, most: int = 10, salts: int = 64) -> DataFrame:
-    """(key, depth, root, value, failed): the steps from each row up to the row without a parent, and the first value that is not null on the way.
-
-    A chain that is longer than `most`, or runs in a circle, has failed and no root. One chain of most + 1 joins that all rows pass; those that have arrived meet nothing, and
-    are dealt over `salts` parts so that they make no large task."""
-    up = rows.select(F.col(key).alias("_k"), F.col(parent).alias("_p"), F.col(value).alias("_v"), F.lit(0).alias("_s"))
-    at = rows.select(key, F.col(key).alias("root"), F.col(parent).alias("_at"), F.col(value).alias(value), F.lit(0).alias("depth"))
-    for _ in range(most + 1):
-        on = at.withColumn("_salt", F.when(F.col("_at").isNull(), F.pmod(F.xxhash64(key), F.lit(salts)).cast("int")).otherwise(F.lit(0)))
-        step = on.join(up, (F.col("_at") == F.col("_k")) & (F.col("_salt") == F.col("_s")), "left")
-        going = F.col("_at").isNotNull()
-        # a parent that isn't stored ends the chain at its key
-        at = step.select(key, F.coalesce("_at", "root").alias("root"), F.col("_p").alias("_at"), F.coalesce(value, F.when(going, F.col("_v"))).alias(value), (F.col("depth") + going.cast("int")).alias("depth"))
-    failed = F.col("depth") > most
-    return at.select(key, F.when(~failed, F.col("depth")).alias("depth"), F.when(~failed, F.col("root")).alias("root"), value, failed.alias("failed"))
+    """(key, depth, root, value, failed): the steps from each row up to the row without a parent, and the first value that is not null on the way. A parent that isn't stored ends the chain at its key.
+
+    A chain that is longer than `most`, or runs in a circle, has failed; it has no depth, root or value. Each turn joins a table of ancestors with itself and doubles the steps that it covers, so
+    most = 10 takes four joins. Rows that have arrived meet nothing, and are dealt over `salts` parts so that they make no large task."""
+    is_root = F.col(parent).isNull()
+    at = rows.select(F.col(key).alias("_k"), F.coalesce(parent, key).alias("_at"), F.when(is_root, 0).otherwise(1).alias("_n"), is_root.alias("_done"), F.col(value).alias("_v"))
+    for _ in range((most + 1).bit_length()):
+        at = written(at)
+        up = at.select(F.col("_k").alias("_up"), F.col("_at").alias("_to"), F.col("_n").alias("_more"), F.col("_done").alias("_end"), F.col("_v").alias("_w"), F.lit(0).alias("_s"))
+        open_ = at.select("*", F.when(~F.col("_done"), F.col("_at")).alias("_on"), F.when(F.col("_done"), F.pmod(F.xxhash64("_k"), F.lit(salts)).cast("int")).otherwise(F.lit(0)).alias("_salt"))
+        step = open_.join(up, (F.col("_on") == F.col("_up")) & (F.col("_salt") == F.col("_s")), "left")
+        found = F.col("_up").isNotNull()
+        at = step.select("_k", F.when(found, F.col("_to")).otherwise(F.col("_at")).alias("_at"), (F.col("_n") + F.coalesce("_more", F.lit(0))).alias("_n"), F.coalesce("_end", F.lit(True)).alias("_done"), F.coalesce("_v", "_w").alias("_v"))
+    failed = ~F.col("_done") | (F.col("_n") > most)
+    return at.select(F.col("_k").alias(key), F.when(~failed, F.col("_n")).alias("depth"), F.when(~failed, F.col("_at")).alias("root"), F.when(~failed, F.col("_v")).alias(value), failed.alias("failed"))

@@ -38,13 +38,14 @@ def record_text(c: Column) -> Column:
 def extract(content: Column, fmt: Column) -> Column:
     """Text of a decoded document by its format label; unknown labels are plain text, PDF is null (see extract_with)."""
     kind = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in FORMATS.items() for x in kv]), fmt), F.lit("text"))
-    return strip_nul(F.when(kind == "html", html_fragments(content)).when(kind == "xml", bill_xml_text(content)).when(kind == "text", plain_text(content)))
+    html, xml = [F.when(kind == k, content) for k in ("html", "xml")]  # a reader gets the documents of its format alone
+    return strip_nul(F.when(kind == "html", html_fragments(html)).when(kind == "xml", bill_xml_text(xml)).when(kind == "text", plain_text(content)))
 
 
 def extract_record(content: Column, fmt: Column) -> Column:
     """struct(text, error): HTML only; a PDF needs extract_with, other formats are errors of their row."""
     return F.struct(
-        F.when(fmt == "HTML", strip_nul(record_text(content))).alias("text"),
+        F.when(fmt == "HTML", strip_nul(record_text(F.when(fmt == "HTML", content)))).alias("text"),
         F.when(~fmt.isin("HTML", "PDF") | fmt.isNull(), F.concat(F.lit("unsupported format: "), F.coalesce(fmt, F.lit("none")))).alias("error"),
     )
 

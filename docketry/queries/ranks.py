@@ -8,6 +8,7 @@ from ..functions import arrays
 from ..operators import rank as rk
 from ..operators import summary as sm
 from ..operators.merge import MergeSpec
+from ..sources.landing import shared
 from .tables import Tables, query
 
 _PRIO = {"A": 0, "N": 1}
@@ -144,7 +145,6 @@ def json_event_roundtrip(t: Tables):
 
 
 def _landed(t: Tables, name: str) -> str:
-    from ..sources.landing import shared
 
     path = f"{shared(t.spark)}/{name}"
     t.events.select("event_id", "user_id", "event_type", "value", "ts").repartition(4).write.parquet(f"{path}/in")
@@ -175,3 +175,40 @@ def stream_drain(t: Tables):
     for _ in range(2):
         drain(t.spark, f"{path}/in", schema, sink, f"{path}/checkpoint", files_a_batch=2)
     return t.spark.read.parquet(f"{path}/out").groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, event_type, value FROM events")
+def stream_once(t: Tables):
+    """Events of two jobs, sent twice each, as a lost run would; each is delivered once."""
+    from ..sources.snapshots import Catalog
+    from ..streaming.incremental import deliver, drain_once
+
+    path = shared(t.spark)
+    catalog = Catalog(t.spark, f"{path}/tables")
+    send = lambda rows: rows.select("event_id", "event_type", "value").write.mode("append").parquet(f"{path}/in")
+    for half in (0, 1):
+        rows = t.events.where(F.col("event_id") % 2 == half)
+        catalog.commit({}, {"events": rows})
+        send(rows)
+        deliver(catalog, send)
+        drain_once(t.spark, f"{path}/in", t.spark.read.parquet(f"{path}/in").schema, lambda b, k, half=half: b.write.mode("overwrite").parquet(f"{path}/out/call={half}/batch={k}"), f"{path}/checkpoint", "event_id", files_a_batch=4)
+    return t.spark.read.parquet(f"{path}/out").select("event_id", "event_type", "value")
+
+
+@query("""WITH n AS (SELECT l_orderkey AS k, count(*) AS n, bool_or(l_returnflag = 'R' AND l_linenumber = 1) AS bad, bool_or(l_linenumber = 7) AS short FROM (SELECT DISTINCT ON (l_orderkey, l_linenumber) * FROM lineitem ORDER BY l_returnflag DESC) GROUP BY 1)
+SELECT k AS document, CASE WHEN bad THEN 'Failed' ELSE 'Complete' END AS outcome, CASE WHEN bad THEN 'model: slow' END AS reason, CASE WHEN bad THEN 1 ELSE n END AS n FROM n WHERE bad OR NOT short""")
+def complete_in_stream(t: Tables):
+    """Lines as chunks of their orders, which come in several batches and twice: orders all of whose chunks came are given out, one failure drops an order, and orders that miss their seventh chunk stay held back."""
+    from ..streaming.incremental import until_complete
+
+    path = shared(t.spark)
+    rows = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("flag"))
+    n = rows.groupBy("l_orderkey").agg(F.count("*").alias("expected"))
+    bad = (F.col("flag") == "R") & (F.col("l_linenumber") == 1)
+    chunks = rows.join(n, "l_orderkey").select(F.col("l_orderkey").alias("document"), F.col("l_linenumber").cast("long").alias("chunk_index"), "expected", F.when(bad, "model: slow").alias("failed"), F.lit("2024-01-01").cast("timestamp").alias("at"))
+    chunks = chunks.where("chunk_index <> 7").unionByName(chunks.where("chunk_index = 2"))
+    chunks.repartition(4).write.parquet(f"{path}/in")
+    stream = t.spark.readStream.schema(chunks.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+    done = until_complete(stream, "document").writeStream.foreachBatch(lambda b, k: b.write.mode("overwrite").parquet(f"{path}/out/batch={k}")).option("checkpointLocation", f"{path}/checkpoint")
+    done.trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(f"{path}/out").groupBy("document", "outcome").agg(F.max("failed").alias("reason"), F.count("*").alias("n"))

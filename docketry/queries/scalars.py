@@ -181,6 +181,22 @@ def html_to_text(t: Tables):
     return t.pages.select("page_id", text.html_fragments(F.col("html")).alias("text"))
 
 
+def _escaped(c):
+    for raw, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        c = F.replace(c, F.lit(raw), F.lit(name))
+    return c
+
+
+@query("""SELECT doc_id, trim(regexp_replace(doc_id || ' ' || replace(coalesce(text, ''), chr(160), ' ') || ' if a < b and c > d end', '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')) AS html,
+trim(regexp_replace(coalesce(text, '') || ' 1 < 2 &amp; <b> ' || doc_id, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')) AS xml FROM documents""")
+def markup_round_trip(t: Tables):
+    """Texts put into markup come out again: escaped, between tags with > in quotes, scripts and comments with tags in them, sections of character data."""
+    body = F.coalesce(_escaped(F.col("text")), F.lit(""))
+    html = F.concat(F.lit("<html><head><title>t < u</title><style>p > a {}</style></head><body class=\"a>b\"><!-- > </p> --><h1 title='<'>"), F.col("doc_id").cast("string"), F.lit("</h1><p data-x=1>"), body, F.lit("</p><script>if (a < b) '</p>'</script> if a < b and c > d end</body>after"))
+    xml = F.concat(F.lit("<?xml version='1.0'?><bill><x>no</x><a:legis-body a='x>y'><t>"), body, F.lit("</t><![CDATA[1 < 2 &amp; <b>]]> "), F.col("doc_id").cast("string"), F.lit("<!-- </a:legis-body> --></a:legis-body> no</bill>"))
+    return t.documents.select("doc_id", text.html_fragments(html).alias("html"), text.xml_text(xml, "legis-body").alias("xml"))
+
+
 @query("SELECT doc_id, CAST(unnest(range(len(cs))) AS INTEGER) AS chunk_index, unnest(cs) AS content FROM (SELECT doc_id, list_filter(list_transform(range(1, greatest(1, length(text)) + 1, 500), lambda i: trim(substr(text, i, 500), ' ')), lambda c: c <> '') AS cs FROM documents)")
 def chunk_text(t: Tables):
     from ..operators.rank import numbered_chunks

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.merge import MergeSpec, merge
 from ..operators.rank import last_wins
@@ -21,6 +22,76 @@ def drain(spark: SparkSession, path: str, schema, sink: Callable[[DataFrame, int
     query.awaitTermination()
 
 
+def drain_once(spark: SparkSession, path: str, schema, sink: Callable[[DataFrame, int], None], checkpoint: str, key: str, at: str | None = None, horizon: str = "7 days", files_a_batch: int | None = None, fmt: str = "parquet") -> None:
+    """As drain, but rows that were delivered before, by their key, are left out: once and again in a batch, a later one, or a later call.
+
+    The keys of the last `horizon` are kept as state, by the column `at` or, without one, by when their file arrived; so state is bounded by what arrives in that time. A row that comes again after
+    it is delivered again, and with arrival times no row is ever too late and lost."""
+    reader = spark.readStream.schema(schema).format(fmt)
+    if files_a_batch:
+        reader = reader.option("maxFilesPerTrigger", files_a_batch)
+    rows = reader.load(path)
+    given = rows.columns
+    timed = rows.withColumn("__at", F.col(at) if at else F.col("_metadata.file_modification_time"))
+    once = timed.withWatermark("__at", horizon).dropDuplicatesWithinWatermark([key]).select(*given)
+    once.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def deliver(catalog: Catalog, send: Callable[[DataFrame], None], table: str = "events") -> int:
+    """Send the events that were committed after those sent last, and write down how far it got. A run that is lost in between sends them again with the same ids; drain_once on the
+    other side tells them. Only the new versions are read. Returns the version that is sent."""
+    done, now = catalog.read(f"{table}_sent"), catalog.version()
+    last = 0 if done is None else done.first()["version"]
+    new = catalog.added_since(table, last, now)
+    if new is not None:
+        send(new)
+        catalog.commit({f"{table}_sent": catalog.spark.createDataFrame([(now,)], "version long")})
+    return now
+
+
+def until_complete(chunks: DataFrame, key: str, index: str = "chunk_index", expected: str = "expected", failed: str = "failed", at: str = "at", horizon: str = "7 days") -> DataFrame:
+    """A stream of the chunks of whole documents, from a stream of chunks that come in any order and may come again.
+
+    chunks have the number of chunks that their document has (expected) and why theirs could not be made (failed; null if it could). A document's chunks are held back as state until all are there;
+    then they are given out, with outcome Complete. The first that failed drops what is held of its document and gives one row with outcome Failed and the reason. What comes after either is
+    left out, as a mark stays until the horizon has passed, by the column `at` (when a chunk came); so does what is held of a document that is never whole. State is one document at most a key."""
+    names, schema = chunks.columns, chunks.schema
+    timed = chunks.withColumn("__ms", F.unix_millis(at)).withWatermark(at, horizon)
+
+    def step(document, parts, state):
+        import pickle
+
+        import pandas as pd
+
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held: dict | None = pickle.loads(state.get[0]) if state.exists else {}
+        out, last = [], state.getCurrentWatermarkMs()
+        for part in parts:
+            last = max(last, int(part.pop("__ms").max()))
+            for row in part.to_dict("records"):
+                if held is None:
+                    continue
+                if isinstance(row[failed], str):
+                    held = None
+                    out.append({key: document[0], failed: row[failed], "outcome": "Failed"})
+                elif row[index] not in held:
+                    held[row[index]] = row
+                    if len(held) == row[expected]:
+                        out += [{**held[k], "outcome": "Complete"} for k in sorted(held)]
+                        held = None
+        state.update((pickle.dumps(held),))
+        state.setTimeoutTimestamp(last + 1)  # the watermark is there when the horizon has passed
+        if out:
+            yield pd.DataFrame({n: pd.Series([r.get(n) for r in out], dtype=object) for n in (*names, "outcome")})
+
+    kind = T.StructType([*schema.fields, T.StructField("outcome", T.StringType())])
+    for f in kind.fields:
+        f.nullable = True
+    return timed.groupBy(key).applyInPandasWithState(step, kind, "held binary", "append", "EventTimeTimeout")
+
+
 def upsert_sink(catalog: Catalog, table: str, spec: MergeSpec, order: str) -> Callable[[DataFrame, int], None]:
     """Merge each batch into the parts of a table of the catalog that it touches: of a key's rows in a batch the last counts, and a row older than the stored one by `order` changes
     nothing. So batches may come twice or late."""

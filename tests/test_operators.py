@@ -1,11 +1,13 @@
+import re
 from datetime import date
+from html.parser import HTMLParser
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from docketry.functions import dates, keys, text, urls
+from docketry.functions import dates, keys, markup, text, urls
 from docketry.operators import change, merge, rank, resolve, texts
 from docketry.operators.merge import MergeSpec
 
@@ -91,6 +93,25 @@ def test_parent_chain_limits(spark):
     assert got["x"][3] and got["y"][3] and got["m"] == (1, "gone", None, False)
 
 
+def test_chains_of_all_lengths(spark):
+    """Trees, chains up to and over the limit, circles, and chains that lead into circles, against a walk."""
+    import random
+
+    r = random.Random(4)
+    up = {k: (None if k % 9 == 0 else k - r.randrange(1, 4) if k % 40 else k + 5) for k in range(300)} | {1000 + k: 1001 + k for k in range(14)}
+    values = {k: k if k % 5 == 0 else None for k in up}
+    for most in (1, 4, 10):
+        want = {}
+        for k in up:
+            at, n, v = k, 0, values[k]
+            while up.get(at) is not None and n <= most:
+                at, n = up[at], n + 1
+                v = values.get(at) if v is None else v
+            want[k] = (n, at, v, False) if n <= most else (None, None, None, True)
+        t = spark.createDataFrame([(k, p, values[k]) for k, p in up.items()], "k int, p int, v int")
+        assert {x["k"]: tuple(x)[1:] for x in resolve.parent_chain(t, "k", "p", "v", most).collect()} == want
+
+
 def test_best_version_ties(spark):
     v = spark.createDataFrame([(1, None, "PDF", 0), (1, "2024", "PDF", 1), (1, "2024", "Text", 2), (1, "2024", "Text", 3), (1, "2025", "Doc", 4)], "b int, d string, f string, pos int")
     assert rank.best_version(v, "b", "d", "f", "pos", {"Text": 0, "XML": 1, "PDF": 2}).first()["pos"] == 3
@@ -194,6 +215,77 @@ def test_keys(spark):
     assert one(spark, keys.version_code(F.lit("Public Print"))) == "PP" and one(spark, keys.version_code(F.lit("?"))) is None
 
 
+class _Plain(HTMLParser):
+    """The text of a body by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.parts, self.off, self.body, self.seen = [], 0, False, False
+
+    def handle_comment(self, data):
+        self.parts.append(" ")
+
+    handle_decl = unknown_decl = handle_pi = handle_comment
+
+    def handle_starttag(self, tag, attrs):
+        self.parts.append(" ")
+        self.off += tag in ("script", "style", "title")
+        if tag == "body":
+            self.body, self.seen = True, True
+
+    def handle_endtag(self, tag):
+        self.parts.append(" ")
+        self.off -= tag in ("script", "style", "title") and self.off > 0
+        if tag == "body":
+            self.body = False
+
+    def handle_data(self, data):
+        if self.body and not self.off:
+            self.parts.append(data)
+
+
+def plain(page):
+    p = _Plain()
+    p.feed(page if "<body" in page.lower() else f"<body>{page}")
+    p.close()
+    return re.sub(r"\s+", " ", "".join(p.parts).replace("\u00a0", " "), flags=re.ASCII).strip(" ")
+
+
+def test_markup_against_a_plain_parser(spark):
+    cases = [
+        "if a < b and c > d end", "<p title='a>b'>x</p>", '<p title="a>b" data-x=1>y</p>', "<body>a<br/>b<!-- > </p> -->c</body>after", "<p>1 < 2 &amp;&amp; 3 > 2", "<script>if (a < b) '</p>';</script>t", "<style>p > a {}</style>t<script>x</script >u",
+        "<p class=a/b>slash</p>", "a <3 b", "&lt;b&gt; &#167;&copy; &nope; AT&T", "<P\nCLASS='x'\n>upper</P><BR>", "<p =x>odd</p>", "x<!DOCTYPE html>y", "<a href='x'title=\"y>\">glued</a>", "<b>bo</b>ld<i></i>", "</p>end first<p>", "<script>never closed", "<p a='1' b>q</p>", "", "  \t ",
+        "<head><title>t < u</title></head><body>in the body</body>",
+    ]
+    for page in cases:
+        assert markup.html_text(page) == plain(page), page
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "html", text.html_fragments(F.col("html")).alias("got"), text.html_fragments(F.substring("html", 1, 700)).alias("cut")).collect()
+    for r in pages:
+        assert r["got"] == plain(r["html"]), r["page_id"]
+    assert markup.html_text("<textarea><b>raw</b> &lt;</textarea>z") == "<b>raw</b> < z"
+    assert markup.html_text(None) is None and markup.html_text("<html><head>h<meta x></head><p>text") == "text"
+    assert markup.html_text("<div>" * 50_000 + "deep") == "deep" and markup.html_text("<" * 100_000).count("<") == 100_000
+
+
+def test_xml_markup():
+    x = lambda d: markup.xml_text(d, "legis-body")
+    assert x("<a:legis-body x='>'>one<b/>two <c t=\"<d>\">&lt;3</c></a:legis-body> out <legis-body/> <legis-body>x<legis-body>y</legis-body>z</legis-body>") == "one two <3 x y z"
+    assert x("<?xml version='1.0'?><!DOCTYPE b SYSTEM 'f'><legis-body><![CDATA[a <b> &amp;]]> c<!-- no --></legis-body>") == "a <b> &amp; c"
+    assert x("<legis-body>open <![CDATA[end") == "open end" and x(None) is None and x("none") == ""
+
+
+def test_record_marks():
+    cases = {
+        "Section 1. [[Page S5256]] Some text.": "Section 1. Some text.", "[Time: 10:30 a.m.] Mr. SCHUMER. I rise": "Mr. SCHUMER. I rise", "a Pg S5255 b Page 12-3, c Page 5a d": "a b , c Page 5a d",
+        "Mr. X.\n\n\tThe text.\n[Time: 10:30] On.": "Mr. X. The text. On.", "[Timely: x] [ Time:  now] y": "[Timely: x] y", "[[ Page H1-S2 ]] [[Pages 1]] [[Page S 5]]": "[[Pages 1]] [[Page S 5]]",
+        "Page 7-x Homepage 5 Page": "-x Homepage 5 Page", "[Time: open": "[Time: open", "[Time: [[Page S1]] x": "] x", "Page\n9\tz": "z", "Pg 12-34-56": "-56", "[[Page é]]": "[[Page é]]",
+    }
+    for given, want in cases.items():
+        assert markup.record_text(given) == want, given
+        assert markup.record_text(want) == want
+    assert markup.record_text(None) is None
+
+
 def test_urls_and_text(spark):
     assert one(spark, urls.bill_text_url(F.lit("https://www.congress.gov/118/bills/hr1/BILLS-118hr1ih.htm?x=1"), "https://b/")) == "https://b/packages/BILLS-118hr1ih/htm"
     assert one(spark, urls.bill_text_url(F.lit("https://elsewhere/"), "https://b")) is None

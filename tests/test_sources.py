@@ -1,5 +1,8 @@
 import json
+from collections import Counter
+from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from docketry.operators.merge import MergeSpec
@@ -96,3 +99,68 @@ def test_stream_is_repeatable(spark, tmp_path):
     spark.createDataFrame([(1, 0, "late")], "k int, at int, v string").write.parquet(late)
     incremental.drain(spark, late, "k int, at int, v string", sink, str(tmp_path / "cp9"))
     assert c.read("t").where("k = 1").first()["v"] == "b"
+
+
+def test_redelivered_rows_come_once_and_state_is_bounded(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    day = lambda d: f"2024-01-{d:02d} 00:00:00"
+    got = lambda: Counter(r["id"] for r in spark.read.parquet(f"{out}/*").collect())
+    n = 0
+
+    def put(rows):
+        nonlocal n
+        spark.createDataFrame(rows, "id string, at string").selectExpr("id", "timestamp(at) AS at").coalesce(1).write.mode("append").parquet(src)
+        n += 1
+        incremental.drain_once(spark, src, "id string, at timestamp", lambda b, k: b.write.mode("overwrite").parquet(f"{out}/{n}-{k}"), str(tmp_path / "cp"), "id", "at", "2 days")
+
+    put([("a", day(1)), ("a", day(1)), ("b", day(1))])
+    put([("a", day(2)), ("c", day(2))])
+    assert got() == {"a": 1, "b": 1, "c": 1}
+    put([("d", day(20))])
+    put([("e", day(21)), ("d", day(21))])
+    assert got() == {"a": 1, "b": 1, "c": 1, "d": 1, "e": 1}
+    # the keys of the first days are no longer held
+    state = spark.read.format("statestore").load(str(tmp_path / "cp"))
+    assert {r["key"][0] for r in state.collect()} <= {"d", "e"}
+
+
+def test_events_are_sent_from_where_it_stopped(spark, tmp_path):
+    c, sent = Catalog(spark, str(tmp_path)), []
+    send = lambda rows: sent.append(sorted(r["id"] for r in rows.collect()))
+    incremental.deliver(c, send)
+    c.commit({}, {"events": spark.range(2)})
+    c.commit({"t": spark.range(1)}, {"events": spark.range(2, 3)})
+    incremental.deliver(c, send)
+    incremental.deliver(c, send)
+
+    def lost(rows):
+        raise OSError
+
+    c.commit({}, {"events": spark.range(3, 4)})
+    with pytest.raises(OSError):
+        incremental.deliver(c, lost)
+    incremental.deliver(c, send)
+    assert sent == [[0, 1, 2], [3]]
+
+
+def test_documents_are_given_out_whole(spark, tmp_path):
+    """A failure in the second batch removes what the first one held back; what comes twice or after the end is left out; what is never whole is forgotten."""
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    kind = "doc string, chunk_index int, expected int, failed string, at timestamp, vector array<float>"
+    n = 0
+
+    def put(*rows, day=1):
+        nonlocal n
+        spark.createDataFrame([(d, k, m, f, datetime(2024, 1, day), [float(k)]) for d, k, m, f in rows], kind).coalesce(1).write.mode("append").parquet(src)
+        stream = incremental.until_complete(spark.readStream.schema(kind).parquet(src), "doc", horizon="2 days")
+        n += 1
+        stream.writeStream.foreachBatch(lambda b, k: b.write.mode("overwrite").parquet(f"{out}/{n}-{k}")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+        return sorted((r["doc"], r["chunk_index"], r["outcome"], r["failed"], r["vector"]) for r in spark.read.parquet(f"{out}/{n}-*").collect())
+
+    assert put(("a", 1, 2, None), ("b", 0, 2, None), ("c", 0, 1, None), ("d", 0, 3, None)) == [("c", 0, "Complete", None, [0.0])]
+    assert put(("a", 1, 2, None), ("a", 0, 2, None), ("b", 1, 2, "timeout: slow"), ("c", 0, 1, None)) == [("a", 0, "Complete", None, [0.0]), ("a", 1, "Complete", None, [1.0]), ("b", None, "Failed", "timeout: slow", None)]
+    assert put(("b", 0, 2, None), ("b", 1, 2, None), ("a", 0, 2, None)) == []
+    put(("e", 0, 1, None), day=20)
+    put(("f", 0, 1, None), day=21)
+    held = {r["key"][0] for r in spark.read.format("statestore").load(str(tmp_path / "cp")).collect()}
+    assert held <= {"e", "f"}
