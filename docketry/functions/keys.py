@@ -128,9 +128,9 @@ def classify_document(doc_type: Column, doc_congress: Column, doc_number: Column
 
 
 def name_key(name: Column) -> Column:
-    """A committee's name without case, the word committee and punctuation."""
-    c = F.regexp_replace(F.lower(name), "committee", "")
-    return F.trim(F.regexp_replace(F.regexp_replace(c, "[^a-z0-9]", " "), " +", " "))
+    """A committee's name as its words of letters and digits, in small letters, without the word committee, with or without a plural."""
+    words = F.regexp_extract_all(F.lower(name), F.lit("[a-z0-9]+"), F.lit(0))
+    return F.array_join(F.filter(words, lambda w: ~w.isin("committee", "committees")), " ")
 
 
 def committee_code(code: Column, chamber: Column) -> Column:

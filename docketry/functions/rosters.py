@@ -16,7 +16,7 @@ _QUOTED = re.compile(r"``.*?''|\"[^\"]*\"|“[^”]*”")
 
 def heading_key(line: str) -> str:
     """The words of a committee's name, without the word committee."""
-    return " ".join(w for w in re.findall(r"[a-z0-9]+", line.lower()) if w != "committee")
+    return " ".join(w for w in re.findall(r"[a-z0-9]+", line.lower()) if w not in ("committee", "committees"))
 
 
 def gutter(lines: list[str]) -> int | None:

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import change as ch
 from ..operators import merge as m
+from ..operators import texts
 from ..plans import ingest as job
+from ..plans import reference as ref
 from ..sources import chunks
 from ..sources.landing import shared
 from ..sources.snapshots import Catalog
@@ -165,3 +167,76 @@ def failed_vectors_stay_open(t: Tables):
     n = chunks.live(c).groupBy("version_key").agg(F.count("*").cast("int").alias("n"))
     out = second.join(c.read("text_versions").select("version_key", "fetched_in"), "version_key").join(n, "version_key", "left")
     return out.select("version_key", "reason", "fetched_in", F.coalesce("n", F.lit(0)).cast("int").alias("n"))
+
+
+@query("""SELECT s_name AS bioguide, 'L' || s_suppkey AS lis_id, s_nationkey % 2 = 0 AS in_first, CAST(1 AS BIGINT) AS events, '2024-02-01' AS verified FROM supplier WHERE s_suppkey % 3 = 0 OR 100 + s_suppkey % 20 BETWEEN 117 AND 118""")
+def refresh_senator_ids(t: Tables):
+    """Two runs over a register: senators in the window are mapped once their member is stored, and only a new mapping sends an event."""
+    c = Catalog(t.spark, shared(t.spark))
+    known = t.supplier.select("s_name", F.col("s_suppkey").alias("n"), "s_nationkey")
+    senators = known.select(F.concat(F.lit("L"), "n").alias("lis_id"), F.col("s_name").alias("bioguide"), F.lit("Ann").alias("first_name"), F.col("s_name").alias("last_name"), F.lit("").alias("party"), F.lit("OH").alias("state"), F.array((100 + F.col("n") % 20).cast("int")).alias("congresses"), (F.col("n") % 3 == 0).alias("is_current"))
+    members = known.select(F.col("s_name").alias("bioguide"), "s_nationkey")
+    ref.refresh_mappings(c, senators, members.where("s_nationkey % 2 = 0"), 118, 2, "r1", "2024-01-01")
+    first = c.read("member_lis_mapping").select("bioguide", F.lit(True).alias("in_first"))
+    ref.refresh_mappings(c, senators, members, 118, 2, "r2", "2024-02-01")
+    sent = c.read("events").groupBy(F.get_json_object("payload", "$.bioguide").alias("bioguide")).agg(F.count("*").alias("events"))
+    out = c.read("member_lis_mapping").join(first, "bioguide", "left").join(sent, "bioguide")
+    return out.select("bioguide", "lis_id", F.coalesce("in_first", F.lit(False)).alias("in_first"), "events", F.date_format("last_verified", "yyyy-MM-dd").alias("verified"))
+
+
+@query("""SELECT 'C' || s_nationkey AS committee, s_suppkey AS member_id, CAST(110 + s_suppkey % 2 AS INTEGER) AS congress, CASE WHEN s_suppkey % 3 = 0 THEN 'Chairman' WHEN s_suppkey % 3 = 1 THEN 'Vice Chairman' END AS role FROM supplier WHERE s_suppkey % 5 <> 0 AND s_nationkey <> 4""")
+def load_committee_history(t: Tables):
+    """Printed rosters of two congresses: people who didn't serve in the roster's congress are left out, and so are those of a committee that isn't stored."""
+    c = Catalog(t.spark, shared(t.spark))
+    rows = t.supplier.join(t.nation, F.col("n_nationkey") == F.col("s_nationkey")).withColumns({"last": F.regexp_replace("s_name", "#", ""), "congress": (110 + F.col("s_suppkey") % 2).cast("int")})
+    role = F.when(F.col("s_suppkey") % 3 == 0, ", Chair").when(F.col("s_suppkey") % 3 == 1, ", Vice Chairman").otherwise("")
+    pages = rows.select("s_suppkey", "congress", F.concat(F.lit("COMMITTEES\nCommittee on "), "n_name", F.lit("\n      Ann Q. "), "last", F.lit(", of West Virginia"), role).alias("text"))
+    names = [r["n_name"] for r in t.nation.select("n_name").collect()]  # a printed directory names a few hundred committees
+    found = texts.parse_rosters(pages, [f"Committee on {n}" for n in names], ["Virginia", "West Virginia"], key="s_suppkey").join(pages.select("s_suppkey", "congress"), "s_suppkey")
+    served = rows.select(F.col("s_suppkey").alias("member_id"), (F.col("congress") + F.when(F.col("s_suppkey") % 5 == 0, 7).otherwise(0)).alias("congress"), F.lit("ann").alias("first_name"), F.upper("last").alias("last_name"), F.lit(" west virginia ").alias("state"), F.col("s_suppkey").alias("position"))
+    committees = t.nation.where("n_nationkey <> 4").select(F.concat(F.lit("C"), "n_nationkey").alias("code"), F.concat(F.lit("COMMITTEE, ON "), "n_name").alias("name"))
+    for _ in range(2):
+        ref.load_history(c, found, served, committees)
+    return c.read("committee_members").select("committee", "member_id", "congress", "role")
+
+
+@query("""WITH house AS (SELECT s_suppkey AS m, CASE WHEN s_suppkey % 10 = 0 THEN 'NEW' || s_nationkey ELSE 'C' || s_nationkey END AS code, s_suppkey % 9 AS rank FROM supplier WHERE s_suppkey % 2 = 0 AND s_suppkey % 7 <> 0),
+senate AS (SELECT s_suppkey AS m, 'C' || s_nationkey AS code, CASE WHEN s_suppkey % 3 = 0 THEN 'Chairman' END AS role FROM supplier WHERE s_suppkey % 2 = 1 AND s_suppkey % 7 <> 0),
+seats AS (SELECT code, m AS member_id, CAST(NULL AS VARCHAR) AS role, CAST(rank AS INTEGER) AS rank FROM house UNION ALL SELECT code, m, role, NULL FROM senate)
+SELECT code AS committee, coalesce(n_name || ' anew', code) AS name, CASE WHEN n_nationkey > 0 THEN 'C0' END AS parent_code, member_id, role, rank FROM seats LEFT JOIN nation ON code = 'C' || n_nationkey""")
+def refresh_committee_seats(t: Tables):
+    """Two runs: committees keep the parent that they have when none comes, House seats go by id, Senate seats by name, and unknown committees get placeholders."""
+    c = Catalog(t.spark, shared(t.spark))
+    code = lambda prefix, n: F.concat(F.lit(prefix), n)
+    committees = t.nation.select(code("C", "n_nationkey").alias("code"), F.col("n_name").alias("name"), F.lit("House").alias("chamber"), F.when(F.col("n_nationkey") > 0, "C0").alias("parent_code"))
+    s, odd = F.col("s_suppkey"), F.col("s_suppkey") % 2 == 1
+    house = t.supplier.where(~odd).select(F.col("s_name").alias("bioguide"), F.when(s % 10 == 0, code("NEW", "s_nationkey")).otherwise(code("C", "s_nationkey")).alias("code"), (s % 9).cast("int").alias("rank"), F.lit("majority").alias("side"))
+    people = t.supplier.where(odd).select(F.col("s_name").alias("bioguide"), F.lit("Ann").alias("first_name"), F.col("s_name").alias("last_name"), F.lit("OH").alias("state"))
+    rosters = t.supplier.where(odd).select(code("C", "s_nationkey").alias("code"), F.lit(" ANN ").alias("first_name"), F.lower("s_name").alias("last_name"), F.lit("oh").alias("state"), F.when(s % 3 == 0, " Chairman ").otherwise("Clerk").alias("position"))
+    members = t.supplier.where("s_suppkey % 7 <> 0").select(F.col("s_name").alias("bioguide"), s.alias("member_id"))
+    for k in range(2):
+        now = committees if k == 0 else committees.withColumns({"parent_code": F.lit(None).cast("string"), "name": F.concat("name", F.lit(" anew"))})
+        ref.refresh_committees(c, now, house, people, rosters, members, 118, f"2024-0{k + 1}-01")
+    out = c.read("committee_members").join(c.read("committees").select(F.col("code").alias("committee"), "name", "parent_code"), "committee", "left")
+    return out.select("committee", "name", "parent_code", "member_id", "role", "rank")
+
+
+@query("""WITH st(p, code, ord) AS (VALUES ('1-URGENT', 'IH', 10), ('2-HIGH', 'RH', 20), ('3-MEDIUM', 'EH', 30), ('4-NOT SPECIFIED', 'ENR', 40)),
+r AS (SELECT o_custkey AS k, code, ord, o_orderdate AS d, CASE WHEN o_orderstatus <> 'P' THEN 'order ' || o_orderkey END AS t, o_orderdate < TIMESTAMP '1998-01-01' AS first FROM orders JOIN st ON p = o_orderpriority),
+one AS (SELECT * FROM r WHERE first QUALIFY row_number() OVER (PARTITION BY k ORDER BY ord DESC, d DESC, t DESC NULLS LAST) = 1),
+two AS (SELECT * FROM r WHERE NOT first QUALIFY row_number() OVER (PARTITION BY k ORDER BY ord DESC, d DESC, t DESC NULLS LAST) = 1),
+texts AS (SELECT k, code, t FROM two WHERE t IS NOT NULL UNION ALL SELECT k, code, t FROM one WHERE t IS NOT NULL AND NOT EXISTS (SELECT 1 FROM two WHERE two.k = one.k AND two.code = one.code AND two.t IS NOT NULL))
+SELECT coalesce(one.k, two.k) AS bill_key, CASE WHEN two.ord > coalesce(one.ord, 0) THEN two.code ELSE one.code END AS stage, (SELECT count(*) FROM texts WHERE texts.k = coalesce(one.k, two.k)) AS summaries, (SELECT max(t) FROM texts WHERE texts.k = coalesce(one.k, two.k)) AS last_text
+FROM one FULL OUTER JOIN two ON one.k = two.k""")
+def ingest_summaries(t: Tables):
+    """Two runs of a feed of summaries: the furthest of each bill counts, stages only rise, and bills that aren't stored get placeholders."""
+    c = Catalog(t.spark, shared(t.spark))
+    stages = t.spark.createDataFrame([("IH", 10), ("RH", 20), ("EH", 30), ("ENR", 40)], "code string, order int")
+    code = F.create_map(*[F.lit(x) for kv in (("1-URGENT", "IH"), ("2-HIGH", "RH"), ("3-MEDIUM", "EH"), ("4-NOT SPECIFIED", "ENR"), ("5-LOW", "??")) for x in kv])[F.col("o_orderpriority")]
+    said = F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("<p><b>order</b>\n&nbsp; "), "o_orderkey", F.lit("</p> "))).otherwise("<p> </p>")
+    rows = t.orders.select(F.col("o_custkey").alias("bill_key"), code.alias("version_code"), F.col("o_orderdate").alias("action_date"), F.lit("d").alias("action_desc"), said.alias("text"), (F.col("o_orderdate") < "1998-01-01").alias("first"))
+    for first in (True, False):
+        ref.store_summaries(c, rows.where(F.col("first") == first).drop("first"), stages)
+    n = c.read("bill_summaries").groupBy("bill_key").agg(F.count("*").alias("summaries"), F.max("text").alias("last_text"))
+    out = c.read("bills").join(c.read("bills_stages").select("bill_key", F.col("code").alias("stage")), "bill_key").join(n, "bill_key", "left")
+    return out.select("bill_key", "stage", F.coalesce("summaries", F.lit(0)).cast("long").alias("summaries"), "last_text")

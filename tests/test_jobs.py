@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docketry.operators import merge, texts
 from docketry.plans import ingest as job
+from docketry.plans import reference as ref
 from docketry.sources import chunks
 from docketry.sources.snapshots import Catalog, Conflict, address
 
@@ -212,3 +213,39 @@ def test_parts_grow_and_batches_stay_cheap(spark, tmp_path):
     # readers of any version need one snapshot and fewer than four entries
     assert [c.read("t", v).count() for v in range(1, 7)] == [500, 505, 5000, 5003, 5003, 5003]
     assert c.read("none") is None and c.added_since("t", 0) is None
+
+
+def test_reference_jobs_count_and_repeat(spark, tmp_path):
+    c = Catalog(spark, str(tmp_path))
+    register = spark.createDataFrame([("L1", "b1", "Ann", "Lee", "D", "OH", [118], False), ("L2", "b2", "Bob", "Poe", "", "IA", [], True), ("L3", "b3", "Cy", "Fox", "R", "UT", [100], None), ("L4", "b4", "Di", "Zee", "R", "UT", [117], False)], "lis_id string, bioguide string, first_name string, last_name string, party string, state string, congresses array<int>, is_current boolean")
+    members = spark.createDataFrame([("b1", 1), ("b2", 2), ("b3", 3)], "bioguide string, member_id long")
+    run = lambda r, m: ref.refresh_mappings(c, register, m, 118, 2, r, "2024-01-01").first().asDict()
+    assert run("r1", members.where("member_id = 1")) == {"parsed": 3, "inserted": 1, "updated": 0, "unknown": 2}
+    assert run("r2", members) == {"parsed": 3, "inserted": 1, "updated": 1, "unknown": 1} and c.read("events").count() == 2
+    assert c.read("lis_members").where("lis_id = 'L2'").first()["party"] is None and c.read("lis_members").count() == 3
+
+    seats = spark.createDataFrame([(117, "Budget", "Ann", "Lee", "Ohio", "Chairman"), (117, "Budget", "A.", "Roe", "Ohio", None), (117, "Budget", "Zed", "Roe", "Ohio", None), (118, "Budget", "Ann", "Lee", "Ohio", None), (117, "Nowhere", "Ann", "Lee", "Ohio", None)], "congress int, committee string, first_name string, last_name string, state string, role string")
+    served = spark.createDataFrame([(1, 117, "Ann", "Lee", "Ohio", 1), (2, 117, "Abe", "Roe", "ohio", 2), (3, 117, "Al", "Roe", "ohio", 3)], "member_id long, congress int, first_name string, last_name string, state string, position int")
+    for _ in range(2):
+        assert ref.load_history(c, seats, served, spark.createDataFrame([("HSBU", "Committee on the Budget"), ("X", "the budget"), ("Y", "Budget")], "code string, name string")).first().asDict() == {"seen": 5, "upserted": 2, "no_committee": 1, "no_member": 2}
+    assert {tuple(r)[:4] for r in c.read("committee_members").collect()} == {("Y", 1, 117, "Chairman"), ("Y", 2, 117, None)}
+
+    stages = spark.createDataFrame([("IH", 10), ("ENR", 40)], "code string, order int")
+    said = lambda *rows: spark.createDataFrame(list(rows), "bill_key string, version_code string, action_date string, action_desc string, text string")
+    assert ref.store_summaries(c, said(("b", "IH", "1", "d", "<p>one</p>"), ("b", "ENR", "2", "d", " "), (None, "IH", "1", "d", "x"), ("c", "??", "1", "d", "x")), stages).first().asDict() == {"bills": 1, "advanced": 1, "at_stage": 0, "written": 0}
+    assert ref.store_summaries(c, said(("b", "IH", "3", "d", "late")), stages).first().asDict() == {"bills": 1, "advanced": 0, "at_stage": 1, "written": 1}
+    assert c.read("bills_stages").first()["code"] == "ENR" and c.read("bills").count() == 1
+
+
+def test_committees_and_their_members(spark, tmp_path):
+    c = Catalog(spark, str(tmp_path))
+    committees = spark.createDataFrame([("BU", "Budget", "House", None), ("BU1", "Taxes", "House", "BU")], "code string, name string, chamber string, parent_code string")
+    house = spark.createDataFrame([("b1", "BU", 1, "majority"), ("b9", "BU", 2, "majority"), ("b1", "NEW", 3, "minority")], "bioguide string, code string, rank int, side string")
+    people = spark.createDataFrame([("b2", "Ann", "Lee", "OH"), ("b3", "ann", "LEE", "oh")], "bioguide string, first_name string, last_name string, state string")
+    rosters = spark.createDataFrame([("SSBU", "Ann", "Lee", "OH", "Chairman"), ("SSBU", "No", "Body", "OH", "Member")], "code string, first_name string, last_name string, state string, position string")
+    members = spark.createDataFrame([("b1", 1), ("b2", 2), ("b3", 3)], "bioguide string, member_id long")
+    for k in range(2):
+        got = ref.refresh_committees(c, committees if k == 0 else committees.withColumn("parent_code", F.lit(None).cast("string")), house, people, rosters, members, 118, "2024-01-01").first().asDict()
+        assert got == {"seats": 3, "unknown": 2, "committees": 2, "placeholders": 2 - 2 * k}
+    assert {(r["code"], r["name"], r["parent_code"], r["chamber"]) for r in c.read("committees").collect()} == {("BU", "Budget", None, "House"), ("BU1", "Taxes", "BU", "House"), ("NEW", "NEW", None, "House"), ("SSBU", "SSBU", None, "Senate")}
+    assert {tuple(r) for r in c.read("committee_members").collect()} == {("BU", 1, 118, None, "majority", 1), ("NEW", 1, 118, None, "minority", 3), ("SSBU", 3, 118, "Chairman", None, None)}
