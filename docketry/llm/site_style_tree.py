@@ -3,8 +3,9 @@
 The pages of a host are merged into one tree: a node is a path of tags (with their classes) and collects the
 presentations (which child tags follow each other) and the contents that the pages have there. A node whose
 presentations and contents hardly vary over the pages of a site carries the site's frame; such a branch is
-removed from each page. What HTML or a class declares a branch to be (nav, article, "sidebar") is a prior: it weighs
-most where few pages speak, and the entropies of the tree decide where many do.
+removed from each page. What HTML or a class declares a branch to be (nav, article, "sidebar") is a prior. Declared frames,
+and what lies beside a declared main part, go by their prior whatever the entropies are; neutral branches and those inside
+the main part go by the entropies, and pages that would be left empty by what their names declare.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTR = re.compile(r"""(class|id|role|hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 caption dt th".split())
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
 _BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -79,7 +81,7 @@ class Node:
         body = tag in ("html", "body") or self.main
         self.never = tag in _NEVER or hidden or (not body and any(_READERS.search(n) for n in names))
         self.frame = tag in _FRAME or role in _FRAME_ROLE
-        self.named = not body and any(_speaks_of_frame(n) for n in names)
+        self.named = tag not in ("html", "body") and any(_speaks_of_frame(n) for n in names)
         self.children: list = []
 
 
@@ -130,7 +132,8 @@ def branches(root: Node) -> list[tuple[Node, int, int, int | None, int]]:
     """(node, its parent's place, path, key, what it is declared to be) of all elements, parents before children; without what never holds text, and all below it.
 
     path is a hash of the labels from the root, of any depth. key tells branches that the tree judges together: path and what the branch is
-    declared to be on its page. It is None for branches that aren't judged: the declared main part and what holds it."""
+    declared to be on its page. It is None for branches that aren't judged: the declared main part and what holds it, and headings in it, which are often the same on many pages of a site
+    ("Ingredients") and go with the branch that they head."""
     order: list[tuple[Node, int, int]] = [(root, -1, 0)]
     for at, (node, _, path) in enumerate(order):
         order += [(c, at, _hash(f"{path}/{c.label}")) for c in node.children if not isinstance(c, str) and not c.never]
@@ -141,7 +144,7 @@ def branches(root: Node) -> list[tuple[Node, int, int, int | None, int]]:
         for at, (node, parent, _) in enumerate(order):
             if parent in away or barred(node):
                 away.add(at)
-            elif node.main:
+            elif node.main and not node.named:
                 main.add(at)
         if main:
             break
@@ -159,7 +162,8 @@ def branches(root: Node) -> list[tuple[Node, int, int, int | None, int]]:
             kind = NAMED
         else:
             kind = (MAIN if at in inside else OUTSIDE) if main else NEUTRAL
-        out.append((node, parent, path, None if at == 0 or at in holds else _hash(f"{kind}:{path}"), kind))
+        judged = at > 0 and at not in holds and not (kind == MAIN and node.tag in _HEADINGS)
+        out.append((node, parent, path, _hash(f"{kind}:{path}") if judged else None, kind))
     return out
 
 
@@ -191,11 +195,11 @@ def style_nodes(page: str) -> list[tuple[int, int, int, int]]:
     return [(key, kind, _hash(";".join(seen)), _hash(";".join(map(str, contents)))) for key, (kind, seen, contents) in styles.items()]
 
 
-def main_text(page: str | None, unimportant: frozenset[int] = frozenset()) -> str:
+def main_text(page: str | None, unimportant: frozenset[int] = frozenset(), varying: frozenset[int] = frozenset()) -> str:
     """The blocks of a page, one a line, without what never holds text and without the branches whose keys are unimportant.
 
     Text that stands right in an element around the declared main part, in no branch of its own, is left out. If the tree would take all
-    of a declared main part, that part stays."""
+    of a declared main part, that part stays. If it would leave nothing of a page, branches that go for their name alone but differ from page to page (varying) stay."""
     if not page:
         return ""
     order = branches(parse(page))
@@ -203,7 +207,7 @@ def main_text(page: str | None, unimportant: frozenset[int] = frozenset()) -> st
         beside = {key for *_, key, kind in order if key is not None and kind != MAIN}
         if not _blocks(order, unimportant | beside):
             unimportant = unimportant & beside
-    return _blocks(order, unimportant)
+    return _blocks(order, unimportant) or (_blocks(order, unimportant - varying) if varying & unimportant else "")
 
 
 def _blocks(order: list[tuple], unimportant: frozenset[int]) -> str:
@@ -285,7 +289,8 @@ def extract_main_text(pages: DataFrame, threshold: float = 0.5, broadcast_limit:
     The removed branches of a host (its frame, not its pages) meet its pages by broadcast while all of them together are at most
     broadcast_limit, and else by a join on the host dealt over `salts` parts, so that a large host is no large task.
     """
-    keys = stored(style_tree(pages).where(F.col("importance") < threshold).groupBy("host").agg(F.collect_set("key").alias("keys")), "branches")
+    named = (F.col("kind") == NAMED) & (F.col("entropy") >= threshold)
+    keys = stored(style_tree(pages).where(F.col("importance") < threshold).groupBy("host").agg(F.collect_set("key").alias("keys"), F.collect_set(F.when(named, F.col("key"))).alias("varying")), "branches")
     n = keys.agg(F.coalesce(F.sum(F.size("keys") + F.lit(1)), F.lit(0)).alias("n")).first()["n"]
     rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
     if n <= broadcast_limit:
@@ -298,11 +303,11 @@ def extract_main_text(pages: DataFrame, threshold: float = 0.5, broadcast_limit:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                texts = [main_text(h, frozenset(k or ())) for h, k in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+                texts = [main_text(h, frozenset(k or ()), frozenset(v or ())) for h, k, v in zip(*(part.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return rows.select("page_id", "url", "html", "keys").mapInArrow(work, f"page_id {kind}, url string, text string")
+    return rows.select("page_id", "url", "html", "keys", "varying").mapInArrow(work, f"page_id {kind}, url string, text string")
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

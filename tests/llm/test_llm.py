@@ -325,6 +325,16 @@ def test_style_tree_finds_the_frame(spark):
 
 
 # 9
+def test_article_text_is_kept(spark):
+    """Headings that all articles share, a body whose only class speaks of a frame, and an advert that calls itself an article."""
+    soups = [f"<html><body><nav>Home</nav><article><h1>Soup {k}</h1><h2>Ingredients</h2><p>water {k}</p><h3>Method</h3><p>boil {k}</p><div>Printed for you</div></article></body></html>" for k in range(40)]
+    assert extracted(spark, soups) == [f"Soup {k}\nIngredients\nwater {k}\nMethod\nboil {k}" for k in range(40)]
+    assert extracted(spark, [f'<body><nav>x</nav><div class="related"><p>Body {k}</p></div></body>' for k in range(30)]) == [f"Body {k}" for k in range(30)]
+    assert extracted(spark, [f"<body><nav>x {k}</nav></body>" for k in range(30)]) == [""] * 30
+    adverts = [f'<body><div id=content>Real text {k}</div><article class="ad">Buy now {k}</article></body>' for k in range(30)]
+    assert extracted(spark, adverts) == [f"Real text {k}" for k in range(30)]
+
+
 def test_tokens_against_the_library(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
