@@ -130,54 +130,46 @@ def xml_text(doc: str | None, element: str) -> str | None:
     return collapsed("".join(parts))
 
 
-_PIECES = re.compile(r"\w+|\s+|.", re.ASCII | re.DOTALL)
-_PAGE_NUMBER = re.compile(r"[A-Za-z]?[0-9]+", re.ASCII)
+_BLANK, _WORD, _DIGITS = re.compile(r"\s*", re.ASCII), re.compile(r"\w+", re.ASCII), re.compile(r"[A-Za-z]?[0-9]+", re.ASCII)
+#: Where a mark can begin.
+_MARK = re.compile(r"\[|(?<!\w)P(?:age|g)(?!\w)", re.ASCII)
+
+
+def _mark_end(text: str, at: int) -> int:
+    """Where the mark of a printed record that begins at a place ends; the place itself if none begins there."""
+    past = lambda i: _BLANK.match(text, i).end()
+    if text[at] == "[":
+        first = past(at + 1)
+        if text.startswith("Time:", first):
+            close = text.find("]", first + 5)
+            return close + 1 if close > first + 5 else at
+        word = past(at + 2)
+        if text[at + 1 : at + 2] != "[" or not text.startswith("Page", word):
+            return at
+        name = last = past(word + 4)
+        while text[last : last + 1] == "-" or (text[last : last + 1].isalnum() and text[last].isascii()):
+            last += 1
+        close = past(last)
+        return close + 2 if name > word + 4 and last > name and text.startswith("]]", close) else at
+    word = _WORD.match(text, at).end()
+    number = past(word)
+    said = _WORD.match(text, number)
+    if number == word or not said or not _DIGITS.fullmatch(said[0]):
+        return at
+    upto = _WORD.match(text, said.end() + 1) if text[said.end() : said.end() + 1] == "-" else None
+    return upto.end() if upto and upto[0].isdigit() else said.end()
 
 
 def record_text(text: str | None) -> str | None:
     """A text without what a printed record carries besides: times and page marks in brackets, and page numbers of its foot lines; white space collapsed. Null for null.
 
-    The text is a row of words, blanks and single marks. "[Time: ...]" goes up to the bracket that closes it, "[[Page S52]]" with both pairs, and Pg or Page with the number behind it, hyphens
-    of a range included; a number with other letters to it is none."""
+    "[Time: ...]" goes up to the bracket that closes it, "[[Page S52]]" with both pairs, and Pg or Page with the number behind it, the hyphen of a range included; a number with other letters
+    to it is none. Only where a mark can begin is anything looked at."""
     if text is None:
         return None
-    if "[" not in text and "Page" not in text and "Pg" not in text:
-        return collapsed(text)
-    p = _PIECES.findall(text)
-    n, k, out = len(p), 0, []
-
-    def at(i: int) -> str:
-        return p[i] if i < n else ""
-
-    def past_blank(i: int) -> int:
-        return i + 1 if at(i).isspace() and at(i).isascii() else i
-
-    while k < n:
-        end = k
-        if p[k] == "[":
-            first = past_blank(k + 1)
-            if at(first) == "Time" and at(first + 1) == ":":
-                close = first + 2
-                while close < n and p[close] != "]":
-                    close += 1
-                end = close + 1 if close < n and close > first + 2 else k
-            elif at(k + 1) == "[":
-                word = past_blank(k + 2)
-                last = name = past_blank(word + 1)
-                while at(last) == "-" or (at(last).isalnum() and at(last).isascii()):
-                    last += 1
-                close = past_blank(last)
-                if at(word) == "Page" and name > word + 1 and last > name and at(close) == at(close + 1) == "]":
-                    end = close + 2
-        elif p[k] in ("Pg", "Page"):
-            number = past_blank(k + 1)
-            if number > k + 1 and _PAGE_NUMBER.fullmatch(at(number)):
-                end = number + 1
-                if at(end) == "-" and at(end + 1).isdigit() and at(end + 1).isascii():
-                    end += 2
-        if end > k:
-            k = end
-        else:
-            out.append(p[k])
-            k += 1
-    return collapsed("".join(out))
+    kept, last = [], 0
+    for mark in _MARK.finditer(text):
+        if mark.start() >= last and (end := _mark_end(text, mark.start())) > mark.start():
+            kept.append(text[last : mark.start()])
+            last = end
+    return collapsed("".join([*kept, text[last:]]))

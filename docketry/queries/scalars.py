@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions import arrays, dates, keys, text, urls
 from ..operators import texts
 from ..sources import feeds
-from ..sources.landing import shared
 from .tables import Tables, query
 
 _TYPES = {**keys.BILL_TYPES, **keys.AMENDMENT_TYPES}
@@ -230,7 +229,7 @@ def embed_batch(t: Tables):
 FROM (SELECT s_suppkey, replace(s_name, '#', '') AS s_name_, upper(n_name[1]) || lower(replace(n_name[2:], ' ', '')) AS n_name_ FROM supplier JOIN nation ON n_nationkey = s_nationkey),
 (VALUES ('Budget', false, 'Ann', false, 'Ohio', 'Chairman'), ('Budget', false, 'Flo', true, 'Iowa', 'Vice Chairman'), ('Budget', false, 'Bob', true, 'West Virginia', NULL), ('Budget', false, 'Cal', false, 'Iowa', NULL), ('Budget', false, 'Dee', true, 'Virginia', NULL), ('Budget', false, 'Eve', false, 'Ohio', 'Ranking Member'), ('Subcommittee on Water', true, 'Hal', false, 'Iowa', NULL), ('Subcommittee on Water', true, 'Ida', true, 'Ohio', 'Chairman')) AS x(committee, sub, first, n, state, role)""")
 def roster_entries(t: Tables):
-    """Pages as printed, landed as files: leaders without full stops, two columns, names and states that wrap, blank cells, nicknames and suffixes; the people are suppliers and nations."""
+    """Pages as printed: leaders without full stops, two columns, names and states that wrap, blank cells, nicknames and suffixes; the people are suppliers and nations."""
     named = t.supplier.join(t.nation, F.col("n_nationkey") == F.col("s_nationkey"))
     s, n = F.regexp_replace("s_name", "#", ""), F.initcap(F.regexp_replace("n_name", " ", ""))
     cell = lambda *c: F.rpad(F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in c]), 60, " ")
@@ -238,9 +237,7 @@ def roster_entries(t: Tables):
         F.concat(F.lit("          Ann Q. "), s, F.lit(", of Ohio, Chair")), F.concat(F.lit("          Flo "), n, F.lit(", of Iowa, Vice Chair")),
         F.concat(cell("Bob ", n, ", Jr., of West"), F.lit("Dee "), n, F.lit(", of")), F.concat(cell("        Virginia."), F.lit("        Virginia")), F.concat(cell("Cal ``Ace'' ", s, ", of Iowa"), F.lit("Eve de la "), s, F.lit(", of")), F.concat(cell(""), F.lit("    Ohio, Ranking Minority Member")),
         F.lit("Subcommittee on Water"), F.concat(F.lit("Hal "), s, F.lit(", of Iowa Ida "), n, F.lit(", of Ohio, Chairman")), F.lit("</pre>"))
-    path = shared(t.spark)
-    named.select(page.alias("value"), F.col("s_suppkey").alias("page")).repartition("page").write.partitionBy("page").text(path)
-    landed = t.spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(F.lit("CDIR-HOUSECOMMITTEES").alias("id"), F.regexp_extract("_metadata.file_path", r"page=(\d+)", 1).cast("long").alias("s_suppkey"), "value")
+    landed = named.select(F.lit("CDIR-HOUSECOMMITTEES").alias("id"), "s_suppkey", page.alias("value"))
     rows = texts.parse_rosters(feeds.listing_text(landed, "s_suppkey"), ["Committee on Budget"], ["Ohio", "Virginia", "West Virginia", "Iowa"], key="s_suppkey")
     return rows.withColumn("committee", F.regexp_replace("committee", "^Committee on ", ""))
 
