@@ -4,11 +4,15 @@ Every entity that a pattern finds gets a replacement drawn by a keyed hash: the
 same one for the same entity wherever it stands. All entities of the corpus are drawn together and checked: where two would share a
 replacement, or a replacement is itself a real entity of the corpus, the later ones are drawn again.
 
-A person is found by a title ("Mrs Anna Weber"); from then on the text is searched for the bare name and surname too. Surnames and given names are entities of
-their own: a surname has one surrogate everywhere, so "Ms Weber" and "Weber" follow "Anna Weber", and a given name is drawn for each full name.
+A person is found by titles ("Mrs Anna Weber", "Prof. Dr. J. R. Smith", "Mr van der McDonald"); from then on the text is searched for the bare name and surname too. Surnames and given
+names are entities of their own: a surname has one surrogate everywhere, so "Ms Weber" and "Weber" follow "Anna Weber", and a given name is drawn for each full name. Particles ("van
+der") stay; initials move on in the alphabet by a step that follows from the surrogate, so that different initials stay different.
+
+A bare surname is no person where it begins another name ("King County"). One that the text also has in lower case as a word, or that is an auxiliary verb, is a person only
+inside a sentence and before no word such as "you" or "the" ("Will you come"); a bare mention of Mrs May that opens a sentence therefore stays, and "in May" goes.
 
 Found are: emails, phone numbers, payment cards, IBANs, SSNs, IPv4 and IPv6 (also shortened), MACs, secrets by their look or after a word such as password,
-and persons with a title of _TITLES. Not found are persons that no title ever precedes in the text, given names standing alone, postal addresses and dates.
+and persons with a title of _TITLES. Not found are persons that no title ever precedes in the text, given names standing alone, names in capitals throughout, postal addresses and dates.
 """
 
 from __future__ import annotations
@@ -28,8 +32,18 @@ _TITLES = {
     "x": ("Dr", "Prof"),
 }
 _TITLE = "(?:" + "|".join(t for ts in _TITLES.values() for t in ts) + ")"
-_INITIALS = "(?=[" + "".join(sorted({t[0] for ts in _TITLES.values() for t in ts})) + "])"
-_NAME = r"\p{Lu}\p{Ll}+(?:['’-]\p{Lu}\p{Ll}+)?"
+#: Titles in a row, the spaces between them included; none of them is taken for a name.
+_TITLED = rf"{_TITLE}(?:\.? (?:{_TITLE}(?![\p{{L}}\p{{N}}])|(?:med|phil|jur|rer|nat|habil)(?=\.))){{0,5}}+\.? "
+_FIRST_OF_TITLE = "(?=[" + "".join(sorted({t[0] for ts in _TITLES.values() for t in ts})) + "])"
+#: A word of a name: Weber, McDonald, O'Neill, Meyer-DeVito. It ends where letters end.
+_PART = r"(?:\p{Lu}['’])?(?:\p{Lu}[\p{Ll}\p{M}]+)+"
+_NAME = rf"(?!{_TITLE}(?![\p{{L}}\p{{N}}])){_PART}(?:['’-]{_PART})*+(?![\p{{L}}\p{{M}}\p{{N}}])"
+_LETTERS = r"(?:\p{Lu}(?:\. ?| )){1,4}"
+_PARTICLE = "(?:von|van|zu|der|den|ter|ten|del|della|de|di|da|do|dos|du|la|le|bin|ibn|al|el)"
+_PERSON = rf"(?:{_LETTERS})?(?:{_NAME} (?:{_LETTERS})?)?(?:{_PARTICLE} ){{0,3}}{_NAME}"
+#: Surnames that open a question as verbs do, and words that a verb but hardly a name stands before.
+_VERBS = ("Will", "May", "Can", "Might", "Must", "Shall")
+_AFTER_VERB = "(?:I|you|he|she|it|we|they|the|a|an|this|that|these|those|there|be|not)"
 #: A word before a value that is secret whatever it looks like.
 _KEYWORD = r"(?i:token|secret|password|passwd|api[_-]?key|access_key) {0,2}[=:] {0,2}[\"']?"
 #: In this order: of two patterns that match at a place the earlier one decides. Each begins with what the next character has to be, so that
@@ -45,12 +59,12 @@ PATTERNS = {
     "SSN": r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "CARD": r"(?=\d)(?<![\d+])\d(?:[ -]?\d){12,18}(?!\d)",
     "PHONE": r"(?=[\d+(])(?<![\p{L}\p{N}])(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,5}){2,5}(?!\d)|(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d))",
-    "PERSON": rf"{_INITIALS}\b{_TITLE}\.? {_NAME}(?: {_NAME})?",
+    "PERSON": rf"{_FIRST_OF_TITLE}\b{_TITLED}{_PERSON}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What a text must hold to be searched: a digit, @, = or : for most patterns, two hexadecimal pairs with a hyphen for MACs of letters alone, a title for
 #: persons. Cheap scans spare most texts the patterns.
-_HINTS = ("[0-9@=:]", rf"{_INITIALS}{_TITLE}\.? \p{{Lu}}", "[a-fA-F]{2}-[a-fA-F]{2}-[a-fA-F]{2}-")
+_HINTS = ("[0-9@=:]", rf"{_FIRST_OF_TITLE}{_TITLE}\.? (?:\p{{Lu}}|{_PARTICLE} )", "[a-fA-F]{2}-[a-fA-F]{2}-[a-fA-F]{2}-")
 _ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 
 # Parts of invented names; a replacement is a given name and a surname made of a stem and an ending.
@@ -74,12 +88,25 @@ def kind_of(m: Column) -> Column:
     out = None
     for name, p in PATTERNS.items():
         out = (F if out is None else out).when(m.rlike(rf"^(?:{p})$"), F.lit("SECRET" if name == "KEYED" else name))
-    return out.when(m.rlike(rf"^{_NAME}(?: {_NAME})?$"), F.lit("PERSON")).otherwise(F.lit("SECRET"))
+    return out.when(m.rlike(rf"^{_PERSON}$"), F.lit("PERSON")).otherwise(F.lit("SECRET"))
 
 
 def name_of(m: Column) -> Column:
-    """The name in a match of a person, without its title."""
-    return F.regexp_replace(m, rf"^{_TITLE}\.? ", "")
+    """The name in a match of a person, without its titles."""
+    return F.regexp_replace(m, rf"^{_TITLED}", "")
+
+
+def _surname(name: Column) -> Column:
+    return F.regexp_extract(name, "[^ .]+$", 0)
+
+
+def _before_surname(name: Column) -> Column:
+    return F.regexp_extract(name, "^(.*[ .])?[^ .]+$", 1)
+
+
+def plain_name(name: Column) -> Column:
+    """First name and surname, or the surname alone, without initials and particles."""
+    return F.concat_ws(" ", F.nullif(F.regexp_extract(_before_surname(name), rf"(?<![\p{{L}}\p{{M}}]){_NAME}", 0), F.lit("")), _surname(name))
 
 
 def _gender(m: Column) -> Column:
@@ -94,7 +121,7 @@ def canonical(m: Column, kind: Column) -> Column:
         F.when(kind == "EMAIL", F.lower(m)).when(kind.isin("CARD", "SSN", "PHONE", "IBAN"), compact)
         .when(kind.isin("MAC", "IPV6"), F.lower(F.regexp_replace(m, "-", ":")))
         .when(kind == "SECRET", F.regexp_replace(m, f"^{_KEYWORD}", ""))
-        .when(kind == "PERSON", F.lower(name_of(m)))
+        .when(kind == "PERSON", F.lower(F.translate(plain_name(name_of(m)), "’", "'")))
         .otherwise(m)
     )
 
@@ -147,9 +174,39 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.split(digits, ""), one), F.lit(0), lambda a, d: a + d) % 10
 
 
+def _mod_97(iban: Column) -> Column:
+    """The remainder that tells whether the check digits of an IBAN hold (1 if they do)."""
+    moved = F.concat(F.substring(iban, F.lit(5), F.length(iban)), F.substring(iban, 1, 4))
+
+    def add(rest, c):
+        n = F.conv(c, 36, 10).cast("int")
+        return (rest * F.when(n > 9, 100).otherwise(10) + n) % 97
+
+    return F.aggregate(F.split(moved, ""), F.lit(0), add)
+
+
+def _with_check_digits(iban: Column, remainder: Column) -> Column:
+    """iban with check digits from 02 to 98 that give this remainder."""
+    zero = F.concat(F.substring(iban, 1, 2), F.lit("00"), F.substring(iban, F.lit(5), F.length(iban)))
+    digits = (remainder + 95 + 97 - _mod_97(zero)) % 97 + 2
+    return F.concat(F.substring(iban, 1, 2), F.lpad(digits.cast("string"), 2, "0"), F.substring(iban, F.lit(5), F.length(iban)))
+
+
+#: Letters that initials move on among, alphabet by alphabet.
+_ALPHABETS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞŁŚŠŻŽ", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ")
+
+
+def _initials_moved(text: Column, replacement: Column) -> Column:
+    """text with its capitals that stand alone moved on by a step of 1 to 23, which the replacement decides."""
+    step = (F.crc32(replacement) % 23 + 1).cast("int")
+    moved = F.concat(*[F.substring(F.lit(a + a), step + 1, F.lit(len(a))) for a in _ALPHABETS])
+    letters = F.split(text, "")
+    return F.array_join(F.transform(letters, lambda c: F.call_function("translate", c, F.lit("".join(_ALPHABETS)), moved)), "")
+
+
 def draw(kind: Column, canon: Column, hint: Column, key: str, attempt: Column) -> Column:
     """The canonical form of a replacement: same length and make-up; IP addresses have valid octets, card numbers the check digit that
-    keeps them as valid or invalid as the original, emails keep their top-level domain and share a domain where originals do. A SURNAME keeps its script; a GIVEN (a full
+    keeps them as valid or invalid as the original (as do those of IBANs), emails keep their top-level domain and share a domain where originals do. A SURNAME keeps its script; a GIVEN (a full
     name, of which only the first name is drawn) its script and its gender, which hint tells.
 
     From the second attempt on names get longer, from the third on (attempt 2) a format is taken to be too full, and what there is to draw from grows by a factor with each
@@ -188,7 +245,7 @@ def draw(kind: Column, canon: Column, hint: Column, key: str, attempt: Column) -
         F.when(kind == "EMAIL", email).when(kind == "IPV4", octets).when(kind == "CARD", F.concat(card, check.cast("string")))
         .when(kind == "SURNAME", F.lower(surname)).when(kind == "GIVEN", F.concat(F.lower(given), F.lit(" "), F.substring_index(canon, " ", -1)))
         .when(kind == "PHONE", F.concat(_redraw(canon, stream, F.when(canon.startswith("+"), F.lit(2)).otherwise(F.lit(0)), digits=True), digits))
-        .when(kind == "IBAN", _redraw(canon, stream, 2, digits=True)).when(kind == "SSN", F.concat(_redraw(canon, stream, digits=True), digits))
+        .when(kind == "IBAN", _with_check_digits(_redraw(canon, stream, 2, digits=True), _mod_97(canon))).when(kind == "SSN", F.concat(_redraw(canon, stream, digits=True), digits))
         .when(kind.isin("MAC", "IPV6"), _redraw(canon, stream, surely_hex=True))
         .when((kind == "SECRET") & ((attempt > 1) | ~canon.rlike(r"[\p{L}0-9]")), wide)
         .otherwise(_redraw(canon, stream))
@@ -202,7 +259,10 @@ def dress(m: Column, kind: Column, replacement: Column) -> Column:
     held = F.length(F.regexp_replace(m, r"[^\p{L}\p{N}]", ""))
     filled = F.array_join(F.transform(F.split(m, ""), lambda c, i: F.when(c.rlike(r"[\p{L}\p{N}]"), F.substring(body, F.length(F.regexp_replace(F.substring(m, F.lit(1), i), r"[^\p{L}\p{N}]", "")) + 1, F.lit(1))).otherwise(c)), "")
     capitals = F.array_join(F.transform(F.split(replacement, "(?<=[ -])"), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w)))), "")
-    name = F.concat(F.regexp_extract(m, rf"^(?:{_TITLE}\.? )?", 0), capitals)
+    # what stands before the surname: pieces without a small letter are initials, those with a capital the first name, others particles
+    pieces = F.split(_before_surname(name_of(m)), "(?<=[ .])")
+    before = F.transform(pieces, lambda w: F.when(w.rlike(r"\p{Lu}.*\p{Ll}"), F.concat(F.substring_index(capitals, " ", 1), F.lit(" "))).when(w.rlike(r"\p{Lu}"), _initials_moved(w, F.substring_index(replacement, " ", -1))).otherwise(w))
+    name = F.concat(F.regexp_extract(m, rf"^(?:{_TITLED})?", 0), F.array_join(before, ""), F.substring_index(capitals, " ", -1))
     return (
         F.when(kind == "PERSON", name).when(kind == "SECRET", F.concat(F.regexp_extract(m, f"^{_KEYWORD}", 0), replacement))
         .when(kind.isin("CARD", "IBAN"), filled)
@@ -258,6 +318,35 @@ def session_key(spark: SparkSession) -> str:
     return found
 
 
+def _with_bare_names(rows: DataFrame, text_col: str) -> DataFrame:
+    """rows with __pii_pattern: PATTERN, and for a text with titled persons also the names that titles have introduced there, full names first, then surnames where they
+    read as names. Null where __pii_found is null or empty."""
+    found, titled, surnames, words = (F.col(f"__pii_{c}") for c in ("found", "titled", "surnames", "words"))
+    either = lambda names: F.concat(F.lit(r"(?:\Q"), F.array_join(names, r"\E|\Q"), F.lit(r"\E)"))
+    longest_first = lambda names: F.transform(F.array_sort(F.transform(F.array_distinct(names), lambda n: F.struct((-F.length(n)).alias("l"), n.alias("n")))), lambda x: x["n"])
+    any_of = lambda names, pattern: F.when(F.size(names) > 0, pattern)
+    end = F.lit(r"(?![\p{L}\p{M}\p{N}])")
+    rows = rows.withColumn("__pii_titled", F.transform(F.filter(found, lambda m: m.rlike(rf"^{PATTERNS['PERSON']}$")), lambda m: name_of(m)))
+    rows = rows.withColumn("__pii_surnames", longest_first(F.transform(titled, _surname)))
+    rows = rows.withColumn("__pii_full", longest_first(F.filter(F.concat(titled, F.transform(titled, plain_name)), lambda n: n.rlike("[ .]"))))
+    # surnames that the text has in lower case as words of their own, not as parts of addresses
+    lower = F.concat(F.lit(r"(?<![\p{L}\p{N}.@_/-])"), either(F.transform(surnames, F.lower)), F.lit(r"(?![\p{L}\p{M}\p{N}@_/]|[.-]\p{L})"))
+    written = F.when(F.size(titled) > 0, F.array_distinct(F.regexp_extract_all(F.col(text_col), lower, F.lit(0))))
+    rows = rows.withColumn("__pii_words", F.concat(written, F.array(*[F.lit(v.lower()) for v in _VERBS])))
+    rows = rows.withColumn("__pii_sure", F.filter(surnames, lambda n: ~F.array_contains(words, F.lower(n))))
+    full, sure = F.col("__pii_full"), F.col("__pii_sure")
+    unsure = F.array_except(surnames, sure)
+    no_other_name = F.concat(F.lit("(?! (?!"), either(surnames), end, F.lit(r")\p{Lu}\p{Ll})"))
+    bare = F.concat_ws(
+        "|",
+        any_of(full, F.concat(either(full), end)),
+        any_of(sure, F.concat(either(sure), end, no_other_name)),
+        any_of(unsure, F.concat(F.lit(r"(?<=[\p{L},;] )"), either(unsure), end, no_other_name, F.lit(rf"(?! {_AFTER_VERB}(?!\p{{L}}))"))),
+    )
+    pattern = F.when(F.size(titled) > 0, F.concat(F.lit(PATTERN + r"|(?<![\p{L}\p{M}\p{N}])(?:"), bare, F.lit(")"))).otherwise(F.lit(PATTERN))
+    return rows.withColumn("__pii_pattern", F.when(F.size(found) > 0, pattern)).drop(titled, surnames, full, words, sure)
+
+
 def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """docs with text_col rewritten and n_entities (long), the number of matches replaced. key is a secret of the caller's: the same key gives the same surrogates.
 
@@ -269,14 +358,8 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataF
     text = F.col(text_col)
     has = F.coalesce(text.rlike(_HINTS[0]) | text.rlike(_HINTS[1]) | text.rlike(_HINTS[2]), F.lit(False))
     found = F.when(has, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
-    # the names that titles have introduced, longest first, make a pattern of their own for their text
-    titled = F.filter(F.col("__pii_found"), lambda m: m.rlike(rf"^{PATTERNS['PERSON']}$"))
-    names = F.transform(titled, lambda m: name_of(m))
-    names = F.array_distinct(F.concat(F.filter(names, lambda n: n.contains(" ")), F.transform(names, lambda n: F.substring_index(n, " ", -1))))
-    longest = F.transform(F.array_sort(F.transform(names, lambda n: F.struct((-F.length(n)).alias("l"), n.alias("n")))), lambda x: x["n"])
-    pattern = F.when(F.size(titled) > 0, F.concat(F.lit(PATTERN + r"|(?<![\p{L}\p{N}])(?:"), F.array_join(longest, "|"), F.lit(r")(?![\p{L}\p{N}])"))).otherwise(F.lit(PATTERN))
-    rows = docs.withColumn("__pii_found", found).withColumn("__pii_pattern", F.when(F.size("__pii_found") > 0, pattern))
-    rows = rows.withColumn("__pii_text_key", F.when(F.col("__pii_pattern").isNotNull(), F.sha2(text, 256)))
+    rows = docs.withColumn("__pii_found", found)
+    rows = _with_bare_names(rows.withColumn("__pii_text_key", F.when(F.size("__pii_found") > 0, F.sha2(text, 256))), text_col)
     m = F.col("__pii_match")
     all_found = F.when(F.col("__pii_pattern") == PATTERN, F.col("__pii_found")).otherwise(F.regexp_extract_all(text, F.col("__pii_pattern"), F.lit(0)))
     places = rows.where("__pii_text_key is not null").select("__pii_text_key", F.posexplode(all_found).alias("__pii_at", "__pii_match")).distinct()

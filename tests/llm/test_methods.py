@@ -74,6 +74,66 @@ def test_a_person_is_one_entity(spark):
     assert re.fullmatch(r"(?:[0-9A-F]{2}-){5}[0-9A-F]{2} and [0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f], std::list, 12:30:45, a::b", got[3]) and "AA-BB" not in got[3]
 
 
+def test_names_as_they_are_written(spark):
+    """Names of all shapes leave whole; words that are no persons stay."""
+    texts = {
+        "Mr McDonald met Mrs MacLeod, Dr DeVito, Ms O'Neill, Dr. O’Brien. McDonald's car; O'Neill left.": ["McDonald", "Donald", "MacLeod", "Leod", "DeVito", "Vito", "O'Neill", "Neill", "Brien"],
+        "Mr J. R. Smith sat. J. R. Smith and Smith came. Mr J.R.Smith too. Mr Smith. He went.": ["J. R.", "J.R.", "Smith"],
+        "Frau Prof. Dr. Anna von der Weber und Herr Dr. med. Koch; Mr van Gogh, van Gogh, Gogh": ["Anna", "Weber", "Koch", "Gogh"],
+        "Mr John F. Kennedy, John Kennedy and John F. Kennedy": ["John", "Kennedy", "F."],
+        "г-жа Анна Иванова и Иванова, г-н А. Б. Петров": ["Анна", "Иванова", "Петров", "А. Б."],
+    }
+    stay = ["Ms Will said Will you come? Will the house stand?", "Mrs King lives in King County.", "Mr. Bush said: Bush fires burn the bush.", "Mr de facto. Dr. NASA. Frau Dr. med. then", "John Smith and Mary McDonald"]
+    got = [r["text"] for r in pii.replace_entities(frame(spark, [*texts, *stay]), "k").orderBy("doc_id").collect()]
+    for new, gone in zip(got, texts.values(), strict=False):
+        assert not [g for g in gone if g in new], new
+    assert re.fullmatch(r"Mr (\w\. \w\.) (\w+) sat\. \1 \2 and \2 came\. Mr \w\.\w\.\2 too\. Mr \2\. He went\.", got[1])
+    assert re.fullmatch(r"Frau Prof\. Dr\. \w+ von der \w+ und Herr Dr\. med\. \w+; Mr (van (\w+)), \1, \2", got[2])
+    assert re.fullmatch(r"Mr (\w+) (\w\.) (\w+), \1 \3 and \1 \2 \3", got[3])
+    at = len(texts)
+    assert re.fullmatch(r"Ms (?!Will)\w+ said Will you come\? Will the house stand\?", got[at])
+    assert re.fullmatch(r"Mrs (?!King)\w+ lives in King County\.", got[at + 1])
+    assert re.fullmatch(r"Mr\. (?!Bush)\w+ said: Bush fires burn the bush\.", got[at + 2])
+    assert got[at + 3 :] == stay[3:]
+
+
+def test_planted_persons_against_plain_replacement(spark):
+    """Texts put together from persons and plain words: by the surrogates of each title, name and surname, plain replacement gives the operator's rows."""
+    r = random.Random(31)
+    surnames = ["Weber", "McDonald", "O'Neill", "DeVito", "Meyer-Lund", "Smith", "Quade", "Ó Briain".split()[1]]
+    people = [(t, g, s) for s in surnames for t, g in (("Mrs", "Anna"), ("Mr.", "Karl"), ("Dr", ""), ("Mr", "Jean-Luc"))]
+    texts, parts = [], []
+    for k in range(60):
+        chosen = r.sample(people, 4)
+        seen = [f"{t} {g} {s}".replace("  ", " ") for t, g, s in chosen] + [s for _, _, s in chosen] + [f"{g} {s}" for _, g, s in chosen if g]
+        row = [(words(4, k * 20 + i).lower(), x) for i, x in enumerate(seen)]
+        parts.append(row)
+        texts.append(" ".join(f"{plain} {person}," for plain, person in row))
+    got = [x["text"] for x in pii.replace_entities(frame(spark, texts), "k").orderBy("doc_id").collect()]
+    swap = {}
+    for row, new in zip(parts, got, strict=True):
+        for (plain, person), piece in zip(row, new.split(","), strict=False):
+            assert piece.strip().startswith(plain + " ")
+            swap.setdefault(person, set()).add(piece.strip()[len(plain) + 1 :])
+    assert all(len(v) == 1 for v in swap.values()) and len({v for s in swap.values() for v in s}) == len(swap)
+    assert [" ".join(f"{plain} {min(swap[person])}," for plain, person in row) for row in parts] == got
+    for t, g, s in people:
+        new = min(swap.get(f"{t} {g} {s}".replace("  ", " "), {""}))
+        assert not new or new.startswith(t + " ") and new.endswith(" " + min(swap[s])) and s not in new
+
+
+def test_ibans_keep_whether_they_hold(spark):
+    def rest(x):
+        x = x.replace(" ", "")
+        return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97
+
+    ibans = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "FR1420041010050500013M02606", "DE88 3704 0044 0532 0130 00"]
+    got = [x["text"][4:] for x in pii.replace_entities(frame(spark, ["Pay " + x for x in ibans]), "k").orderBy("doc_id").collect()]
+    for old, new in zip(ibans, got, strict=True):
+        assert new != old and new[:2] == old[:2] and rest(new) == rest(old)
+        assert [c.isdigit() for c in new] == [c.isdigit() for c in old] and len(new) == len(old)
+
+
 def test_many_surnames_of_a_script(spark):
     e = spark.range(20_000).select(F.lit("SURNAME").alias("kind"), F.concat(F.lit("ив"), F.translate(F.col("id").cast("string"), "0123456789", "абвгдежзик")).alias("canon"), F.lit(None).cast("string").alias("hint"))
     got = pii.assign(e, "k")
@@ -306,3 +366,17 @@ def test_rules_are_a_case_expression(spark):
     rule = quality_rules.Rule((("symbol_rate", True, 0.5), ("mean_word", False, 9.0)), 1.0, 3)
     rows = spark.createDataFrame([(10, 40, 9, 0, 0, 0, 0, 0, 1), (10, 200, 9, 0, 0, 0, 0, 0, 1), (0, 0, 0, 0, 0, 0, 0, 0, 0)], ", ".join(f"{s} long" for s in quality_rules.STATS))
     assert [r[0] for r in rows.select(quality_rules.verdict([rule])).collect()] == [False, True, True]
+
+
+def test_stages_pass_columns_of_any_name(spark):
+    """Columns that bear names of the stages' own come back with their own values."""
+    import corpus_pipeline
+
+    mine = ["language", "posterior", "trigrams_", "class_id", "__key", "leak_item", "leaked", "n_entities", "__pii_found", "__pii_match", "row_", "a.b"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 12")
+    docs = docs.select("*", *[F.concat(F.lit(f"{c}-"), "doc_id").alias(c) for c in mine])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        rows = out.select("doc_id", *[F.col(f"`{c}`") for c in mine]).collect()
+        assert rows and all(list(r)[1:] == [f"{c}-{r['doc_id']}" for c in mine] for r in rows), name
