@@ -15,12 +15,24 @@ from docketry.llm import decontamination, jaccard_join, language_id, mixing, pii
 from docketry.llm.common import shared_dir, stored, table, word_count
 
 
+def _packed(docs: DataFrame, *used: str) -> DataFrame:
+    """docs with the columns that a stage works on, and all others in one struct, so that their names can't clash with any that the stage makes."""
+    other = [F.col(f"`{c}`") for c in docs.columns if c not in used]
+    return docs.select(*used, *([F.struct(*other).alias("row_")] if other else []))
+
+
+def _unpacked(rows: DataFrame, docs: DataFrame, *used: str) -> DataFrame:
+    """The columns of docs of rows that went through a stage as _packed() makes them."""
+    return rows.select(*[F.col(c) if c in used else F.col("row_").getField(c).alias(c) for c in docs.columns])
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified: text with letters, one of the languages that documents declare, and a posterior of at least language_id.ACCEPT.
 
     Null and empty texts and those without letters go; a null lang or source is no evidence and keeps no row out; long texts are read whole; ties go to the first language by
     name; repeated rows are judged each, alike. An empty table stays empty. Extra columns pass, whatever their names."""
-    return language_id.of_documents(docs).where(language_id.accepted()).select(*docs.columns)
+    used = ("doc_id", "text", "lang", "source")
+    return _unpacked(language_id.of_documents(_packed(docs, *used)).where(language_id.accepted()), docs, *used)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,32 +40,32 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Rows with a null id are documents of their own, after all others. Of rows that are repeated as a whole one stays; rows that share an id but differ are one document and
     stay or go together. Null and empty texts are alike to nothing and stay; texts under five words are one shingle; long texts are compared whole. An empty table stays empty.
-    Extra columns pass."""
-    rows = repeats.keyed(docs)
+    Extra columns pass, whatever their names."""
+    rows = repeats.keyed(_packed(docs, "doc_id", "text"))
     groups = jaccard_join.jaccard_groups(rows.withColumn("doc_id", F.col("__key"))).where("doc_id = class_id").select(F.col("doc_id").alias("__key")).distinct()
     kept = rows.join(groups, "__key", "left_semi")
     shared = stored(rows.groupBy("__key").agg(F.count("*").alias("n")).where("n > 1").select("__key"), "shared")
     if shared.isEmpty():
-        return kept.select(*docs.columns)
+        return _unpacked(kept, docs, "doc_id", "text")
     once = kept.join(shared, "__key", "left_semi").dropDuplicates()
-    return kept.join(shared, "__key", "left_anti").unionByName(once).select(*docs.columns)
+    return _unpacked(kept.join(shared, "__key", "left_anti").unionByName(once), docs, "doc_id", "text")
 
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark item leaks into: tiles cover less than half of every item.
 
-    Null and empty texts leak nothing and stay; long texts are searched whole; repeated rows are judged each, alike. An empty table, or an empty benchmark, changes nothing. Extra columns pass, but
-    for names that begin with leak_ or __leak, which must not be there."""
-    return decontamination.contamination(docs, table(spark, sf_dir, "benchmark")).where(~F.col("leaked")).select(*docs.columns)
+    Null and empty texts leak nothing and stay; long texts are searched whole; repeated rows are judged each, alike. An empty table, or an empty benchmark, changes nothing. Extra columns pass,
+    whatever their names."""
+    return _unpacked(decontamination.contamination(_packed(docs, "text"), table(spark, sf_dir, "benchmark")).where(~F.col("leaked")), docs, "text")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with surrogates in place of personal data; n_chars follows.
 
     Every row stays. Null texts stay null, with n_chars 0, and empty ones empty; long texts are rewritten whole; an entity has one surrogate in all rows, so repeated rows stay
-    repeated. An empty table stays empty. Extra columns pass, but for those that begin with __pii_."""
-    out = pii.replace_entities(docs, pii.session_key(spark))
-    return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.lit(0))).select(*docs.columns)
+    repeated. An empty table stays empty. Extra columns pass, whatever their names."""
+    out = _unpacked(pii.replace_entities(_packed(docs, "text"), pii.session_key(spark)), docs, "text")
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.lit(0))) if "n_chars" in docs.columns else out
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
