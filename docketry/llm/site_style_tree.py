@@ -3,9 +3,11 @@
 The pages of a host are merged into one tree: a node is a path of tags (with their classes) and collects the
 presentations (which child tags follow each other) and the contents that the pages have there. A node whose
 presentations and contents hardly vary over the pages of a site carries the site's frame; such a branch is
-removed from each page. What HTML or a class declares a branch to be (nav, article, "sidebar") is a prior. Declared frames,
-and what lies beside a declared main part, go by their prior whatever the entropies are; neutral branches and those inside
-the main part go by the entropies, and pages that would be left empty by what their names declare.
+removed from each page. What HTML or a class declares a branch to be (nav, article, "sidebar") is a prior that counts as
+so many pages, and it tells which entropy is evidence. Menus, footers and adverts change their words from page to page as
+articles do, so the contents of declared frames, and of what lies beside a declared main part, tell nothing: their presentations
+decide, and a branch that is built anew on page after page stays whatever it is called. Neutral branches and those inside the
+main part go by both entropies.
 """
 
 from __future__ import annotations
@@ -50,10 +52,11 @@ def _speaks_of_frame(name: str) -> bool:
     return any(w in _FRAME_WORDS for w in words) and all(w in _FRAME_WORDS or w in _PLAIN_WORDS for w in words)
 
 
-#: What a branch is declared to be, with its prior importance and the prior's weight against the tree's. Frames by tag or by name, and what
-#: lies beside a declared main part, go whatever the entropies are (adverts change from page to page as articles do); neutral branches and those inside the main part go by the tree.
+#: What a branch is declared to be, with its prior importance, the number of pages that the prior counts as, and its weight however many pages there are.
 FRAME, NAMED, OUTSIDE, NEUTRAL, MAIN = range(5)
-PRIORS = {FRAME: (0.0, 0.6), NAMED: (0.0, 0.55), OUTSIDE: (0.0, 0.55), NEUTRAL: (0.8, 0.2), MAIN: (1.0, 0.4)}
+PRIORS = {FRAME: (0.0, 8, 0.0), NAMED: (0.0, 8, 0.0), OUTSIDE: (0.0, 8, 0.0), NEUTRAL: (0.8, 2, 0.2), MAIN: (1.0, 2, 0.4)}
+#: Of these the presentations alone are evidence.
+DECLARED = (FRAME, NAMED, OUTSIDE)
 #: A start tag on the left ends an open element on the right.
 _ENDS = {"p": {"p"}, "li": {"li", "p"}, "dd": {"dd", "dt", "p"}, "dt": {"dd", "dt", "p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("html body div article section main ul ol table dl aside nav header footer form blockquote td th".split())
@@ -160,16 +163,24 @@ def branches(root: Node) -> list[tuple[Node, int, int, int | None, int]]:
             kind = FRAME
         elif node.named:
             kind = NAMED
+        elif at in inside:
+            kind = MAIN
         else:
-            kind = (MAIN if at in inside else OUTSIDE) if main else NEUTRAL
+            # below a declared branch that stays, the tree alone decides
+            declared = parent > 0 and parent not in holds and out[parent][4] in (*DECLARED, NEUTRAL)
+            kind = OUTSIDE if main and not declared else NEUTRAL
         judged = at > 0 and at not in holds and not (kind == MAIN and node.tag in _HEADINGS)
         out.append((node, parent, path, _hash(f"{kind}:{path}") if judged else None, kind))
     return out
 
 
 def style_nodes(page: str) -> list[tuple[int, int, int, int]]:
-    """(key, what it is declared to be, hash of the presentation, hash of the content) of every judged branch of a page; elements of one key are taken together, in page order."""
+    """(key, what it is declared to be, hash of the presentation, hash of the content) of every judged branch of a page; elements of one key are taken together, in page order.
+
+    The presentation of a neutral or main branch is the sequence of its child tags. That of a declared one is the set of the kinds of branches in it, to any depth: how many
+    entries a menu has, and which of them is the present page's, is no difference."""
     order = branches(parse(page))
+    kinds: list[set[str]] = [set() for _ in order]
     content: list[list[str]] = [[c if isinstance(c, str) else "" for c in node.children] for node, *_ in order]
     digest = [0] * len(order)
     for at in range(len(order) - 1, -1, -1):  # children before their parents
@@ -177,10 +188,16 @@ def style_nodes(page: str) -> list[tuple[int, int, int, int]]:
         parent = order[at][1]
         if parent >= 0:
             content[parent].append(f" {digest[at]}")
+            kinds[parent].add(f"{order[at][0].label} {_hash(','.join(sorted(kinds[at]))) if kinds[at] else ''}")
     styles: dict[int, tuple[int, list[str], list[int]]] = {}
-    for (node, _, _, key, kind), d in zip(order, digest, strict=True):
+    for (node, _, _, key, kind), d, inner in zip(order, digest, kinds, strict=True):
         if key is None:
             continue
+        _, seen, contents = styles.setdefault(key, (kind, [], []))
+        contents.append(d)
+        if kind in DECLARED:
+            seen.append(",".join(sorted(inner)))
+            continue
         # a run of equal tags is one tag with a plus, as in the style tree's sequences
         tags: list[str] = []
         for c in node.children:
@@ -189,17 +206,15 @@ def style_nodes(page: str) -> list[tuple[int, int, int, int]]:
                     tags[-1] = c.label + "+"
                 else:
                     tags.append(c.label)
-        _, seen, contents = styles.setdefault(key, (kind, [], []))
         seen.append(",".join(tags))
-        contents.append(d)
-    return [(key, kind, _hash(";".join(seen)), _hash(";".join(map(str, contents)))) for key, (kind, seen, contents) in styles.items()]
+    return [(key, kind, _hash(";".join(sorted(set(seen)) if kind in DECLARED else seen)), _hash(";".join(map(str, contents)))) for key, (kind, seen, contents) in styles.items()]
 
 
 def main_text(page: str | None, unimportant: frozenset[int] = frozenset(), varying: frozenset[int] = frozenset()) -> str:
     """The blocks of a page, one a line, without what never holds text and without the branches whose keys are unimportant.
 
     Text that stands right in an element around the declared main part, in no branch of its own, is left out. If the tree would take all
-    of a declared main part, that part stays. If it would leave nothing of a page, branches that go for their name alone but differ from page to page (varying) stay."""
+    of a declared main part, that part stays. If it would leave nothing of a page that declares no main part, branches that go for their name alone but differ from page to page (varying) stay."""
     if not page:
         return ""
     order = branches(parse(page))
@@ -207,7 +222,8 @@ def main_text(page: str | None, unimportant: frozenset[int] = frozenset(), varyi
         beside = {key for *_, key, kind in order if key is not None and kind != MAIN}
         if not _blocks(order, unimportant | beside):
             unimportant = unimportant & beside
-    return _blocks(order, unimportant) or (_blocks(order, unimportant - varying) if varying & unimportant else "")
+    names_alone = varying & unimportant and all(kind not in (MAIN, OUTSIDE) for *_, kind in order)
+    return _blocks(order, unimportant) or (_blocks(order, unimportant - varying) if names_alone else "")
 
 
 def _blocks(order: list[tuple], unimportant: frozenset[int]) -> str:
@@ -246,18 +262,19 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def importance(kind: Column, pages: Column, entropy: Column) -> Column:
-    """Of a branch from 0 to 1: its entropy over so many pages, drawn to the prior by the weight of two pages, and the prior itself by its weight."""
-    prior = weight = F.lit(0.0)
-    for k, (p, w) in PRIORS.items():
-        prior, weight = F.when(kind == k, F.lit(p)).otherwise(prior), F.when(kind == k, F.lit(w)).otherwise(weight)
-    return (1 - weight) * (pages * entropy + 2 * prior) / (pages + 2) + weight * prior
+def importance(kind: Column, pages: Column, presentation: Column, entropy: Column) -> Column:
+    """Of a branch from 0 to 1: its entropy over so many pages (of a declared one, that of its presentations), drawn to the prior as by so many pages more, and the prior itself by its weight."""
+    out = F.lit(None).cast("double")
+    for k, (prior, n, weight) in PRIORS.items():
+        seen = presentation if k in DECLARED else entropy
+        out = F.when(kind == k, (1 - weight) * (pages * seen + n * prior) / (pages + n) + weight * prior).otherwise(out)
+    return out
 
 
 def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, key, kind, pages, entropy, importance) of all branches of all hosts.
+    """(host, key, kind, pages, presentation, entropy, importance) of all branches of all hosts.
 
-    The entropy of a branch over the m pages that have it is the larger of two to the base m: that of its presentations and that of its
+    The entropy of a branch over the m pages that have it is the larger of two to the base m: that of its presentations, which stands beside it, and that of its
     contents, which are those of the whole branch, so that it is at least that of any branch below. It is 0 where all pages agree, 1 where all differ, and 1 for a
     branch of one page. Equal pages of a host count once. Pages without a host have no site: each stands alone.
     Counts are combined before the shuffle and keys carry the branch, so a host with a third of all pages makes no large group.
@@ -278,8 +295,8 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     sums = each.groupBy("host", "key", "kind", "x.of", "x.v").agg(F.sum("n").alias("n"))
     entropy = sums.groupBy("host", "key", "kind", "of").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
     value = F.when((F.col("m") > 1) & (F.col("host") != ""), (F.log("m") - F.col("nlogn") / F.col("m")) / F.log("m")).otherwise(F.lit(1.0))
-    out = entropy.groupBy("host", "key", "kind").agg(F.when(F.col("host") != "", F.max("m")).otherwise(F.lit(1)).alias("pages"), F.max(value).alias("entropy"))
-    return out.withColumn("importance", importance(F.col("kind"), F.col("pages"), F.col("entropy")))
+    out = entropy.groupBy("host", "key", "kind").agg(F.when(F.col("host") != "", F.max("m")).otherwise(F.lit(1)).alias("pages"), F.max(F.when(F.col("of") == "s", value)).alias("presentation"), F.max(value).alias("entropy"))
+    return out.withColumn("importance", importance(F.col("kind"), F.col("pages"), F.col("presentation"), F.col("entropy")))
 
 
 def extract_main_text(pages: DataFrame, threshold: float = 0.5, broadcast_limit: int = 200_000, salts: int = 64) -> DataFrame:

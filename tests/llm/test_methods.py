@@ -292,6 +292,36 @@ def test_tree_decides_and_spares_main_text(spark):
     assert extracted(spark, ["<div class=ad>Buy</div><div>Text {0}</div>".format(k) for k in range(4)], url=None) == [f"Text {k}" for k in range(4)]
 
 
+def test_presentations_outvote_what_is_declared(spark):
+    """Branches that are called frames, or lie beside a main part, and are built anew on each page stay; those that only change their words, their length or the entry of the present page go."""
+    r = random.Random(4)
+    tags = "p h2 ul blockquote table pre dl figure".split()
+
+    def built(k):
+        return "".join(f"<{t}>{t} {k}</{t}>" for t in r.sample(tags, r.randrange(2, 6)))
+
+    def lines(k, html):
+        return [line for line in re.findall(rf"\w+ {k}\b", html)]
+
+    for open_, close in (('<div class="social">', "</div>"), ("<aside>", "</aside>"), ("<section>", "</section>")):
+        bodies = [built(k) for k in range(60)]
+        menu = ["".join(f"<li{' class=active' if j == k % 5 else ''}><a>to {r.random()}</a></li>" for j in range(r.randrange(6, 9))) for k in range(60)]
+        pages = [f"<body><nav><ul>{m}</ul></nav><div class=ad>Buy {k * 7919}</div><main><p>Main {k}</p></main>{open_}{b}{close}<footer>Foot {k}</footer></body>" for k, (b, m) in enumerate(zip(bodies, menu, strict=True))]
+        got = extracted(spark, pages)
+        assert got == ["\n".join([f"Main {k}", *lines(k, b)]) for k, b in enumerate(bodies)]
+        # few pages are little evidence against what is declared
+        assert extracted(spark, pages[:4]) == [f"Main {k}" for k in range(4)]
+
+
+def test_tree_is_what_removes_declared_branches(spark):
+    """Priors and entropies apart: with the entropies of branches that always vary, the priors alone remove no branch that 8 and more pages have."""
+    tree = site_style_tree.style_tree(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).where("pages >= 8").cache()
+    declared = F.col("kind").isin(*site_style_tree.DECLARED)
+    as_it_is = tree.where(declared & (F.col("importance") < 0.5)).count()
+    blind = site_style_tree.importance(F.col("kind"), F.col("pages"), F.lit(1.0), F.lit(1.0))
+    assert as_it_is > 0 and tree.where(declared & (blind < 0.5)).count() == 0
+
+
 def test_pages_of_the_tables_come_through_the_tree(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     with_tree = {r["page_id"]: r["text"] for r in site_style_tree.extract_main_text(pages).collect()}
