@@ -52,9 +52,15 @@ def resolve_by_name(rows: DataFrame, people: DataFrame, key: str, first: str, la
 
 
 def link_unique(left: DataFrame, right: DataFrame, keys: list[str], right_id: str) -> DataFrame:
-    """Pairs of left and right with equal keys, of which the right row meets one left row only."""
-    pairs = left.join(right, keys)
-    return pairs.withColumn("_n", F.count("*").over(Window.partitionBy(right_id))).where("_n = 1").drop("_n")
+    """Pairs of left and right with equal keys, of which the right row meets one left row only.
+
+    Left rows are counted by key first and right rows meet the counts, so that no pairs are made of a key that many rows share: one row goes on for each right row at most. Rows of one right_id
+    count together."""
+    mine, theirs = [c for c in left.columns if c not in keys], [c for c in right.columns if c not in keys]
+    counted = left.groupBy(*keys).agg(F.count("*").alias("_n"), F.any_value(F.struct(*[F.col(c).alias(f"_{k}") for k, c in enumerate(mine)], F.lit(0).alias("_"))).alias("_left"))
+    met = right.join(counted, keys).groupBy(F.col(right_id).alias("_id")).agg(F.sum("_n").alias("_n"), F.any_value(F.struct("_left", F.struct(*keys, *theirs).alias("_right"))).alias("_pair"))
+    row = [F.col(f"_pair._right.{c}") for c in keys] + [F.col(f"_pair._left._{k}").alias(c) for k, c in enumerate(mine)] + [F.col(f"_pair._right.{c}") for c in theirs]
+    return met.where("_n = 1").select(*row)
 
 
 def parent_chain(rows: DataFrame, key: str, parent: str, value: str, most: int = 10, salts: int = 64) -> DataFrame:
