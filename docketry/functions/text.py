@@ -44,10 +44,10 @@ def shorten(c: Column, n: int = 200) -> Column:
     return F.when(F.length(c) > n, F.concat(F.left(c, F.lit(n)), F.lit("..."))).otherwise(c)
 
 
-def html_fragments(c: Column, without: tuple[str, ...] = ("script", "style")) -> Column:
-    """The text of the body of an HTML page, one space between fragments, references decoded. Elements `without` are left out with all in them; broken markup is read as far as it goes. See markup.html_text."""
+def html_fragments(c: Column, without: tuple[str, ...] = ("script", "style"), bare: bool = True) -> Column:
+    """The text of the body of an HTML page, one space between fragments, references decoded, those without a semicolon only if `bare`. Elements `without` are left out with all in them; broken markup is read as far as it goes. See markup.html_text."""
     left_out = frozenset(without)
-    return _each(lambda page: markup.html_text(page, left_out))(c)
+    return _each(lambda page: markup.html_text(page, left_out, bare))(c)
 
 
 def xml_text(c: Column, element: str) -> Column:

@@ -1,8 +1,11 @@
 """Rows that joins make of keys that many rows share, and queries on tables with odd values."""
 
+import duckdb
 from pyspark.sql import functions as F
 
+from docketry.functions import markup
 from docketry.operators import resolve
+from docketry.queries import registry
 
 
 def nodes(plan):
@@ -33,3 +36,14 @@ def test_unique_links_make_no_pairs_of_a_shared_key(spark):
     links, made = rows_of_joins(resolve.link_unique(left, right.unionByName(more), ["k"], "r"))
     assert sorted(tuple(r) for r in links) == [("one", 0, 1000), ("one", 0, 2000)]  # row 0 comes twice, row 1 has a shared key too
     assert made <= 3_005
+
+
+def test_references_without_a_semicolon(spark, tmp_path):
+    pages = [(1, "<body><p>a&amp b &amp;&am c</p>&quot</body>"), (2, "x&ampy &notit; &#167 &#167; &nope;"), (3, None)]
+    spark.createDataFrame(pages[:1], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {tuple(r) for r in registry.QUERIES["html_to_text"](spark, str(tmp_path)).select("page_id", "text").collect()}
+    con = duckdb.connect()
+    con.sql(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == set(con.execute(registry.ORACLES["html_to_text"]).fetchall()) == {(1, "a&amp b &&am c &quot")}
+    assert [markup.html_text(h, bare=False) for _, h in pages[1:]] == ["x&ampy &notit; &#167 § &nope;", None]
+    assert markup.html_text(pages[0][1]) == 'a& b &&am c "'
