@@ -199,16 +199,17 @@ def stream_once(t: Tables):
 SELECT k AS document, CASE WHEN bad THEN 'Failed' ELSE 'Complete' END AS outcome, CASE WHEN bad THEN 'model: slow' END AS reason, CASE WHEN bad THEN 1 ELSE n END AS n FROM n WHERE bad OR NOT short""")
 def complete_in_stream(t: Tables):
     """Lines as chunks of their orders, which come in several batches and twice: orders all of whose chunks came are given out, one failure drops an order, and orders that miss their seventh chunk stay held back."""
-    from ..streaming.incremental import until_complete
+    from ..sources.snapshots import Catalog
+    from ..streaming.incremental import complete_sink, drain
 
     path = shared(t.spark)
+    catalog = Catalog(t.spark, f"{path}/tables")
     rows = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("flag"))
     n = rows.groupBy("l_orderkey").agg(F.count("*").alias("expected"))
     bad = (F.col("flag") == "R") & (F.col("l_linenumber") == 1)
     chunks = rows.join(n, "l_orderkey").select(F.col("l_orderkey").alias("document"), F.col("l_linenumber").cast("long").alias("chunk_index"), "expected", F.when(bad, "model: slow").alias("failed"), F.lit("2024-01-01").cast("timestamp").alias("at"))
     chunks = chunks.where("chunk_index <> 7").unionByName(chunks.where("chunk_index = 2"))
-    chunks.repartition(4).write.parquet(f"{path}/in")
-    stream = t.spark.readStream.schema(chunks.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
-    done = until_complete(stream, "document").writeStream.foreachBatch(lambda b, k: b.write.mode("overwrite").parquet(f"{path}/out/batch={k}")).option("checkpointLocation", f"{path}/checkpoint")
-    done.trigger(availableNow=True).start().awaitTermination()
-    return t.spark.read.parquet(f"{path}/out").groupBy("document", "outcome").agg(F.max("failed").alias("reason"), F.count("*").alias("n"))
+    chunks.repartition(max(4, int(t.spark.conf.get("spark.sql.shuffle.partitions")))).write.parquet(f"{path}/in")
+    half = -(-len(t.spark.read.parquet(f"{path}/in").inputFiles()) // 2)
+    drain(t.spark, f"{path}/in", chunks.schema, complete_sink(catalog, "done", "document"), f"{path}/checkpoint", files_a_batch=max(1, half))
+    return catalog.read("done").groupBy("document", "outcome").agg(F.max("failed").alias("reason"), F.count("*").alias("n"))

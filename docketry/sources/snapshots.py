@@ -113,10 +113,14 @@ class Catalog:
         touched = {str(r["p"]) for r in rows.select(address(keys, state["parts"]).alias("p")).distinct().collect()}  # parts at most
         return [p for k, (p, _) in state["files"].items() if k in touched]
 
+    def touched(self, table: str, rows: DataFrame, keys: list[str], version: int) -> DataFrame | None:
+        """The parts of a table, dealt by `keys`, that an upsert of rows would read; None if they hold nothing."""
+        return self._read(self._parts(self.state(table, version), rows, keys))
+
     def _moved(self, table: str, rows: DataFrame, keys: list[str], base: int, now: int) -> bool:
         """Whether a row with one of these keys differs between two versions."""
         mine = rows.select(*keys).distinct()
-        old, new = [self._read(self._parts(self.state(table, v), rows, keys)) for v in (base, now)]
+        old, new = [self.touched(table, rows, keys, v) for v in (base, now)]
         if old is None or new is None:
             found = new if old is None else old
             return found is not None and not found.join(mine, keys, "left_semi").isEmpty()

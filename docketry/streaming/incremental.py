@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from ..operators.merge import MergeSpec, merge
+from ..operators.merge import MergeSpec, merge, replace_children
 from ..operators.rank import last_wins
+from ..sources.landing import written
 from ..sources.snapshots import Catalog
 
 
@@ -54,7 +56,8 @@ def until_complete(chunks: DataFrame, key: str, index: str = "chunk_index", expe
 
     chunks have the number of chunks that their document has (expected) and why theirs could not be made (failed; null if it could). A document's chunks are held back as state until all are there;
     then they are given out, with outcome Complete. The first that failed drops what is held of its document and gives one row with outcome Failed and the reason. What comes after either is
-    left out, as a mark stays until the horizon has passed, by the column `at` (when a chunk came); so does what is held of a document that is never whole. State is one document at most a key."""
+    left out, as a mark stays until the horizon has passed, by the column `at` (when a chunk came); so does what is held of a document that is never whole. State is one document at most a key.
+    Python is called once for each document of a batch, at some milliseconds each; for very many documents see complete_sink."""
     names, schema = chunks.columns, chunks.schema
     timed = chunks.withColumn("__ms", F.unix_millis(at)).withWatermark(at, horizon)
 
@@ -92,6 +95,50 @@ def until_complete(chunks: DataFrame, key: str, index: str = "chunk_index", expe
     return timed.groupBy(key).applyInPandasWithState(step, kind, "held binary", "append", "EventTimeTimeout")
 
 
+def complete_sink(catalog: Catalog, table: str, key: str, index: str = "chunk_index", expected: str = "expected", failed: str = "failed", at: str = "at", horizon: str = "7 days") -> Callable[[DataFrame, int], None]:
+    """A sink that appends the chunks of whole documents, with outcome, to a table of the catalog, as until_complete gives them, but with joins and windows over all documents of a batch.
+
+    What is held back and which documents are over stands in {table}_held, dealt by key, of which a batch reads and writes the parts that it touches; the latest `at` and the batch in {table}_batch. All become
+    current in one version, so that a batch that comes again changes nothing. Within a batch a failure counts before completeness. Chunks without a key belong to no document and are left out."""
+    held, done = f"{table}_held", f"{table}_batch"
+
+    def sink(batch: DataFrame, number: int) -> None:
+        base, before = catalog.version(), catalog.read(done)
+        past = before.first() if before is not None else None
+        if past is not None and past["batch"] >= number:
+            return
+        line = F.lit(past["latest"] if past is not None else None).cast("timestamp") - F.expr(f"interval {horizon}")
+        rows = batch.where(F.col(key).isNotNull() & F.coalesce(F.col(at) >= line, F.lit(True)))
+        came = rows.withColumns({"__over": F.lit(False), "__new": F.lit(True)})
+        stored = catalog.touched(held, rows, [key], base)
+        if stored is not None:
+            came = stored.join(rows.select(key).distinct(), key, "left_semi").drop("__last").withColumn("__new", F.lit(False)).unionByName(came)
+        bad = F.col(failed).isNotNull()
+        part = F.when(F.col("__over"), "over").when(bad, "bad").otherwise("good")
+        one = Window.partitionBy(key, "__part", index).orderBy("__new", at)  # of the same chunk the one that is held
+        document = Window.partitionBy(key)
+        judged = came.withColumn("__part", part).withColumn("__k", F.row_number().over(one)).where("__k = 1")
+        judged = judged.select(
+            *batch.columns, "__part", F.max(F.col("__part") == "over").over(document).alias("__over"), F.min(failed).over(document).alias("__why"), F.count(F.when(F.col("__part") == "good", 1)).over(document).alias("__n"),
+            F.max(expected).over(document).alias("__of"), F.max(at).over(document).alias("__last"), F.row_number().over(document.orderBy("__part", index)).alias("__row"),
+        )
+        end = F.when(F.col("__over"), "Over").when(F.col("__why").isNotNull(), "Failed").when(F.col("__n") >= F.col("__of"), "Complete").otherwise("Held")
+        judged = written(judged.withColumn("outcome", end))
+        whole = judged.where("outcome = 'Complete'").select(*batch.columns, "outcome")
+        only = {key: F.col(key), failed: F.col("__why")}
+        lost = judged.where("outcome = 'Failed' AND __row = 1").select(*[only.get(c, F.lit(None).cast(batch.schema[c].dataType)).alias(c) for c in batch.columns], "outcome")
+        marks = judged.where("outcome <> 'Held' AND __row = 1").select(*[(F.col(key) if c == key else F.col("__last") if c == at else F.lit(None).cast(batch.schema[c].dataType)).alias(c) for c in batch.columns], F.lit(True).alias("__over"), "__last")
+        state = judged.where("outcome = 'Held'").select(*batch.columns, F.lit(False).alias("__over"), "__last").unionByName(marks)
+        latest = batch.agg(F.max(at)).first()[0]
+        latest = max((x for x in (latest, past["latest"] if past is not None else None) if x is not None), default=None)
+        gone = F.coalesce(F.col("__last") < F.lit(latest).cast("timestamp") - F.expr(f"interval {horizon}"), F.lit(False))
+        keep = lambda s, n: (n if s is None else replace_children(s, n, [key])).where(~gone)
+        progress = catalog.spark.createDataFrame([(number, latest)], "batch long, latest timestamp")
+        catalog.commit({done: progress}, {table: whole.unionByName(lost)}, {held: (state, [key], keep)}, base)
+
+    return sink
+
+
 def upsert_sink(catalog: Catalog, table: str, spec: MergeSpec, order: str) -> Callable[[DataFrame, int], None]:
     """Merge each batch into the parts of a table of the catalog that it touches: of a key's rows in a batch the last counts, and a row older than the stored one by `order` changes
     nothing. So batches may come twice or late."""

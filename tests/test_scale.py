@@ -1,11 +1,15 @@
 """Rows that joins make of keys that many rows share, and queries on tables with odd values."""
 
+from datetime import datetime
+
 import duckdb
 from pyspark.sql import functions as F
 
 from docketry.functions import markup
 from docketry.operators import resolve
 from docketry.queries import registry
+from docketry.sources.snapshots import Catalog
+from docketry.streaming import incremental
 
 
 def nodes(plan):
@@ -47,3 +51,29 @@ def test_references_without_a_semicolon(spark, tmp_path):
     assert got == set(con.execute(registry.ORACLES["html_to_text"]).fetchall()) == {(1, "a&amp b &&am c &quot")}
     assert [markup.html_text(h, bare=False) for _, h in pages[1:]] == ["x&ampy &notit; &#167 § &nope;", None]
     assert markup.html_text(pages[0][1]) == 'a& b &&am c "'
+
+
+def test_documents_come_whole_from_a_sink(spark, tmp_path):
+    """As from until_complete: a failure drops what is held back, what comes twice or after the end is left out, what is never whole is forgotten, and a batch that comes again changes nothing."""
+    kind = "doc string, chunk_index int, expected int, failed string, at timestamp, vector array<float>"
+    c = Catalog(spark, str(tmp_path))
+    sink = incremental.complete_sink(c, "done", "doc", horizon="2 days")
+    seen = 0
+
+    def put(number, *rows, day=1):
+        nonlocal seen
+        sink(spark.createDataFrame([(d, k, m, f, datetime(2024, 1, day), [float(k)]) for d, k, m, f in rows], kind), number)
+        new = c.added_since("done", seen)
+        seen = c.version()
+        return sorted((r["doc"], r["chunk_index"], r["outcome"], r["failed"], r["vector"]) for r in new.collect()) if new is not None else None
+
+    assert put(0, ("a", 1, 2, None), ("b", 0, 2, None), ("c", 0, 1, None), ("d", 0, 3, None), ("d", 0, 3, None), (None, 0, 1, None)) == [("c", 0, "Complete", None, [0.0])]
+    second = [("a", 1, 2, None), ("a", 0, 2, None), ("b", 1, 2, "timeout: slow"), ("c", 0, 1, None)]
+    assert put(1, *second) == [("a", 0, "Complete", None, [0.0]), ("a", 1, "Complete", None, [1.0]), ("b", None, "Failed", "timeout: slow", None)]
+    assert put(1, *second) is None
+    assert put(2, ("b", 0, 2, None), ("b", 1, 2, None), ("a", 0, 2, None)) == []
+    assert {(r["doc"], r["chunk_index"]) for r in c.read("done_held").collect()} == {("a", None), ("b", None), ("c", None), ("d", 0)}
+    put(3, ("e", 0, 1, None), day=20)
+    assert put(4, ("f", 0, 2, None), ("a", 0, 1, None), day=21)[0][:3] == ("a", 0, "Complete")
+    assert put(5, ("g", 0, 1, None), day=1) == []
+    assert {r["doc"] for r in c.read("done_held").collect()} == {"a", "e", "f"}
