@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..sources.landing import written
 
@@ -32,14 +31,17 @@ def resolve_fuzzy(rows: DataFrame, people: DataFrame, last: str, first: str, sta
     listed whose first name has the same initial; else null. Case and surrounding blanks don't matter. row_id tells rows apart."""
     norm = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
     p = people.where(F.col(last).isNotNull() & F.col(state).isNotNull()).select(
-        norm(F.col(last)).alias("_l"), norm(F.col(state)).alias("_s"), norm(F.col(first)).alias("_f"), F.col(id_col).alias("_id"), F.col(position).alias("_pos")
+        norm(F.col(last)).alias("_l"), norm(F.col(state)).alias("_s"), norm(F.col(first)).alias("_f"), F.struct(F.col(position).alias("p"), F.col(id_col).alias("id")).alias("_p")
     )
-    p = p.withColumn("_n", F.count("*").over(Window.partitionBy("_l", "_s")))
-    r = rows.withColumns({"_a": norm(F.col(last)), "_b": norm(F.col(state)), "_c": norm(F.col(first))})
-    both = r.join(p, (F.col("_a") == F.col("_l")) & (F.col("_b") == F.col("_s")), "left")
-    tier = F.when(F.col("_n") == 1, 1).when(F.col("_f") == F.col("_c"), 2).when((F.col("_c") != "") & F.col("_f").startswith(F.left("_c", F.lit(1))), 3)
-    best = both.groupBy(row_id).agg(F.min_by("_id", F.when(tier.isNotNull(), F.struct(tier, "_pos"))).alias(id_col))
-    return rows.join(best, row_id, "left")
+    # the first listed of each first name, of each initial and of all, so that rows meet one person each and not all of a name
+    named = p.groupBy("_l", "_s", "_f").agg(F.count("*").alias("_n"), F.min("_p").alias("_p"))
+    initial = named.groupBy("_l", "_s", F.left("_f", F.lit(1)).alias("_i")).agg(F.min("_p").alias("_by_initial"))
+    listed = named.groupBy("_l", "_s").agg(F.sum("_n").alias("_n"), F.min("_p").alias("_any"))
+    key = {"_l": norm(F.col(last)), "_s": norm(F.col(state)), "_f": norm(F.col(first))}
+    r = rows.withColumns(key | {"_i": F.when(key["_f"] != "", F.left(key["_f"], F.lit(1)))})
+    r = r.join(listed, ["_l", "_s"], "left").join(named.select("_l", "_s", "_f", F.col("_p").alias("_by_first")), ["_l", "_s", "_f"], "left").join(initial, ["_l", "_s", "_i"], "left")
+    best = F.when(F.col("_n") == 1, F.col("_any")).otherwise(F.coalesce("_by_first", "_by_initial"))
+    return r.select(row_id, *[c for c in rows.columns if c != row_id], best["id"].alias(id_col))
 
 
 def resolve_by_name(rows: DataFrame, people: DataFrame, key: str, first: str, last: str, state: str, id_col: str, position: str) -> DataFrame:

@@ -77,3 +77,15 @@ def test_documents_come_whole_from_a_sink(spark, tmp_path):
     assert put(4, ("f", 0, 2, None), ("a", 0, 1, None), day=21)[0][:3] == ("a", 0, "Complete")
     assert put(5, ("g", 0, 1, None), day=1) == []
     assert {r["doc"] for r in c.read("done_held").collect()} == {"a", "e", "f"}
+
+
+def test_fuzzy_names_make_no_pairs_of_a_shared_name(spark):
+    people = spark.range(2_000).selectExpr("id", "'Lee' AS last", "'OH' AS state", "CASE WHEN id % 3 = 0 THEN 'Ann' WHEN id % 3 = 1 THEN 'Bo' END AS first", "2000 - id AS pos")
+    people = people.unionByName(spark.createDataFrame([(5_000, "Roe", "TX", "Zoe", 1)], "id long, last string, state string, first string, pos long"))
+    given = [(1, " lee", "oh ", "ANN"), (2, "Lee", "OH", "Abe"), (3, "Lee", "OH", None), (4, "Lee", "OH", "Cy"), (5, "roe", "tx", "other"), (6, None, "OH", "Ann")]
+    few = spark.createDataFrame(given, "r long, last string, state string, first string")
+    many = spark.range(100, 3_100).selectExpr("id AS r", "'Lee' AS last", "'OH' AS state", "'b' AS first")
+    found, made = rows_of_joins(resolve.resolve_fuzzy(few.unionByName(many), people, "last", "first", "state", "id", "pos", "r").select("r", "id"))
+    ids = {r["r"]: r["id"] for r in found}
+    assert {k: ids[k] for k in range(1, 7)} == {1: 1998, 2: 1998, 3: 1997, 4: None, 5: 5_000, 6: None}
+    assert {v for k, v in ids.items() if k >= 100} == {1999} and made <= 3_006
