@@ -115,9 +115,9 @@ def archive(parents: DataFrame, changed: DataFrame, keys: list[str], children: d
 
     keep names the columns that the history of a child has (all if it isn't named). Changed keys without a parent make no history; with strict they raise NothingToArchive, whose text
     names some of them."""
-    wanted = changed.select(*keys).distinct()
+    wanted = changed.select(*keys)
     if strict:
-        lost = wanted.join(parents.select(*keys), keys, "left_anti").limit(5).collect()
+        lost = wanted.join(parents.select(*keys), keys, "left_anti").distinct().limit(5).collect()
         if lost:
             raise NothingToArchive(f"not stored: {[tuple(r) for r in lost]}")
     history = F.xxhash64(F.lit(run), *[F.col(k) for k in keys]).alias("history_id")
@@ -125,5 +125,6 @@ def archive(parents: DataFrame, changed: DataFrame, keys: list[str], children: d
     out = {"": old.select(history, *parents.columns)}
     for name, rows in (children or {}).items():
         columns = [c for c in (keep or {}).get(name, rows.columns) if c in rows.columns]
-        out[name] = rows.join(old.select(*keys).distinct(), keys, "inner").select(history, *columns)
+        # keys that come more than once make no copies in a semi-join, so that no table of distinct ones is built and sorted
+        out[name] = rows.join(old.select(*keys), keys, "left_semi").select(history, *columns)
     return out

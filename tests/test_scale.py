@@ -6,7 +6,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from docketry.functions import markup
-from docketry.operators import resolve
+from docketry.operators import merge, resolve
 from docketry.queries import registry
 from docketry.sources.snapshots import Catalog
 from docketry.streaming import incremental
@@ -89,3 +89,13 @@ def test_fuzzy_names_make_no_pairs_of_a_shared_name(spark):
     ids = {r["r"]: r["id"] for r in found}
     assert {k: ids[k] for k in range(1, 7)} == {1: 1998, 2: 1998, 3: 1997, 4: None, 5: 5_000, 6: None}
     assert {v for k, v in ids.items() if k >= 100} == {1999} and made <= 3_006
+
+
+def test_archive_builds_no_tables_of_keys(spark):
+    parents = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "k long, v string")
+    rows = spark.createDataFrame([(1, 10), (2, 20), (2, 21), (3, 30), (None, 40)], "k long, x int")
+    old = merge.archive(parents, spark.createDataFrame([(1,), (2,), (2,), (None,)], "k long"), ["k"], {"rows": rows}, "r")
+    got = old["rows"].select("k", "x")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 10), (2, 20), (2, 21)]
+    assert not [n.nodeName() for n in nodes(got._jdf.queryExecution().executedPlan()) if "Aggregate" in n.nodeName()]
+    assert old[""].count() == 3 and old[""].select("history_id").distinct().count() == 2
