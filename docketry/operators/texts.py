@@ -159,17 +159,17 @@ def embed(rows: DataFrame, content: str, model: Callable[[list[str]], list[list[
 def embed_in_full_batches(rows: DataFrame, content: str, model: Callable[[list[str]], list[list[float]]], dims: int, batch: int = 50, out: str = "embedding", error: str = "embedding_error") -> DataFrame:
     """rows with a vector for each text, as embed gives them, but with ceil(texts / batch) calls of the model, however the rows are dealt over partitions.
 
-    Texts are numbered over all partitions: a count for each, and the sums of those before it; a batch is so many numbers in a row. The rows are written once for that and shuffled by batch."""
+    Texts are numbered over all partitions: a count for each, and the sums of those before it; a batch is so many numbers in a row. The rows with a text are written once for that, with their number in
+    their partition, and shuffled once, by batch; those without one are read from `rows` again."""
     own = rows.columns
-    at = F.monotonically_increasing_id()
-    kept = written(rows.withColumn("__row", at))
     full = F.coalesce(F.trim(content, F.lit(" \t\n\r\f\u000b")) != "", F.lit(False))
+    kept = written(rows.where(full).withColumn("__row", F.monotonically_increasing_id()))
     part = F.shiftright("__row", 33)
-    counts = kept.where(full).groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    counts = kept.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
     starts = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    inside = F.row_number().over(Window.partitionBy("__part").orderBy("__row")) - 1
-    dealt = kept.where(full).withColumn("__part", part).withColumn("__inside", inside).join(F.broadcast(starts), "__part")
+    inside = F.col("__row") - F.shiftleft("__part", 33)
+    dealt = kept.withColumn("__part", part).withColumn("__inside", inside).join(F.broadcast(starts), "__part")
     dealt = dealt.select(*own, F.floor((F.col("__start") + F.col("__inside")) / batch).alias("__batch"))
 
     def work(t: pa.Table) -> pa.Table:
@@ -185,7 +185,7 @@ def embed_in_full_batches(rows: DataFrame, content: str, model: Callable[[list[s
         return t.select(own).append_column(out, pa.array(vectors, pa.list_(pa.float32()))).append_column(error, pa.array(reasons, pa.string()))
 
     embedded = dealt.groupBy("__batch").applyInArrow(work, _with_fields(rows, {out: T.ArrayType(T.FloatType()), error: T.StringType()}))
-    return embedded.unionByName(kept.where(~full).select(*own, F.lit(None).cast("array<float>").alias(out), F.lit(None).cast("string").alias(error)))
+    return embedded.unionByName(rows.where(~full).select(*own, F.lit(None).cast("array<float>").alias(out), F.lit(None).cast("string").alias(error)))
 
 
 def parse_rosters(listings: DataFrame, committees: list[str], states: list[str], key: str = "id", text: str = "text") -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators import change as ch
 from ..operators import merge as mg
 from ..operators import resolve as rs
 from ..operators import texts
-from ..operators.rank import last_wins, numbered_chunks
+from ..operators.rank import numbered_chunks
 from ..operators.summary import outcomes
 from ..sources import chunks
 from ..sources.landing import written
@@ -148,15 +148,18 @@ def link_votes(votes: DataFrame, amendments: DataFrame) -> DataFrame:
 def store_texts(catalog: Catalog, documents: DataFrame, run: str, chunk_size: int = 20_000, model=None, dims: int = 1024, newest_wins: bool = False, event: str = "text.stored") -> DataFrame:
     """Texts of document versions into chunks with vectors. Returns (version_key, outcome, reason): Stored, Skipped or Failed.
 
-    documents: version_key, document_key, version_date, format, content (decoded). In a first version of the catalog the versions to be fetched are pending, and their document's latest text is
+    documents: version_key, document_key, version_date, format, content (decoded); they are read twice, first without format and content. In a first version of the catalog the versions to be fetched are pending, and their document's latest text is
     theirs; with newest_wins a version that is stored is fetched again only if what comes is of a later date, and the link moves only to a date that isn't before that of the version it shows.
     In a second one the chunks are appended, those that they replace are dead, and the version is complete. Only a version all of whose chunks have vectors is complete; what fails leaves nothing but its
     pending row and comes again with the next run. Complete versions are skipped, and their event is sent again, as the run before may have been lost before it was delivered.
     """
-    fresh = written(last_wins(documents, ["version_key"], "version_date"))
+    order = F.struct("version_date", "document_key")  # keys alone are judged first, so that contents are shuffled once, and only those that are wanted
+    fresh = written(documents.groupBy("version_key").agg(F.max(order).alias("_last")).select("version_key", "_last.document_key", "_last.version_date"))
     wanted = again(lambda: _pending(catalog, fresh, newest_wins))
     open_ = wanted.where("wanted").select("version_key")
-    text = written(fresh.join(open_, "version_key", "left_semi").select("version_key", "document_key", "version_date", texts.extract(F.col("content"), F.col("format")).alias("text")))
+    some = documents.select("version_key", "document_key", "version_date", "format", "content").join(open_, "version_key", "left_semi").groupBy("version_key")
+    last = some.agg(F.max_by(F.struct("document_key", "version_date", "format", "content"), order).alias("_r")).select("version_key", "_r.*")
+    text = written(last.select("version_key", "document_key", "version_date", texts.extract(F.col("content"), F.col("format")).alias("text")))
     rows = numbered_chunks(text.select("version_key", "document_key", texts.chunks(F.col("text"), chunk_size).alias("chunks")), "chunks")
     rows = texts.embed(rows, "content", None, dims, error="failed") if model is None else texts.embed_in_full_batches(rows, "content", model, dims, error="failed")
     rows = written(rows)
@@ -164,7 +167,9 @@ def store_texts(catalog: Catalog, documents: DataFrame, run: str, chunk_size: in
     judged = text.join(counts, "version_key", "left")
     reason = F.when(F.col("text").isNull(), "no text").when(F.col("n_failed") > 0, F.col("failed"))
     judged = written(judged.select("version_key", "document_key", F.length("text").cast("long").alias("text_length"), reason.alias("reason")))
-    again(lambda: _complete(catalog, judged.where("reason IS NULL"), rows.drop("failed"), wanted.where("NOT wanted"), run, event))
+    # chunks meet the versions that failed, which are few as a rule, and not all that are done
+    whole = rows.where("failed IS NULL").drop("failed").join(judged.where("reason IS NOT NULL").select("version_key"), "version_key", "left_anti")
+    again(lambda: _complete(catalog, judged.where("reason IS NULL"), whole, wanted.where("NOT wanted"), run, event))
     result = judged.select("version_key", F.when(F.col("reason").isNull(), "Stored").otherwise("Failed").alias("outcome"), "reason")
     return result.unionByName(wanted.where("NOT wanted").select("version_key", F.lit("Skipped").alias("outcome"), F.lit("already-processed").alias("reason")))
 
@@ -192,10 +197,10 @@ def _pending(catalog: Catalog, fresh: DataFrame, newest_wins: bool) -> DataFrame
 
 
 def _complete(catalog: Catalog, done: DataFrame, rows: DataFrame, skipped: DataFrame, run: str, event: str) -> None:
-    """Append the chunks of what is done, mark those that they replace dead, complete the versions, and queue events, in one version."""
+    """Append the chunks (rows) of what is done, mark those that they replace dead, complete the versions, and queue events, in one version."""
     base, batch = catalog.version(), uuid.uuid4().hex
     news = outbox(done.select("version_key", "document_key").unionByName(skipped.select("version_key", "document_key")), event, "text_versions", run, ["version_key", "document_key"])
-    added = {"events": news, chunks.CHUNKS: rows.join(done.select("version_key"), "version_key", "left_semi").withColumns({"batch": F.lit(batch), "row": F.monotonically_increasing_id() + 1})}
+    added = {"events": news, chunks.CHUNKS: rows.withColumns({"batch": F.lit(batch), "row": F.monotonically_increasing_id() + 1})}
     replaced = _or_empty(catalog, "text_versions", done, base).join(done.select("version_key"), "version_key", "left_semi").where("batch IS NOT NULL").select("version_key", "batch")
     old = chunks.live(catalog, base, replaced.select("batch").distinct())
     if old is not None:

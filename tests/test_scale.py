@@ -6,7 +6,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from docketry.functions import markup
-from docketry.operators import merge, resolve
+from docketry.operators import merge, resolve, texts
 from docketry.queries import registry
 from docketry.sources.snapshots import Catalog
 from docketry.streaming import incremental
@@ -99,3 +99,11 @@ def test_archive_builds_no_tables_of_keys(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(1, 10), (2, 20), (2, 21)]
     assert not [n.nodeName() for n in nodes(got._jdf.queryExecution().executedPlan()) if "Aggregate" in n.nodeName()]
     assert old[""].count() == 3 and old[""].select("history_id").distinct().count() == 2
+
+
+def test_texts_are_not_put_in_order_to_be_numbered(spark):
+    rows = spark.range(50).selectExpr("id", "CASE WHEN id % 5 > 0 THEN concat('t', id) ELSE ' ' END AS content").repartition(3)
+    got = texts.embed_in_full_batches(rows, "content", lambda some: [[float(len(some))] for _ in some], 1, batch=15)
+    assert "row_number" not in got._jdf.queryExecution().optimizedPlan().toString()
+    sizes = sorted(r["embedding"][0] for r in got.where("embedding IS NOT NULL").collect())
+    assert sizes == [10.0] * 10 + [15.0] * 30 and got.count() == 50
