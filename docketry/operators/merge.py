@@ -123,8 +123,9 @@ def archive(parents: DataFrame, changed: DataFrame, keys: list[str], children: d
     history = F.xxhash64(F.lit(run), *[F.col(k) for k in keys]).alias("history_id")
     old = parents.join(wanted, keys, "left_semi")
     out = {"": old.select(history, *parents.columns)}
+    having = wanted if strict else old.select(*keys)  # with strict all are stored
     for name, rows in (children or {}).items():
         columns = [c for c in (keep or {}).get(name, rows.columns) if c in rows.columns]
         # keys that come more than once make no copies in a semi-join, so that no table of distinct ones is built and sorted
-        out[name] = rows.join(old.select(*keys), keys, "left_semi").select(history, *columns)
+        out[name] = rows.join(having, keys, "left_semi").select(history, *columns)
     return out

@@ -82,26 +82,32 @@ def _ingest(catalog: Catalog, record: Record, incoming: DataFrame, children: dic
     stored = _or_empty(catalog, record.table, incoming, base)
     k = list(record.keys)
     found = written(ch.classify(incoming, stored, k, record.date, record.policy, list(record.values) if record.values else None, list(record.placeholder) if record.placeholder else None))
+    counted = [tuple(r) for r in outcomes(found, "change").collect()]  # four kinds of change at most
+    kinds = {kind for kind, _ in counted} - {"Unchanged"}
     changed = found.where("change <> 'Unchanged'")
+    over = changed.where("change <> 'New'")
     rows = changed.select(*incoming.columns)
     spec = mg.MergeSpec(record.keys, record.owned, record.keep_if_null)
-    replaced = {name: df for name, df in children.items() if name not in record.appended}
+    # where nothing changed no child is looked at, and where nothing is overwritten none that is stored
+    replaced = {name: df if kinds else df.limit(0) for name, df in children.items() if name not in record.appended}
     upserts = {record.table: (rows, k, lambda s, new: new if s is None else mg.merge(s, new, spec))}
-    old_children = {name: _or_empty(catalog, name, df, base) for name, df in replaced.items()}
-    moved = changed.select(*k, F.lit(True).alias("moved"))
-    if record.policy == "vote" and replaced:
+    before = lambda df: df if kinds - {"New"} else df.limit(0)
+    old_children = {name: before(_or_empty(catalog, name, df, base)) for name, df in replaced.items()}
+    touched = changed.select(*k, "change")
+    if record.policy == "vote" and replaced and kinds - {"New"}:
         name = next(iter(replaced))
-        diff = ch.keyed_diff(old_children[name].join(changed.select(*k), k, "left_semi"), replaced[name].join(changed.select(*k), k, "left_semi"), [*k, *record.children[name]])
-        moved = diff.groupBy(*k).agg(F.bool_or(F.col("diff") != "Same").alias("moved"))
-    touched = written(changed.join(moved, k, "left").where((F.col("change") == "New") | F.coalesce("moved", F.lit(False))).select(*k, "change"))
+        replaced[name] = written(replaced[name].join(changed.select(*k), k, "left_semi"))
+        diff = ch.keyed_diff(old_children[name].join(over.select(*k), k, "left_semi"), replaced[name].join(over.select(*k), k, "left_semi"), [*k, *record.children[name]])
+        moved = over.join(diff.where("diff <> 'Same'").select(*k), k, "left_semi")
+        touched = written(changed.where("change = 'New'").unionByName(moved).select(*k, "change"))
     for name, df in replaced.items():
-        # the touched parents take their children along, so that a parent that has none now loses its old ones
-        new = touched.select(*k).join(df, k, "left")
+        # the touched parents take their children along, so that a parent that has none now loses its old ones; a feed's children are worked out once for all that reads them
+        new = written(touched.select(*k).join(df, k, "left"))
         own = [c for c in df.columns if c not in k]
 
         def renewed(s: DataFrame | None, n: DataFrame, own=own, df=df) -> DataFrame:
             real = n.where(F.coalesce(*[F.col(c).isNotNull() for c in own[:1]], F.lit(True)) if own else F.lit(True)).select(*df.columns)
-            return real if s is None else mg.replace_children(s, real, k, n)
+            return real if s is None else mg.replace_children(s, real, k, touched)
 
         upserts[name] = (new, k, renewed)
     for name, (identity, touch) in record.appended.items():
@@ -112,12 +118,10 @@ def _ingest(catalog: Catalog, record: Record, incoming: DataFrame, children: dic
         reached = rows.select(*k, keys.stage_floor(F.col(record.floor)).alias("code")).join(F.broadcast(stages), "code").select(*k, "code", "order")
         upserts[f"{record.table}_stages"] = (reached, k, lambda s, n: n if s is None else mg.advance(s, n, k[0], "code", "order"))
     added = {}
-    over = changed.where("change <> 'New'")
-    for name, df in mg.archive(stored, over, k, old_children, run, record.history, strict=True).items():
+    for name, df in mg.archive(before(stored), over, k, old_children, run, record.history, strict=True).items():
         added[f"{record.table}_history" if not name else f"{name}_history"] = df
     if event:
         added["events"] = outbox(touched, event, record.table, run, k)
-    counted = [tuple(r) for r in outcomes(found, "change").collect()]  # four kinds of change at most
     catalog.commit({}, added, upserts, base, judged=(record.table, *replaced))
     return catalog.spark.createDataFrame(counted, "change string, n long")
 

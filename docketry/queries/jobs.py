@@ -48,9 +48,8 @@ def _votes(df):
     return df.select(F.col("o_orderkey").alias("vote_key"), F.col("d").alias("update_date"), F.coalesce("o_orderstatus", F.lit("none")).alias("result"))
 
 
-def _positions(df, votes):
-    rows = df.select(F.col("l_orderkey").alias("vote_key"), F.lit("House").alias("chamber"), F.col("l_linenumber").cast("string").alias("member_key"), F.col("qty").cast("string").alias("position"))
-    return rows.join(votes.select("vote_key"), "vote_key", "left_semi")
+def _positions(t, without, votes):
+    return lines(t, without, votes.select(F.col("vote_key").alias("l_orderkey"))).select(F.col("l_orderkey").alias("vote_key"), F.lit("House").alias("chamber"), F.col("l_linenumber").cast("string").alias("member_key"), F.col("qty").cast("string").alias("position"))
 
 
 _RUN = "(SELECT i.o_orderkey AS k, i.d, coalesce(i.o_orderstatus, 'none') AS r, s.o_orderkey IS NULL AS new FROM i_orders i LEFT JOIN s_orders s USING (o_orderkey) WHERE s.o_orderkey IS NULL OR i.d > s.d)"
@@ -64,7 +63,7 @@ def ingest_votes(t: Tables):
     c = Catalog(t.spark, shared(t.spark))
     for run, df, side in (("r1", stored_orders(t), "R"), ("r2", incoming_orders(t), "A"), ("r2", incoming_orders(t), "A")):
         votes = _votes(df)
-        job.ingest(c, job.VOTES, votes, {"vote_positions": _positions(lines(t, side), votes)}, run, event="vote.recorded")
+        job.ingest(c, job.VOTES, votes, {"vote_positions": _positions(t, side, votes)}, run, event="vote.recorded")
     one = F.lit(1).cast("long").alias("n")
     out = c.read("votes").select(F.lit("vote").alias("kind"), "vote_key", F.col("result").alias("value"), one)
     out = out.unionByName(c.read("vote_positions").groupBy("vote_key").agg(F.sum(F.col("position").cast("long")).cast("string").alias("value"), F.count("*").alias("n")).withColumn("kind", F.lit("positions")))

@@ -53,8 +53,12 @@ def incoming_orders(t: Tables) -> DataFrame:
     )
 
 
-def lines(t: Tables, without: str) -> DataFrame:
-    return t.lineitem.where(F.col("l_returnflag") != without).groupBy("l_orderkey", "l_linenumber").agg(F.sum(F.col("l_quantity").cast("long")).alias("qty"), F.count("*").alias("n"))
+def lines(t: Tables, without: str, orders: DataFrame | None = None) -> DataFrame:
+    """Lines by order and number; those of `orders` (l_orderkey) alone, if given, so that the shuffle that picks them serves the grouping too."""
+    rows = t.lineitem.where(F.col("l_returnflag") != without)
+    if orders is not None:
+        rows = rows.join(orders, "l_orderkey", "left_semi")
+    return rows.groupBy("l_orderkey", "l_linenumber").agg(F.sum(F.col("l_quantity").cast("long")).alias("qty"), F.count("*").alias("n"))
 
 
 def shown(df: DataFrame) -> DataFrame:

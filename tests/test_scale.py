@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docketry.functions import markup
 from docketry.operators import merge, resolve, texts
+from docketry.plans import ingest as job
 from docketry.queries import registry
 from docketry.sources.snapshots import Catalog
 from docketry.streaming import incremental
@@ -107,3 +108,32 @@ def test_texts_are_not_put_in_order_to_be_numbered(spark):
     assert "row_number" not in got._jdf.queryExecution().optimizedPlan().toString()
     sizes = sorted(r["embedding"][0] for r in got.where("embedding IS NOT NULL").collect())
     assert sizes == [10.0] * 10 + [15.0] * 30 and got.count() == 50
+
+
+def test_children_of_a_feed_are_worked_out_once(spark, tmp_path):
+    """However many steps of a run read them; and not at all where no parent changed."""
+    c, seen = Catalog(spark, str(tmp_path)), spark.sparkContext.accumulator(0)
+
+    def positions(rows):
+        def work(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        df = spark.createDataFrame(rows, "vote_key long, chamber string, member_key string, position string").coalesce(1)
+        return df.mapInArrow(work, df.schema)
+
+    def run(votes, rows, name):
+        before = seen.value
+        counts = job.ingest(c, job.VOTES, spark.createDataFrame(votes, "vote_key long, update_date string, result string"), {"vote_positions": positions(rows)}, name, event="vote.recorded")
+        return dict(map(tuple, counts.collect())), seen.value - before
+
+    first = [(1, "House", "a", "Yea"), (1, "House", "b", None), (2, "House", "a", "Yea"), (3, "House", "a", "Yea"), (9, "House", "a", "Yea")]
+    assert run([(1, "2024", "Passed"), (2, "2024", "Passed"), (3, "2024", "Passed")], first, "r1") == ({"New": 3}, 5)
+    second = [(1, "House", "a", "Yea"), (1, "House", "b", None), (3, "House", "a", "Nay"), (4, "House", "a", "Yea")]  # 1: the same; 2: none left; 3: changed; 5: has none
+    votes = [(k, "2025", "Failed") for k in range(1, 6)]
+    assert run(votes, second, "r2") == ({"Updated": 3, "New": 2}, 4)
+    assert run(votes, second, "r2") == ({"Unchanged": 5}, 0)
+    assert sorted((r["vote_key"], r["member_key"], r["position"]) for r in c.read("vote_positions").collect()) == [(1, "a", "Yea"), (1, "b", None), (3, "a", "Nay"), (4, "a", "Yea")]
+    assert sorted(r["member_key"] for r in c.read("vote_positions_history").collect()) == ["a", "a", "a", "b"]
+    assert c.read("votes_history").count() == 3 and c.read("events").count() == 3 + 4
