@@ -57,21 +57,26 @@ def _with_fields(rows: DataFrame, fields: dict[str, T.DataType]) -> T.StructType
 def extract_with(rows: DataFrame, content: str, parse: Callable[[bytes], str], out: str = "text") -> DataFrame:
     """rows with the text that parse (a PDF reader, say) finds in binary content, and {out}_error: why there is none (null where nothing failed).
 
-    A document that can't be read fails alone; null content gives a null text and no error. Give the kind before the colon of an error to errors.error_class."""
+    A document that can't be read fails alone; null content gives a null text and no error. Give the kind before the colon of an error to errors.error_class.
+    A batch is read document by document and given back in pieces, so that beside it no more than a piece is held."""
     names = rows.columns
+    piece = 1 << 20  # bytes of contents and letters of texts, or one document
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, errors = [], []
-            for x in b.column(names.index(content)).to_pylist():
-                text = error = None
+            texts, errors, start, held = [], [], 0, 0
+            for i, x in enumerate(b.column(names.index(content))):
+                x, text, error = x.as_py(), None, None
                 try:
                     text = None if x is None else parse(x)
                 except Exception as e:  # noqa: BLE001  a document that can't be read must not end the job
                     error = failure("parse", e)
                 texts.append(text)
                 errors.append(error)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string()), pa.array(errors, pa.string())], names=[*names, out, f"{out}_error"])
+                held += len(x or b"") + len(text or "")
+                if held >= piece or i + 1 == b.num_rows:
+                    yield pa.RecordBatch.from_arrays([*b.slice(start, len(texts)).columns, pa.array(texts, pa.string()), pa.array(errors, pa.string())], names=[*names, out, f"{out}_error"])
+                    texts, errors, start, held = [], [], i + 1, 0
 
     return rows.mapInArrow(work, _with_fields(rows, {out: T.StringType(), f"{out}_error": T.StringType()}))
 

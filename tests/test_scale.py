@@ -1,5 +1,6 @@
 """Rows that joins make of keys that many rows share, and queries on tables with odd values."""
 
+import weakref
 from datetime import datetime
 
 import duckdb
@@ -137,3 +138,24 @@ def test_children_of_a_feed_are_worked_out_once(spark, tmp_path):
     assert sorted((r["vote_key"], r["member_key"], r["position"]) for r in c.read("vote_positions").collect()) == [(1, "a", "Yea"), (1, "b", None), (3, "a", "Nay"), (4, "a", "Yea")]
     assert sorted(r["member_key"] for r in c.read("vote_positions_history").collect()) == ["a", "a", "a", "b"]
     assert c.read("votes_history").count() == 3 and c.read("events").count() == 3 + 4
+
+
+def test_parsed_documents_are_given_back_in_pieces(spark):
+    """No batch is held with the texts of all its documents, however long they are."""
+    made = []
+
+    def parse(raw):
+        made[:] = [m for m in made if m() is not None]
+        if len(made) > 10:
+            raise ValueError("too many texts are held")
+        if raw == b"5":
+            raise TimeoutError("slow")
+        text = type("Text", (str,), {})(raw.decode() * 200_000)
+        made.append(weakref.ref(text))
+        return text
+
+    rows = spark.range(0, 60, 1, 1).selectExpr("id", "CASE WHEN id % 10 <> 9 THEN encode(cast(id % 10 AS string), 'UTF-8') END AS raw")
+    got = texts.extract_with(rows, "raw", parse).selectExpr("id", "cast(raw AS string) AS raw", "length(text) AS n", "left(text, 1) AS text", "text_error").collect()
+    want = {9: (None, None, None, None), 5: ("5", None, None, "timeout: TimeoutError slow")}
+    assert [tuple(r) for r in sorted(got)] == [(k, *want.get(k % 10, (str(k % 10), 200_000, str(k % 10), None))) for k in range(60)]
+    assert texts.extract_with(rows.limit(0), "raw", parse).collect() == []
