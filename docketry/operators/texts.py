@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -161,23 +163,23 @@ def embed(rows: DataFrame, content: str, model: Callable[[list[str]], list[list[
     return rows.mapInArrow(work, _with_fields(rows, fields))
 
 
-def embed_in_full_batches(rows: DataFrame, content: str, model: Callable[[list[str]], list[list[float]]], dims: int, batch: int = 50, out: str = "embedding", error: str = "embedding_error") -> DataFrame:
+def embed_in_full_batches(rows: DataFrame, content: str, model: Callable[[list[str]], list[list[float]]], dims: int, batch: int = 50, out: str = "embedding", error: str = "embedding_error", keep: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
     """rows with a vector for each text, as embed gives them, but with ceil(texts / batch) calls of the model, however the rows are dealt over partitions.
 
-    Texts are numbered over all partitions: a count for each, and the sums of those before it; a batch is so many numbers in a row. The rows with a text are written once for that, with their number in
-    their partition, and shuffled once, by batch; those without one are read from `rows` again."""
+    A task calls the model with full batches alone and leaves the texts at its end, fewer than a batch, marked with its number (__task) and theirs (__inside). Only these are shuffled: they are numbered over
+    all tasks, by a count for each and the sums of those before it, and a batch is so many numbers in a row. Both steps are worked out once, by `keep`, which writes rows and gives them back."""
     own = rows.columns
-    full = F.coalesce(F.trim(content, F.lit(" \t\n\r\f\u000b")) != "", F.lit(False))
-    kept = written(rows.where(full).withColumn("__row", F.monotonically_increasing_id()))
-    part = F.shiftright("__row", 33)
-    counts = kept.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
-    starts = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    inside = F.col("__row") - F.shiftleft("__part", 33)
-    dealt = kept.withColumn("__part", part).withColumn("__inside", inside).join(F.broadcast(starts), "__part")
-    dealt = dealt.select(*own, F.floor((F.col("__start") + F.col("__inside")) / batch).alias("__batch"))
-
-    def work(t: pa.Table) -> pa.Table:
+    fields = {out: T.ArrayType(T.FloatType()), error: T.StringType(), "__task": T.IntegerType(), "__inside": T.IntegerType()}
+
+    def given(t: pa.Table, vectors: list, reasons: list, task: int | None = None) -> pa.Table:
+        marks = ([None] * t.num_rows, [None] * t.num_rows) if task is None else ([task] * t.num_rows, range(t.num_rows))
+        more = [pa.array(vectors, pa.list_(pa.float32())), pa.array(reasons, pa.string()), *(pa.array(m, pa.int32()) for m in marks)]
+        return pa.Table.from_arrays([*(t.column(c) for c in own), *more], names=[*own, *fields]).combine_chunks()
+
+    def without(t: pa.Table, task: int | None = None) -> pa.Table:
+        return given(t, [None] * t.num_rows, [None] * t.num_rows, task)
+
+    def asked(t: pa.Table) -> pa.Table:
         reason, made = None, [None] * t.num_rows
         try:
             made = model(t.column(content).to_pylist())
@@ -186,11 +188,29 @@ def embed_in_full_batches(rows: DataFrame, content: str, model: Callable[[list[s
         except Exception as e:  # noqa: BLE001  a batch that fails gives nulls
             reason = failure("embedding", e)
         vectors = [v if v is not None and len(v) == dims else None for v in made]
-        reasons = [reason or (None if v is not None else f"dims: not {dims} numbers") for v in vectors]
-        return t.select(own).append_column(out, pa.array(vectors, pa.list_(pa.float32()))).append_column(error, pa.array(reasons, pa.string()))
+        return given(t, vectors, [reason or (None if v is not None else f"dims: not {dims} numbers") for v in vectors])
 
-    embedded = dealt.groupBy("__batch").applyInArrow(work, _with_fields(rows, {out: T.ArrayType(T.FloatType()), error: T.StringType()}))
-    return embedded.unionByName(rows.where(~full).select(*own, F.lit(None).cast("array<float>").alias(out), F.lit(None).cast("string").alias(error)))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            full = pa.array([bool(x and x.strip(" \t\n\r\f\v")) for x in t.column(content).to_pylist()], pa.bool_())
+            yield from without(t.filter(pc.invert(full))).to_batches()
+            t = t.filter(full) if waiting is None else pa.concat_tables([waiting, t.filter(full)])
+            end = t.num_rows // batch * batch
+            for k in range(0, end, batch):
+                yield from asked(t.slice(k, batch)).to_batches()
+            waiting = t.take(pa.array(range(end, t.num_rows), pa.int64()))  # a copy, so that the batch isn't held
+        if waiting is not None:
+            yield from without(waiting, TaskContext.get().partitionId()).to_batches()
+
+    first = keep(rows.mapInArrow(work, _with_fields(rows, fields)))
+    left = first.where("__task IS NOT NULL").select(*own, "__task", "__inside")
+    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)  # one row for each task
+    starts = left.groupBy("__task").agg(F.count("*").alias("__n")).select("__task", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    dealt = left.join(F.broadcast(starts), "__task").select(*own, F.floor((F.col("__start") + F.col("__inside")) / batch).alias("__batch"))
+    second = keep(dealt.groupBy("__batch").applyInArrow(asked, _with_fields(rows, fields)))
+    return first.where("__task IS NULL").unionByName(second).select(*own, out, error)
 
 
 def parse_rosters(listings: DataFrame, committees: list[str], states: list[str], key: str = "id", text: str = "text") -> DataFrame:

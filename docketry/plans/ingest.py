@@ -13,7 +13,6 @@ from ..operators import change as ch
 from ..operators import merge as mg
 from ..operators import resolve as rs
 from ..operators import texts
-from ..operators.rank import numbered_chunks
 from ..operators.summary import outcomes
 from ..sources import chunks
 from ..sources.landing import written
@@ -154,8 +153,8 @@ def store_texts(catalog: Catalog, documents: DataFrame, run: str, chunk_size: in
 
     documents: version_key, document_key, version_date, format, content (decoded); they are read twice, first without format and content. In a first version of the catalog the versions to be fetched are pending, and their document's latest text is
     theirs; with newest_wins a version that is stored is fetched again only if what comes is of a later date, and the link moves only to a date that isn't before that of the version it shows.
-    In a second one the chunks are appended, those that they replace are dead, and the version is complete. Only a version all of whose chunks have vectors is complete; what fails leaves nothing but its
-    pending row and comes again with the next run. Complete versions are skipped, and their event is sent again, as the run before may have been lost before it was delivered.
+    In a second one the chunks are appended, those that they replace are dead, and the version is complete. Only a version all of whose chunks have vectors is complete; what fails leaves nothing alive but
+    its pending row (chunks of it that were made in a run that completed others are dead) and comes again with the next run. Contents are shuffled once and written once, as the files that the version adds to the chunks. Complete versions are skipped, and their event is sent again, as the run before may have been lost before it was delivered.
     """
     order = F.struct("version_date", "document_key")  # keys alone are judged first, so that contents are shuffled once, and only those that are wanted
     fresh = written(documents.groupBy("version_key").agg(F.max(order).alias("_last")).select("version_key", "_last.document_key", "_last.version_date"))
@@ -163,17 +162,35 @@ def store_texts(catalog: Catalog, documents: DataFrame, run: str, chunk_size: in
     open_ = wanted.where("wanted").select("version_key")
     some = documents.select("version_key", "document_key", "version_date", "format", "content").join(open_, "version_key", "left_semi").groupBy("version_key")
     last = some.agg(F.max_by(F.struct("document_key", "version_date", "format", "content"), order).alias("_r")).select("version_key", "_r.*")
-    text = written(last.select("version_key", "document_key", "version_date", texts.extract(F.col("content"), F.col("format")).alias("text")))
-    rows = numbered_chunks(text.select("version_key", "document_key", texts.chunks(F.col("text"), chunk_size).alias("chunks")), "chunks")
-    rows = texts.embed(rows, "content", None, dims, error="failed") if model is None else texts.embed_in_full_batches(rows, "content", model, dims, error="failed")
-    rows = written(rows)
-    counts = rows.groupBy("version_key").agg(F.count("*").alias("n"), F.count("failed").alias("n_failed"), F.min("failed").alias("failed"))
-    judged = text.join(counts, "version_key", "left")
-    reason = F.when(F.col("text").isNull(), "no text").when(F.col("n_failed") > 0, F.col("failed"))
-    judged = written(judged.select("version_key", "document_key", F.length("text").cast("long").alias("text_length"), reason.alias("reason")))
-    # chunks meet the versions that failed, which are few as a rule, and not all that are done
-    whole = rows.where("failed IS NULL").drop("failed").join(judged.where("reason IS NOT NULL").select("version_key"), "version_key", "left_anti")
-    again(lambda: _complete(catalog, judged.where("reason IS NULL"), whole, wanted.where("NOT wanted"), run, event))
+    text = last.select("version_key", "document_key", texts.extract(F.col("content"), F.col("format")).alias("text"))
+    # a row without a chunk comes first and says how long the text is, so that contents are written once, where readers will find them
+    pieces = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(texts.chunks(F.col("text"), chunk_size), F.array().cast("array<string>")))
+    rows = text.select("version_key", "document_key", F.length("text").cast("long").alias("text_length"), pieces.alias("pieces"))
+    rows = rows.select("version_key", "document_key", "text_length", F.posexplode_outer("pieces").alias("_n", "content"))  # never empty; but posexplode would work everything out twice, to filter by size first
+    head, batch, staged = F.col("_n") == 0, uuid.uuid4().hex, []
+    rows = rows.select("version_key", "document_key", F.when(~head, F.col("_n") - 1).alias("chunk_index"), "content", F.lit(batch).alias("batch"), (F.monotonically_increasing_id() + 1).alias("row"), F.when(head, F.col("text_length")).alias("text_length"))
+
+    def keep(df: DataFrame) -> DataFrame:
+        """Rows in a new folder of the chunks, those with a vector in one of its own; the contents of a batch that failed are not wanted again."""
+        staged.append(catalog.folder(chunks.CHUNKS))
+        failed = F.col("failed").isNotNull()
+        made = F.col("chunk_index").isNotNull() & ~failed
+        out = df.withColumns({"content": F.when(~failed, F.col("content")), "made": (made & F.col("__task").isNull()) if "__task" in df.columns else made})
+        out.write.partitionBy("made").parquet(staged[-1])
+        return catalog.spark.read.schema(out.schema).parquet(staged[-1])
+
+    if model is None:
+        rows = keep(texts.embed(rows, "content", None, dims, error="failed"))
+    else:
+        rows = texts.embed_in_full_batches(rows, "content", model, dims, error="failed", keep=keep)
+    lost = rows.where("failed IS NOT NULL").groupBy("version_key").agg(F.min("failed").alias("failed"))
+    judged = rows.where("chunk_index IS NULL").select("version_key", "document_key", "text_length").join(lost, "version_key", "left")
+    reason = F.when(F.col("text_length").isNull(), "no text").otherwise(F.col("failed"))
+    judged = written(judged.select("version_key", "document_key", "text_length", reason.alias("reason")))
+    # of versions that failed, which are few as a rule, the chunks with vectors are dead from the start
+    waste = rows.where("chunk_index IS NOT NULL AND failed IS NULL").select("version_key", "batch", "row").join(judged.where("reason IS NOT NULL").select("version_key"), "version_key", "left_semi")
+    folders = [f"{p}/made=true" for p in staged if "made=true" in catalog.log.files.names(p)]
+    again(lambda: _complete(catalog, judged.where("reason IS NULL"), batch, rows, folders, waste, wanted.where("NOT wanted"), run, event))
     result = judged.select("version_key", F.when(F.col("reason").isNull(), "Stored").otherwise("Failed").alias("outcome"), "reason")
     return result.unionByName(wanted.where("NOT wanted").select("version_key", F.lit("Skipped").alias("outcome"), F.lit("already-processed").alias("reason")))
 
@@ -200,15 +217,18 @@ def _pending(catalog: Catalog, fresh: DataFrame, newest_wins: bool) -> DataFrame
     return known.select("version_key", "document_key", "wanted")
 
 
-def _complete(catalog: Catalog, done: DataFrame, rows: DataFrame, skipped: DataFrame, run: str, event: str) -> None:
-    """Append the chunks (rows) of what is done, mark those that they replace dead, complete the versions, and queue events, in one version."""
-    base, batch = catalog.version(), uuid.uuid4().hex
+def _complete(catalog: Catalog, done: DataFrame, batch: str, rows: DataFrame, folders: list[str], waste: DataFrame, skipped: DataFrame, run: str, event: str) -> None:
+    """Append the chunks of a batch (rows; those with vectors are in `folders`), mark `waste` and those that they replace dead, complete what is done, and queue events, in one version."""
+    base = catalog.version()
     news = outbox(done.select("version_key", "document_key").unionByName(skipped.select("version_key", "document_key")), event, "text_versions", run, ["version_key", "document_key"])
-    added = {"events": news, chunks.CHUNKS: rows.withColumns({"batch": F.lit(batch), "row": F.monotonically_increasing_id() + 1})}
+    folders = [] if done.isEmpty() else folders
+    dead = waste.select("batch", "row") if folders else waste.select("batch", "row").limit(0)
+    added = {"events": news, chunks.CHUNKS: folders or rows.select(*[c for c in rows.columns if c not in ("made", *chunks.TOLD)]).limit(0)}
     replaced = _or_empty(catalog, "text_versions", done, base).join(done.select("version_key"), "version_key", "left_semi").where("batch IS NOT NULL").select("version_key", "batch")
     old = chunks.live(catalog, base, replaced.select("batch").distinct())
     if old is not None:
-        added[chunks.DEAD] = chunks.dead_rows(old.join(replaced, ["version_key", "batch"], "left_semi"))
+        dead = dead.unionByName(old.join(replaced, ["version_key", "batch"], "left_semi").select("batch", "row"))
+    added[chunks.DEAD] = chunks.dead_rows(dead)
     ends = done.select("version_key", F.lit(run).alias("fetched_in"), "text_length", F.lit(batch).alias("batch"))
     spec = mg.MergeSpec(("version_key",), ("fetched_in", "text_length", "batch"))
     catalog.commit({}, added, {"text_versions": (ends, ["version_key"], lambda s, n: n if s is None else mg.merge(s, n, spec))}, base, judged=("text_versions",))

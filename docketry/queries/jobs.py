@@ -159,7 +159,8 @@ def failed_vectors_stay_open(t: Tables):
     """A model that fails leaves versions open, with nothing stored; the run after it completes them."""
     c = Catalog(t.spark, shared(t.spark))
     docs = t.documents.select(F.col("doc_id").cast("string").alias("version_key"), F.lit("d").alias("document_key"), F.lit("2024").alias("version_date"), F.lit("Text").alias("format"), F.col("text").alias("content"))
-    first = job.store_texts(c, docs, "r1", chunk_size=700, model=lambda some: 1 / 0, dims=1)
+    said = docs.where(F.col("content").isNull() | F.col("content").rlike(r"[^\s\x00]"))  # a blank text asks nothing of a model, is complete at once, and so comes with the second run
+    first = job.store_texts(c, said, "r1", chunk_size=700, model=lambda some: 1 / 0, dims=1)
     if not first.where("outcome = 'Stored'").isEmpty() or not chunks.live(c).isEmpty():
         raise ValueError("a model that fails stored something")
     second = job.store_texts(c, docs, "r2", chunk_size=700, model=lambda some: [[1.0] for _ in some], dims=1)

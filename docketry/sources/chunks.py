@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from .snapshots import Catalog
 
 CHUNKS, DEAD = "text_chunks", "text_chunks_dead"
+#: Columns that the files of a run have besides a chunk's own: what the run told itself of its versions and batches (plans.ingest.store_texts).
+TOLD = ("text_length", "failed", "__task", "__inside")
 
 
 def _is_set(bits: Column, number: Column) -> Column:
@@ -29,6 +31,7 @@ def dead_rows(rows: DataFrame) -> DataFrame:
 def live(catalog: Catalog, version: int | None = None, batches: DataFrame | None = None) -> DataFrame | None:
     """The rows that aren't dead, of all batches or of those given. Vectors of one bucket are put together; they meet the rows by batch and bucket, small as they are."""
     rows, dead = catalog.read(CHUNKS, version), catalog.read(DEAD, version)
+    rows = rows if rows is None else rows.drop(*TOLD)
     if rows is not None and batches is not None:
         rows = rows.join(batches, "batch", "left_semi")
     if rows is None or dead is None:

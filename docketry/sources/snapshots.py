@@ -65,20 +65,24 @@ class Catalog:
         actions = self.log.actions(after, self.version() if upto is None else upto)
         return self._read([a["path"] for a in actions if a["table"] == table and a["kind"] == "added"])
 
+    def folder(self, name: str) -> str:
+        """A new folder for rows of a table; they are nothing to readers until commit adds it."""
+        return f"{self.root}/data/{name}/{uuid.uuid4().hex}"
+
     def _written(self, name: str, df: DataFrame) -> str:
-        path = f"{self.root}/data/{name}/{uuid.uuid4().hex}"
+        path = self.folder(name)
         df.write.parquet(path)
         return path
 
-    def commit(self, tables: dict[str, DataFrame], added: dict[str, DataFrame] | None = None, upserts: dict[str, tuple[DataFrame, list[str], Merge]] | None = None, base: int | None = None, judged: tuple[str, ...] = (), attempts: int = 50) -> int:
-        """Write the next version. tables are replaced, the rows of `added` are appended. An upsert (rows, keys, merge) merges rows into the parts that they touch: merge(stored, rows)
+    def commit(self, tables: dict[str, DataFrame], added: dict[str, DataFrame | list[str]] | None = None, upserts: dict[str, tuple[DataFrame, list[str], Merge]] | None = None, base: int | None = None, judged: tuple[str, ...] = (), attempts: int = 50) -> int:
+        """Write the next version. tables are replaced, the rows of `added`, or of the folders it names, are appended. An upsert (rows, keys, merge) merges rows into the parts that they touch: merge(stored, rows)
         gets None for what isn't stored and returns the whole of those parts. If a write fails, nothing of the version is seen.
 
         base is the version that the caller read (the current one). Upserts are merged again into parts that were written since. Of the tables in `judged` the rows depend on
         what was stored: if another writer changed a row with one of their keys, that is a Conflict, as is a table to be replaced that was written since."""
         base = self.version() if base is None else base
         upserts = upserts or {}
-        actions = [{"table": n, "kind": kind, "path": self._written(n, df)} for kind, group in (("whole", tables), ("added", added or {})) for n, df in group.items()]
+        actions = [{"table": n, "kind": kind, "path": p} for kind, group in (("whole", tables), ("added", added or {})) for n, rows in group.items() for p in (rows if isinstance(rows, list) else [self._written(n, rows)])]
         at, made = base, {}
         for _ in range(attempts):
             now = self.version()
@@ -140,7 +144,7 @@ class Catalog:
         grown = range(before, parts) if before else range(parts)
         touched = set(came) | {split_of(k, before) for k in grown} if before else set(grown)
         old = [p for k, (p, _) in state["files"].items() if int(k) in touched] if before else state["added"]
-        path = f"{self.root}/data/{name}/{uuid.uuid4().hex}"
+        path = self.folder(name)
         out = merge(self._read(old), rows).withColumn("__part", address(keys, parts))
         (out.coalesce(1) if parts == 1 and held + sum(came.values()) <= self.part_rows else out.repartition("__part")).write.partitionBy("__part").parquet(path)
         there = {r["p"]: r["n"] for r in self.spark.read.parquet(path).groupBy(F.col("__part").alias("p")).agg(F.count("*").alias("n")).collect()} if self._any(path) else {}

@@ -1,5 +1,7 @@
 """Rows that joins make of keys that many rows share, and queries on tables with odd values."""
 
+import os
+import random
 import weakref
 from datetime import datetime
 
@@ -10,6 +12,7 @@ from docketry.functions import markup
 from docketry.operators import merge, resolve, texts
 from docketry.plans import ingest as job
 from docketry.queries import registry
+from docketry.sources import chunks
 from docketry.sources.snapshots import Catalog
 from docketry.streaming import incremental
 
@@ -159,3 +162,52 @@ def test_parsed_documents_are_given_back_in_pieces(spark):
     want = {9: (None, None, None, None), 5: ("5", None, None, "timeout: TimeoutError slow")}
     assert [tuple(r) for r in sorted(got)] == [(k, *want.get(k % 10, (str(k % 10), 200_000, str(k % 10), None))) for k in range(60)]
     assert texts.extract_with(rows.limit(0), "raw", parse).collect() == []
+
+
+TEXTS = "version_key string, document_key string, version_date string, format string, content string"
+
+
+def test_contents_of_texts_are_written_once(spark, tmp_path):
+    """As the files of the chunks; of a batch that failed they are not written at all."""
+    shared, c = spark.sparkContext.getConf().get("spark.checkpoint.dir"), Catalog(spark, str(tmp_path))
+    draw = random.Random(1)
+    rows = spark.createDataFrame([(f"k{k}", "d", "2024", "Text", draw.randbytes(10_000).hex()) for k in range(40)], TEXTS)
+    stored = lambda: sum(os.path.getsize(os.path.join(d, n)) for top in (shared, str(tmp_path)) for d, _, names in os.walk(top) for n in names if n.endswith(".parquet"))
+    before = stored()
+    assert {r["outcome"] for r in job.store_texts(c, rows, "r1", chunk_size=700, model=lambda some: 1 / 0, dims=1).collect()} == {"Failed"}
+    failed = stored()
+    assert {r["outcome"] for r in job.store_texts(c, rows, "r2", chunk_size=700, model=lambda some: [[1.0]] * len(some), dims=1).collect()} == {"Stored"}
+    assert failed - before < 400_000 and stored() - failed < 1_300_000
+    assert chunks.live(c).agg(F.sum(F.length("content"))).first()[0] == 800_000
+
+
+def test_a_batch_that_fails_takes_whole_versions_along(spark, tmp_path):
+    """And no others: what was made of them is dead, and the next run stores them whole."""
+    c = Catalog(spark, str(tmp_path))
+    rows = spark.createDataFrame([(k, "d", "2024", "Text", "".join(f"{k}{i:03d}" for i in range(90 if k < "x" else 3))) for k in "abcdefx"] + [("y", "d", "2024", "Text", " "), ("z", "d", "2024", "PDF", "p")], TEXTS)
+
+    def model(some):
+        if "c045" in some:
+            raise TimeoutError("slow")
+        return [[float(t[1:])] for t in some]
+
+    first = {r["version_key"]: (r["outcome"], r["reason"]) for r in job.store_texts(c, rows, "r1", chunk_size=4, model=model, dims=1).collect()}
+    lost = {k for k, v in first.items() if v == ("Failed", "timeout: TimeoutError slow")}
+    assert "c" in lost and len(lost) <= 3 and first["y"] == ("Stored", None) and first["z"] == ("Failed", "no text") and {v[0] for k, v in first.items() if k not in {*lost, "z"}} == {"Stored"}
+    live = lambda: {(r["version_key"], r["chunk_index"], r["content"], r["embedding"][0]) for r in chunks.live(c).collect()}
+    whole = {(k, i, f"{k}{i:03d}", float(i)) for k in "abcdefx" for i in range(90 if k < "x" else 3)}
+    assert live() == {r for r in whole if r[0] not in lost}
+    assert {r["version_key"]: r["text_length"] for r in c.read("text_versions").where("fetched_in = 'r1'").collect()} == {k: 360 if k < "x" else 12 if k == "x" else 1 for k in {*"abcdefxy"} - lost}
+    second = {r["version_key"]: r["outcome"] for r in job.store_texts(c, rows, "r2", chunk_size=4, model=lambda some: [[float(t[1:])] for t in some], dims=1).collect()}
+    assert second == {k: "Stored" if k in lost else "Failed" if k == "z" else "Skipped" for k in "abcdefxyz"}
+    assert live() == whole and chunks.live(c).count() == len(whole)
+
+
+def test_blank_texts_need_no_model(spark, tmp_path):
+    """They are complete at once, and a run whose model fails is no error for them."""
+    docs = [(1, "one"), (2, ""), (3, " \n\t "), (4, None), (5, "a " * 800)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {tuple(r) for r in registry.QUERIES["failed_vectors_stay_open"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == set(con.execute(registry.ORACLES["failed_vectors_stay_open"]).fetchall()) and len(got) == 5
