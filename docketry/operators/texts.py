@@ -191,10 +191,10 @@ def embed_in_full_batches(rows: DataFrame, content: str, model: Callable[[list[s
         return given(t, vectors, [reason or (None if v is not None else f"dims: not {dims} numbers") for v in vectors])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting = None
-        for b in batches:
+        waiting, piece = None, 10 * batch  # rows that are copied at a time
+        for b in (b.slice(k, piece) for b in batches for k in range(0, b.num_rows, piece)):
             t = pa.Table.from_batches([b])
-            full = pa.array([bool(x and x.strip(" \t\n\r\f\v")) for x in t.column(content).to_pylist()], pa.bool_())
+            full = pc.fill_null(pc.match_substring_regex(t.column(content), "[^ \\t\\n\\r\\f\\v]"), False)
             yield from without(t.filter(pc.invert(full))).to_batches()
             t = t.filter(full) if waiting is None else pa.concat_tables([waiting, t.filter(full)])
             end = t.num_rows // batch * batch
